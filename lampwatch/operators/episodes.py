@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lampwatch import labels as L
+from lampwatch.functions import predicates as P
 from lampwatch.functions import timefns as tf
 from lampwatch.functions.emission import emission_kg
 from lampwatch.operators.joins import small_join
@@ -92,20 +93,14 @@ def state(actuator: DataFrame, presence: DataFrame, rule_keys: DataFrame,
 def gates(st: DataFrame) -> DataFrame:
     """P6, P8-P11 per row, from the scan state and the rule parameters
     (joined by the caller)."""
-    us = tf.US
-    ts_us = tf.micros("ts")
-    a_ts = F.col("a").getField("ts")
-    a_level = F.col("a").getField("level")
+    a = F.col("a")
     return st.select(
         "*",
-        (F.col("level") >= F.col("on_level")).alias("is_on"),
-        F.coalesce(a_level >= F.col("on_level"), F.lit(False)).alias("last_on"),
-        (F.col("o").isNull()
-         | (tf.micros("o") + F.col("quiet_s").cast("bigint") * us < ts_us)).alias("quiet"),
-        F.coalesce(tf.micros(a_ts) + F.col("settle_s").cast("bigint") * us < ts_us,
-                   F.lit(False)).alias("settled"),
-        (tf.micros("program_start") + F.col("warmup_s").cast("bigint") * us
-         < ts_us).alias("warm"),
+        P.is_on("level", F.col("on_level")).alias("is_on"),
+        F.coalesce(P.is_on(a.getField("level"), F.col("on_level")), F.lit(False)).alias("last_on"),
+        P.quiet("o", "ts", F.col("quiet_s")).alias("quiet"),
+        P.settled(a.getField("ts"), "ts", F.col("settle_s")).alias("settled"),
+        P.warmed_up("program_start", "ts", F.col("warmup_s")).alias("warm"),
         tf.in_schedule("ts", F.col("hour_start"), F.col("minute_start"),
                        F.col("hour_end"), F.col("minute_end")).alias("in_schedule"),
     )

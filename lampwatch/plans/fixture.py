@@ -110,3 +110,91 @@ def rule_keys(spark: SparkSession, sf_dir: str, rules_df: DataFrame) -> DataFram
                                          F.col("_key").alias("key"))
     return wl.join(F.broadcast(rules_df.select("rule_id", "project_id")),
                    "project_id").select("rule_id", "key")
+
+
+# --- raw JSON messages built from the fixture rows ---------------------------
+# Breakage by event id, first match wins (an oracle recomputes the expected
+# good and rejected rows from the same columns):
+#   % 31 non-JSON text        % 17 no "item"        % 19 "item" without "value"
+#   % 41 "item": null          % 23 no key field     % 29 malformed time
+# Type variations on good rows: % 7 number sent as text (reads 0),
+# % 11 occupancy as boolean (reads absent), % 13 occupancy as a fraction /
+# level absent, % 37 time with a fractional tail (tolerated).
+BREAK_NOT_JSON, BREAK_NO_ITEM, BREAK_NO_VALUE, BREAK_NULL_ITEM = 31, 17, 19, 41
+BREAK_NO_KEY, BREAK_BAD_TIME = 23, 29
+VARY_TEXT_NUMBER, VARY_BOOL_OCC, VARY_FRACTION, VARY_TIME_TAIL = 7, 11, 13, 37
+BAD_TIME_TEXT = "2024-13-40 08:00:00"
+
+
+def _m(n: int):
+    return (F.col("id") % n) == 0
+
+
+def _json_str(c) -> "F.Column":
+    return F.concat(F.lit('"'), c, F.lit('"'))
+
+
+def _envelope(value_obj, key_field: str):
+    return (F.when(_m(BREAK_NOT_JSON), F.concat(F.lit("garbage-"), F.col("id").cast("string")))
+            .when(_m(BREAK_NO_ITEM), F.concat(F.lit('{"other":'), value_obj, F.lit("}")))
+            .when(_m(BREAK_NO_VALUE), F.lit('{"item":{"other":1}}'))
+            .when(_m(BREAK_NULL_ITEM), F.lit('{"item":null}'))
+            .otherwise(F.concat(F.lit('{"item":{"value":'), value_obj, F.lit("}}"))))
+
+
+def _time_text():
+    from lampwatch.functions.timefns import format_time
+    return (F.when(_m(BREAK_BAD_TIME), F.lit(BAD_TIME_TEXT))
+            .when(_m(VARY_TIME_TAIL), F.concat(format_time("ts"), F.lit(".123")))
+            .otherwise(format_time("ts")))
+
+
+def _key_part(key_field: str):
+    return F.when(_m(BREAK_NO_KEY), F.lit("")).otherwise(
+        F.concat(F.lit(f'"{key_field}":'), _json_str(F.col("key")), F.lit(",")))
+
+
+def presence_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``(msg_id, value)``: presence readings as pub/sub JSON messages."""
+    p = presence(spark, sf_dir)
+    lux = F.when(_m(VARY_TEXT_NUMBER), _json_str(F.col("lux").cast("string"))).otherwise(
+        F.col("lux").cast("string"))
+    occ = (F.when(_m(VARY_BOOL_OCC), F.when(F.col("occupied"), "true").otherwise("false"))
+           .when(_m(VARY_FRACTION), F.when(F.col("occupied"), "0.5").otherwise("0.0"))
+           .otherwise(F.when(F.col("occupied"), "1").otherwise("0")))
+    value_obj = F.concat(F.lit("{"), _key_part(L.PRESENCE_KEY_FIELD),
+                         F.lit(f'"_projectId":{PROJECT_ID},"lux":'), lux,
+                         F.lit(',"occupancy":'), occ,
+                         F.lit(',"time":'), _json_str(_time_text()), F.lit("}"))
+    return p.select(F.col("id").alias("msg_id"),
+                    _envelope(value_obj, L.PRESENCE_KEY_FIELD).alias("value"))
+
+
+def actuator_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``(msg_id, value)``: actuator readings as pub/sub JSON messages."""
+    a = actuator(spark, sf_dir)
+    level = (F.when(_m(VARY_TEXT_NUMBER), F.concat(F.lit(',"value":'),
+                                                   _json_str(F.col("level").cast("string"))))
+             .when(_m(VARY_FRACTION), F.lit(""))
+             .otherwise(F.concat(F.lit(',"value":'), F.col("level").cast("string"))))
+    value_obj = F.concat(F.lit("{"), _key_part(L.ACTUATOR_KEY_FIELD),
+                         F.lit(f'"_projectId":{PROJECT_ID}'), level,
+                         F.lit(',"time":'), _json_str(_time_text()), F.lit("}"))
+    return a.select(F.col("id").alias("msg_id"),
+                    _envelope(value_obj, L.ACTUATOR_KEY_FIELD).alias("value"))
+
+
+def flat_presence_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Flat log messages ``{"value": {...}}`` (the log-source shape): % 17
+    has no ``value``, % 23 no key field, % 19 a NULL key (still present)."""
+    p = presence(spark, sf_dir)
+    key_part = (F.when(_m(BREAK_NO_KEY), F.lit(""))
+                .when(_m(BREAK_NO_VALUE), F.lit(f'"{L.PRESENCE_KEY_FIELD}":null,'))
+                .otherwise(F.concat(F.lit(f'"{L.PRESENCE_KEY_FIELD}":'),
+                                    _json_str(F.col("key")), F.lit(","))))
+    value_obj = F.concat(F.lit("{"), key_part, F.lit('"lux":'), F.col("lux").cast("string"),
+                         F.lit(',"ts_ms":'),
+                         F.unix_millis(F.col("ts").cast("timestamp")).cast("string"), F.lit("}"))
+    msg = F.when(_m(BREAK_NO_ITEM), F.concat(F.lit('{"other":'), value_obj, F.lit("}"))).otherwise(
+        F.concat(F.lit('{"value":'), value_obj, F.lit("}")))
+    return p.select(F.col("id").alias("msg_id"), msg.alias("value"))
