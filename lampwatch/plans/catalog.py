@@ -15,14 +15,20 @@ from lampwatch import labels as L
 from lampwatch.functions import decode as D
 from lampwatch.functions import predicates as P
 from lampwatch.functions import timefns as tf
+from lampwatch.functions import shapes as S
 from lampwatch.operators import episodes as E
+from lampwatch.operators import legacy as LG
+from lampwatch.operators import presence as A
+from lampwatch.operators import suppress as SUP
 from lampwatch.plans import fixture as fx
 from lampwatch.sources import dimension as dim
-from lampwatch.sources import rules as R
 from lampwatch.sources import snapshot as snap
 
 Query = Callable[[SparkSession, str], DataFrame]
 SNAPSHOT_CUT = "2024-01-15 00:00:00"
+WINDOW_WIDTH = "1 hour"     # tumbling presence window of the legacy rule
+FOLD_WIDTH = "1 day"        # A1 fold per sensor and day
+ALERT_START_S = 1704240000  # 2024-01-03 00:00:00 UTC, epoch seconds (F9 scales it)
 
 EPISODE_COLUMNS = ["rule_id", "sensor_key", "strategy", "open_ts", "start_ts", "finish_ts",
                    "is_finish", "duration", "carbon_emissions", "carbon_unit", "type",
@@ -176,6 +182,114 @@ def episode_calendar(spark, sf):
         "rule_id", "sensor_key", "open_ts", "time", *tf.calendar_parts("start_ts"))
 
 
+# --- F10 F11 K2-K4 ---------------------------------------------------------------
+
+CALENDAR = ["time_year", "time_month", "time_day", "time_hour", "time_minute", "time_second",
+            "time_week", "time_weekday"]
+
+
+def cube_rows(spark, sf):
+    return S.cube_rows(episodes_for(spark, sf)).select(
+        "rule_id", "open_ts", "_key", "time", *CALENDAR, "type", "system", "sensor_key",
+        "strategy", "carbon_emissions", "message", "duration", "measure")
+
+
+def publish_envelope(spark, sf):
+    rules = fx.rules(spark)
+    records = E.changelog(episodes_for(spark, sf)).join(
+        F.broadcast(rules.select("rule_id", "table_id")), "rule_id")
+    env = S.publish_envelope(records, "table_id")
+    j = F.col("value")
+    return env.select(
+        "rule_id", "sensor_key", "open_ts", "is_finish",
+        F.get_json_object(j, "$.key").alias("env_key"),
+        F.get_json_object(j, "$.time").alias("env_time"),
+        F.get_json_object(j, "$.item.key").alias("item_key"),
+        F.get_json_object(j, "$.item.sourceId").alias("source_id"),
+        F.get_json_object(j, "$.item.timestamp").cast("bigint").alias("ts_ms"),
+        F.get_json_object(j, "$.item.value.duration").cast("bigint").alias("value_duration"),
+        F.get_json_object(j, "$.item.value.time_week").cast("int").alias("value_week"))
+
+
+def alert_outbox(spark, sf):
+    rules = fx.rules(spark)
+    out = S.alert_outbox(episodes_for(spark, sf), rules)
+    b = F.col("body")
+    return out.select(
+        "rule_id", "sensor_key", "open_ts", "template_id",
+        F.get_json_object(b, "$.priority").alias("priority"),
+        F.get_json_object(b, "$.sender.name").alias("sender_name"),
+        F.get_json_object(b, "$.parameters.message").alias("message"),
+        F.get_json_object(b, "$.parameters.datetime").alias("datetime"),
+        F.json_array_length(F.get_json_object(b, "$.receivers")).alias("n_receivers"))
+
+
+# --- A1-A4 F12 T7 T8 P12 K5 --------------------------------------------------------
+
+def _readings_with_message(spark, sf) -> DataFrame:
+    ev = fx.table(spark, sf, "events")
+    act = fx.actuator(spark, sf).select("key", "ts", "id", F.lit(0).alias("src"), "level",
+                                        F.lit(None).cast("boolean").alias("occupied"),
+                                        F.lit(None).cast("double").alias("lux"))
+    pre = fx.presence(spark, sf).select("key", "ts", "id", F.lit(1).alias("src"),
+                                        F.lit(None).cast("double").alias("level"),
+                                        "occupied", "lux")
+    msg = ev.select(F.col("event_id").alias("id"), F.col("event_type").alias("message"))
+    return act.unionByName(pre).join(msg, "id")
+
+
+def presence_fold(spark, sf):
+    return A.tumbling(fx.presence(spark, sf), FOLD_WIDTH).select(
+        "key", "window_start", "ts", "occupied", "lux", "n")
+
+
+def presence_tumbling(spark, sf):
+    return A.tumbling(fx.presence(spark, sf), WINDOW_WIDTH)
+
+
+def presence_rolling(spark, sf):
+    return A.rolling(A.tumbling(fx.presence(spark, sf), WINDOW_WIDTH), L.QUIET_S).select(
+        "key", "window_start", "ts", "occupied_roll", "lux_roll")
+
+
+SUMMARY_COLUMNS = ["key", "window_start", "name", "time_stamp", "time_str", "is_warning",
+                   "opening_aperture", "sensor_occ", "sensor_lux", "message",
+                   "first_open_time", "strategy"]
+
+
+def _summaries(spark, sf) -> DataFrame:
+    return A.window_summary(_readings_with_message(spark, sf), WINDOW_WIDTH)
+
+
+def window_summary(spark, sf):
+    return _summaries(spark, sf).select(*SUMMARY_COLUMNS)
+
+
+LEGACY_COLUMNS = ["sensor_key", "start_ts", "finish_ts", "is_finish", "duration",
+                  "carbon_emissions", "carbon_unit", "type", "system", "strategy", "message",
+                  "measure", "time"]
+
+
+def legacy_episodes(spark, sf):
+    return LG.legacy_episodes(fx.actuator(spark, sf), fx.presence(spark, sf), WINDOW_WIDTH,
+                              L.QUIET_S).select(*LEGACY_COLUMNS)
+
+
+def legacy_warnings(spark, sf):
+    return LG.legacy_warnings(_summaries(spark, sf)).select(
+        "sensor_key", "start_ts", "is_finish", "type", "system", "strategy", "message",
+        "measure", "time")
+
+
+def alert_suppressed(spark, sf):
+    warn = _summaries(spark, sf).where(F.col("is_warning")).select(
+        F.col("name").alias("key"), "time_stamp")
+    sent = SUP.suppress(warn, ALERT_START_S)
+    dt_text = tf.format_time(F.timestamp_millis(F.col("time_stamp")).cast("timestamp_ntz"))
+    return sent.select("key", "time_stamp", dt_text.alias("datetime"),
+                       S.alert_text("key").alias("message"))
+
+
 QUERIES: dict[str, Query] = {
     "snapshot_latest": snapshot_latest,
     "snapshot_then_changes": snapshot_then_changes,
@@ -197,4 +311,14 @@ QUERIES: dict[str, Query] = {
     "episodes_by_rule": episodes_by_rule,
     "episode_changelog": episode_changelog,
     "episode_calendar": episode_calendar,
+    "cube_rows": cube_rows,
+    "publish_envelope": publish_envelope,
+    "alert_outbox": alert_outbox,
+    "presence_fold": presence_fold,
+    "presence_tumbling": presence_tumbling,
+    "presence_rolling": presence_rolling,
+    "window_summary": window_summary,
+    "legacy_episodes": legacy_episodes,
+    "legacy_warnings": legacy_warnings,
+    "alert_suppressed": alert_suppressed,
 }

@@ -257,7 +257,7 @@ def _episodes_cte(name: str) -> str:
         secs = _gap(r, "finish_ts")
     typ = L.TYPE_BY_STRATEGY[s]
     msg = ("''" if s == L.TIME_ONLY else
-           f"'{L.PROGRAM_START_PREFIX}' || CAST(epoch_ms({_ts(r['program_start'])}) AS VARCHAR)")
+           f"'{L.PROGRAM_START_PREFIX}' || CAST((epoch_us({_ts(r['program_start'])}) // 1000) AS VARCHAR)")
     return f"""{_state(name + "_", s != L.TIME_ONLY)},
 {name}_nn AS (
   SELECT *, {start} AS start_ts FROM (SELECT *, {lab} AS lab FROM {name}_st) WHERE lab IS NOT NULL),
@@ -316,6 +316,172 @@ WITH eps AS ({EPISODES_ALL})
 SELECT rule_id, sensor_key, open_ts, time, {_calendar('start_ts')} FROM eps
 """
 
+# --- F10 F11 K2-K4 ---------------------------------------------------------------
+
+_SAT = "(CAST(start_ts AS DATE) + CAST(6 - dayofweek(start_ts) AS INTEGER))"
+
+CUBE_ROWS = f"""
+WITH eps AS ({EPISODES_ALL})
+SELECT rule_id, open_ts, sensor_key AS _key, time, {_calendar('start_ts')}, type, system,
+       sensor_key, strategy, carbon_emissions, message, duration, measure
+FROM eps WHERE is_finish
+"""
+
+PUBLISH_ENVELOPE = f"""
+WITH eps AS ({EPISODES_ALL}),
+cl AS (
+  SELECT rule_id, sensor_key, open_ts, false AS is_finish, start_ts, time,
+         CAST(NULL AS BIGINT) AS duration FROM eps
+  UNION ALL
+  SELECT rule_id, sensor_key, open_ts, true AS is_finish, start_ts, time, duration
+  FROM eps WHERE is_finish)
+SELECT rule_id, sensor_key, open_ts, is_finish, sensor_key AS env_key, time AS env_time,
+       sensor_key AS item_key, '{fx.RULES['time_only']['table_id']}' AS source_id,
+       (epoch_us(start_ts) // 1000) AS ts_ms, coalesce(duration, 0) AS value_duration,
+       CAST((dayofyear({_SAT}) + 6) // 7 AS INTEGER) AS value_week
+FROM cl
+"""
+
+ALERT_OUTBOX = f"""
+WITH eps AS ({EPISODES_ALL})
+SELECT rule_id, sensor_key, open_ts, '{fx.RULES['time_only']['template_id']}' AS template_id,
+       '{L.PRIORITY}' AS priority, '{L.SENDER_NAME}' AS sender_name,
+       '{L.ALERT_TEXT_PREFIX}' || sensor_key || '{L.ALERT_TEXT_SUFFIX}' AS message,
+       time AS datetime, {len(fx.RECEIVERS)} AS n_receivers
+FROM eps
+"""
+
+# --- A1-A4 F12 T7 T8 P12 K5 --------------------------------------------------------
+
+_FOLD = "list_reduce(list(lux ORDER BY ts, id), lambda acc, x: (x + acc) / 2)"
+
+
+def _tumbling(width: str) -> str:
+    return f"""
+SELECT key, time_bucket(INTERVAL '{width}', ts) AS window_start,
+       time_bucket(INTERVAL '{width}', ts) + INTERVAL '{width}' AS window_end,
+       max(ts) AS ts, bool_or(occupied) AS occupied, {_FOLD} AS lux, count(*) AS n
+FROM pre GROUP BY key, time_bucket(INTERVAL '{width}', ts)"""
+
+
+PRESENCE_FOLD = f"""
+WITH {PRE}
+SELECT key, window_start, ts, occupied, lux, n FROM ({_tumbling('1 day')})
+"""
+
+PRESENCE_TUMBLING = f"""
+WITH {PRE}
+{_tumbling('1 hour')}
+"""
+
+_ROLL = f"(PARTITION BY key ORDER BY epoch_us(ts) RANGE BETWEEN {L.QUIET_S * US - 1} PRECEDING AND CURRENT ROW)"
+
+PRESENCE_ROLLING = f"""
+WITH {PRE}, tb AS ({_tumbling('1 hour')})
+SELECT key, window_start, ts, bool_or(occupied) OVER w AS occupied_roll,
+       avg(lux) OVER w AS lux_roll
+FROM tb WINDOW w AS {_ROLL}
+"""
+
+_SUMMARY = f"""
+{ACT}, {PRE},
+rd AS (
+  SELECT a.key, a.ts, a.id, 0 AS src, a.level, CAST(NULL AS BOOLEAN) AS occupied,
+         CAST(NULL AS DOUBLE) AS lux, e.event_type AS message
+  FROM act a JOIN events e ON e.event_id = a.id
+  UNION ALL
+  SELECT p.key, p.ts, p.id, 1 AS src, CAST(NULL AS DOUBLE) AS level, p.occupied, p.lux,
+         e.event_type AS message
+  FROM pre p JOIN events e ON e.event_id = p.id),
+g AS (
+  SELECT key, time_bucket(INTERVAL '1 hour', ts) AS window_start, max(ts) AS mts,
+         (list(level ORDER BY ts DESC, id DESC) FILTER (WHERE src = 0))[1] AS opening_aperture,
+         bool_or(occupied) FILTER (WHERE src = 1) AS sensor_occ,
+         list_reduce(list(lux ORDER BY ts, id) FILTER (WHERE src = 1),
+                     lambda acc, x: (x + acc) / 2) AS sensor_lux,
+         string_agg(message, '|' ORDER BY ts, id) FILTER (WHERE message <> '') AS message,
+         min(ts) FILTER (WHERE src = 0 AND level > {L.LEGACY_ON_LEVEL}) AS first_open,
+         (list(key ORDER BY ts, id) FILTER (WHERE key <> ''))[1] AS name
+  FROM rd GROUP BY key, time_bucket(INTERVAL '1 hour', ts)),
+summary AS (
+  SELECT key, window_start, name, (epoch_us(mts) // 1000) AS time_stamp,
+         strftime(mts, '%Y-%m-%d %H:%M:%S') AS time_str,
+         coalesce(opening_aperture > {L.LEGACY_ON_LEVEL}, false)
+           AND NOT coalesce(sensor_occ, false) AS is_warning,
+         opening_aperture, sensor_occ, sensor_lux, message,
+         coalesce((epoch_us(first_open) // 1000), 0) AS first_open_time, '{L.LEGACY_STRATEGY}' AS strategy
+  FROM g)"""
+
+WINDOW_SUMMARY = f"""
+WITH {_SUMMARY}
+SELECT * FROM summary
+"""
+
+LEGACY_EPISODES = f"""
+WITH {ACT}, {PRE},
+tb AS ({_tumbling('1 hour')}),
+roll AS (SELECT *, bool_or(occupied) OVER w AS occ_roll FROM tb WINDOW w AS {_ROLL}),
+ev AS (
+  SELECT key, window_end AS t, 0 AS kind, CAST(0 AS BIGINT) AS id, CAST(NULL AS DOUBLE) AS level,
+         occ_roll FROM roll
+  UNION ALL
+  SELECT key, ts AS t, 1 AS kind, id, coalesce(level, 0.0) AS level,
+         CAST(NULL AS BOOLEAN) AS occ_roll FROM act),
+st AS (
+  SELECT *,
+    last_value(CASE WHEN kind = 1 THEN t END IGNORE NULLS) OVER w AS a_ts,
+    last_value(CASE WHEN kind = 1 THEN level END IGNORE NULLS) OVER w AS a_level
+  FROM ev WINDOW w AS (PARTITION BY key ORDER BY t, kind, id
+                       ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
+nn AS (
+  SELECT * FROM (
+    SELECT *, CASE WHEN kind = 0 AND coalesce(a_level > {L.LEGACY_ON_LEVEL}, false)
+                        AND NOT coalesce(occ_roll, false) THEN 'O'
+                   WHEN kind = 1 AND level <= {L.LEGACY_ON_LEVEL} THEN 'C' END AS lab
+    FROM st) WHERE lab IS NOT NULL),
+pr AS (
+  SELECT *,
+    last_value(CASE WHEN lab = 'O' THEN t END IGNORE NULLS) OVER w2 AS o_t,
+    last_value(CASE WHEN lab = 'O' THEN a_ts END IGNORE NULLS) OVER w2 AS o_start,
+    max(CASE WHEN lab = 'C' THEN t END) OVER w2 AS c_t
+  FROM nn WINDOW w2 AS (PARTITION BY key ORDER BY t, kind, id
+                        ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))
+SELECT key AS sensor_key, o_start AS start_ts, t AS finish_ts, true AS is_finish,
+       (epoch_us(t) - epoch_us(o_start)) // {US} AS duration,
+       CAST({L.LEGACY_EMISSION_KG} AS DOUBLE) AS carbon_emissions, '{L.CARBON_UNIT}' AS carbon_unit,
+       '{L.TYPE_LEGACY_WINDOW}' AS type, '{L.SYSTEM}' AS system, 'legacy' AS strategy,
+       '' AS message, '{L.MEASURE}' AS measure,
+       strftime(o_start, '%Y-%m-%d %H:%M:%S') AS time
+FROM pr WHERE lab = 'C' AND o_t IS NOT NULL AND (c_t IS NULL OR o_t > c_t)
+"""
+
+LEGACY_WARNINGS = f"""
+WITH {_SUMMARY}
+SELECT name AS sensor_key, make_timestamp(time_stamp * 1000) AS start_ts, false AS is_finish,
+       '{L.TYPE_LEGACY_WARNING}' AS type, '{L.SYSTEM}' AS system,
+       '{L.LEGACY_STRATEGY}' AS strategy, message, '{L.MEASURE}' AS measure,
+       strftime(make_timestamp(time_stamp * 1000), '%Y-%m-%d %H:%M:%S') AS time
+FROM summary WHERE is_warning
+"""
+
+ALERT_START_MS = 1704240000 * 1000
+
+ALERT_SUPPRESSED = f"""
+WITH RECURSIVE {_SUMMARY},
+w AS (SELECT name AS key, time_stamp FROM summary
+      WHERE is_warning AND time_stamp >= {ALERT_START_MS}),
+chain(key, sent) AS (
+  SELECT key, min(time_stamp) FROM w GROUP BY key
+  UNION ALL
+  SELECT c.key, (SELECT min(w2.time_stamp) FROM w w2
+                 WHERE w2.key = c.key AND w2.time_stamp > c.sent + {L.ALERT_GAP_S * 1000})
+  FROM chain c WHERE c.sent IS NOT NULL)
+SELECT key, sent AS time_stamp,
+       strftime(make_timestamp(sent * 1000), '%Y-%m-%d %H:%M:%S') AS datetime,
+       '{L.ALERT_TEXT_PREFIX}' || key || '{L.ALERT_TEXT_SUFFIX}' AS message
+FROM chain WHERE sent IS NOT NULL
+"""
+
 SQL: dict[str, str] = {
     "snapshot_latest": SNAPSHOT_LATEST,
     "snapshot_then_changes": SNAPSHOT_THEN_CHANGES,
@@ -337,4 +503,14 @@ SQL: dict[str, str] = {
     "episodes_by_rule": EPISODES_ALL,
     "episode_changelog": EPISODE_CHANGELOG,
     "episode_calendar": EPISODE_CALENDAR,
+    "cube_rows": CUBE_ROWS,
+    "publish_envelope": PUBLISH_ENVELOPE,
+    "alert_outbox": ALERT_OUTBOX,
+    "presence_fold": PRESENCE_FOLD,
+    "presence_tumbling": PRESENCE_TUMBLING,
+    "presence_rolling": PRESENCE_ROLLING,
+    "window_summary": WINDOW_SUMMARY,
+    "legacy_episodes": LEGACY_EPISODES,
+    "legacy_warnings": LEGACY_WARNINGS,
+    "alert_suppressed": ALERT_SUPPRESSED,
 }
