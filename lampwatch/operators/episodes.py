@@ -71,7 +71,7 @@ def bind_rules(rows: DataFrame, rule_keys: DataFrame, rules: DataFrame) -> DataF
             .drop("_reads_presence"))
 
 
-def scan_state(bound: DataFrame) -> DataFrame:
+def scan_state(bound: DataFrame, chunked: bool = True) -> DataFrame:
     """Step 1: ``a`` = latest actuator ``struct(ts, id, level)`` and ``o`` =
     latest occupied presence time, both at or before the row."""
     return carry_scan(bound, KEYS, "chunk", ORDER, [
@@ -80,14 +80,15 @@ def scan_state(bound: DataFrame) -> DataFrame:
                                           F.col("level").alias("level")))),
         Scan("o", "max", F.when((F.col("src") == SRC_PRESENCE) & F.col("occupied"),
                                 F.col("ts"))),
-    ])
+    ], chunked)
 
 
 def state(actuator: DataFrame, presence: DataFrame, rule_keys: DataFrame,
-          rules: DataFrame, rows_per_chunk: int = ROWS_PER_CHUNK) -> DataFrame:
-    """Readings of every rule with their scan state (J2, P9 inputs)."""
-    rows = assign_chunks(readings(actuator, presence), "key", "ts", rows_per_chunk)
-    return scan_state(bind_rules(rows, rule_keys, rules))
+          rules: DataFrame, rows_per_chunk: int = ROWS_PER_CHUNK) -> tuple[DataFrame, bool]:
+    """Readings of every rule with their scan state (J2, P9 inputs), and
+    whether hot sensors were cut into chunks."""
+    rows, chunked = assign_chunks(readings(actuator, presence), "key", "ts", rows_per_chunk)
+    return scan_state(bind_rules(rows, rule_keys, rules), chunked), chunked
 
 
 def gates(st: DataFrame) -> DataFrame:
@@ -124,15 +125,17 @@ def label(g: DataFrame) -> DataFrame:
     return g.select("*", lab.alias("lab"), start.alias("start_ts"))
 
 
-def transitions(labeled: DataFrame) -> DataFrame:
+def transitions(labeled: DataFrame, chunked: bool = True) -> DataFrame:
     """Steps 3-4: kept ``O`` rows with ``finish_ts`` (NULL: still open)."""
     lab = labeled.where(F.col("lab").isNotNull())
     prev = carry_scan(lab, KEYS, "chunk", ORDER,
-                      [Scan("prev", "last", F.col("lab"), inclusive=False)])
+                      [Scan("prev", "last", F.col("lab"), inclusive=False)], chunked)
     kept = prev.where(F.col("lab") != F.coalesce(F.col("prev"), F.lit("C")))
     w = Window.partitionBy(*KEYS, "chunk").orderBy(*ORDER)
     opens = (kept.withColumn("_next", F.lead("ts").over(w))
              .where(F.col("lab") == "O"))
+    if not chunked:
+        return opens.withColumnRenamed("_next", "finish_ts").drop("prev")
     # an open that is last in its chunk closes at the first C of a later chunk
     first_c = lab.groupBy(*KEYS, "chunk").agg(
         F.min(F.when(F.col("lab") == "C", F.col("ts"))).alias("_fc"))
@@ -151,13 +154,13 @@ LABELED = [*KEYS, "chunk", *ORDER, "lab", "start_ts", "a", "occupied", "lux"]
 
 
 def labeled(actuator: DataFrame, presence: DataFrame, rule_keys: DataFrame,
-            rules: DataFrame, rows_per_chunk: int = ROWS_PER_CHUNK) -> DataFrame:
-    """Steps 1-2 for every rule: rows with a non-null label, narrowed to
-    the columns the later steps read."""
+            rules: DataFrame, rows_per_chunk: int = ROWS_PER_CHUNK) -> tuple[DataFrame, bool]:
+    """Steps 1-2 for every rule: rows with their label, narrowed to the
+    columns the later steps read; and whether sensors were chunked."""
     params = rules.select(*PARAMS)
-    st = state(actuator, presence, rule_keys, params, rows_per_chunk)
-    g = gates(small_join(st, params, on="rule_id"))
-    return label(g).select(*LABELED)
+    st, chunked = state(actuator, presence, rule_keys, params, rows_per_chunk)
+    g = gates(st.join(F.broadcast(params), on="rule_id"))
+    return label(g).select(*LABELED), chunked
 
 
 def episodes(actuator: DataFrame, presence: DataFrame, rule_keys: DataFrame,
@@ -166,9 +169,9 @@ def episodes(actuator: DataFrame, presence: DataFrame, rule_keys: DataFrame,
     """One row per episode of every rule (see ``schemas.EPISODE``), plus
     ``open_id`` (id of the triggering reading), ``project_id`` and the
     JSON evidence ``origin_data``."""
-    lab = labeled(actuator, presence, rule_keys, rules, rows_per_chunk)
-    opens = transitions(lab)
-    return finish(small_join(opens, rules.select(*PARAMS), on="rule_id"), dim)
+    lab, chunked = labeled(actuator, presence, rule_keys, rules, rows_per_chunk)
+    opens = transitions(lab, chunked)
+    return finish(opens.join(F.broadcast(rules.select(*PARAMS)), on="rule_id"), dim)
 
 
 def finish(opens: DataFrame, dim: DataFrame) -> DataFrame:

@@ -17,8 +17,7 @@ MAX_BROADCAST_ROWS = 500_000
 
 
 def fits_broadcast(small: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> bool:
-    # limit(max_rows + 1) stops the count early on an oversized input
-    return small.limit(max_rows + 1).count() <= max_rows
+    return small.count() <= max_rows
 
 
 def small_join(big: DataFrame, small: DataFrame, on, how: str = "inner",

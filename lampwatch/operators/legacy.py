@@ -46,11 +46,12 @@ def legacy_episodes(actuator: DataFrame, presence: DataFrame, width: str,
         F.lit(READING).alias("kind"), F.col("id").cast("bigint").alias("id"),
         F.coalesce(F.col("level").cast("double"), F.lit(0.0)).alias("level"),
         F.lit(None).cast("boolean").alias("occupied_roll"))
-    rows = assign_chunks(fires.unionByName(reads), "key", "t", rows_per_chunk)
+    rows, chunked = assign_chunks(fires.unionByName(reads), "key", "t", rows_per_chunk)
 
     st = carry_scan(rows, KEYS, "chunk", ORDER, [
         Scan("a", "last", F.when(F.col("kind") == READING,
-                                 F.struct(F.col("t").alias("ts"), F.col("level").alias("level"))))])
+                                 F.struct(F.col("t").alias("ts"), F.col("level").alias("level"))))],
+                    chunked)
     a = F.col("a")
     lab = (F.when((F.col("kind") == FIRE)
                   & F.coalesce(P.is_on_legacy(a.getField("level")), F.lit(False))
@@ -65,7 +66,7 @@ def legacy_episodes(actuator: DataFrame, presence: DataFrame, width: str,
                                                F.col("start_ts").alias("start_ts"))),
              inclusive=False),
         Scan("last_c", "max", F.when(F.col("lab") == "C", F.col("t")), inclusive=False),
-    ])
+    ], chunked)
     closes = pairs.where(
         (F.col("lab") == "C") & F.col("last_o").isNotNull()
         & (F.col("last_c").isNull() | (F.col("last_o.t") > F.col("last_c"))))

@@ -54,11 +54,23 @@ def _result(scan: Scan, acc: Column) -> Column:
 
 
 def carry_scan(df: DataFrame, keys: list[str], chunk: str, order: list[str],
-               scans: list[Scan]) -> DataFrame:
+               scans: list[Scan], chunked: bool = True) -> DataFrame:
     """Adds one column per scan.  ``order`` must start with the column the
     chunks were cut on, so that chunk order agrees with scan order, and the
-    order columns of data rows must be non-null."""
+    order columns of data rows must be non-null.
+
+    ``chunked=False`` (no key was cut, every ``chunk`` is 0) skips the
+    carry: plain running windows over ``(keys, chunk)``.  Either way the
+    window spec is ``partitionBy(keys, chunk).orderBy(order)``, so later
+    windows with that spec reuse the exchange and the sort."""
     tmp = {s.name: f"_s_{s.name}" for s in scans}
+    base = Window.partitionBy(*keys, chunk).orderBy(*order)
+    incl = base.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    excl = base.rowsBetween(Window.unboundedPreceding, -1)
+    if not chunked:
+        return df.select(
+            "*", *[_result(s, F.max(_contribution(s, order)).over(incl if s.inclusive else excl))
+                   .alias(s.name) for s in scans])
     rows = df.select("*", *[_contribution(s, order).alias(tmp[s.name]) for s in scans])
 
     # one summary row per chunk: the state the chunk leaves behind
@@ -77,9 +89,6 @@ def carry_scan(df: DataFrame, keys: list[str], chunk: str, order: list[str],
     # partitioning and order reuse the sort.
     data = rows.withColumn(CARRY_FLAG, F.lit(False))
     both = data.unionByName(carry, allowMissingColumns=True)
-    base = Window.partitionBy(*keys, chunk).orderBy(*order)
-    incl = base.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    excl = base.rowsBetween(Window.unboundedPreceding, -1)
     out = both.select(
         *[c for c in df.columns],
         *[_result(s, F.max(tmp[s.name]).over(incl if s.inclusive else excl)).alias(s.name)
@@ -89,24 +98,33 @@ def carry_scan(df: DataFrame, keys: list[str], chunk: str, order: list[str],
     return out.where(~F.col(CARRY_FLAG)).drop(CARRY_FLAG)
 
 
+def hot_keys(df: DataFrame, key: str, ts: str, rows_per_chunk: int) -> DataFrame:
+    """Keys with more than ``rows_per_chunk`` rows, with the width of an
+    equal-width time slice holding about ``rows_per_chunk`` rows on average.
+    A partial aggregate (one row per key and task before the shuffle); the
+    result has at most ``total_rows / rows_per_chunk`` rows -- the bound that
+    makes broadcasting it safe."""
+    return (df.groupBy(key)
+            .agg(F.count(F.lit(1)).alias("_n"),
+                 F.min(micros(ts)).alias("_t0"),
+                 F.max(micros(ts)).alias("_t1"))
+            .where(F.col("_n") > rows_per_chunk)
+            .select(key, "_t0",
+                    F.greatest(F.lit(1).cast("bigint"),
+                               ((F.col("_t1") - F.col("_t0") + 1) * F.lit(rows_per_chunk)
+                                / F.col("_n")).cast("bigint")).alias("_width")))
+
+
 def assign_chunks(df: DataFrame, key: str, ts: str, rows_per_chunk: int,
-                  out: str = "chunk") -> DataFrame:
-    """Adds ``out``: 0 for ordinary keys; for keys with more than
-    ``rows_per_chunk`` rows, the index of an equal-width time slice sized
-    so that a slice holds about ``rows_per_chunk`` rows on average.
-
-    The hot-key table has at most ``total_rows / rows_per_chunk`` rows --
-    that bound is what makes broadcasting it safe."""
-    stats = (df.groupBy(key)
-             .agg(F.count(F.lit(1)).alias("_n"),
-                  F.min(micros(ts)).alias("_t0"),
-                  F.max(micros(ts)).alias("_t1"))
-             .where(F.col("_n") > rows_per_chunk)
-             .select(key, "_t0",
-                     F.greatest(F.lit(1).cast("bigint"),
-                                ((F.col("_t1") - F.col("_t0") + 1) * F.lit(rows_per_chunk)
-                                 / F.col("_n")).cast("bigint")).alias("_width")))
-    joined = df.join(F.broadcast(stats), on=key, how="left")
+                  out: str = "chunk") -> tuple[DataFrame, bool]:
+    """Adds ``out``: 0 for ordinary keys; for hot keys (see
+    :func:`hot_keys`) the index of the key's time slice.  Returns the frame
+    and whether any key was cut -- decided by one small aggregate job, the
+    way a range partitioner samples before it plans."""
+    hot = hot_keys(df, key, ts, rows_per_chunk)
+    if not hot.limit(1).collect():
+        return df.withColumn(out, F.lit(0).cast("bigint")), False
+    joined = df.join(F.broadcast(hot), on=key, how="left")
     c = F.when(F.col("_width").isNull(), F.lit(0).cast("bigint")).otherwise(
         F.floor((micros(ts) - F.col("_t0")) / F.col("_width")).cast("bigint"))
-    return joined.withColumn(out, c).drop("_t0", "_width")
+    return joined.withColumn(out, c).drop("_t0", "_width"), True

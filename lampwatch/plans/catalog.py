@@ -125,8 +125,8 @@ def next_start_gap(spark, sf):
 
 def _presence_state(spark, sf, rule: str) -> DataFrame:
     rules = fx.rules(spark, [rule])
-    st = E.state(fx.actuator(spark, sf), fx.presence(spark, sf),
-                 fx.rule_keys(spark, sf, rules), rules)
+    st, _ = E.state(fx.actuator(spark, sf), fx.presence(spark, sf),
+                    fx.rule_keys(spark, sf, rules), rules)
     return st.where(F.col("src") == E.SRC_PRESENCE).join(
         F.broadcast(rules.select(*E.PARAMS).drop("strategy")), "rule_id")
 

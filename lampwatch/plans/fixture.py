@@ -61,8 +61,17 @@ RULES = {
 }
 
 
+_TABLES: dict[tuple[str, str], DataFrame] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """The parquet table, read once per session (a DataFrame is a lazy
+    plan; reusing it saves a schema-listing job per use)."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (spark.sparkContext.applicationId, path)
+    if key not in _TABLES:
+        _TABLES[key] = spark.read.parquet(path)
+    return _TABLES[key]
 
 
 def actuator(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -100,7 +109,7 @@ def whitelist(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def rules(spark: SparkSession, names: list[str] | None = None) -> DataFrame:
     picked = [RULES[n] for n in (names or list(RULES))]
-    return R.validated(R.rules_from_rows(spark, picked))
+    return R.from_config(spark, picked)
 
 
 def rule_keys(spark: SparkSession, sf_dir: str, rules_df: DataFrame) -> DataFrame:

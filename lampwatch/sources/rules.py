@@ -89,6 +89,36 @@ def validated(rules: DataFrame) -> DataFrame:
     return r
 
 
+def validate_rows(rows: list[dict]) -> None:
+    """The same checks as :func:`problems` for rules held by the driver
+    (a configuration list), without a Spark job."""
+    seen = set()
+    for r in rows:
+        rid = r.get("rule_id")
+        strategy = (r.get("strategy") or "").strip().lower()
+        if rid is None:
+            raise RuleError("rule None: missing rule_id")
+        if rid in seen:
+            raise RuleError(f"rule {rid!r}: duplicate rule_id")
+        seen.add(rid)
+        if strategy not in L.STRATEGIES:
+            raise RuleError(f"rule {rid!r}: unknown strategy")
+        for f in ("factor", "program_start"):
+            if r.get(f) is None:
+                raise RuleError(f"rule {rid!r}: missing {f}")
+        for f, hi in (("hour_start", 23), ("hour_end", 23), ("minute_start", 59),
+                      ("minute_end", 59)):
+            v = r.get(f)
+            if v is None or not 0 <= v <= hi:
+                raise RuleError(f"rule {rid!r}: bad {f.split('_')[0]}")
+
+
+def from_config(spark: SparkSession, rows: list[dict]) -> DataFrame:
+    """Validated, normalized rules from a driver-side configuration list."""
+    validate_rows(rows)
+    return normalize(rules_from_rows(spark, rows))
+
+
 def explode_keys(rules: DataFrame) -> DataFrame:
     """``rule_keys(rule_id, key)`` from the ``keys`` array of each rule."""
     return rules.select("rule_id", F.explode("keys").alias("key"))
