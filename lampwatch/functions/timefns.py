@@ -22,13 +22,12 @@ def col(c: Column | str) -> Column:
 
 
 def micros(ts: Column | str) -> Column:
-    """Microseconds since the epoch of a TIMESTAMP_NTZ (session zone)."""
-    return F.unix_micros(col(ts).cast("timestamp"))
-
-
-def from_micros(us: Column | str) -> Column:
-    """Inverse of :func:`micros`, back to TIMESTAMP_NTZ."""
-    return F.timestamp_micros(col(us)).cast("timestamp_ntz")
+    """Wall-clock microseconds of a TIMESTAMP_NTZ (as if it were UTC):
+    the instant in the session zone minus that zone's fixed offset, which
+    Catalyst folds to a constant.  Equal to what pandas reads from the same
+    value, so batch and streaming state agree in any fixed-offset zone."""
+    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz").cast("timestamp")
+    return F.unix_micros(col(ts).cast("timestamp")) - F.unix_micros(epoch)
 
 
 def micro_of_day(ts: Column | str) -> Column:

@@ -21,6 +21,7 @@ from lampwatch.operators import legacy as LG
 from lampwatch.operators import presence as A
 from lampwatch.operators import suppress as SUP
 from lampwatch.plans import fixture as fx
+from lampwatch.plans import streams as ST
 from lampwatch.sources import dimension as dim
 from lampwatch.sources import snapshot as snap
 
@@ -321,4 +322,6 @@ QUERIES: dict[str, Query] = {
     "legacy_episodes": legacy_episodes,
     "legacy_warnings": legacy_warnings,
     "alert_suppressed": alert_suppressed,
+    "stream_episodes_by_rule": ST.stream_episodes_by_rule,
+    "stream_handover": ST.stream_handover,
 }

@@ -513,4 +513,7 @@ SQL: dict[str, str] = {
     "legacy_episodes": LEGACY_EPISODES,
     "legacy_warnings": LEGACY_WARNINGS,
     "alert_suppressed": ALERT_SUPPRESSED,
+    # streaming runs must equal the batch changelog
+    "stream_episodes_by_rule": EPISODE_CHANGELOG,
+    "stream_handover": EPISODE_CHANGELOG,
 }

@@ -28,6 +28,8 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.driver.memory", os.environ.get("LAMPWATCH_DRIVER_MEM", "16g"))
         .config("spark.python.unix.domain.socket.enabled", "true")
+        # the episode processor has no timers: batches without data do nothing
+        .config("spark.sql.streaming.noDataMicroBatches.enabled", "false")
         .config("spark.sql.streaming.stateStore.providerClass",
                 "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
     )
