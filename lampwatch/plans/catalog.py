@@ -324,4 +324,5 @@ QUERIES: dict[str, Query] = {
     "alert_suppressed": alert_suppressed,
     "stream_episodes_by_rule": ST.stream_episodes_by_rule,
     "stream_handover": ST.stream_handover,
+    "stream_alert_suppressed": ST.stream_alert_suppressed,
 }

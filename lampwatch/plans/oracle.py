@@ -516,4 +516,5 @@ SQL: dict[str, str] = {
     # streaming runs must equal the batch changelog
     "stream_episodes_by_rule": EPISODE_CHANGELOG,
     "stream_handover": EPISODE_CHANGELOG,
+    "stream_alert_suppressed": ALERT_SUPPRESSED,
 }

@@ -100,3 +100,30 @@ def stream_handover(spark: SparkSession, sf: str) -> DataFrame:
                        dim_df, initial=spark.read.parquet(state_path))
     return (_with_route(backfill).select(*CHANGELOG_COLUMNS)
             .unionByName(_with_route(live).select(*CHANGELOG_COLUMNS)))
+
+
+def stream_alert_suppressed(spark: SparkSession, sf: str) -> DataFrame:
+    """K5 live: window warnings (derived from the readings) arrive as files
+    in time order; the suppression state carries across micro-batches."""
+    from lampwatch.functions import shapes as S
+    from lampwatch.functions import timefns as tf
+    from lampwatch.plans import catalog as C
+    from lampwatch.streaming.suppress import suppress_stream
+
+    root = scratch_path(spark, "stream-suppress")
+    warn = (C._summaries(spark, sf).where(F.col("is_warning"))
+            .select(F.col("name").alias("key"), "time_stamp",
+                    F.timestamp_millis("time_stamp").cast("timestamp_ntz").alias("ts")))
+    write_slices(warn, f"{root}/in/warnings", _edges(warn, N_SLICES))
+    src = J.file_source(spark, f"{root}/in/warnings",
+                        "key string, time_stamp bigint, ts timestamp_ntz")
+    sent = suppress_stream(src, C.ALERT_START_S)
+    q = (sent.writeStream.format("parquet").option("path", f"{root}/out")
+         .option("checkpointLocation", f"{root}/ckpt").trigger(availableNow=True).start())
+    q.awaitTermination()
+    if q.exception():
+        raise q.exception()
+    out = spark.read.parquet(f"{root}/out")
+    dt_text = tf.format_time(F.timestamp_millis(F.col("time_stamp")).cast("timestamp_ntz"))
+    return out.select("key", "time_stamp", dt_text.alias("datetime"),
+                      S.alert_text("key").alias("message"))
