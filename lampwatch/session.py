@@ -6,6 +6,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -38,6 +39,34 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
     return spark
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``lampwatch`` importable in Python workers (stateful processors
+    and pandas functions are pickled by module reference).  Zips the
+    package once per application and hands it to ``addPyFile``, which
+    distributes it with the job -- the same as ``--py-files`` at submit."""
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    # the stateful-processor pre-init runner gets no py-files: pickle the
+    # package's classes and functions by value instead of by module name
+    import lampwatch
+    from pyspark import cloudpickle
+    cloudpickle.register_pickle_by_value(lampwatch)
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    out = os.path.join(tempfile.mkdtemp(prefix="lampwatch-pkg-"), "lampwatch.zip")
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+        for root, _, files in os.walk(pkg):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(root, f)
+                    z.write(full, os.path.relpath(full, os.path.dirname(pkg)))
+    sc.addPyFile(out)
+    _SHIPPED.add(sc.applicationId)
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 

@@ -19,7 +19,8 @@ from lampwatch import schemas
 from lampwatch.functions import shapes as S
 from lampwatch.functions import timefns as tf
 from lampwatch.operators import episodes as E
-from lampwatch.streaming.processor import INITIAL, OUTPUT, EpisodeProcessor
+from lampwatch.streaming.processor import (INITIAL, INPUT_COLUMNS, OUTPUT, STATE,
+                                           EpisodeProcessor, episode_group_fn, rule_params)
 
 # Trigger and checkpoint cadence of a live run
 LIVE_TRIGGER = "10 seconds"
@@ -71,14 +72,18 @@ def episode_changes(actuator: DataFrame, presence: DataFrame, rule_keys: DataFra
                     rules: DataFrame, initial_state: DataFrame | None = None) -> DataFrame:
     """Processor output rows (one per open, one per finish)."""
     rows = E.readings(actuator, presence)
-    bound = E.bind_rules(rows, rule_keys, rules)
-    params = rules.select(*E.PARAMS)
-    with_params = bound.join(F.broadcast(params), "rule_id")
-    g = with_params.groupBy("rule_id", "key")
-    init = initial_state.groupBy("rule_id", "key") if initial_state is not None else None
+    bound = E.bind_rules(rows, rule_keys, rules).select(*INPUT_COLUMNS)
+    params = rule_params(rules)   # rules are configuration: shipped as a dict
+    g = bound.groupBy("rule_id", "key")
+    if initial_state is None:
+        # group state travels with the rows: no per-key state round trip
+        return g.applyInPandasWithState(
+            episode_group_fn(params), outputStructType=OUTPUT, stateStructType=STATE,
+            outputMode="append", timeoutConf="NoTimeout")
     return g.transformWithStateInPandas(
-        statefulProcessor=EpisodeProcessor(), outputStructType=OUTPUT,
-        outputMode="Append", timeMode="None", initialState=init)
+        statefulProcessor=EpisodeProcessor(params), outputStructType=OUTPUT,
+        outputMode="Append", timeMode="None",
+        initialState=initial_state.groupBy("rule_id", "key"))
 
 
 def episode_records(changes: DataFrame, rules: DataFrame, dim: DataFrame) -> DataFrame:

@@ -75,19 +75,39 @@ def _none(v):
     return None if v is None or (isinstance(v, float) and np.isnan(v)) else v
 
 
-def step(rows: pd.DataFrame, state: dict | None, rule_id: str, key: str) -> tuple[list, dict]:
-    """One key, one micro-batch: output rows and the new state."""
+PARAMS = ["strategy", "on_level", "hour_start", "minute_start", "hour_end", "minute_end",
+          "quiet_s", "settle_s", "warmup_s", "program_start"]
+INPUT_COLUMNS = ["rule_id", "key", "ts", "src", "id", "level", "occupied", "lux"]
+
+
+def rule_params(rules) -> dict:
+    """``rule_id -> parameters`` of a (configuration-sized) rules table,
+    held by the driver and shipped with the processor."""
+    out = {}
+    for r in rules.select("rule_id", *PARAMS).collect():
+        d = r.asDict()
+        d["program_start"] = int(np.datetime64(d["program_start"], "us").astype(np.int64))
+        out[d.pop("rule_id")] = d
+    return out
+
+
+def step(rows: pd.DataFrame, state: dict | None, rule_id: str, key: str,
+         prm: dict) -> tuple[list, dict]:
+    """One key, one micro-batch: output rows and the new state.  numpy over
+    the batch's rows; Python only per transition."""
     st = dict.fromkeys(STATE.fieldNames()) if state is None else dict(state)
-    p = rows.iloc[0]
-    strategy = p["strategy"]
-    on = float(p["on_level"])
-    rows = rows.sort_values(["ts", "src", "id"], kind="stable")
-    ts = _wall_us(rows["ts"])
-    src = rows["src"].to_numpy()
-    ids = rows["id"].to_numpy(dtype=np.int64)
-    level = rows["level"].to_numpy(dtype=float)
-    occ = rows["occupied"].astype("boolean").fillna(False).to_numpy(dtype=bool)
-    lux = rows["lux"].to_numpy(dtype=float)
+    strategy = prm["strategy"]
+    on = float(prm["on_level"])
+    ts0 = _wall_us(rows["ts"])
+    src0 = rows["src"].to_numpy()
+    ids0 = rows["id"].to_numpy(dtype=np.int64)
+    order = np.lexsort((ids0, src0, ts0))
+    ts, src, ids = ts0[order], src0[order], ids0[order]
+    level = rows["level"].to_numpy(dtype=float, na_value=np.nan)[order]
+    occ = rows["occupied"].to_numpy(dtype=object)[order]
+    occ = np.array([bool(v) if v is not None and v == v else False for v in occ], dtype=bool) \
+        if occ.dtype == object else occ.astype(bool)
+    lux = rows["lux"].to_numpy(dtype=float, na_value=np.nan)[order]
     is_act = src == 0
     is_pre = src == 1
 
@@ -95,63 +115,59 @@ def step(rows: pd.DataFrame, state: dict | None, rule_id: str, key: str) -> tupl
     idx = np.where(is_act, np.arange(len(ts)), -1)
     last = np.maximum.accumulate(idx)
     have = last >= 0
-    a_ts = np.where(have, ts[np.maximum(last, 0)],
-                    np.nan if st["a_ts"] is None else st["a_ts"]).astype(float)
-    a_id = np.where(have, ids[np.maximum(last, 0)], -1 if st["a_id"] is None else st["a_id"])
-    a_level = np.where(have, level[np.maximum(last, 0)],
-                       np.nan if st["a_level"] is None else st["a_level"])
-    occ_ts = np.where(is_pre & occ, ts, np.iinfo(np.int64).min)
-    o_ts = np.maximum.accumulate(occ_ts)
+    pick = np.maximum(last, 0)
+    a_ts = np.where(have, ts[pick], np.nan if st["a_ts"] is None else st["a_ts"]).astype(float)
+    a_level = np.where(have, level[pick], np.nan if st["a_level"] is None else st["a_level"])
+    none = np.iinfo(np.int64).min
+    o_ts = np.maximum.accumulate(np.where(is_pre & occ, ts, none))
     if st["o_ts"] is not None:
         o_ts = np.maximum(o_ts, st["o_ts"])
-    o_known = o_ts != np.iinfo(np.int64).min
-
-    # step 2: gates and labels
-    t = rows["ts"]
-    sod = (t.dt.hour.to_numpy() * 3600 + t.dt.minute.to_numpy() * 60
-           + t.dt.second.to_numpy()).astype(np.int64) * US + t.dt.microsecond.to_numpy()
-    start_s = (int(p["hour_start"]) * 3600 + int(p["minute_start"]) * 60) * US
-    end_s = (int(p["hour_end"]) * 3600 + int(p["minute_end"]) * 60) * US
-    weekday = t.dt.dayofweek.to_numpy() < 5
+    o_known = o_ts != none
+
+    # step 2: gates and labels (calendar from wall-clock microseconds;
+    # 1970-01-01 was a Thursday)
+    day = np.floor_divide(ts, DAY_US)
+    sod = ts - day * DAY_US
+    weekday = (day + 3) % 7 < 5
+    start_s = (int(prm["hour_start"]) * 3600 + int(prm["minute_start"]) * 60) * US
+    end_s = (int(prm["hour_end"]) * 3600 + int(prm["minute_end"]) * 60) * US
     in_sched = weekday & (sod >= start_s) & (sod <= end_s)
     is_on = level >= on
     last_on = np.nan_to_num(a_level, nan=-np.inf) >= on
-    quiet = ~o_known | (o_ts + int(p["quiet_s"]) * US < ts)
-    settled = ~np.isnan(a_ts) & (np.nan_to_num(a_ts) + int(p["settle_s"]) * US < ts)
-    prog = int(pd.Timestamp(p["program_start"]).value // 1000)
-    warm = prog + int(p["warmup_s"]) * US < ts
-    lab = np.full(len(ts), "", dtype=object)
+    quiet = ~o_known | (o_ts + int(prm["quiet_s"]) * US < ts)
+    settled = ~np.isnan(a_ts) & (np.nan_to_num(a_ts) + int(prm["settle_s"]) * US < ts)
+    warm = prm["program_start"] + int(prm["warmup_s"]) * US < ts
     if strategy == L.TIME_ONLY:
-        lab[is_act & is_on & ~in_sched] = "O"
-        lab[is_act & ~is_on] = "C"
+        opens = is_act & is_on & ~in_sched
+        closes = is_act & ~is_on
     else:
         opens = is_pre & ~occ & last_on & settled & quiet & warm
         if strategy == L.SENSOR_AND_TIME:
             opens &= ~in_sched
-        lab[opens] = "O"
-        lab[(is_act & ~is_on) | (is_pre & occ)] = "C"
+        closes = (is_act & ~is_on) | (is_pre & occ)
+        opens &= ~closes
 
     # steps 3-4: transitions from the state's open flag
     out = []
     open_now = st["open_ts"] is not None
-    for i in np.flatnonzero(lab != ""):
-        if lab[i] == "O" and not open_now:
+    for i in np.flatnonzero(opens | closes):
+        if opens[i] and not open_now:
             start = a_ts[i] if strategy == L.SENSOR_ONLY else ts[i]
             st.update(open_ts=int(ts[i]), open_id=int(ids[i]), start_ts=int(start),
-                      ev_a_ts=_none(None if np.isnan(a_ts[i]) else int(a_ts[i])),
+                      ev_a_ts=None if np.isnan(a_ts[i]) else int(a_ts[i]),
                       ev_a_level=_none(float(a_level[i])),
                       ev_lux=_none(float(lux[i])) if is_pre[i] else None,
                       ev_occupied=bool(occ[i]) if is_pre[i] else None)
             out.append(_row(rule_id, key, st, None))
             open_now = True
-        elif lab[i] == "C" and open_now:
+        elif closes[i] and open_now:
             out.append(_row(rule_id, key, st, int(ts[i])))
             for f in ("open_ts", "open_id", "start_ts", "ev_a_ts", "ev_a_level", "ev_lux",
                       "ev_occupied"):
                 st[f] = None
             open_now = False
 
-    if have.any():
+    if have[-1]:
         j = last[-1]
         st.update(a_ts=int(ts[j]), a_id=int(ids[j]), a_level=float(level[j]))
     if o_known[-1]:
@@ -160,15 +176,17 @@ def step(rows: pd.DataFrame, state: dict | None, rule_id: str, key: str) -> tupl
 
 
 def _row(rule_id, key, st, finish_us):
-    return (rule_id, key, _ts(st["open_ts"]), st["open_id"], _ts(st["start_ts"]),
-            _ts(finish_us), _ts(st["ev_a_ts"]), st["ev_a_level"], st["ev_lux"],
-            st["ev_occupied"])
+    return (rule_id, key, st["open_ts"], st["open_id"], st["start_ts"], finish_us,
+            st["ev_a_ts"], st["ev_a_level"], st["ev_lux"], st["ev_occupied"])
 
 
 class EpisodeProcessor(StatefulProcessor):
     """Per ``(rule_id, key)``: one ``ValueState`` holding the last actuator
     reading, the last occupied time and the open episode."""
 
+    def __init__(self, params: dict):
+        self.params = params
+
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.state = handle.getValueState("sensor", STATE)
 
@@ -178,9 +196,10 @@ class EpisodeProcessor(StatefulProcessor):
         batch = pd.concat(list(rows), ignore_index=True)
         prev = self.state.get() if self.state.exists() else None
         prev = None if prev is None else dict(zip(STATE.fieldNames(), prev))
-        out, new = step(batch, prev, rule_id, sensor)
+        out, new = step(batch, prev, rule_id, sensor, self.params[rule_id])
         self.state.update(tuple(new[f] for f in STATE.fieldNames()))
-        yield _frame(out)
+        if out:
+            yield _frame(out)
 
     def handleInitialState(self, key, initialState: pd.DataFrame, timerValues) -> None:
         """Seed the state from a batch backfill (see ``handover_state``)."""
@@ -192,10 +211,34 @@ class EpisodeProcessor(StatefulProcessor):
         pass
 
 
+def _times(v) -> np.ndarray:
+    return np.array([np.datetime64("NaT") if x is None else x for x in v],
+                    dtype="datetime64[us]") if any(x is None for x in v) else \
+        np.array(v, dtype=np.int64).astype("datetime64[us]")
+
+
 def _frame(rows: list) -> pd.DataFrame:
-    df = pd.DataFrame(rows, columns=OUTPUT.fieldNames())
-    for f in ("open_ts", "start_ts", "finish_ts", "a_ts"):
-        df[f] = pd.to_datetime(df[f])
-    df["open_id"] = df["open_id"].astype("Int64")
-    df["occupied"] = df["occupied"].astype("boolean")
-    return df
+    c = list(zip(*rows))
+    return pd.DataFrame({
+        "rule_id": np.array(c[0], dtype=object), "key": np.array(c[1], dtype=object),
+        "open_ts": _times(c[2]), "open_id": np.array(c[3], dtype=np.int64),
+        "start_ts": _times(c[4]), "finish_ts": _times(c[5]), "a_ts": _times(c[6]),
+        "a_level": np.array([np.nan if x is None else x for x in c[7]], dtype=float),
+        "lux": np.array([np.nan if x is None else x for x in c[8]], dtype=float),
+        "occupied": pd.array(list(c[9]), dtype="boolean"),
+    })
+
+
+def episode_group_fn(params: dict):
+    """The same step for ``applyInPandasWithState``: the group state travels
+    with the group's rows (no per-key state round trip)."""
+    def fn(key, frames: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
+        rule_id, sensor = key
+        frames = list(frames)
+        batch = frames[0] if len(frames) == 1 else pd.concat(frames, ignore_index=True)
+        prev = dict(zip(STATE.fieldNames(), state.get)) if state.exists else None
+        out, new = step(batch, prev, rule_id, sensor, params[rule_id])
+        state.update(tuple(new[f] for f in STATE.fieldNames()))
+        if out:
+            yield _frame(out)
+    return fn
