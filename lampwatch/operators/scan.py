@@ -23,6 +23,8 @@ from pyspark.sql import functions as F
 from lampwatch.functions.timefns import micros
 
 CARRY_FLAG = "_carry"
+# per session and plan: whether any key is hot (one small job per input)
+_HAS_HOT: dict[tuple, bool] = {}
 
 
 @dataclass(frozen=True)
@@ -122,7 +124,10 @@ def assign_chunks(df: DataFrame, key: str, ts: str, rows_per_chunk: int,
     and whether any key was cut -- decided by one small aggregate job, the
     way a range partitioner samples before it plans."""
     hot = hot_keys(df, key, ts, rows_per_chunk)
-    if not hot.limit(1).collect():
+    memo = (df.sparkSession.sparkContext.applicationId, hot.semanticHash())
+    if memo not in _HAS_HOT:
+        _HAS_HOT[memo] = bool(hot.limit(1).collect())
+    if not _HAS_HOT[memo]:
         return df.withColumn(out, F.lit(0).cast("bigint")), False
     joined = df.join(F.broadcast(hot), on=key, how="left")
     c = F.when(F.col("_width").isNull(), F.lit(0).cast("bigint")).otherwise(
