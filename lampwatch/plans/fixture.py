@@ -107,9 +107,16 @@ def whitelist(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select(F.col("p_partkey").cast("string").alias("_key")))
 
 
+_RULES: dict[tuple, DataFrame] = {}
+
+
 def rules(spark: SparkSession, names: list[str] | None = None) -> DataFrame:
-    picked = [RULES[n] for n in (names or list(RULES))]
-    return R.from_config(spark, picked)
+    """The fixture rules (all, or the named ones), one DataFrame per session
+    and selection so that plans built from it are recognised as equal."""
+    key = (spark.sparkContext.applicationId, tuple(names or RULES))
+    if key not in _RULES:
+        _RULES[key] = R.from_config(spark, [RULES[n] for n in key[1]])
+    return _RULES[key]
 
 
 def rule_keys(spark: SparkSession, sf_dir: str, rules_df: DataFrame) -> DataFrame:

@@ -67,10 +67,6 @@ def _wall_us(s: pd.Series) -> np.ndarray:
     return s.to_numpy(dtype="datetime64[us]").astype(np.int64)
 
 
-def _ts(us) -> pd.Timestamp | None:
-    return None if us is None or pd.isna(us) else pd.Timestamp(int(us), unit="us")
-
-
 def _none(v):
     return None if v is None or (isinstance(v, float) and np.isnan(v)) else v
 
