@@ -33,9 +33,10 @@ def cube_rows(eps: DataFrame) -> DataFrame:
         "rule_id", "open_ts", "project_id", "_c.*", F.to_json("_c").alias("cube_json"))
 
 
-def channel(db: int | str, cube_id: str, project_id: int | str) -> str:
-    """Publish channel name of a rule's records."""
-    return f"{db}-RT-{cube_id}-{project_id}{L.CHANNEL_SUFFIX}"
+def channel(db: int | str, cube_id: Column | str, project_id: Column | str) -> Column:
+    """Publish channel of a rule's records: ``{db}-RT-{cube}-{project}-records``."""
+    return F.concat(F.lit(f"{db}-RT-"), tf.col(cube_id), F.lit("-"),
+                    tf.col(project_id).cast("string"), F.lit(L.CHANNEL_SUFFIX))
 
 
 def publish_envelope(records: DataFrame, source_id: Column | str) -> DataFrame:

@@ -130,7 +130,7 @@ def handover_state(actuator: DataFrame, presence: DataFrame, rule_keys: DataFram
 
 # --- sinks ---------------------------------------------------------------------
 
-def batch_sink(out_dir: str, rules: DataFrame, channel_of=None):
+def batch_sink(out_dir: str, rules: DataFrame, db: int = 0):
     """K1-K4 in one ``foreachBatch`` function.  Each output of micro-batch
     ``b`` goes to ``.../batch_id=b`` with overwrite, so a replayed batch
     (restart after a failure) rewrites the same files: idempotent.
@@ -138,8 +138,8 @@ def batch_sink(out_dir: str, rules: DataFrame, channel_of=None):
     * ``changelog``: every record;
     * ``table`` (K2): finished episodes as table rows;
     * ``alerts`` (K3): one alert per opened episode;
-    * ``publish`` (K4): every record as a publish envelope (a Kafka sink
-      takes the same ``key``/``value`` columns)."""
+    * ``publish`` (K4): every record as a publish envelope with its
+      channel (a Kafka sink takes ``channel`` as topic, ``key``, ``value``)."""
     def sink(batch: DataFrame, batch_id: int) -> None:
         batch.persist()
         try:
@@ -149,9 +149,11 @@ def batch_sink(out_dir: str, rules: DataFrame, channel_of=None):
             S.cube_rows(done).write.mode("overwrite").parquet(f"{out_dir}/table/{part}")
             S.alert_outbox(batch.where(~F.col("is_finish")), rules).write.mode(
                 "overwrite").parquet(f"{out_dir}/alerts/{part}")
-            env = S.publish_envelope(batch.join(F.broadcast(rules.select("rule_id", "table_id")),
-                                                "rule_id"), "table_id")
-            env.select(F.col("sensor_key").alias("key"), "value").write.mode(
+            r = rules.select("rule_id", "table_id",
+                             S.channel(db, "table_id", "project_id").alias("channel"))
+            env = S.publish_envelope(batch.join(F.broadcast(r), "rule_id"), "table_id")
+            env.join(F.broadcast(r.select("rule_id", "channel")), "rule_id").select(
+                "channel", F.col("sensor_key").alias("key"), "value").write.mode(
                 "overwrite").json(f"{out_dir}/publish/{part}")
         finally:
             batch.unpersist()

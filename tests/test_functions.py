@@ -127,3 +127,50 @@ def _greedy_loop(ts, gap):
 def test_greedy_keep_equals_loop(xs, gap):
     ts = np.array(sorted(xs), dtype=np.int64)
     assert list(greedy_keep(ts, gap)) == _greedy_loop(list(ts), gap)
+
+
+def test_rule_validation():
+    import datetime as dt
+
+    import pytest
+
+    from lampwatch.sources import rules as R
+
+    good = dict(rule_id="r", strategy="time_only", hour_start=8, minute_start=0, hour_end=18,
+                minute_end=0, factor=0.6, program_start=dt.datetime(2024, 1, 1))
+    R.validate_rows([good])
+    for bad in (dict(good, strategy="nope"), dict(good, hour_end=24), dict(good, factor=None),
+                dict(good, minute_start=61)):
+        with pytest.raises(R.RuleError):
+            R.validate_rows([bad])
+    with pytest.raises(R.RuleError):
+        R.validate_rows([good, good])
+
+
+def test_rule_problems_table(spark):
+    import datetime as dt
+
+    from lampwatch.sources import rules as R
+
+    rows = [dict(rule_id="a", strategy="sensor_only", hour_start=8, minute_start=0,
+                 hour_end=18, minute_end=0, factor=0.6, program_start=dt.datetime(2024, 1, 1)),
+            dict(rule_id="b", strategy="weird", hour_start=8, minute_start=0, hour_end=30,
+                 minute_end=0, factor=0.6, program_start=dt.datetime(2024, 1, 1))]
+    got = {(r.rule_id, r.problem)
+           for r in R.problems(R.normalize(R.rules_from_rows(spark, rows))).collect()}
+    assert got == {("b", "unknown strategy"), ("b", "bad hour")}
+
+
+def test_dimension_completeness(spark):
+    import pytest
+
+    from lampwatch.sources import dimension as dim
+
+    d = spark.createDataFrame([("a", 10.0), ("b", None), ("b", 3.0)], "_key string, power double")
+    rk = spark.createDataFrame([("r", "a"), ("r", "c"), ("r", "a"), ("r", "b")],
+                               "rule_id string, key string")
+    got = {(r.key, r.reason) for r in dim.missing_keys(dim.sensor_power(d), rk).collect()}
+    assert got == {("c", "missing"), ("a", "duplicate in rule"), ("b", "duplicate in dimension")}
+    with pytest.raises(ValueError):
+        dim.require_complete(dim.sensor_power(d), rk)
+    assert dim.sensor_power(d).where("_key = 'b'").agg({"power": "min"}).first()[0] == 0.0
