@@ -35,9 +35,6 @@ SRC_ACTUATOR = 0
 SRC_PRESENCE = 1
 KEYS = ["rule_id", "key"]
 ORDER = ["ts", "src", "id"]
-# rows of one sensor a window partition holds before the sensor is cut
-# into time chunks
-ROWS_PER_CHUNK = 1_000_000
 
 
 def readings(actuator: DataFrame, presence: DataFrame) -> DataFrame:
@@ -84,7 +81,7 @@ def scan_state(bound: DataFrame, chunked: bool = True) -> DataFrame:
 
 
 def state(actuator: DataFrame, presence: DataFrame, rule_keys: DataFrame,
-          rules: DataFrame, rows_per_chunk: int = ROWS_PER_CHUNK) -> tuple[DataFrame, bool]:
+          rules: DataFrame, rows_per_chunk: int | None = None) -> tuple[DataFrame, bool]:
     """Readings of every rule with their scan state (J2, P9 inputs), and
     whether hot sensors were cut into chunks."""
     rows, chunked = assign_chunks(readings(actuator, presence), "key", "ts", rows_per_chunk)
@@ -154,7 +151,7 @@ LABELED = [*KEYS, "chunk", *ORDER, "lab", "start_ts", "a", "occupied", "lux"]
 
 
 def labeled(actuator: DataFrame, presence: DataFrame, rule_keys: DataFrame,
-            rules: DataFrame, rows_per_chunk: int = ROWS_PER_CHUNK) -> tuple[DataFrame, bool]:
+            rules: DataFrame, rows_per_chunk: int | None = None) -> tuple[DataFrame, bool]:
     """Steps 1-2 for every rule: rows with their label, narrowed to the
     columns the later steps read; and whether sensors were chunked."""
     params = rules.select(*PARAMS)
@@ -165,7 +162,7 @@ def labeled(actuator: DataFrame, presence: DataFrame, rule_keys: DataFrame,
 
 def episodes(actuator: DataFrame, presence: DataFrame, rule_keys: DataFrame,
              rules: DataFrame, dim: DataFrame,
-             rows_per_chunk: int = ROWS_PER_CHUNK) -> DataFrame:
+             rows_per_chunk: int | None = None) -> DataFrame:
     """One row per episode of every rule (see ``schemas.EPISODE``), plus
     ``open_id`` (id of the triggering reading), ``project_id`` and the
     JSON evidence ``origin_data``."""

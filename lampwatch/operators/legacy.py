@@ -24,7 +24,6 @@ from pyspark.sql import functions as F
 from lampwatch import labels as L
 from lampwatch.functions import predicates as P
 from lampwatch.functions import timefns as tf
-from lampwatch.operators.episodes import ROWS_PER_CHUNK
 from lampwatch.operators.presence import rolling, tumbling
 from lampwatch.operators.scan import Scan, assign_chunks, carry_scan
 
@@ -35,7 +34,7 @@ FIRE, READING = 0, 1
 
 def legacy_episodes(actuator: DataFrame, presence: DataFrame, width: str,
                     look_back_s: int = L.QUIET_S, strategy: str = "legacy",
-                    rows_per_chunk: int = ROWS_PER_CHUNK) -> DataFrame:
+                    rows_per_chunk: int | None = None) -> DataFrame:
     items = rolling(tumbling(presence, width), look_back_s)
     fires = items.select(
         "key", F.col("window_end").alias("t"), F.lit(FIRE).alias("kind"),

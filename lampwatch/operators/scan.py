@@ -117,12 +117,18 @@ def hot_keys(df: DataFrame, key: str, ts: str, rows_per_chunk: int) -> DataFrame
                                 / F.col("_n")).cast("bigint")).alias("_width")))
 
 
-def assign_chunks(df: DataFrame, key: str, ts: str, rows_per_chunk: int,
+# rows of one key a window partition holds before the key is cut into time
+# chunks (read at call time, so a test can force the chunked path)
+ROWS_PER_CHUNK = 1_000_000
+
+
+def assign_chunks(df: DataFrame, key: str, ts: str, rows_per_chunk: int | None = None,
                   out: str = "chunk") -> tuple[DataFrame, bool]:
     """Adds ``out``: 0 for ordinary keys; for hot keys (see
     :func:`hot_keys`) the index of the key's time slice.  Returns the frame
     and whether any key was cut -- decided by one small aggregate job, the
     way a range partitioner samples before it plans."""
+    rows_per_chunk = rows_per_chunk or ROWS_PER_CHUNK
     hot = hot_keys(df, key, ts, rows_per_chunk)
     memo = (df.sparkSession.sparkContext.applicationId, hot.semanticHash())
     if memo not in _HAS_HOT:

@@ -100,7 +100,7 @@ def episode_records(changes: DataFrame, rules: DataFrame, dim: DataFrame) -> Dat
 
 
 def handover_state(actuator: DataFrame, presence: DataFrame, rule_keys: DataFrame,
-                   rules: DataFrame, rows_per_chunk: int = E.ROWS_PER_CHUNK) -> DataFrame:
+                   rules: DataFrame, rows_per_chunk: int | None = None) -> DataFrame:
     """The processor state at the end of a batch backfill, as
     ``initialState`` rows -- so a live run continues open episodes instead
     of alerting twice."""
