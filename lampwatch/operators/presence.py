@@ -6,10 +6,12 @@ first reading) -- not an average.  A2 applies A1 per key and tumbling
 window; A3 is a rolling look-back over A2's window results; A4 folds one
 window of both inputs into a summary row.
 
-Groups are ``(key, window)``, so a group holds at most one window width of
-one sensor; the fold runs JVM-side as a higher-order function over the
-group's time-sorted array.  A3 runs over window results, at most
-``span / width`` rows per key.
+Groups are ``(key, window)``; the fold runs JVM-side as a higher-order
+function over a time-sorted array.  A2 splits a group with more rows than
+``ROWS_PER_GROUP`` into time sub-groups and composes their folds, so no
+array is unbounded.  A3 runs over window results, at most ``span / width``
+rows per key.  A4's message join is by definition one string holding every
+message of the window.
 """
 
 from __future__ import annotations
@@ -28,7 +30,7 @@ def halving_fold(items: Column, field: str = "lux") -> Column:
     return F.when(F.size(items) > 0, F.aggregate(rest, first, lambda acc, x: (x.getField(field) + acc) / 2))
 
 
-def reduce_presence(grouped, window_col: str | None = None) -> DataFrame:
+def reduce_presence(grouped) -> DataFrame:
     """A1 over each group of a ``GroupedData`` of presence rows."""
     ordered = F.array_sort(F.collect_list(F.struct("ts", "id", "lux")))
     return grouped.agg(
@@ -38,12 +40,62 @@ def reduce_presence(grouped, window_col: str | None = None) -> DataFrame:
         F.count(F.lit(1)).alias("n"))
 
 
-def tumbling(presence: DataFrame, width: str) -> DataFrame:
-    """A2: A1 per key and tumbling window of ``width`` (e.g. ``1 hour``)."""
-    g = presence.groupBy("key", F.window("ts", width).alias("w"))
-    return reduce_presence(g).select(
+# rows of one (key, window) group folded as one array; bigger groups are
+# split into time sub-groups whose folds are composed (read at call time)
+ROWS_PER_GROUP = 1_000_000
+_HAS_HOT: dict[tuple, bool] = {}
+
+
+def _fold_from_zero(items: Column, field: str = "lux") -> Column:
+    """The fold's constant term over ``items`` entered with ``acc = 0``."""
+    return F.aggregate(items, F.lit(0.0), lambda acc, x: (x.getField(field) + acc) / 2)
+
+
+def tumbling(presence: DataFrame, width: str, rows_per_group: int | None = None) -> DataFrame:
+    """A2: A1 per key and tumbling window of ``width`` (e.g. ``1 hour``).
+
+    A group with more than ``rows_per_group`` rows (at most ``rows /
+    rows_per_group`` such groups: broadcast-safe) is cut into equal time
+    sub-groups.  The fold is an affine map ``acc -> acc / 2**m + c``, so
+    sub-group results compose in order: the first sub-group folds from its
+    first reading, each later one contributes ``acc * 0.5**m + c``.  No
+    array then holds more than about ``rows_per_group`` readings; ordinary
+    groups keep the single exact fold."""
+    limit = rows_per_group or ROWS_PER_GROUP
+    base = presence.select("key", "ts", "id", "occupied", "lux",
+                           F.window("ts", width).alias("w"))
+    hot = (base.groupBy("key", "w").agg(F.count(F.lit(1)).alias("_n"))
+           .where(F.col("_n") > limit)
+           .select("key", "w", F.ceil(F.col("_n") / limit).alias("_parts")))
+    memo = (presence.sparkSession.sparkContext.applicationId, hot.semanticHash())
+    if memo not in _HAS_HOT:
+        _HAS_HOT[memo] = bool(hot.limit(1).collect())
+    if not _HAS_HOT[memo]:
+        return reduce_presence(base.groupBy("key", "w")).select(
+            "key", F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"),
+            "ts", "occupied", "lux", "n")
+
+    j = base.join(F.broadcast(hot), ["key", "w"], "left")
+    span = tf.micros(F.col("w.end")) - tf.micros(F.col("w.start"))
+    sub = F.when(F.col("_parts").isNull(), F.lit(0).cast("bigint")).otherwise(
+        F.floor((tf.micros("ts") - tf.micros(F.col("w.start"))) * F.col("_parts") / span)
+        .cast("bigint"))
+    items = F.array_sort(F.collect_list(F.struct("ts", "id", "lux")))
+    parts = (j.groupBy("key", "w", sub.alias("_sub"))
+             .agg(F.max("ts").alias("ts"), F.bool_or("occupied").alias("occupied"),
+                  F.count(F.lit(1)).alias("m"), items.alias("_items"))
+             .select("key", "w", "ts", "occupied", "m",
+                     F.struct("_sub", "m", halving_fold(F.col("_items")).alias("first"),
+                              _fold_from_zero(F.col("_items")).alias("c")).alias("_part")))
+    whole = parts.groupBy("key", "w").agg(
+        F.max("ts").alias("ts"), F.bool_or("occupied").alias("occupied"),
+        F.sum("m").alias("n"), F.array_sort(F.collect_list("_part")).alias("_parts"))
+    rest = F.slice("_parts", 2, F.greatest(F.size("_parts") - 1, F.lit(0)))
+    lux = F.aggregate(rest, F.element_at("_parts", 1).getField("first"),
+                      lambda acc, p: acc * F.pow(F.lit(0.5), p.getField("m")) + p.getField("c"))
+    return whole.select(
         "key", F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"),
-        "ts", "occupied", "lux", "n")
+        "ts", "occupied", lux.alias("lux"), "n")
 
 
 def rolling(items: DataFrame, look_back_s: int = L.QUIET_S) -> DataFrame:

@@ -28,3 +28,18 @@ def test_chunked_matches_oracle(results, name):
     r = results[name]
     assert "error" not in r, r.get("error")
     assert r["rows"] == r["oracle_rows"] and r["values_match"], r
+
+
+def test_split_fold_equals_exact_fold(spark):
+    from lampwatch.operators import presence as A
+    from lampwatch.plans import fixture as fx
+
+    p = fx.presence(spark, SF_SMALL)
+    exact = {(r.key, r.window_start): r for r in A.tumbling(p, "1 day").collect()}
+    split = {(r.key, r.window_start): r for r in A.tumbling(p, "1 day", 2).collect()}
+    assert exact.keys() == split.keys()
+    assert any(r.n > 2 for r in exact.values())
+    for k, x in exact.items():
+        y = split[k]
+        assert (x.ts, x.occupied, x.n) == (y.ts, y.occupied, y.n)
+        assert y.lux == pytest.approx(x.lux, rel=1e-12)
