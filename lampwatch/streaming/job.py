@@ -24,6 +24,17 @@ from lampwatch.streaming.processor import (INITIAL, INPUT_COLUMNS, OUTPUT, STATE
 
 # Trigger and checkpoint cadence of a live run
 LIVE_TRIGGER = "10 seconds"
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+def require_rocksdb(spark: SparkSession) -> None:
+    """``transformWithState`` keeps several state variables (column
+    families), which only the RocksDB state store supports; select it when
+    the session names no provider (or the default one)."""
+    key = "spark.sql.streaming.stateStore.providerClass"
+    cur = spark.conf.get(key, None)
+    if not cur or cur.endswith("HDFSBackedStateStoreProvider"):
+        spark.conf.set(key, ROCKSDB)
 
 
 # --- sources -------------------------------------------------------------------
@@ -80,6 +91,7 @@ def episode_changes(actuator: DataFrame, presence: DataFrame, rule_keys: DataFra
         return g.applyInPandasWithState(
             episode_group_fn(params), outputStructType=OUTPUT, stateStructType=STATE,
             outputMode="append", timeoutConf="NoTimeout")
+    require_rocksdb(bound.sparkSession)
     return g.transformWithStateInPandas(
         statefulProcessor=EpisodeProcessor(params), outputStructType=OUTPUT,
         outputMode="Append", timeMode="None",

@@ -1,6 +1,6 @@
-"""K5 streaming: per sensor one ``ValueState`` with the time of the last
-*sent* alert; each micro-batch's alerts of a sensor are applied in time
-order with the same greedy chain as the batch form."""
+"""K5 streaming: per sensor one state row with the time of the last *sent*
+alert; each micro-batch's alerts of a sensor are applied in time order with
+the same greedy chain as the batch form."""
 
 from __future__ import annotations
 
@@ -11,8 +11,6 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming.stateful_processor import (StatefulProcessor,
-                                                      StatefulProcessorHandle)
 
 from lampwatch import labels as L
 from lampwatch.functions import timefns as tf
@@ -23,27 +21,20 @@ OUTPUT = T.StructType([T.StructField("key", T.StringType()),
                        T.StructField("time_stamp", T.LongType())])
 
 
-class SuppressProcessor(StatefulProcessor):
-    def __init__(self, gap_ms: int = L.ALERT_GAP_S * 1000):
-        self.gap_ms = gap_ms
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.last = handle.getValueState("last_sent", LAST_SENT)
-
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues
-                        ) -> Iterator[pd.DataFrame]:
-        batch = pd.concat(list(rows), ignore_index=True).sort_values("time_stamp", kind="stable")
-        ts = batch["time_stamp"].to_numpy(dtype=np.int64)
-        last = self.last.get()[0] if self.last.exists() else None
-        keep = greedy_keep(ts, self.gap_ms, last)
-        sent = ts[keep]
+def suppress_group_fn(gap_ms: int = L.ALERT_GAP_S * 1000):
+    """``applyInPandasWithState`` function: the sensor's alerts of this
+    micro-batch in time order, seeded with the last sent time."""
+    def fn(key, frames: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
+        frames = list(frames)
+        batch = frames[0] if len(frames) == 1 else pd.concat(frames, ignore_index=True)
+        ts = np.sort(batch["time_stamp"].to_numpy(dtype=np.int64), kind="stable")
+        last = state.get[0] if state.exists else None
+        sent = ts[greedy_keep(ts, gap_ms, last)]
         if len(sent):
-            self.last.update((int(sent[-1]),))
-        yield pd.DataFrame({"key": pd.Series([key[0]] * len(sent), dtype=object),
-                            "time_stamp": pd.Series(sent, dtype=np.int64)})
-
-    def close(self) -> None:
-        pass
+            state.update((int(sent[-1]),))
+            yield pd.DataFrame({"key": pd.Series([key[0]] * len(sent), dtype=object),
+                                "time_stamp": pd.Series(sent, dtype=np.int64)})
+    return fn
 
 
 def suppress_stream(alerts: DataFrame, start, key: str = "key",
@@ -52,6 +43,6 @@ def suppress_stream(alerts: DataFrame, start, key: str = "key",
     start_ms = start * 1000 if start < L.EPOCH_SECONDS_LIMIT else start
     norm = (alerts.select(F.col(key).alias("key"), tf.epoch_ms(ts_ms).alias("time_stamp"))
             .where(F.col("time_stamp") >= F.lit(start_ms)))
-    return norm.groupBy("key").transformWithStateInPandas(
-        statefulProcessor=SuppressProcessor(), outputStructType=OUTPUT,
-        outputMode="Append", timeMode="None")
+    return norm.groupBy("key").applyInPandasWithState(
+        suppress_group_fn(), outputStructType=OUTPUT, stateStructType=LAST_SENT,
+        outputMode="append", timeoutConf="NoTimeout")
