@@ -85,6 +85,11 @@ def state(actuator: DataFrame, presence: DataFrame, rule_keys: DataFrame,
     """Readings of every rule with their scan state (J2, P9 inputs), and
     whether hot sensors were cut into chunks."""
     rows, chunked = assign_chunks(readings(actuator, presence), "key", "ts", rows_per_chunk)
+    # Shuffle the readings once, by sensor (and chunk), before the per-rule
+    # copies are made: hash(key, chunk) already clusters every
+    # (rule_id, key, chunk) window partition, and the broadcast rule join
+    # keeps it -- the shuffle carries each reading once, not once per rule.
+    rows = rows.repartition("key", "chunk") if chunked else rows.repartition("key")
     return scan_state(bind_rules(rows, rule_keys, rules), chunked), chunked
 
 
