@@ -19,8 +19,8 @@ from lampwatch import schemas
 from lampwatch.functions import shapes as S
 from lampwatch.functions import timefns as tf
 from lampwatch.operators import episodes as E
-from lampwatch.streaming.processor import (INITIAL, INPUT_COLUMNS, OUTPUT, STATE,
-                                           EpisodeProcessor, episode_group_fn, rule_params)
+from lampwatch.streaming.processor import (INITIAL, INPUT_COLUMNS, OUTPUT, SENSOR_STATE,
+                                           EpisodeProcessor, rule_params, sensor_group_fn)
 
 # Trigger and checkpoint cadence of a live run
 LIVE_TRIGGER = "10 seconds"
@@ -85,12 +85,13 @@ def episode_changes(actuator: DataFrame, presence: DataFrame, rule_keys: DataFra
     rows = E.readings(actuator, presence)
     bound = E.bind_rules(rows, rule_keys, rules).select(*INPUT_COLUMNS)
     params = rule_params(rules)   # rules are configuration: shipped as a dict
-    g = bound.groupBy("rule_id", "key")
     if initial_state is None:
-        # group state travels with the rows: no per-key state round trip
-        return g.applyInPandasWithState(
-            episode_group_fn(params), outputStructType=OUTPUT, stateStructType=STATE,
-            outputMode="append", timeoutConf="NoTimeout")
+        # grouped by sensor: one call serves every rule of the sensor, and
+        # the group state travels with the rows (no per-key round trip)
+        return bound.groupBy("key").applyInPandasWithState(
+            sensor_group_fn(params), outputStructType=OUTPUT,
+            stateStructType=SENSOR_STATE, outputMode="append", timeoutConf="NoTimeout")
+    g = bound.groupBy("rule_id", "key")
     require_rocksdb(bound.sparkSession)
     return g.transformWithStateInPandas(
         statefulProcessor=EpisodeProcessor(params), outputStructType=OUTPUT,

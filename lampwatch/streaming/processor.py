@@ -238,3 +238,37 @@ def episode_group_fn(params: dict):
         if out:
             yield _frame(out)
     return fn
+
+
+# one state row per sensor holding the state of every rule that lists it
+RULE_STATE = T.StructType([T.StructField("rule_id", T.StringType()), *STATE.fields])
+SENSOR_STATE = T.StructType([T.StructField("rules", T.ArrayType(RULE_STATE))])
+
+
+def sensor_group_fn(params: dict):
+    """``applyInPandasWithState`` grouped by sensor only: one call runs the
+    step of every rule listing the sensor (rows carry ``rule_id``), so the
+    per-group overhead is paid once per sensor, not once per rule."""
+    names = STATE.fieldNames()
+
+    def fn(key, frames: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
+        sensor = key[0]
+        frames = list(frames)
+        batch = frames[0] if len(frames) == 1 else pd.concat(frames, ignore_index=True)
+        prev = {}
+        if state.exists:
+            for r in state.get[0]:
+                r = r.asDict() if hasattr(r, "asDict") else dict(zip(RULE_STATE.fieldNames(), r))
+                prev[r.pop("rule_id")] = r
+        out = []
+        rule_ids = batch["rule_id"].to_numpy(dtype=object)
+        present = pd.unique(rule_ids)
+        for rule_id in present:
+            rows = batch if len(present) == 1 else batch[rule_ids == rule_id]
+            o, new = step(rows, prev.get(rule_id), rule_id, sensor, params[rule_id])
+            out.extend(o)
+            prev[rule_id] = new
+        state.update(([tuple([rid] + [st[f] for f in names]) for rid, st in prev.items()],))
+        if out:
+            yield _frame(out)
+    return fn
