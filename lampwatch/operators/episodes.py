@@ -89,7 +89,11 @@ def state(actuator: DataFrame, presence: DataFrame, rule_keys: DataFrame,
     # copies are made: hash(key, chunk) already clusters every
     # (rule_id, key, chunk) window partition, and the broadcast rule join
     # keeps it -- the shuffle carries each reading once, not once per rule.
-    rows = rows.repartition("key", "chunk") if chunked else rows.repartition("key")
+    # The partition count is the session's shuffle partitions (sized for the
+    # cluster): the sort and windows after it are CPU-bound, so AQE should
+    # not coalesce them by bytes into a handful of tasks.
+    n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = rows.repartition(n, "key", "chunk") if chunked else rows.repartition(n, "key")
     return scan_state(bind_rules(rows, rule_keys, rules), chunked), chunked
 
 
