@@ -1,20 +1,19 @@
 """K5: alert suppression -- per sensor at most one alert per 24 h after the
 last *sent* one (strictly later than sent + 24 h), nothing before the
-start time; kept rows pass through unchanged.
+start time; the output is the sent alerts ``(key, time_stamp)``.
 
 The sent set is a greedy chain (each sent alert decides the next), not a
-fixed window.  Batch: grouped by sensor, the chain is followed with binary
-search jumps over the sensor's sorted alert times inside
-``applyInPandas`` -- one jump per *sent* alert.  The input is window
-warnings (A4 rows), so a sensor's group holds at most ``span / window``
-rows however many readings it sent.  Streaming: see
-``streaming/suppress.py`` (one ``ValueState`` per sensor).
+fixed window.  Batch: per sensor, a JVM-side fold (``F.aggregate``) walks
+the sensor's sorted alert times carrying the last sent time and the sent
+list.  The input is window warnings (A4 rows), so a sensor's array holds at
+most ``span / window`` times however many readings it sent, and the sent
+list at most ``span / 24 h``.  ``greedy_keep`` is the same chain in numpy
+for the streaming operator (``streaming/suppress.py``).
 """
 
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -36,15 +35,21 @@ def greedy_keep(times_ms: np.ndarray, gap_ms: int, last_sent: int | None = None)
 
 def suppress(alerts: DataFrame, start, key: str = "key", ts_ms: str = "time_stamp",
              gap_s: int = L.ALERT_GAP_S) -> DataFrame:
-    """Rows of ``alerts`` that are sent.  ``start`` and ``ts_ms`` are epoch
-    numbers, seconds or milliseconds (F9 normalises both)."""
+    """``(key, time_stamp)`` of the sent alerts.  ``start`` and ``ts_ms``
+    are epoch numbers, seconds or milliseconds (F9 normalises both)."""
     start_ms = start * 1000 if start < L.EPOCH_SECONDS_LIMIT else start
-    norm = (alerts.withColumn(ts_ms, tf.epoch_ms(ts_ms))
-            .where(F.col(ts_ms) >= F.lit(start_ms)))
     gap_ms = gap_s * 1000
-
-    def per_key(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(ts_ms, kind="stable")
-        return pdf[greedy_keep(pdf[ts_ms].to_numpy(dtype=np.int64), gap_ms)]
-
-    return norm.groupBy(key).applyInPandas(per_key, schema=norm.schema)
+    norm = (alerts.select(F.col(key).alias("key"), tf.epoch_ms(ts_ms).alias("t"))
+            .where(F.col("t") >= F.lit(start_ms)))
+    times = norm.groupBy("key").agg(F.array_sort(F.collect_list("t")).alias("ts"))
+    zero = F.struct(F.lit(None).cast("bigint").alias("last"),
+                    F.array().cast("array<bigint>").alias("sent"))
+
+    def visit(acc, t):
+        send = acc.getField("last").isNull() | (acc.getField("last") + gap_ms < t)
+        return F.when(send, F.struct(t.alias("last"),
+                                     F.concat(acc.getField("sent"), F.array(t)).alias("sent"))
+                      ).otherwise(acc)
+
+    chain = F.aggregate("ts", zero, visit).getField("sent")
+    return times.select("key", F.explode(chain).alias(ts_ms))
