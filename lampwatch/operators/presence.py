@@ -116,21 +116,27 @@ def window_summary(rows: DataFrame, width: str) -> DataFrame:
 
     name = first non-empty key; time_stamp = latest time (epoch ms);
     opening_aperture = last actuator level; sensor_occ = OR of presence;
-    sensor_lux = A1 fold; message = row messages joined by ``|`` in time
+    sensor_lux = A1 fold, taken from A2's result for the same window (so a
+    hot window's fold is split there); message = row messages joined by ``|`` in time
     order; first_open_time = first actuator time on by the legacy threshold
     (0 if none); is_warning = last level on (legacy) and nobody present."""
-    pres = F.when(F.col("src") == 1, F.struct("ts", "id", "lux"))
     act = F.when(F.col("src") == 0, F.struct("ts", "id", "level"))
-    g = rows.groupBy("key", F.window("ts", width).alias("w")).agg(
+    # the presence fold is A2's (hot windows split there), joined back
+    lux = tumbling(rows.where(F.col("src") == 1), width).select(
+        F.col("key").alias("_lk"), F.col("window_start").alias("_ws"),
+        F.col("lux").alias("sensor_lux"))
+    agg = rows.groupBy("key", F.window("ts", width).alias("w")).agg(
         F.max("ts").alias("_ts"),
         F.max(act).getField("level").alias("opening_aperture"),
         F.bool_or(F.when(F.col("src") == 1, F.col("occupied"))).alias("sensor_occ"),
-        halving_fold(F.array_sort(F.collect_list(pres))).alias("sensor_lux"),
         F.array_sort(F.collect_list(F.when(F.col("message") != "",
                                            F.struct("ts", "id", "message")))).alias("_msgs"),
         F.min(F.when((F.col("src") == 0) & (F.col("level") > L.LEGACY_ON_LEVEL),
                      F.col("ts"))).alias("_first_open"),
         F.min(F.when(F.col("key") != "", F.struct("ts", "id", "key"))).getField("key").alias("name"))
+    g = (agg.join(lux, (F.col("key") == F.col("_lk")) & (F.col("w.start") == F.col("_ws")),
+                  "left")
+         .drop("_lk", "_ws"))
     warn = (F.coalesce(F.col("opening_aperture") > L.LEGACY_ON_LEVEL, F.lit(False))
             & ~F.coalesce(F.col("sensor_occ"), F.lit(False)))
     return g.select(
