@@ -3,7 +3,6 @@ import datetime as dt
 import numpy as np
 from hypothesis import given, settings
 from hypothesis import strategies as st
-from pyspark.sql import functions as F
 
 from lampwatch.functions import decode as D
 from lampwatch.functions import timefns as tf

@@ -4,7 +4,6 @@ chunks and every running scan goes through the carry rows."""
 
 import pytest
 
-import __spark_entry__ as entry
 from lampwatch.operators import scan
 from lampwatch.plans.verify import compare, duck
 from tests.conftest import SF_SMALL
