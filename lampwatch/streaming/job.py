@@ -91,9 +91,8 @@ def episode_changes(actuator: DataFrame, presence: DataFrame, rule_keys: DataFra
         return bound.groupBy("key").applyInPandasWithState(
             sensor_group_fn(params), outputStructType=OUTPUT,
             stateStructType=SENSOR_STATE, outputMode="append", timeoutConf="NoTimeout")
-    g = bound.groupBy("rule_id", "key")
     require_rocksdb(bound.sparkSession)
-    return g.transformWithStateInPandas(
+    return bound.groupBy("rule_id", "key").transformWithStateInPandas(
         statefulProcessor=EpisodeProcessor(params), outputStructType=OUTPUT,
         outputMode="Append", timeMode="None",
         initialState=initial_state.groupBy("rule_id", "key"))

@@ -1,9 +1,12 @@
-"""T1-T3 (and T6) as a Structured Streaming stateful operator.
+"""T1-T3 (and T6) as Structured Streaming stateful operators.
 
-``groupBy(rule_id, key).transformWithStateInPandas(EpisodeProcessor())``.
-Per key and micro-batch the rows are sorted by ``(ts, src, id)`` and run
-through the same steps as the batch plan, vectorised with numpy over the
-batch, seeded from one ``ValueState`` per key:
+Live runs: ``groupBy(key).applyInPandasWithState(sensor_group_fn(params))``
+-- one state row per sensor holds the state of every rule listing it.
+Hand-over from a batch backfill: ``groupBy(rule_id, key)
+.transformWithStateInPandas(EpisodeProcessor(params), initialState=...)``
+with one ``ValueState`` per sensor and rule.  Per rule and micro-batch
+the rows are sorted by ``(ts, src, id)`` and run through the same steps as
+the batch plan, vectorised with numpy over the batch:
 
 * latest actuator reading and latest occupied time (forward fill /
   running max starting from the state);
@@ -176,37 +179,6 @@ def _row(rule_id, key, st, finish_us):
             st["ev_a_ts"], st["ev_a_level"], st["ev_lux"], st["ev_occupied"])
 
 
-class EpisodeProcessor(StatefulProcessor):
-    """Per ``(rule_id, key)``: one ``ValueState`` holding the last actuator
-    reading, the last occupied time and the open episode."""
-
-    def __init__(self, params: dict):
-        self.params = params
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.state = handle.getValueState("sensor", STATE)
-
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues
-                        ) -> Iterator[pd.DataFrame]:
-        rule_id, sensor = key
-        batch = pd.concat(list(rows), ignore_index=True)
-        prev = self.state.get() if self.state.exists() else None
-        prev = None if prev is None else dict(zip(STATE.fieldNames(), prev))
-        out, new = step(batch, prev, rule_id, sensor, self.params[rule_id])
-        self.state.update(tuple(new[f] for f in STATE.fieldNames()))
-        if out:
-            yield _frame(out)
-
-    def handleInitialState(self, key, initialState: pd.DataFrame, timerValues) -> None:
-        """Seed the state from a batch backfill (see ``handover_state``)."""
-        r = initialState.iloc[-1]
-        self.state.update(tuple(_none(r[f]) if not pd.isna(r[f]) else None
-                                for f in STATE.fieldNames()))
-
-    def close(self) -> None:
-        pass
-
-
 def _times(v) -> np.ndarray:
     return np.array([np.datetime64("NaT") if x is None else x for x in v],
                     dtype="datetime64[us]") if any(x is None for x in v) else \
@@ -225,50 +197,79 @@ def _frame(rows: list) -> pd.DataFrame:
     })
 
 
-def episode_group_fn(params: dict):
-    """The same step for ``applyInPandasWithState``: the group state travels
-    with the group's rows (no per-key state round trip)."""
-    def fn(key, frames: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
-        rule_id, sensor = key
-        frames = list(frames)
-        batch = frames[0] if len(frames) == 1 else pd.concat(frames, ignore_index=True)
-        prev = dict(zip(STATE.fieldNames(), state.get)) if state.exists else None
-        out, new = step(batch, prev, rule_id, sensor, params[rule_id])
-        state.update(tuple(new[f] for f in STATE.fieldNames()))
-        if out:
-            yield _frame(out)
-    return fn
-
-
 # one state row per sensor holding the state of every rule that lists it
 RULE_STATE = T.StructType([T.StructField("rule_id", T.StringType()), *STATE.fields])
 SENSOR_STATE = T.StructType([T.StructField("rules", T.ArrayType(RULE_STATE))])
 
 
-def sensor_group_fn(params: dict):
-    """``applyInPandasWithState`` grouped by sensor only: one call runs the
-    step of every rule listing the sensor (rows carry ``rule_id``), so the
-    per-group overhead is paid once per sensor, not once per rule."""
+def _load(rules_state) -> dict:
+    out = {}
+    for r in rules_state or []:
+        r = r.asDict() if hasattr(r, "asDict") else dict(zip(RULE_STATE.fieldNames(), r))
+        out[r.pop("rule_id")] = r
+    return out
+
+
+def _dump(states: dict) -> tuple:
     names = STATE.fieldNames()
+    return ([tuple([rid] + [st[f] for f in names]) for rid, st in states.items()],)
+
 
+def step_rules(batch: pd.DataFrame, states: dict, sensor: str, params: dict) -> list:
+    """Every rule's step for one sensor's micro-batch (rows carry
+    ``rule_id``); updates ``states`` in place, returns the output rows."""
+    out = []
+    rule_ids = batch["rule_id"].to_numpy(dtype=object)
+    present = pd.unique(rule_ids)
+    for rule_id in present:
+        rows = batch if len(present) == 1 else batch[rule_ids == rule_id]
+        o, states[rule_id] = step(rows, states.get(rule_id), rule_id, sensor, params[rule_id])
+        out.extend(o)
+    return out
+
+
+def sensor_group_fn(params: dict):
+    """``applyInPandasWithState`` grouped by sensor only: one call runs the
+    step of every rule listing the sensor, so the per-group overhead is paid
+    once per sensor, not once per rule."""
     def fn(key, frames: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
-        sensor = key[0]
         frames = list(frames)
         batch = frames[0] if len(frames) == 1 else pd.concat(frames, ignore_index=True)
-        prev = {}
-        if state.exists:
-            for r in state.get[0]:
-                r = r.asDict() if hasattr(r, "asDict") else dict(zip(RULE_STATE.fieldNames(), r))
-                prev[r.pop("rule_id")] = r
-        out = []
-        rule_ids = batch["rule_id"].to_numpy(dtype=object)
-        present = pd.unique(rule_ids)
-        for rule_id in present:
-            rows = batch if len(present) == 1 else batch[rule_ids == rule_id]
-            o, new = step(rows, prev.get(rule_id), rule_id, sensor, params[rule_id])
-            out.extend(o)
-            prev[rule_id] = new
-        state.update(([tuple([rid] + [st[f] for f in names]) for rid, st in prev.items()],))
+        states = _load(state.get[0]) if state.exists else {}
+        out = step_rules(batch, states, key[0], params)
+        state.update(_dump(states))
         if out:
             yield _frame(out)
     return fn
+
+
+class EpisodeProcessor(StatefulProcessor):
+    """Per ``(rule_id, key)``: one ``ValueState`` holding the last actuator
+    reading, the last occupied time and the open episode -- the operator
+    that accepts an ``initialState`` (T6 hand-over)."""
+
+    def __init__(self, params: dict):
+        self.params = params
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.state = handle.getValueState("sensor", STATE)
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues
+                        ) -> Iterator[pd.DataFrame]:
+        rule_id, sensor = key
+        batch = pd.concat(list(rows), ignore_index=True)
+        prev = self.state.get() if self.state.exists() else None
+        prev = None if prev is None else dict(zip(STATE.fieldNames(), prev))
+        out, new = step(batch, prev, rule_id, sensor, self.params[rule_id])
+        self.state.update(tuple(new[f] for f in STATE.fieldNames()))
+        if out:
+            yield _frame(out)
+
+    def handleInitialState(self, key, initialState: pd.DataFrame, timerValues) -> None:
+        """Seed the state from a batch backfill (see ``handover_state``)."""
+        r = initialState.iloc[-1]
+        self.state.update(tuple(_none(r[f]) if not pd.isna(r[f]) else None
+                                for f in STATE.fieldNames()))
+
+    def close(self) -> None:
+        pass
