@@ -37,20 +37,22 @@ KEYS = ["rule_id", "key"]
 ORDER = ["ts", "src", "id"]
 
 
-def readings(actuator: DataFrame, presence: DataFrame) -> DataFrame:
-    """Both inputs as one tagged row set (actuator ``src=0``)."""
+def readings(actuator: DataFrame, presence: DataFrame, keep: tuple[str, ...] = ()
+             ) -> DataFrame:
+    """Both inputs as one tagged row set (actuator ``src=0``); ``keep``
+    names extra columns both inputs carry (e.g. a watermarked event time)."""
     act = actuator.select(
         F.col("key").cast("string").alias("key"), "ts", F.col("id").cast("bigint").alias("id"),
         F.lit(SRC_ACTUATOR).alias("src"),
         F.coalesce(F.col("level").cast("double"), F.lit(0.0)).alias("level"),
         F.lit(None).cast("boolean").alias("occupied"),
-        F.lit(None).cast("double").alias("lux"))
+        F.lit(None).cast("double").alias("lux"), *keep)
     pre = presence.select(
         F.col("key").cast("string").alias("key"), "ts", F.col("id").cast("bigint").alias("id"),
         F.lit(SRC_PRESENCE).alias("src"),
         F.lit(None).cast("double").alias("level"),
         F.coalesce(F.col("occupied"), F.lit(False)).alias("occupied"),
-        F.coalesce(F.col("lux").cast("double"), F.lit(0.0)).alias("lux"))
+        F.coalesce(F.col("lux").cast("double"), F.lit(0.0)).alias("lux"), *keep)
     return (act.unionByName(pre)
             .where(F.col("key").isNotNull() & F.col("ts").isNotNull()
                    & F.col("id").isNotNull()))

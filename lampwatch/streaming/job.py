@@ -80,11 +80,26 @@ def with_watermark(df: DataFrame, delay: str = "0 seconds") -> DataFrame:
 # --- operator ------------------------------------------------------------------
 
 def episode_changes(actuator: DataFrame, presence: DataFrame, rule_keys: DataFrame,
-                    rules: DataFrame, initial_state: DataFrame | None = None) -> DataFrame:
-    """Processor output rows (one per open, one per finish)."""
+                    rules: DataFrame, initial_state: DataFrame | None = None,
+                    late_policy: str = "apply") -> DataFrame:
+    """Processor output rows (one per open, one per finish).
+
+    W4 ``late_policy``: ``apply`` (default) applies every row in arrival
+    order, as the original operator did; ``drop`` runs the processor in
+    event-time mode, where rows behind the watermark (``with_watermark`` on
+    the inputs) are dropped before they reach the state."""
+    params = rule_params(rules)   # rules are configuration: shipped as a dict
+    if late_policy == "drop":
+        rows = E.readings(actuator, presence, keep=("event_time",))
+        bound = E.bind_rules(rows, rule_keys, rules).select(*INPUT_COLUMNS, "event_time")
+        require_rocksdb(bound.sparkSession)
+        return bound.groupBy("rule_id", "key").transformWithStateInPandas(
+            statefulProcessor=EpisodeProcessor(params), outputStructType=OUTPUT,
+            outputMode="Append", timeMode="EventTime")
+    if late_policy != "apply":
+        raise ValueError(f"late_policy must be 'apply' or 'drop', not {late_policy!r}")
     rows = E.readings(actuator, presence)
     bound = E.bind_rules(rows, rule_keys, rules).select(*INPUT_COLUMNS)
-    params = rule_params(rules)   # rules are configuration: shipped as a dict
     if initial_state is None:
         # grouped by sensor: one call serves every rule of the sensor, and
         # the group state travels with the rows (no per-key round trip)
