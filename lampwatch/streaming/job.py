@@ -86,8 +86,9 @@ def episode_changes(actuator: DataFrame, presence: DataFrame, rule_keys: DataFra
 
     W4 ``late_policy``: ``apply`` (default) applies every row in arrival
     order, as the original operator did; ``drop`` runs the processor in
-    event-time mode, where rows behind the watermark (``with_watermark`` on
-    the inputs) are dropped before they reach the state."""
+    event-time mode, where rows older than the previous micro-batch's
+    watermark (``with_watermark`` on the inputs) are dropped before they
+    reach the state."""
     params = rule_params(rules)   # rules are configuration: shipped as a dict
     if late_policy == "drop":
         rows = E.readings(actuator, presence, keep=("event_time",))

@@ -92,3 +92,36 @@ def test_drop_late_policy_on_ordered_input(spark):
     got = spark.read.parquet(f"{root}/out/changelog")
     want = E.changelog(E.episodes(act, pre, rk, rules, d))
     assert _rows(got) == _rows(want)
+
+
+def _late_run(spark, policy):
+    import datetime as dt
+
+    root = scratch_path(spark, f"test-late-{policy}")
+    rules = fx.rules(spark, ["time_only"])
+    rk = spark.createDataFrame([("time_only", "k")], "rule_id string, key string")
+    d = spark.createDataFrame([("k", 100.0)], "_key string, power double")
+    sat = dt.datetime(2024, 1, 6)
+    # batch 0: lamp on at 22:00 (a Saturday: not in schedule -> opens);
+    # batch 1: still on at 23:00; batch 2: an off reading stamped 21:00.
+    # Late rows are judged against the previous batch's watermark (22:00).
+    for i, (act, pre) in enumerate([((sat.replace(hour=22), 80.0), sat.replace(hour=22)),
+                                    ((sat.replace(hour=23), 80.0), sat.replace(hour=23)),
+                                    ((sat.replace(hour=21), 0.0), sat.replace(hour=23))]):
+        spark.createDataFrame([("k", 1, act[0], 10 + i, act[1])], schemas.ACTUATOR) \
+            .repartition(1).write.mode("append").parquet(f"{root}/in/a")
+        spark.createDataFrame([("z", 1, pre, 20 + i, False, 0.0)], schemas.PRESENCE) \
+            .repartition(1).write.mode("append").parquet(f"{root}/in/p")
+    a = J.with_watermark(J.file_source(spark, f"{root}/in/a", schemas.ACTUATOR))
+    p = J.with_watermark(J.file_source(spark, f"{root}/in/p", schemas.PRESENCE))
+    recs = J.episode_records(J.episode_changes(a, p, rk, rules, late_policy=policy), rules, d)
+    q = J.start(recs, f"{root}/out", f"{root}/ckpt", rules)
+    q.awaitTermination()
+    assert q.exception() is None
+    return sorted(r.is_finish for r in spark.read.parquet(f"{root}/out/changelog").collect())
+
+
+def test_late_policy_drop_discards_late_rows(spark):
+    ship_package(spark)
+    assert _late_run(spark, "apply") == [False, True]   # late off closes, arrival order
+    assert _late_run(spark, "drop") == [False]          # late off dropped, still open
