@@ -125,9 +125,10 @@ ROWS_PER_CHUNK = 1_000_000
 def assign_chunks(df: DataFrame, key: str, ts: str, rows_per_chunk: int | None = None,
                   out: str = "chunk") -> tuple[DataFrame, bool]:
     """Adds ``out``: 0 for ordinary keys; for hot keys (see
-    :func:`hot_keys`) the index of the key's time slice.  Returns the frame
-    and whether any key was cut -- decided by one small aggregate job, the
-    way a range partitioner samples before it plans."""
+    :func:`hot_keys`) the index of the key's time slice, slices that a burst
+    overfills being cut once more (ids stay increasing in time).  Returns
+    the frame and whether any key was cut -- decided by one small aggregate
+    job, the way a range partitioner samples before it plans."""
     rows_per_chunk = rows_per_chunk or ROWS_PER_CHUNK
     hot = hot_keys(df, key, ts, rows_per_chunk)
     memo = (df.sparkSession.sparkContext.applicationId, hot.semanticHash())
@@ -136,6 +137,19 @@ def assign_chunks(df: DataFrame, key: str, ts: str, rows_per_chunk: int | None =
     if not _HAS_HOT[memo]:
         return df.withColumn(out, F.lit(0).cast("bigint")), False
     joined = df.join(F.broadcast(hot), on=key, how="left")
+    off = micros(ts) - F.col("_t0")
+    major = F.floor(off / F.col("_width")).cast("bigint")
+    staged = joined.withColumn("_c0", major)
+    # A burst can still pack one time slice: slices holding more than twice
+    # the target are cut again in time.  That table has at most
+    # rows / (2 * rows_per_chunk) rows, so it is broadcast.
+    dense = (staged.where(F.col("_width").isNotNull())
+             .groupBy(key, "_c0").agg(F.count(F.lit(1)).alias("_m"))
+             .where(F.col("_m") > 2 * rows_per_chunk)
+             .select(key, "_c0", F.ceil(F.col("_m") / rows_per_chunk).alias("_k")))
+    cut = staged.join(F.broadcast(dense), on=[key, "_c0"], how="left")
+    sub = F.coalesce(F.floor((off - F.col("_c0") * F.col("_width")) * F.col("_k")
+                             / F.col("_width")).cast("bigint"), F.lit(0).cast("bigint"))
     c = F.when(F.col("_width").isNull(), F.lit(0).cast("bigint")).otherwise(
-        F.floor((micros(ts) - F.col("_t0")) / F.col("_width")).cast("bigint"))
-    return joined.withColumn(out, c).drop("_t0", "_width"), True
+        F.shiftleft(F.col("_c0"), 20) + sub)
+    return cut.withColumn(out, c).drop("_t0", "_width", "_c0", "_k"), True
