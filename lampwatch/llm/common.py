@@ -3,6 +3,7 @@ folder, atomic file output from tasks, connected components."""
 
 from __future__ import annotations
 
+import os
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,6 +19,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def vocabulary(name: str) -> str:
+    """Path of a public tokenizer's file, the same on every machine of the
+    image; ``LAMPWATCH_TOKENIZERS`` names another folder."""
+    folder = os.environ.get("LAMPWATCH_TOKENIZERS")
+    if folder:
+        return os.path.join(folder, name)
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet below ``spark.checkpoint.dir`` and read it
     back: lineage is cut, later passes reread slim rows, and a lost executor

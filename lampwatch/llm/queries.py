@@ -7,8 +7,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lampwatch.llm import copies, simhash
-from lampwatch.llm.common import table
+from lampwatch.llm import copies, pieces, simhash
+from lampwatch.llm.common import table, vocabulary
+
+
+def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.encoded(table(spark, sf_dir, "documents"),
+                          vocabulary("piece_bpe_32k.model"), digests=True)
 
 
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -20,6 +25,7 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_sentencepiece": op1_sentencepiece,
     "op5_exact_dedup": op5_exact_dedup,
     "op7_simhash": op7_simhash,
 }
