@@ -7,7 +7,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lampwatch.llm import copies, pieces, simhash
+from lampwatch.llm import copies, pieces, quality, simhash
 from lampwatch.llm.common import table, vocabulary
 
 
@@ -24,8 +24,13 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_copies(table(spark, sf_dir, "documents"))
 
 
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES = {
     "op1_sentencepiece": op1_sentencepiece,
     "op5_exact_dedup": op5_exact_dedup,
     "op7_simhash": op7_simhash,
+    "op8_quality": op8_quality,
 }
