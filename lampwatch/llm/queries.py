@@ -7,7 +7,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lampwatch.llm import copies, pieces, quality, simhash
+from lampwatch.llm import copies, pieces, quality, simhash, wavelet
 from lampwatch.llm.common import table, vocabulary
 
 
@@ -24,6 +24,11 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_copies(table(spark, sf_dir, "documents"))
 
 
+def op6_wavelet(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return wavelet.read_back(wavelet.written(
+        table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"), end_id=2))
+
+
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -31,6 +36,7 @@ def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_sentencepiece": op1_sentencepiece,
     "op5_exact_dedup": op5_exact_dedup,
+    "op6_wavelet": op6_wavelet,
     "op7_simhash": op7_simhash,
     "op8_quality": op8_quality,
 }
