@@ -7,7 +7,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lampwatch.llm import copies, pieces, quality, simhash, wavelet
+from lampwatch.llm import copies, pieces, quality, simhash, warc, wavelet
 from lampwatch.llm.common import table, vocabulary
 
 
@@ -33,10 +33,15 @@ def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.read_back(warc.written(table(spark, sf_dir, "pages")))
+
+
 QUERIES = {
     "op1_sentencepiece": op1_sentencepiece,
     "op5_exact_dedup": op5_exact_dedup,
     "op6_wavelet": op6_wavelet,
     "op7_simhash": op7_simhash,
     "op8_quality": op8_quality,
+    "op10_warc": op10_warc,
 }
