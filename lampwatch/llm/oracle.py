@@ -16,7 +16,7 @@ SELECT conv_id, count(*) AS n_turns,
        sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
        CAST(sum(length('<|im_start|>') + length(erole) + 1 + length(etext) + length('<|im_end|>') + 1) AS BIGINT)
          AS formatted_chars
-FROM e GROUP BY conv_id""".replace("\\\\", "\\"),
+FROM e GROUP BY conv_id""",
     "op5_exact_dedup": r"""
 WITH d AS (
   SELECT doc_id, length(coalesce(text, '')) AS points,
