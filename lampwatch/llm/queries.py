@@ -7,7 +7,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lampwatch.llm import chatlog, copies, hamming_index, pieces, quality, repeats, simhash, warc, wavelet
+from lampwatch.llm import chatlog, copies, hamming_index, mixing, pieces, quality, repeats, simhash, warc, wavelet
 from lampwatch.llm.common import table, vocabulary
 
 
@@ -51,6 +51,17 @@ def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+#: shares of the corpus's words that each language is to have
+TARGETS = {"en": 0.5, "de": 0.2, "fr": 0.2, "es": 0.1}
+
+
+def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    labelled = (table(spark, sf_dir, "labels").select("doc_id")
+                .join(docs.select("doc_id", F.col("lang").alias("domain")), "doc_id"))
+    return mixing.mixed_rates(docs, labelled, TARGETS)
+
+
 def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.read_back(warc.written(table(spark, sf_dir, "pages")))
 
@@ -64,5 +75,6 @@ QUERIES = {
     "op6_wavelet": op6_wavelet,
     "op7_simhash": op7_simhash,
     "op8_quality": op8_quality,
+    "op9_mixing": op9_mixing,
     "op10_warc": op10_warc,
 }
