@@ -36,7 +36,6 @@ import json
 import re
 import struct
 import zlib
-from itertools import chain
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -48,7 +47,7 @@ from lampwatch.session import scratch_path
 MAGIC = b"WMX1"
 SHARD_TOKENS = 1 << 22
 BLOCK_BITS = 512
-CACHE_CHUNKS = 250_000
+CACHE_CHUNKS = 400_000
 RUN_CHARS = 2_000_000
 
 
@@ -56,6 +55,10 @@ RUN_CHARS = 2_000_000
 LETTERS = "A-Za-zÀ-ÖØ-öø-ɏ"
 
 
+#: white space, or control characters near it, that the cached chunks leave out
+ODD_SPACE = "[\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
+
+
 def _byte_signs() -> dict[int, str]:
     """The byte-level alphabet: printable Latin-1 bytes stand for themselves,
     the others in order for the characters from 256 on."""
@@ -67,6 +70,22 @@ def _byte_signs() -> dict[int, str]:
 BYTE_SIGNS = _byte_signs()
 
 
+class _Chunks(dict):
+    """Packed ids of chunks; what is missing comes from the generation before,
+    or is encoded."""
+
+    def __init__(self, encode, old):
+        super().__init__()
+        self.encode, self.old = encode, old
+
+    def __missing__(self, chunk):
+        ids = self.old.get(chunk)
+        if ids is None:
+            ids = self.encode(chunk)
+        self[chunk] = ids
+        return ids
+
+
 class ByteEncoder:
     """Ids of texts under a tokenizers file, through a cache of chunks."""
 
@@ -74,49 +93,43 @@ class ByteEncoder:
         from tokenizers import Tokenizer
 
         self.whole = Tokenizer.from_file(tokenizer_file)
+        if self.whole.normalizer is not None:
+            raise ValueError("the tokenizer's normaliser may change texts")
         self.cut = self.whole.pre_tokenizer.pre_tokenize_str
-        self.model = self.whole.model.tokenize
+        model = self.whole.model
+        if hasattr(model, "_resize_cache"):
+            model._resize_cache(0)  # the chunks are cached here
+        self.model = model.tokenize
         self.bits = max(1, (self.whole.get_vocab_size() - 1).bit_length())
-        added = [t.content for t in self.whole.get_added_tokens_decoder().values()]
-        self.special = re.compile("|".join([r"[^\S \n\t\r]", "[\x1c-\x1f]", *map(re.escape, added)])).search
+        self.kind, self.code = ("<u2", "H") if self.bits <= 16 else ("<u4", "I")
+        self.added = [t.content for t in self.whole.get_added_tokens_decoder().values()]
+        self.odd_space = re.compile(ODD_SPACE).search
         sign = r"!-@\[-`{-~"  # ASCII characters that are neither letters nor white space
         self.chunks = re.compile(
             rf"[ \n\t\r]*[{LETTERS}]++(?=[{sign} \n\t\r]|\Z)|[ \n\t\r]*[^ \n\t\r]+|[ \n\t\r]+").findall
         self.one_word = re.compile(f" ?[{LETTERS}]+").fullmatch
-        if self.whole.normalizer is not None:
-            raise ValueError("the tokenizer's normaliser may change texts")
-        self.young: dict[str, tuple[int, ...]] = {}
-        self.old: dict[str, tuple[int, ...]] = {}
-        self.words: dict[str, tuple[int, ...]] = {}
+        self.young = _Chunks(self._chunk, {})
 
-    def _chunk(self, chunk: str) -> tuple[int, ...]:
+    def _chunk(self, chunk: str) -> bytes:
         if self.one_word(chunk):  # letters alone are one pre-token
-            return tuple([t.id for t in self.model(
-                chunk.encode("utf-8").decode("latin-1").translate(BYTE_SIGNS))])
-        ids: tuple[int, ...] = ()
-        for word, _ in self.cut(chunk):
-            got = self.words.get(word)
-            if got is None:
-                got = self.words[word] = tuple([t.id for t in self.model(word)])
-            ids += got
-        return ids
-
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
-        cut = [None if self.special(t) else self.chunks(t) for t in texts]
-        young, old = self.young, self.old
-        for c in set(chain.from_iterable(x for x in cut if x)):
-            if c not in young:
-                known = old.get(c)
-                young[c] = self._chunk(c) if known is None else known
-        out = []
-        for t, c in zip(texts, cut):
-            ids = (self.whole.encode(t, add_special_tokens=False).ids if c is None
-                   else list(chain.from_iterable([young[x] for x in c])))
-            out.append(np.array(ids, dtype=np.uint32))
-        if len(young) > CACHE_CHUNKS:
-            self.old, self.young = young, {}
-        if len(self.words) > CACHE_CHUNKS:
-            self.words = {}
+            word = (chunk.replace(" ", BYTE_SIGNS[32]) if chunk.isascii() else
+                    chunk.encode("utf-8").decode("latin-1").translate(BYTE_SIGNS))
+            ids = [t.id for t in self.model(word)]
+        else:
+            ids = [t.id for word, _ in self.cut(chunk) for t in self.model(word)]
+        return struct.pack(f"<{len(ids)}{self.code}", *ids)
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """The ids of each text, packed as ``kind``."""
+        known, out = self.young, []
+        for t in texts:
+            if self.odd_space(t) or any(a in t for a in self.added):
+                ids = self.whole.encode(t, add_special_tokens=False).ids
+                out.append(np.array(ids, dtype=self.kind).tobytes())
+            else:
+                out.append(b"".join([known[c] for c in self.chunks(t)]))
+        if len(known) > CACHE_CHUNKS:
+            self.young = _Chunks(self._chunk, dict(known))
         return out
 
 
@@ -142,7 +155,7 @@ class WaveletMatrix:
         cur = ids.astype(np.uint16 if bits <= 16 else np.uint32)
         zeros, planes, ranks = [], [], []
         for level in range(bits - 1, -1, -1):
-            one = (cur >> level & 1).astype(bool)
+            one = cur & cur.dtype.type(1 << level) != 0
             packed = np.packbits(one)
             planes.append(packed)
             ranks.append(_directory(packed))
@@ -259,7 +272,7 @@ class WaveletMatrix:
         """All ids, the planes undone from the last to the first."""
         cur = np.zeros(self.n, dtype=np.uint16 if self.bits <= 16 else np.uint32)
         for k in range(self.bits - 1, -1, -1):
-            one = np.unpackbits(self.planes[k])[:self.n].astype(bool)
+            one = np.unpackbits(self.planes[k])[:self.n].view(bool)
             up = np.empty_like(cur)
             up[~one] = cur[:self.zeros[k]]
             up[one] = cur[self.zeros[k]:] | up.dtype.type(1 << (self.bits - 1 - k))
@@ -301,11 +314,11 @@ def written(docs: DataFrame, tokenizer_file: str, end_id: int, id_col: str = "do
             for lo, hi in runs(texts, RUN_CHARS):
                 key = b.column(0).slice(lo, hi - lo)
                 ids = encoder.encode(texts[lo:hi])
-                kind = "<u2" if encoder.bits <= 16 else "<u4"
+                end = np.array([end_id], dtype=encoder.kind).tobytes()
                 part = np.searchsorted(bounds, pc.fill_null(key, np.iinfo(np.int64).min).to_numpy(), side="left")
                 yield pa.RecordBatch.from_arrays(
                     [key, pa.array(part.astype(np.int32)),
-                     pa.array([np.append(x, end_id).astype(kind).tobytes() for x in ids], pa.binary())],
+                     pa.array([x + end for x in ids], pa.binary())],
                     names=["doc_id", "part", "ids"])
 
     def write(batches):
@@ -313,8 +326,8 @@ def written(docs: DataFrame, tokenizer_file: str, end_id: int, id_col: str = "do
         import pyarrow as pa
 
         from lampwatch.llm.wavelet import SHARD_TOKENS, WaveletMatrix, loaded
-        bits = loaded(tokenizer_file).bits
-        kind = "<u2" if bits <= 16 else "<u4"
+        encoder = loaded(tokenizer_file)
+        bits, kind = encoder.bits, encoder.kind
         part, shard, base, docs_, arrays, held = None, 0, 0, [], [], 0
 
         def flush():
