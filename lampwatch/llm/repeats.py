@@ -185,21 +185,32 @@ def repeated_bits(docs: DataFrame, cells: int) -> np.ndarray:
 
 
 def combined(h1: np.ndarray, h2: np.ndarray, doc: np.ndarray, place: np.ndarray):
-    """Split candidate windows into those already decided (a smaller document
-    of the same task holds the window) and those of the smallest document."""
+    """Rows to group: one per window of the smallest document that this task
+    holds with it, and one per run of consecutive windows that are already
+    decided, because a smaller document here holds them.  A run has its
+    length for ``h2``, scattered bits for ``h1`` and its place inverted
+    (negative)."""
     order = np.lexsort((doc, h2, h1))
     h1, h2, doc, place = h1[order], h2[order], doc[order], place[order]
-    new = np.concatenate([[True], (h1[1:] != h1[:-1]) | (h2[1:] != h2[:-1])]) if len(h1) else np.empty(0, bool)
-    least = doc[np.maximum.accumulate(np.where(new, np.arange(len(doc)), 0))] if len(doc) else doc
+    new = np.concatenate([[True], (h1[1:] != h1[:-1]) | (h2[1:] != h2[:-1])])
+    least = doc[np.maximum.accumulate(np.where(new, np.arange(len(doc)), 0))]
     decided = doc > least
+    d, at = doc[decided], place[decided]
+    order = np.lexsort((at, d))
+    d, at = d[order], at[order]
+    first = np.flatnonzero(np.concatenate(
+        [np.ones(min(1, len(d)), bool), (d[1:] != d[:-1]) | (at[1:] != at[:-1] + 1)]))
+    length = np.diff(np.append(first, len(d)))
+    d, at = d[first], at[first]
+    scatter = (d * np.int64(-7046029254386353131)) ^ (at * np.int64(0x2545F4914F6CDD1D))
     rest = ~decided
-    return (doc[decided], place[decided]), (h1[rest], h2[rest], doc[rest], place[rest])
+    return (np.concatenate([h1[rest], scatter]), np.concatenate([h2[rest], length]),
+            np.concatenate([doc[rest], d]), np.concatenate([place[rest], ~at]))
 
 
 def candidates(docs: DataFrame, bits: np.ndarray, cells: int) -> DataFrame:
-    """Windows estimated repeated: ``h1, h2, doc_id, place`` rows to group,
-    and decided rows ``doc_id, place`` with null digests.  A place is the
-    text's CRC-32 (upper half) and the window's first word."""
+    """Windows estimated repeated, as ``combined`` leaves them.  A place is the
+    text's CRC-32 but its top bit (upper half) and the window's first word."""
     shared = docs.sparkSession.sparkContext.broadcast(bits.tobytes())
 
     def run(batches):
@@ -214,12 +225,9 @@ def candidates(docs: DataFrame, bits: np.ndarray, cells: int) -> DataFrame:
 
         def rows():
             raw = np.frombuffer(b"".join(digests), "<i8").reshape(-1, 2)
-            done, rest = combined(raw[:, 0], raw[:, 1], np.concatenate(docs_), np.concatenate(places))
-            n, none = len(rest[0]), pa.nulls(len(done[0]), pa.int64())
-            return pa.RecordBatch.from_arrays(
-                [pa.concat_arrays([pa.array(rest[0]), none]), pa.concat_arrays([pa.array(rest[1]), none]),
-                 pa.array(np.concatenate([rest[2], done[0]])), pa.array(np.concatenate([rest[3], done[1]]))],
-                names=["h1", "h2", "doc_id", "place"])
+            cols = combined(raw[:, 0], raw[:, 1], np.concatenate(docs_), np.concatenate(places))
+            return pa.RecordBatch.from_arrays([pa.array(c) for c in cols],
+                                              names=["h1", "h2", "doc_id", "place"])
 
         for b in batches:
             for key, text in zip(b.column(0).to_pylist(), b.column(1)):
@@ -236,7 +244,7 @@ def candidates(docs: DataFrame, bits: np.ndarray, cells: int) -> DataFrame:
                 digests.append(b"".join([xxh3_128_digest(b" ".join(words[i:i + WINDOW]))
                                          for i in at.tolist()]))
                 docs_.append(np.full(len(at), LAST_ID if key is None else key, np.int64))
-                places.append(at + (np.uint32(zlib.crc32(raw)).astype(np.int64) << 32))
+                places.append(at + ((zlib.crc32(raw) & 0x7FFFFFFF) << 32))
                 held += len(at)
                 if held >= COMBINED_WINDOWS:
                     yield rows()
@@ -255,22 +263,19 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     chars = slim.agg(F.sum(F.length("text"))).first()[0] or 0
     expected = max(1, chars // 6)
     cells = min(MAX_CELLS, max(1 << 16, 1 << (CELLS_PER_WINDOW * expected - 1).bit_length()))
-    found = stage(candidates(slim, repeated_bits(slim, cells), cells), "repeats-candidates")
+    found = candidates(slim, repeated_bits(slim, cells), cells)
     least = F.min("doc_id").over(Window.partitionBy("h1", "h2"))
-    grouped = (found.where("h1 is not null").withColumn("least", least).where("doc_id > least")
-               .select("doc_id", "place"))
-    decided = found.where("h1 is null").select("doc_id", "place")
-
-    def places(rows, name):
-        tag = F.shiftrightunsigned("place", 32)
-        return (rows.groupBy("doc_id", tag.alias("tag"))
-                .agg(F.collect_list(F.col("place").bitwiseAND(F.lit(0xFFFFFFFF)).cast("int")).alias(name)))
-
-    struck = places(decided.unionByName(grouped), "places")
+    run = F.col("place") < 0
+    place = F.when(run, F.bitwise_not("place")).otherwise(F.col("place"))
+    struck = (found.withColumn("least", least).where(run | (F.col("doc_id") > F.col("least")))
+              .select(F.col("doc_id").alias("key"), F.shiftright(place, 32).alias("tag"),
+                      (F.shiftleft(place.bitwiseAND(F.lit(0x7FFFFFFF)), 31)
+                       + F.when(run, F.col("h2")).otherwise(F.lit(1))).alias("place"))
+              .groupBy("key", "tag").agg(F.collect_list("place").alias("places")))
     text = F.encode(F.coalesce("text", F.lit("")), "utf-8")
-    whole = slim.select(F.coalesce("doc_id", F.lit(LAST_ID)).alias("key"), F.crc32(text).alias("tag"),
-                        "doc_id", "text")
-    joined = whole.join(struck.withColumnRenamed("doc_id", "key"), ["key", "tag"], "left")
+    whole = slim.select(F.coalesce("doc_id", F.lit(LAST_ID)).alias("key"),
+                        (F.crc32(text) % (1 << 31)).alias("tag"), "doc_id", "text")
+    joined = whole.join(struck, ["key", "tag"], "left")
 
     def strike(batches):
         import numpy as np
@@ -285,8 +290,8 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                 if places.is_valid:
                     at = places.values.to_numpy(zero_copy_only=False)
                     edge = np.zeros(len(words) + 1, np.int64)
-                    np.add.at(edge, at, 1)
-                    np.add.at(edge, at + WINDOW, -1)
+                    np.add.at(edge, at >> 31, 1)
+                    np.add.at(edge, (at >> 31) + (at & 0x7FFFFFFF) - 1 + WINDOW, -1)
                     kept = [words[i] for i in np.flatnonzero(np.cumsum(edge[:-1]) == 0).tolist()]
                 joined = b" ".join(kept)
                 out.append((len(words), len(words) - len(kept), hashlib.sha256(joined).hexdigest(),
