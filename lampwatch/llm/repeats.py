@@ -189,12 +189,13 @@ def combined(h1: np.ndarray, h2: np.ndarray, doc: np.ndarray, place: np.ndarray)
     holds with it, and one per run of consecutive windows that are already
     decided, because a smaller document here holds them.  A run has its
     length for ``h2``, scattered bits for ``h1`` and its place inverted
-    (negative)."""
+    (negative).  Rows keep the order of the documents, whose ids and places
+    then compress well in the shuffle."""
     order = np.lexsort((doc, h2, h1))
-    h1, h2, doc, place = h1[order], h2[order], doc[order], place[order]
-    new = np.concatenate([[True], (h1[1:] != h1[:-1]) | (h2[1:] != h2[:-1])])
-    least = doc[np.maximum.accumulate(np.where(new, np.arange(len(doc)), 0))]
-    decided = doc > least
+    new = np.concatenate([[True], (np.diff(h1[order]) != 0) | (np.diff(h2[order]) != 0)])
+    least = doc[order][np.maximum.accumulate(np.where(new, np.arange(len(doc)), 0))]
+    decided = np.empty(len(doc), bool)
+    decided[order] = doc[order] > least
     d, at = doc[decided], place[decided]
     order = np.lexsort((at, d))
     d, at = d[order], at[order]
