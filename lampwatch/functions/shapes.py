@@ -46,7 +46,7 @@ def publish_envelope(records: DataFrame, source_id: Column | str) -> DataFrame:
     src = F.col(source_id) if isinstance(source_id, str) else source_id
     item = F.struct(F.col("sensor_key").alias("key"), src.alias("sourceId"),
                     cube_struct(records).alias("value"),
-                    F.unix_millis(F.col("start_ts").cast("timestamp")).alias("timestamp"))
+                    tf.wall_ms("start_ts").alias("timestamp"))
     env = F.struct(item.alias("item"), F.col("sensor_key").alias("key"), F.col("time"))
     return records.select("rule_id", "sensor_key", "open_ts", "is_finish",
                           F.to_json(env).alias("value"))

@@ -1,9 +1,10 @@
 """Calendar and time helpers as Column builders.
 
-Readings carry TIMESTAMP_NTZ wall-clock time.  Calendar parts are read
-from the wall clock directly; durations use microseconds of the instant in
-the session zone, which must have a fixed offset (no daylight saving) -- the
-offset cancels out of every difference.
+Readings carry TIMESTAMP_NTZ wall-clock time.  Calendar parts and durations
+are read from the wall clock directly, so no daylight-saving rule of the
+session zone shifts them: a wall time is ``unix_date`` plus its microsecond
+of the day.  Only instants from outside (epoch milliseconds of a log) need a
+zone, which callers name.
 """
 
 from __future__ import annotations
@@ -22,12 +23,29 @@ def col(c: Column | str) -> Column:
 
 
 def micros(ts: Column | str) -> Column:
-    """Wall-clock microseconds of a TIMESTAMP_NTZ (as if it were UTC):
-    the instant in the session zone minus that zone's fixed offset, which
-    Catalyst folds to a constant.  Equal to what pandas reads from the same
-    value, so batch and streaming state agree in any fixed-offset zone."""
-    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz").cast("timestamp")
-    return F.unix_micros(col(ts).cast("timestamp")) - F.unix_micros(epoch)
+    """Wall-clock microseconds of a TIMESTAMP_NTZ (as if it were UTC), in any
+    session zone.  Equal to what pandas reads from the same value, so batch
+    and streaming state agree."""
+    t = col(ts)
+    return F.unix_date(F.to_date(t)).cast("bigint") * DAY_US + micro_of_day(t)
+
+
+def wall_time(us: Column | str) -> Column:
+    """TIMESTAMP_NTZ of wall-clock microseconds (the inverse of ``micros``)."""
+    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    return epoch + F.make_dt_interval(secs=(col(us) / US).cast("decimal(18,6)"))
+
+
+def wall_ms(ts: Column | str) -> Column:
+    """Wall-clock milliseconds of a TIMESTAMP_NTZ."""
+    return F.floor(micros(ts) / 1000).cast("bigint")
+
+
+def local_time(ms: Column | str, zone: str) -> Column:
+    """TIMESTAMP_NTZ wall time in ``zone`` of epoch milliseconds, whatever the
+    session zone."""
+    utc = F.convert_timezone(F.lit("UTC"), F.lit(zone), wall_time(col(ms).cast("bigint") * 1000))
+    return utc.cast("timestamp_ntz")
 
 
 def micro_of_day(ts: Column | str) -> Column:
@@ -67,19 +85,16 @@ def duration_s(start: Column | str, finish: Column | str) -> Column:
 
 
 def format_time(ts: Column | str) -> Column:
-    """``yyyy-MM-dd HH:mm:ss``."""
-    return F.date_format(col(ts), L.TIME_FORMAT)
+    """``yyyy-MM-dd HH:mm:ss``, of the wall time itself."""
+    return F.substring(col(ts).cast("timestamp_ntz").cast("string"), 1, 19)
 
 
 def parse_time(text: Column | str) -> Column:
     """strict ``yyyy-MM-dd HH:mm:ss``; a fractional tail is tolerated,
     anything else is NULL."""
     t = col(text)
-    head = F.substring(t, 1, 19)
-    ok = head.rlike(r"^\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}$") & (
-        (F.length(t) == 19) | F.substring(t, 20, 200).rlike(r"^\.\d+$"))
-    return F.when(ok, F.try_to_timestamp(head, F.lit(L.TIME_FORMAT))
-                  .cast("timestamp_ntz"))
+    ok = t.rlike(r"\A\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}(\.\d+)?\z")
+    return F.when(ok, F.substring(t, 1, 19).try_cast("timestamp_ntz"))
 
 
 def week_of_year(ts: Column | str) -> Column:

@@ -49,6 +49,7 @@ LEGACY_EMISSION_KG = 1.0
 ALERT_GAP_S = 24 * 60 * 60  # one alert per key per day
 EPOCH_SECONDS_LIMIT = 100000000000     # below: seconds, else milliseconds
 TIME_FORMAT = "yyyy-MM-dd HH:mm:ss"
+ZONE = "Asia/Shanghai"      # wall-clock zone of the original deployment
 DISORDER_S = 5              # bounded out-of-orderness of the log source
 PRESENCE_KEY_FIELD = "sensor_4"
 ACTUATOR_KEY_FIELD = "switch_4"

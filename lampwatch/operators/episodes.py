@@ -28,7 +28,7 @@ from lampwatch import labels as L
 from lampwatch.functions import predicates as P
 from lampwatch.functions import timefns as tf
 from lampwatch.functions.emission import emission_kg
-from lampwatch.operators.joins import small_join
+from lampwatch.operators.joins import fits_broadcast, small_join
 from lampwatch.operators.scan import Scan, assign_chunks, carry_scan
 
 SRC_ACTUATOR = 0
@@ -58,14 +58,18 @@ def readings(actuator: DataFrame, presence: DataFrame, keep: tuple[str, ...] = (
                    & F.col("id").isNotNull()))
 
 
-def bind_rules(rows: DataFrame, rule_keys: DataFrame, rules: DataFrame) -> DataFrame:
+def bind_rules(rows: DataFrame, rule_keys: DataFrame, rules: DataFrame,
+               broadcast: bool | None = None) -> DataFrame:
     """P5 + J1: one copy of a reading per rule that lists its key; presence
-    readings only for rules that read presence."""
+    readings only for rules that read presence.  ``broadcast`` says whether
+    the key list is sent to all tasks (None: if its count is in bounds)."""
     rk = (rule_keys.select("rule_id", F.col("key").cast("string").alias("key"))
           .join(F.broadcast(rules.select("rule_id", "strategy")), "rule_id")
           .select("rule_id", "key",
                   (F.col("strategy") != L.TIME_ONLY).alias("_reads_presence")))
-    bound = small_join(rows, rk, on="key", how="inner")
+    if broadcast is None:
+        broadcast = fits_broadcast(rule_keys)
+    bound = rows.join(F.broadcast(rk) if broadcast else rk, on="key", how="inner")
     return (bound.where((F.col("src") == SRC_ACTUATOR) | F.col("_reads_presence"))
             .drop("_reads_presence"))
 
@@ -95,8 +99,16 @@ def state(actuator: DataFrame, presence: DataFrame, rule_keys: DataFrame,
     # cluster): the sort and windows after it are CPU-bound, so AQE should
     # not coalesce them by bytes into a handful of tasks.
     n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    rows = rows.repartition(n, "key", "chunk") if chunked else rows.repartition(n, "key")
-    return scan_state(bind_rules(rows, rule_keys, rules), chunked), chunked
+    if not chunked:
+        rows = bind_rules(rows.repartition(n, "key"), rule_keys, rules)
+    elif fits_broadcast(rule_keys):
+        rows = bind_rules(rows.repartition(n, "key", "chunk"), rule_keys, rules, broadcast=True)
+    else:
+        # the key list is joined by shuffle, on the sensor (a skewed sensor's
+        # rows are split there by AQE), so it comes before the rows are dealt
+        # by (sensor, chunk): after it a hot sensor would be whole again
+        rows = bind_rules(rows, rule_keys, rules, broadcast=False).repartition(n, "key", "chunk")
+    return scan_state(rows, chunked), chunked
 
 
 def gates(st: DataFrame) -> DataFrame:
@@ -192,7 +204,7 @@ def finish(opens: DataFrame, dim: DataFrame) -> DataFrame:
     typ = F.create_map(*[F.lit(x) for kv in L.TYPE_BY_STRATEGY.items() for x in kv])[s]
     message = F.when(s == L.TIME_ONLY, F.lit("")).otherwise(
         F.concat(F.lit(L.PROGRAM_START_PREFIX),
-                 F.unix_millis(F.col("program_start").cast("timestamp")).cast("string")))
+                 tf.wall_ms("program_start").cast("string")))
     a = F.col("a")
     actuator_evidence = F.struct(
         F.col("key").alias("Key"), tf.format_time(a.getField("ts")).alias("Time"),
@@ -207,8 +219,13 @@ def finish(opens: DataFrame, dim: DataFrame) -> DataFrame:
                                          F.lit("[]").alias("Occupancy"))))
                 .otherwise(F.to_json(F.struct(actuator_evidence.alias("OpeningAperture"),
                                               presence_evidence.alias("Occupancy")))))
-    withp = small_join(opens, dim.select(F.col("_key").alias("key"), "power"),
-                       on="key", how="left")
+    # S4 in the pipeline: an episode of a sensor that the dimension does not
+    # hold stops the job, where the episode is built and without a pass before
+    power = (dim.groupBy(F.col("_key").alias("key"))
+             .agg(F.coalesce(F.max("power"), F.lit(0.0)).alias("power"), F.lit(True).alias("_known")))
+    withp = small_join(opens, power, on="key", how="left").withColumn(
+        "power", F.when(F.col("_known"), F.col("power")).otherwise(
+            F.raise_error(F.concat(F.lit("sensor missing in the dimension: "), F.col("key"))).cast("double")))
     return withp.select(
         "rule_id",
         F.col("key").alias("sensor_key"),

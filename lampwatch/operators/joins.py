@@ -16,16 +16,10 @@ from pyspark.sql import functions as F
 MAX_BROADCAST_ROWS = 500_000
 
 
-_FITS: dict[tuple, bool] = {}
-
-
 def fits_broadcast(small: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> bool:
-    """Row count of ``small`` against the bound; remembered per session and
-    plan (``semanticHash``) so queries sharing a dimension count it once."""
-    key = (small.sparkSession.sparkContext.applicationId, small.semanticHash(), max_rows)
-    if key not in _FITS:
-        _FITS[key] = small.count() <= max_rows
-    return _FITS[key]
+    """Whether ``small`` has at most ``max_rows`` rows.  Counted anew each time
+    (files under a path may have changed), and only up to the bound."""
+    return small.limit(max_rows + 1).count() <= max_rows
 
 
 def small_join(big: DataFrame, small: DataFrame, on, how: str = "inner",

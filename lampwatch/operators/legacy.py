@@ -90,7 +90,7 @@ def legacy_episodes(actuator: DataFrame, presence: DataFrame, width: str,
 def legacy_warnings(summaries: DataFrame) -> DataFrame:
     """Window summaries flagged as warnings become open episode rows."""
     w = summaries.where(F.col("is_warning"))
-    start = F.timestamp_millis(F.col("time_stamp")).cast("timestamp_ntz")
+    start = tf.wall_time(F.col("time_stamp") * 1000)
     return w.select(
         F.col("name").alias("sensor_key"),
         start.alias("start_ts"),

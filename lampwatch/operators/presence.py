@@ -6,96 +6,49 @@ first reading) -- not an average.  A2 applies A1 per key and tumbling
 window; A3 is a rolling look-back over A2's window results; A4 folds one
 window of both inputs into a summary row.
 
-Groups are ``(key, window)``; the fold runs JVM-side as a higher-order
-function over a time-sorted array.  A2 splits a group with more rows than
-``ROWS_PER_GROUP`` into time sub-groups and composes their folds, so no
-array is unbounded.  A3 runs over window results, at most ``span / width``
-rows per key.  A4's message join is by definition one string holding every
-message of the window.
+The fold is the weighted sum ``x_n/2 + x_(n-1)/4 + ... + x_1/2^(n-1)``, so it
+needs no array and no sequential pass: rank the readings from the last one
+and add them up.  One plan serves groups of every size.  A reading more than
+``EXACT_DEPTH`` places before the last has a weight below 2^-2200, and so
+adds exactly nothing to a double of any value; ranking can stop there, which
+lets each task pass on at most that many rows of a hot group.  Results are
+rounded to ``LUX_DIGITS`` decimals, which hides the order of additions.
+A3 runs over window results, at most ``span / width`` rows per key.  A4's
+message join is by definition one string holding every message of the
+window.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lampwatch import labels as L
 from lampwatch.functions import timefns as tf
 
 
-def halving_fold(items: Column, field: str = "lux") -> Column:
-    """A1's lux fold over an array of structs already in time order."""
-    first = F.element_at(items, 1).getField(field)
-    rest = F.slice(items, 2, F.greatest(F.size(items) - 1, F.lit(0)))
-    return F.when(F.size(items) > 0, F.aggregate(rest, first, lambda acc, x: (x.getField(field) + acc) / 2))
+EXACT_DEPTH = 2200
+LUX_DIGITS = 6
 
 
-def reduce_presence(grouped) -> DataFrame:
-    """A1 over each group of a ``GroupedData`` of presence rows."""
-    ordered = F.array_sort(F.collect_list(F.struct("ts", "id", "lux")))
-    return grouped.agg(
-        F.max("ts").alias("ts"),
-        F.bool_or("occupied").alias("occupied"),
-        halving_fold(ordered).alias("lux"),
-        F.count(F.lit(1)).alias("n"))
+def halving_fold(grouped: DataFrame, by: list[str]) -> DataFrame:
+    """A1's lux fold of the readings ``(*by, ts, id, lux)`` of each group."""
+    back = F.row_number().over(Window.partitionBy(*by).orderBy(F.desc("ts"), F.desc("id")))
+    weight = F.pow(F.lit(0.5), F.col("_back"))
+    first = F.max_by("lux", "_back") * F.pow(F.lit(0.5), F.max("_back"))
+    return (grouped.select(*by, "lux", back.alias("_back")).where(F.col("_back") <= EXACT_DEPTH)
+            .groupBy(*by).agg(F.round(F.sum(F.col("lux") * weight) + first, LUX_DIGITS).alias("lux")))
 
 
-# rows of one (key, window) group folded as one array; bigger groups are
-# split into time sub-groups whose folds are composed (read at call time)
-ROWS_PER_GROUP = 1_000_000
-_HAS_HOT: dict[tuple, bool] = {}
-
-
-def _fold_from_zero(items: Column, field: str = "lux") -> Column:
-    """The fold's constant term over ``items`` entered with ``acc = 0``."""
-    return F.aggregate(items, F.lit(0.0), lambda acc, x: (x.getField(field) + acc) / 2)
-
-
-def tumbling(presence: DataFrame, width: str, rows_per_group: int | None = None) -> DataFrame:
-    """A2: A1 per key and tumbling window of ``width`` (e.g. ``1 hour``).
-
-    A group with more than ``rows_per_group`` rows (at most ``rows /
-    rows_per_group`` such groups: broadcast-safe) is cut into equal time
-    sub-groups.  The fold is an affine map ``acc -> acc / 2**m + c``, so
-    sub-group results compose in order: the first sub-group folds from its
-    first reading, each later one contributes ``acc * 0.5**m + c``.  No
-    array then holds more than about ``rows_per_group`` readings; ordinary
-    groups keep the single exact fold."""
-    limit = rows_per_group or ROWS_PER_GROUP
-    base = presence.select("key", "ts", "id", "occupied", "lux",
-                           F.window("ts", width).alias("w"))
-    hot = (base.groupBy("key", "w").agg(F.count(F.lit(1)).alias("_n"))
-           .where(F.col("_n") > limit)
-           .select("key", "w", F.ceil(F.col("_n") / limit).alias("_parts")))
-    memo = (presence.sparkSession.sparkContext.applicationId, hot.semanticHash())
-    if memo not in _HAS_HOT:
-        _HAS_HOT[memo] = bool(hot.limit(1).collect())
-    if not _HAS_HOT[memo]:
-        return reduce_presence(base.groupBy("key", "w")).select(
-            "key", F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"),
-            "ts", "occupied", "lux", "n")
-
-    j = base.join(F.broadcast(hot), ["key", "w"], "left")
-    span = tf.micros(F.col("w.end")) - tf.micros(F.col("w.start"))
-    sub = F.when(F.col("_parts").isNull(), F.lit(0).cast("bigint")).otherwise(
-        F.floor((tf.micros("ts") - tf.micros(F.col("w.start"))) * F.col("_parts") / span)
-        .cast("bigint"))
-    items = F.array_sort(F.collect_list(F.struct("ts", "id", "lux")))
-    parts = (j.groupBy("key", "w", sub.alias("_sub"))
-             .agg(F.max("ts").alias("ts"), F.bool_or("occupied").alias("occupied"),
-                  F.count(F.lit(1)).alias("m"), items.alias("_items"))
-             .select("key", "w", "ts", "occupied", "m",
-                     F.struct("_sub", "m", halving_fold(F.col("_items")).alias("first"),
-                              _fold_from_zero(F.col("_items")).alias("c")).alias("_part")))
-    whole = parts.groupBy("key", "w").agg(
+def tumbling(presence: DataFrame, width: str) -> DataFrame:
+    """A2: A1 per key and tumbling window of ``width`` (e.g. ``1 hour``)."""
+    base = presence.select("key", "ts", "id", "occupied", "lux", F.window("ts", width).alias("w"))
+    whole = base.groupBy("key", "w").agg(
         F.max("ts").alias("ts"), F.bool_or("occupied").alias("occupied"),
-        F.sum("m").alias("n"), F.array_sort(F.collect_list("_part")).alias("_parts"))
-    rest = F.slice("_parts", 2, F.greatest(F.size("_parts") - 1, F.lit(0)))
-    lux = F.aggregate(rest, F.element_at("_parts", 1).getField("first"),
-                      lambda acc, p: acc * F.pow(F.lit(0.5), p.getField("m")) + p.getField("c"))
-    return whole.select(
+        F.count(F.lit(1)).alias("n"))
+    return whole.join(halving_fold(base, ["key", "w"]), ["key", "w"]).select(
         "key", F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"),
-        "ts", "occupied", lux.alias("lux"), "n")
+        "ts", "occupied", "lux", "n")
 
 
 def rolling(items: DataFrame, look_back_s: int = L.QUIET_S) -> DataFrame:
@@ -116,16 +69,12 @@ def window_summary(rows: DataFrame, width: str) -> DataFrame:
 
     name = first non-empty key; time_stamp = latest time (epoch ms);
     opening_aperture = last actuator level; sensor_occ = OR of presence;
-    sensor_lux = A1 fold, taken from A2's result for the same window (so a
-    hot window's fold is split there); message = row messages joined by ``|`` in time
+    sensor_lux = A1 fold; message = row messages joined by ``|`` in time
     order; first_open_time = first actuator time on by the legacy threshold
     (0 if none); is_warning = last level on (legacy) and nobody present."""
     act = F.when(F.col("src") == 0, F.struct("ts", "id", "level"))
-    # the presence fold is A2's (hot windows split there), joined back
-    lux = tumbling(rows.where(F.col("src") == 1), width).select(
-        F.col("key").alias("_lk"), F.col("window_start").alias("_ws"),
-        F.col("lux").alias("sensor_lux"))
-    agg = rows.groupBy("key", F.window("ts", width).alias("w")).agg(
+    rows = rows.withColumn("w", F.window("ts", width))
+    agg = rows.groupBy("key", "w").agg(
         F.max("ts").alias("_ts"),
         F.max(act).getField("level").alias("opening_aperture"),
         F.bool_or(F.when(F.col("src") == 1, F.col("occupied"))).alias("sensor_occ"),
@@ -134,16 +83,15 @@ def window_summary(rows: DataFrame, width: str) -> DataFrame:
         F.min(F.when((F.col("src") == 0) & (F.col("level") > L.LEGACY_ON_LEVEL),
                      F.col("ts"))).alias("_first_open"),
         F.min(F.when(F.col("key") != "", F.struct("ts", "id", "key"))).getField("key").alias("name"))
-    g = (agg.join(lux, (F.col("key") == F.col("_lk")) & (F.col("w.start") == F.col("_ws")),
-                  "left")
-         .drop("_lk", "_ws"))
+    lux = halving_fold(rows.where(F.col("src") == 1), ["key", "w"]).withColumnRenamed("lux", "sensor_lux")
+    g = agg.join(lux, ["key", "w"], "left")
     warn = (F.coalesce(F.col("opening_aperture") > L.LEGACY_ON_LEVEL, F.lit(False))
             & ~F.coalesce(F.col("sensor_occ"), F.lit(False)))
     return g.select(
         "key",
         F.col("w.start").alias("window_start"),
         "name",
-        F.unix_millis(F.col("_ts").cast("timestamp")).alias("time_stamp"),
+        tf.wall_ms("_ts").alias("time_stamp"),
         tf.format_time("_ts").alias("time_str"),
         warn.alias("is_warning"),
         "opening_aperture", "sensor_occ", "sensor_lux",
@@ -151,7 +99,7 @@ def window_summary(rows: DataFrame, width: str) -> DataFrame:
                            F.col("sensor_occ").alias("SensorOCC"),
                            F.col("sensor_lux").alias("SensorLUX"))).alias("original_data"),
         F.array_join(F.transform("_msgs", lambda m: m.getField("message")), "|").alias("message"),
-        F.coalesce(F.unix_millis(F.col("_first_open").cast("timestamp")),
+        F.coalesce(tf.wall_ms("_first_open"),
                    F.lit(0).cast("bigint")).alias("first_open_time"),
         F.lit(L.LEGACY_STRATEGY).alias("strategy"),
     )

@@ -21,10 +21,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lampwatch.functions.timefns import micros
+from lampwatch.operators.joins import small_join
+from lampwatch.session import scratch_path
 
 CARRY_FLAG = "_carry"
-# per session and plan: whether any key is hot (one small job per input)
-_HAS_HOT: dict[tuple, bool] = {}
 
 
 @dataclass(frozen=True)
@@ -100,56 +100,69 @@ def carry_scan(df: DataFrame, keys: list[str], chunk: str, order: list[str],
     return out.where(~F.col(CARRY_FLAG)).drop(CARRY_FLAG)
 
 
-def hot_keys(df: DataFrame, key: str, ts: str, rows_per_chunk: int) -> DataFrame:
-    """Keys with more than ``rows_per_chunk`` rows, with the width of an
-    equal-width time slice holding about ``rows_per_chunk`` rows on average.
-    A partial aggregate (one row per key and task before the shuffle); the
-    result has at most ``total_rows / rows_per_chunk`` rows -- the bound that
-    makes broadcasting it safe."""
-    return (df.groupBy(key)
-            .agg(F.count(F.lit(1)).alias("_n"),
-                 F.min(micros(ts)).alias("_t0"),
-                 F.max(micros(ts)).alias("_t1"))
-            .where(F.col("_n") > rows_per_chunk)
-            .select(key, "_t0",
-                    F.greatest(F.lit(1).cast("bigint"),
-                               ((F.col("_t1") - F.col("_t0") + 1) * F.lit(rows_per_chunk)
-                                / F.col("_n")).cast("bigint")).alias("_width")))
-
-
 # rows of one key a window partition holds before the key is cut into time
 # chunks (read at call time, so a test can force the chunked path)
 ROWS_PER_CHUNK = 1_000_000
+# pieces a chunk is cut into at a time, and rounds of cutting at most
+PIECES = 64
+ROUNDS = 8
+
+
+def hot_keys(df: DataFrame, key: str, rows_per_chunk: int) -> DataFrame:
+    """Keys with more than ``rows_per_chunk`` rows: a partial aggregate, one
+    row per key and task before the shuffle."""
+    return (df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+            .where(F.col("_n") > rows_per_chunk).select(key))
 
 
 def assign_chunks(df: DataFrame, key: str, ts: str, rows_per_chunk: int | None = None,
                   out: str = "chunk") -> tuple[DataFrame, bool]:
-    """Adds ``out``: 0 for ordinary keys; for hot keys (see
-    :func:`hot_keys`) the index of the key's time slice, slices that a burst
-    overfills being cut once more (ids stay increasing in time).  Returns
-    the frame and whether any key was cut -- decided by one small aggregate
-    job, the way a range partitioner samples before it plans."""
-    rows_per_chunk = rows_per_chunk or ROWS_PER_CHUNK
-    hot = hot_keys(df, key, ts, rows_per_chunk)
-    memo = (df.sparkSession.sparkContext.applicationId, hot.semanticHash())
-    if memo not in _HAS_HOT:
-        _HAS_HOT[memo] = bool(hot.limit(1).collect())
-    if not _HAS_HOT[memo]:
-        return df.withColumn(out, F.lit(0).cast("bigint")), False
-    joined = df.join(F.broadcast(hot), on=key, how="left")
-    off = micros(ts) - F.col("_t0")
-    major = F.floor(off / F.col("_width")).cast("bigint")
-    staged = joined.withColumn("_c0", major)
-    # A burst can still pack one time slice: slices holding more than twice
-    # the target are cut again in time.  That table has at most
-    # rows / (2 * rows_per_chunk) rows, so it is broadcast.
-    dense = (staged.where(F.col("_width").isNotNull())
-             .groupBy(key, "_c0").agg(F.count(F.lit(1)).alias("_m"))
-             .where(F.col("_m") > 2 * rows_per_chunk)
-             .select(key, "_c0", F.ceil(F.col("_m") / rows_per_chunk).alias("_k")))
-    cut = staged.join(F.broadcast(dense), on=[key, "_c0"], how="left")
-    sub = F.coalesce(F.floor((off - F.col("_c0") * F.col("_width")) * F.col("_k")
-                             / F.col("_width")).cast("bigint"), F.lit(0).cast("bigint"))
-    c = F.when(F.col("_width").isNull(), F.lit(0).cast("bigint")).otherwise(
-        F.shiftleft(F.col("_c0"), 20) + sub)
-    return cut.withColumn(out, c).drop("_t0", "_width", "_c0", "_k"), True
+    """Adds ``out``: 0 for ordinary keys; for hot keys (see :func:`hot_keys`)
+    the number of the row's piece of the key's timeline, rising in time.
+    Returns the frame and whether any key was cut.
+
+    Pieces are cut at quantiles of the rows, not at equal widths, so a burst
+    is cut as finely as its rows need.  Pieces with over twice the target are
+    cut again, until none is left that can be cut: only rows that share one
+    timestamp stay together whatever their number.  The pieces of round r are
+    digits in base ``PIECES + 1``, so numbers of different rounds never meet.
+
+    Whether a key is hot is asked of the data each time (files under a path
+    may change): first by a count that stops at the target, which answers for
+    small inputs, then by one aggregate.  The cut points are written to the
+    shared folder; they are as many as the hot rows have pieces, and joined
+    by broadcast only while their count is in bounds."""
+    target = rows_per_chunk or ROWS_PER_CHUNK
+    plain = df.withColumn(out, F.lit(0).cast("bigint"))
+    if df.limit(target + 1).count() <= target:
+        return plain, False
+    hot = _staged(hot_keys(df, key, target).withColumn("_hot", F.lit(True)))
+    if not hot.limit(1).count():
+        return plain, False
+    rows = small_join(plain, hot, key, "left")
+    us = micros(ts)
+    steps = [i / PIECES for i in range(1, PIECES)]
+    for _ in range(ROUNDS):
+        cuts = (rows.where(F.col("_hot")).groupBy(key, out)
+                .agg(F.count(F.lit(1)).alias("_n"), F.min(us).alias("_a"), F.max(us).alias("_b"),
+                     F.percentile_approx(us, steps, 10 * PIECES).alias("_q"))
+                .where((F.col("_n") > 2 * target) & (F.col("_a") < F.col("_b")))
+                .select(key, out, F.array_distinct(F.filter("_q", lambda q: q > F.col("_a"))).alias("_q"),
+                        "_b"))
+        # where one timestamp holds most rows all quantiles may fall on the first: cut off the last
+        cuts = cuts.select(key, out, F.when(F.size("_q") > 0, F.col("_q"))
+                           .otherwise(F.array("_b")).alias("_q"))
+        cuts = _staged(cuts)
+        if not cuts.limit(1).count():
+            break
+        piece = F.coalesce(F.size(F.filter("_q", lambda q: q <= us)), F.lit(0))
+        rows = (small_join(rows, cuts, [key, out], "left")
+                .withColumn(out, F.col(out) * (PIECES + 1)
+                            + F.when(F.col("_q").isNull(), 0).otherwise(piece)).drop("_q"))
+    return rows.drop("_hot"), True
+
+
+def _staged(df: DataFrame) -> DataFrame:
+    path = scratch_path(df.sparkSession, "cuts")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -22,8 +22,11 @@ from lampwatch.operators import presence as A
 from lampwatch.operators import suppress as SUP
 from lampwatch.plans import fixture as fx
 from lampwatch.plans import streams as ST
+from lampwatch.session import scratch_path
 from lampwatch.sources import dimension as dim
+from lampwatch.sources import rules as R
 from lampwatch.sources import snapshot as snap
+from lampwatch.streaming import job as J
 
 Query = Callable[[SparkSession, str], DataFrame]
 SNAPSHOT_CUT = "2024-01-15 00:00:00"
@@ -50,22 +53,25 @@ def snapshot_then_changes(spark, sf):
 def dim_power(spark, sf):
     rules = fx.rules(spark, ["time_only"])
     return dim.restrict(dim.sensor_power(fx.dimension(spark, sf)),
-                        fx.rule_keys(spark, sf, rules))
+                        fx.rule_keys(spark, sf, ["time_only"]))
 
 
 def dim_missing_keys(spark, sf):
-    """Rule ``inventory`` lists every sensor that reports; the dimension
-    holds only the whitelisted sensors."""
+    """Rule ``inventory`` lists every sensor that reports, rule ``doubled``
+    every tenth known sensor twice; the dimension holds only the whitelisted
+    sensors, every row twice (repeated rows are one sensor)."""
+    d = fx.dimension(spark, sf).join(fx.whitelist(spark, sf), "_key", "left_semi")
+    d = dim.sensor_power(d.unionByName(d))
+    tenth = d.where(F.col("_key").cast("bigint") % 10 == 0).select(
+        F.lit("doubled").alias("rule_id"), F.col("_key").alias("key"))
     listed = (fx.actuator(spark, sf).select("key").distinct()
               .select(F.lit("inventory").alias("rule_id"), "key"))
-    d = dim.sensor_power(fx.dimension(spark, sf)).join(
-        fx.whitelist(spark, sf), "_key", "left_semi")
-    return dim.missing_keys(d, listed)
+    return dim.missing_keys(d, listed.unionByName(tenth).unionByName(tenth))
 
 
 def rules_exploded(spark, sf):
     rules = fx.rules(spark)
-    rk = fx.rule_keys(spark, sf, rules)
+    rk = fx.rule_keys(spark, sf)
     power = dim.sensor_power(fx.dimension(spark, sf)).withColumnRenamed("_key", "key")
     return (rk.join(F.broadcast(rules.select("rule_id", "strategy", "factor")), "rule_id")
             .join(power, "key", "left")
@@ -95,6 +101,17 @@ def valid_flat(spark, sf):
     return D.valid_flat(fx.flat_presence_messages(spark, sf), L.PRESENCE_KEY_FIELD).select("msg_id")
 
 
+def log_decode(spark, sf):
+    """Good and rejected log messages."""
+    good, bad = J.decode_log(fx.log_messages(spark, sf).drop("ts"), fx.LOG_SCHEMA, "ts_ms", zone="UTC",
+                             keep=("msg_id",))
+    none = F.lit(None)
+    return good.select("msg_id", F.col("sensor_4").alias("key"), "lux", "ts",
+                       none.cast("string").alias("reason")).unionByName(
+        bad.select("msg_id", none.cast("string").alias("key"), none.cast("double").alias("lux"),
+                   none.cast("timestamp_ntz").alias("ts"), "reason"))
+
+
 # --- P5-P11 F2 ------------------------------------------------------------------
 
 def whitelist(spark, sf):
@@ -127,7 +144,7 @@ def next_start_gap(spark, sf):
 def _presence_state(spark, sf, rule: str) -> DataFrame:
     rules = fx.rules(spark, [rule])
     st, _ = E.state(fx.actuator(spark, sf), fx.presence(spark, sf),
-                    fx.rule_keys(spark, sf, rules), rules)
+                    fx.rule_keys(spark, sf, [rule]), rules)
     return st.where(F.col("src") == E.SRC_PRESENCE).join(
         F.broadcast(rules.select(*E.PARAMS).drop("strategy")), "rule_id")
 
@@ -157,7 +174,7 @@ def settle_warmup(spark, sf):
 def episodes_for(spark, sf, names: list[str] | None = None) -> DataFrame:
     rules = fx.rules(spark, names)
     return E.episodes(fx.actuator(spark, sf), fx.presence(spark, sf),
-                      fx.rule_keys(spark, sf, rules), rules,
+                      fx.rule_keys(spark, sf, names), rules,
                       dim.sensor_power(fx.dimension(spark, sf)))
 
 
@@ -172,6 +189,16 @@ def episodes_by_rule(spark, sf):
     return episodes_for(spark, sf).select(*EPISODE_COLUMNS)
 
 
+def episodes_from_rule_file(spark, sf):
+    """S5 end to end: rules with their key arrays written as a JSON rule
+    file, read back, validated, exploded and evaluated."""
+    path = scratch_path(spark, "rules")
+    fx.rules_with_keys(spark, sf).write.json(path)
+    rules = R.validated(R.read_rules(spark, path))
+    return E.episodes(fx.actuator(spark, sf), fx.presence(spark, sf), R.explode_keys(rules), rules,
+                      dim.sensor_power(fx.dimension(spark, sf))).select(*EPISODE_COLUMNS)
+
+
 def episode_changelog(spark, sf):
     return E.changelog(episodes_for(spark, sf)).select(
         "rule_id", "sensor_key", "open_ts", "is_finish", "row_ts", "route", "duration",
@@ -228,15 +255,7 @@ def alert_outbox(spark, sf):
 # --- A1-A4 F12 T7 T8 P12 K5 --------------------------------------------------------
 
 def _readings_with_message(spark, sf) -> DataFrame:
-    ev = fx.table(spark, sf, "events")
-    act = fx.actuator(spark, sf).select("key", "ts", "id", F.lit(0).alias("src"), "level",
-                                        F.lit(None).cast("boolean").alias("occupied"),
-                                        F.lit(None).cast("double").alias("lux"))
-    pre = fx.presence(spark, sf).select("key", "ts", "id", F.lit(1).alias("src"),
-                                        F.lit(None).cast("double").alias("level"),
-                                        "occupied", "lux")
-    msg = ev.select(F.col("event_id").alias("id"), F.col("event_type").alias("message"))
-    return act.unionByName(pre).join(msg, "id")
+    return fx.readings_with_type(spark, sf)
 
 
 def presence_fold(spark, sf):
@@ -286,7 +305,7 @@ def alert_suppressed(spark, sf):
     warn = _summaries(spark, sf).where(F.col("is_warning")).select(
         F.col("name").alias("key"), "time_stamp")
     sent = SUP.suppress(warn, ALERT_START_S)
-    dt_text = tf.format_time(F.timestamp_millis(F.col("time_stamp")).cast("timestamp_ntz"))
+    dt_text = tf.format_time(tf.wall_time(F.col("time_stamp") * 1000))
     return sent.select("key", "time_stamp", dt_text.alias("datetime"),
                        S.alert_text("key").alias("message"))
 
@@ -301,6 +320,7 @@ QUERIES: dict[str, Query] = {
     "decode_actuator": decode_actuator,
     "decode_rejects": decode_rejects,
     "valid_flat": valid_flat,
+    "log_decode": log_decode,
     "whitelist": whitelist,
     "threshold_flags": threshold_flags,
     "in_schedule": in_schedule,
@@ -310,6 +330,7 @@ QUERIES: dict[str, Query] = {
     "settle_warmup": settle_warmup,
     **{f"episodes_{n}": _episodes_query(n) for n in fx.RULES},
     "episodes_by_rule": episodes_by_rule,
+    "episodes_from_rule_file": episodes_from_rule_file,
     "episode_changelog": episode_changelog,
     "episode_calendar": episode_calendar,
     "cube_rows": cube_rows,
@@ -324,5 +345,7 @@ QUERIES: dict[str, Query] = {
     "alert_suppressed": alert_suppressed,
     "stream_episodes_by_rule": ST.stream_episodes_by_rule,
     "stream_handover": ST.stream_handover,
+    "stream_handover_drop": ST.stream_handover_drop,
+    "stream_log": ST.stream_log,
     "stream_alert_suppressed": ST.stream_alert_suppressed,
 }

@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lampwatch import labels as L
+from lampwatch.functions.timefns import format_time, wall_ms
 from lampwatch.sources import rules as R
 
 PROJECT_ID = 1
@@ -61,17 +62,24 @@ RULES = {
 }
 
 
-_TABLES: dict[tuple[str, str], DataFrame] = {}
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """The parquet table; files are listed anew, so a changed folder is seen."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """The parquet table, read once per session (a DataFrame is a lazy
-    plan; reusing it saves a schema-listing job per use)."""
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = (spark.sparkContext.applicationId, path)
-    if key not in _TABLES:
-        _TABLES[key] = spark.read.parquet(path)
-    return _TABLES[key]
+def readings_with_type(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both inputs from one scan of ``events``, tagged (``src`` 0 = actuator,
+    1 = presence), with the event type as the row's message."""
+    ev = table(spark, sf_dir, "events")
+    act = F.col("event_type").isin(*ACTUATOR_TYPES)
+    pre = F.col("event_type").isin(*PRESENCE_TYPES)
+    return ev.where(act | pre).select(
+        F.col("user_id").cast("string").alias("key"), "ts", F.col("event_id").alias("id"),
+        F.when(act, 0).otherwise(1).alias("src"),
+        F.when(act, F.col("value")).alias("level"),
+        F.when(pre, F.col("event_type") == OCCUPIED_TYPE).alias("occupied"),
+        F.when(pre, F.col("value")).alias("lux"),
+        F.col("event_type").alias("message"))
 
 
 def actuator(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -119,13 +127,21 @@ def rules(spark: SparkSession, names: list[str] | None = None) -> DataFrame:
     return _RULES[key]
 
 
-def rule_keys(spark: SparkSession, sf_dir: str, rules_df: DataFrame) -> DataFrame:
-    """Every whitelisted sensor of the rule's project: an equi-join of the
-    whitelist with the (configuration-sized, broadcast) rules table."""
-    wl = whitelist(spark, sf_dir).select(F.lit(PROJECT_ID).alias("project_id"),
-                                         F.col("_key").alias("key"))
-    return wl.join(F.broadcast(rules_df.select("rule_id", "project_id")),
-                   "project_id").select("rule_id", "key")
+def rule_keys(spark: SparkSession, sf_dir: str, names: list[str] | None = None) -> DataFrame:
+    """``rule_id, key``: every rule (or the named ones) lists every
+    whitelisted sensor."""
+    ids = F.array(*[F.lit(RULES[n]["rule_id"]) for n in names or RULES])
+    return whitelist(spark, sf_dir).select(F.explode(ids).alias("rule_id"),
+                                           F.col("_key").alias("key"))
+
+
+def rules_with_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fixture rules as a rule file holds them: each with its sensors in
+    the ``keys`` array."""
+    listed = rule_keys(spark, sf_dir).groupBy("rule_id").agg(
+        F.array_sort(F.collect_list("key")).alias("keys"))
+    own = rules(spark)
+    return own.drop("keys").join(listed, "rule_id").select(*own.columns)
 
 
 # --- raw JSON messages built from the fixture rows ---------------------------
@@ -159,7 +175,6 @@ def _envelope(value_obj, key_field: str):
 
 
 def _time_text():
-    from lampwatch.functions.timefns import format_time
     return (F.when(_m(BREAK_BAD_TIME), F.lit(BAD_TIME_TEXT))
             .when(_m(VARY_TIME_TAIL), F.concat(format_time("ts"), F.lit(".123")))
             .otherwise(format_time("ts")))
@@ -200,6 +215,22 @@ def actuator_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
                     _envelope(value_obj, L.ACTUATOR_KEY_FIELD).alias("value"))
 
 
+LOG_SCHEMA = "sensor_4 string, lux double, ts_ms bigint"
+
+
+def log_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``(msg_id, value, ts)``: presence readings as log messages with an
+    epoch-milliseconds time; % 31 is non-JSON text, % 29 has no time."""
+    p = presence(spark, sf_dir)
+    time = F.when(_m(BREAK_BAD_TIME), F.lit("")).otherwise(
+        F.concat(F.lit(',"ts_ms":'), wall_ms("ts").cast("string")))
+    msg = F.concat(F.lit(f'{{"{L.PRESENCE_KEY_FIELD}":'), _json_str(F.col("key")), F.lit(',"lux":'),
+                   F.col("lux").cast("string"), time, F.lit("}"))
+    return p.select(F.col("id").alias("msg_id"), "ts",
+                    F.when(_m(BREAK_NOT_JSON), F.concat(F.lit("garbage-"), F.col("id").cast("string")))
+                    .otherwise(msg).alias("value"))
+
+
 def flat_presence_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Flat log messages ``{"value": {...}}`` (the log-source shape): % 17
     has no ``value``, % 23 no key field, % 19 a NULL key (still present)."""
@@ -210,7 +241,7 @@ def flat_presence_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
                                     _json_str(F.col("key")), F.lit(","))))
     value_obj = F.concat(F.lit("{"), key_part, F.lit('"lux":'), F.col("lux").cast("string"),
                          F.lit(',"ts_ms":'),
-                         F.unix_millis(F.col("ts").cast("timestamp")).cast("string"), F.lit("}"))
+                         wall_ms("ts").cast("string"), F.lit("}"))
     msg = F.when(_m(BREAK_NO_ITEM), F.concat(F.lit('{"other":'), value_obj, F.lit("}"))).otherwise(
         F.concat(F.lit('{"value":'), value_obj, F.lit("}")))
     return p.select(F.col("id").alias("msg_id"), msg.alias("value"))

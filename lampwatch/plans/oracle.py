@@ -80,6 +80,8 @@ listed AS (SELECT DISTINCT 'inventory' AS rule_id, key FROM act),
 d AS (SELECT _key AS key FROM dim WHERE _key IN (SELECT _key FROM wl))
 SELECT rule_id, key, 'missing' AS reason FROM listed
 WHERE key NOT IN (SELECT key FROM d)
+UNION ALL
+SELECT 'doubled' AS rule_id, key, 'duplicate in rule' AS reason FROM d WHERE CAST(key AS BIGINT) % 10 = 0
 """
 
 
@@ -353,7 +355,7 @@ FROM eps
 
 # --- A1-A4 F12 T7 T8 P12 K5 --------------------------------------------------------
 
-_FOLD = "list_reduce(list(lux ORDER BY ts, id), lambda acc, x: (x + acc) / 2)"
+_FOLD = "round(list_reduce(list(lux ORDER BY ts, id), lambda acc, x: (x + acc) / 2), 6)"
 
 
 def _tumbling(width: str) -> str:
@@ -397,8 +399,8 @@ g AS (
   SELECT key, time_bucket(INTERVAL '1 hour', ts) AS window_start, max(ts) AS mts,
          (list(level ORDER BY ts DESC, id DESC) FILTER (WHERE src = 0))[1] AS opening_aperture,
          bool_or(occupied) FILTER (WHERE src = 1) AS sensor_occ,
-         list_reduce(list(lux ORDER BY ts, id) FILTER (WHERE src = 1),
-                     lambda acc, x: (x + acc) / 2) AS sensor_lux,
+         round(list_reduce(list(lux ORDER BY ts, id) FILTER (WHERE src = 1),
+                           lambda acc, x: (x + acc) / 2), 6) AS sensor_lux,
          string_agg(message, '|' ORDER BY ts, id) FILTER (WHERE message <> '') AS message,
          min(ts) FILTER (WHERE src = 0 AND level > {L.LEGACY_ON_LEVEL}) AS first_open,
          (list(key ORDER BY ts, id) FILTER (WHERE key <> ''))[1] AS name
@@ -482,6 +484,27 @@ SELECT key, sent AS time_stamp,
 FROM chain WHERE sent IS NOT NULL
 """
 
+_LOG = f"""
+log AS (
+  SELECT event_id AS msg_id, CAST(user_id AS VARCHAR) AS key, value AS lux,
+         make_timestamp(epoch_us(ts) // 1000 * 1000) AS ts,
+         CASE WHEN event_id % {fx.BREAK_NOT_JSON} = 0 THEN 'not_json'
+              WHEN event_id % {fx.BREAK_BAD_TIME} = 0 THEN 'no_time' END AS reason
+  FROM events WHERE event_type IN ({_types(fx.PRESENCE_TYPES)}))"""
+
+LOG_DECODE = f"""
+WITH {_LOG}
+SELECT msg_id, CASE WHEN reason IS NULL THEN key END AS key,
+       CASE WHEN reason IS NULL THEN lux END AS lux,
+       CASE WHEN reason IS NULL THEN ts END AS ts, reason
+FROM log
+"""
+
+STREAM_LOG = f"""
+WITH {_LOG}
+SELECT key, lux, ts FROM log WHERE reason IS NULL
+"""
+
 SQL: dict[str, str] = {
     "snapshot_latest": SNAPSHOT_LATEST,
     "snapshot_then_changes": SNAPSHOT_THEN_CHANGES,
@@ -492,6 +515,7 @@ SQL: dict[str, str] = {
     "decode_actuator": DECODE_ACTUATOR,
     "decode_rejects": DECODE_REJECTS,
     "valid_flat": VALID_FLAT,
+    "log_decode": LOG_DECODE,
     "whitelist": WHITELIST,
     "threshold_flags": THRESHOLD_FLAGS,
     "in_schedule": IN_SCHEDULE,
@@ -501,6 +525,7 @@ SQL: dict[str, str] = {
     "settle_warmup": SETTLE_WARMUP,
     **{f"episodes_{n}": episodes_sql([n]) for n in fx.RULES},
     "episodes_by_rule": EPISODES_ALL,
+    "episodes_from_rule_file": EPISODES_ALL,
     "episode_changelog": EPISODE_CHANGELOG,
     "episode_calendar": EPISODE_CALENDAR,
     "cube_rows": CUBE_ROWS,
@@ -516,5 +541,7 @@ SQL: dict[str, str] = {
     # streaming runs must equal the batch changelog
     "stream_episodes_by_rule": EPISODE_CHANGELOG,
     "stream_handover": EPISODE_CHANGELOG,
+    "stream_handover_drop": EPISODE_CHANGELOG,
+    "stream_log": STREAM_LOG,
     "stream_alert_suppressed": ALERT_SUPPRESSED,
 }

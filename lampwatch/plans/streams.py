@@ -1,7 +1,7 @@
 """Streaming queries over the fixture: the readings are written as files,
-oldest first, one time slice per file and input, and drained with
-``availableNow`` at one file per trigger -- so a micro-batch holds one time
-slice of both inputs.  The result must equal the batch changelog.
+oldest first, ``FILES`` files per time slice and input, and drained with
+``availableNow`` at that many files per trigger -- so a micro-batch holds one
+time slice of both inputs.  The result must equal the batch changelog.
 
 The files go to a fresh folder under the shared checkpoint folder
 (``spark.checkpoint.dir``).
@@ -22,6 +22,7 @@ from lampwatch.sources import dimension as dim
 from lampwatch.streaming import job as J
 
 N_SLICES = 6
+FILES = 4                   # files of a slice
 HANDOVER_CUT = "2024-01-15 00:00:00"
 CHANGELOG_COLUMNS = ["rule_id", "sensor_key", "open_ts", "is_finish", "row_ts", "route",
                      "duration", "carbon_emissions"]
@@ -31,13 +32,14 @@ def _ntz(v: dt.datetime):
     return F.lit(v.isoformat(sep=" ")).cast("timestamp_ntz")
 
 
-def write_slices(df: DataFrame, path: str, edges: list) -> None:
-    """One file per time slice ``[edges[i], edges[i+1])``, written in time
-    order (rising modification times).  Test harness: each slice is one
-    file, so it passes one task."""
+def write_slices(df: DataFrame, path: str, edges: list, deal: str = "id") -> None:
+    """``FILES`` files per time slice ``[edges[i], edges[i+1])``, written in
+    time order (rising modification times), rows dealt by hash of ``deal``;
+    a micro-batch takes ``FILES`` files, so one slice."""
     for lo, hi in zip(edges[:-1], edges[1:]):
         part = df.where((F.col("ts") >= _ntz(lo)) & (F.col("ts") < _ntz(hi)))
-        part.repartition(1).write.mode("append").parquet(path)
+        file = F.pmod(F.xxhash64(deal), F.lit(FILES)).cast("int")
+        part.repartitionById(FILES, file).write.mode("append").parquet(path)
 
 
 def _edges(df: DataFrame, n: int) -> list:
@@ -54,10 +56,10 @@ def _with_route(records: DataFrame) -> DataFrame:
 
 
 def _run_stream(spark, root: str, act_path: str, pre_path: str, rules, rk, dim_df,
-                initial=None) -> DataFrame:
-    a = J.with_watermark(J.file_source(spark, act_path, schemas.ACTUATOR))
-    p = J.with_watermark(J.file_source(spark, pre_path, schemas.PRESENCE))
-    changes = J.episode_changes(a, p, rk, rules, initial)
+                initial=None, late_policy: str = "apply") -> DataFrame:
+    a = J.with_watermark(J.file_source(spark, act_path, schemas.ACTUATOR, files_per_trigger=FILES))
+    p = J.with_watermark(J.file_source(spark, pre_path, schemas.PRESENCE, files_per_trigger=FILES))
+    changes = J.episode_changes(a, p, rk, rules, initial, late_policy)
     q = J.start(J.episode_records(changes, rules, dim_df), f"{root}/out", f"{root}/ckpt", rules)
     q.awaitTermination()
     if q.exception():
@@ -73,11 +75,11 @@ def stream_episodes_by_rule(spark: SparkSession, sf: str) -> DataFrame:
     write_slices(pre, f"{root}/in/presence", edges)
     rules = fx.rules(spark)
     out = _run_stream(spark, root, f"{root}/in/actuator", f"{root}/in/presence", rules,
-                      fx.rule_keys(spark, sf, rules), dim.sensor_power(fx.dimension(spark, sf)))
+                      fx.rule_keys(spark, sf), dim.sensor_power(fx.dimension(spark, sf)))
     return _with_route(out).select(*CHANGELOG_COLUMNS)
 
 
-def stream_handover(spark: SparkSession, sf: str) -> DataFrame:
+def stream_handover(spark: SparkSession, sf: str, late_policy: str = "apply") -> DataFrame:
     """Batch backfill up to the cut, its final state handed to a live
     stream over the rest; backfill changelog + stream output."""
     root = scratch_path(spark, "stream-handover")
@@ -86,7 +88,7 @@ def stream_handover(spark: SparkSession, sf: str) -> DataFrame:
     a0, p0 = act.where(F.col("ts") < cut), pre.where(F.col("ts") < cut)
     a1, p1 = act.where(F.col("ts") >= cut), pre.where(F.col("ts") >= cut)
     rules = fx.rules(spark)
-    rk = fx.rule_keys(spark, sf, rules)
+    rk = fx.rule_keys(spark, sf)
     dim_df = dim.sensor_power(fx.dimension(spark, sf))
 
     backfill = E.changelog(E.episodes(a0, p0, rk, rules, dim_df))
@@ -97,11 +99,33 @@ def stream_handover(spark: SparkSession, sf: str) -> DataFrame:
     write_slices(a1, f"{root}/in/actuator", edges)
     write_slices(p1, f"{root}/in/presence", edges)
     live = _run_stream(spark, root, f"{root}/in/actuator", f"{root}/in/presence", rules, rk,
-                       dim_df, initial=spark.read.parquet(state_path))
+                       dim_df, initial=spark.read.parquet(state_path), late_policy=late_policy)
     return (_with_route(backfill).select(*CHANGELOG_COLUMNS)
             .unionByName(_with_route(live).select(*CHANGELOG_COLUMNS)))
 
 
+def stream_handover_drop(spark: SparkSession, sf: str) -> DataFrame:
+    """W4 + T6: the hand-over into a live run that drops late rows; the
+    readings come in time order, so the answer is the same."""
+    return stream_handover(spark, sf, "drop")
+
+
+def stream_log(spark: SparkSession, sf: str) -> DataFrame:
+    """S2 + W2: log messages as files, out of order within the allowed
+    disorder, decoded and watermarked on the fly; the rows that come out."""
+    root = scratch_path(spark, "stream-log")
+    write_slices(fx.log_messages(spark, sf).withColumn("id", F.col("msg_id")), f"{root}/in",
+                 _edges(fx.presence(spark, sf), N_SLICES))
+    raw = J.file_source(spark, f"{root}/in", "msg_id bigint, value string", files_per_trigger=FILES)
+    rows = J.log_readings(raw, fx.LOG_SCHEMA, "ts_ms", zone="UTC")
+    q = (rows.writeStream.format("parquet").option("path", f"{root}/out")
+         .option("checkpointLocation", f"{root}/ckpt").trigger(availableNow=True).start())
+    q.awaitTermination()
+    if q.exception():
+        raise q.exception()
+    return spark.read.parquet(f"{root}/out").select(F.col("sensor_4").alias("key"), "lux", "ts")
+
+
 def stream_alert_suppressed(spark: SparkSession, sf: str) -> DataFrame:
     """K5 live: window warnings (derived from the readings) arrive as files
     in time order; the suppression state carries across micro-batches."""
@@ -113,10 +137,10 @@ def stream_alert_suppressed(spark: SparkSession, sf: str) -> DataFrame:
     root = scratch_path(spark, "stream-suppress")
     warn = (C._summaries(spark, sf).where(F.col("is_warning"))
             .select(F.col("name").alias("key"), "time_stamp",
-                    F.timestamp_millis("time_stamp").cast("timestamp_ntz").alias("ts")))
-    write_slices(warn, f"{root}/in/warnings", _edges(warn, N_SLICES))
+                    tf.wall_time(F.col("time_stamp") * 1000).alias("ts")))
+    write_slices(warn, f"{root}/in/warnings", _edges(warn, N_SLICES), deal="key")
     src = J.file_source(spark, f"{root}/in/warnings",
-                        "key string, time_stamp bigint, ts timestamp_ntz")
+                        "key string, time_stamp bigint, ts timestamp_ntz", files_per_trigger=FILES)
     sent = suppress_stream(src, C.ALERT_START_S)
     q = (sent.writeStream.format("parquet").option("path", f"{root}/out")
          .option("checkpointLocation", f"{root}/ckpt").trigger(availableNow=True).start())
@@ -124,6 +148,6 @@ def stream_alert_suppressed(spark: SparkSession, sf: str) -> DataFrame:
     if q.exception():
         raise q.exception()
     out = spark.read.parquet(f"{root}/out")
-    dt_text = tf.format_time(F.timestamp_millis(F.col("time_stamp")).cast("timestamp_ntz"))
+    dt_text = tf.format_time(tf.wall_time(F.col("time_stamp") * 1000))
     return out.select("key", "time_stamp", dt_text.alias("datetime"),
                       S.alert_text("key").alias("message"))

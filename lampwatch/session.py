@@ -70,9 +70,9 @@ def ship_package(spark: SparkSession) -> None:
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    Read from the session; only when it is unset (local tests) a private
-    folder is made and registered, so cluster jobs never fall back to a
-    machine-local path silently."""
+    Read from the session.  Where it is unset, a session whose driver and
+    executors are one process (``local[...]``) gets a private folder; any
+    other fails, because a machine-local folder is not shared."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
@@ -82,6 +82,8 @@ def checkpoint_root(spark: SparkSession) -> str:
     if conf:
         sc.setCheckpointDir(conf)
         return sc.getCheckpointDir() or conf
+    if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     local = tempfile.mkdtemp(prefix="lampwatch-ckpt-")
     sc.setCheckpointDir(local)
     return sc.getCheckpointDir() or local

@@ -9,9 +9,10 @@ from lampwatch.operators.joins import small_join
 
 
 def sensor_power(dim: DataFrame, key: str = "_key", power: str = "power") -> DataFrame:
-    """S3: ``(_key, power)``; missing power counts as 0 W."""
-    return dim.select(F.col(key).cast("string").alias("_key"),
-                      F.coalesce(F.col(power).cast("double"), F.lit(0.0)).alias("power"))
+    """S3: ``(_key, power)``, one row per key as in a map (of repeated keys the
+    largest power counts); missing power counts as 0 W."""
+    return (dim.groupBy(F.col(key).cast("string").alias("_key"))
+            .agg(F.coalesce(F.max(F.col(power).cast("double")), F.lit(0.0)).alias("power")))
 
 
 def restrict(dim: DataFrame, rule_keys: DataFrame) -> DataFrame:
@@ -23,18 +24,15 @@ def restrict(dim: DataFrame, rule_keys: DataFrame) -> DataFrame:
 
 def missing_keys(dim: DataFrame, rule_keys: DataFrame) -> DataFrame:
     """S4 check: ``(rule_id, key, reason)`` for every listed key without a
-    dimension row, and every key listed twice by the same rule, or present
-    twice in the dimension."""
+    dimension row, and every key listed twice by the same rule.  A key that
+    repeats in the dimension is no problem: ``sensor_power`` keeps one row."""
     listed = rule_keys.select("rule_id", "key")
     dims = dim.select(F.col("_key").alias("key"))
     absent = (listed.join(dims, on="key", how="left_anti")
               .select("rule_id", "key", F.lit("missing").alias("reason")))
     twice = (listed.groupBy("rule_id", "key").count().where(F.col("count") > 1)
              .select("rule_id", "key", F.lit("duplicate in rule").alias("reason")))
-    dim_twice = (dims.groupBy("key").count().where(F.col("count") > 1)
-                 .join(listed, on="key", how="inner")
-                 .select("rule_id", "key", F.lit("duplicate in dimension").alias("reason")))
-    return absent.unionByName(twice).unionByName(dim_twice)
+    return absent.unionByName(twice)
 
 
 def require_complete(dim: DataFrame, rule_keys: DataFrame) -> None:

@@ -49,23 +49,46 @@ def file_source(spark: SparkSession, path: str, schema, fmt: str = "parquet",
     return r.load(path)
 
 
-def log_source(spark: SparkSession, servers: str, topic: str, value_schema,
-               ts_field: str, group: str | None = None,
-               disorder: str = f"{L.DISORDER_S} seconds") -> DataFrame:
-    """S2 + W2: JSON values of a Kafka topic from the earliest offset; event
-    time from a caller-named epoch-milliseconds field; bounded disorder
-    watermark.  Needs the Kafka connector on the classpath."""
+def log_source(spark: SparkSession, servers: str, topic: str, group: str | None = None,
+               offsets_per_trigger: int = 1_000_000) -> DataFrame:
+    """Raw messages (``value``) of a Kafka topic from the earliest offset;
+    ``offsets_per_trigger`` bounds each micro-batch, the first one too.  Needs
+    the Kafka connector on the classpath; ``file_source`` is its twin."""
     r = (spark.readStream.format("kafka")
          .option("kafka.bootstrap.servers", servers)
          .option("subscribe", topic)
-         .option("startingOffsets", "earliest"))
+         .option("startingOffsets", "earliest")
+         .option("maxOffsetsPerTrigger", offsets_per_trigger))
     if group:
         r = r.option("kafka.group.id", group)
-    raw = r.load()
-    parsed = raw.select(F.from_json(F.col("value").cast("string"), value_schema).alias("v"))
-    return with_watermark(
-        parsed.select("v.*").withColumn(
-            "ts", F.timestamp_millis(F.col(ts_field)).cast("timestamp_ntz")), disorder)
+    return r.load()
+
+
+def decode_log(raw: DataFrame, value_schema, ts_field: str, zone: str = L.ZONE,
+               keep: tuple[str, ...] = ()) -> tuple[DataFrame, DataFrame]:
+    """JSON messages (``value``) of any source, batch or streaming, as
+    ``(good, rejected)``.  Good rows hold the fields of ``value_schema`` and
+    ``ts``, the wall time in ``zone`` of the epoch-milliseconds field
+    ``ts_field``; rejected rows hold the raw message and a reason
+    (``not_json``: no JSON object; ``no_time``: the time field is missing or
+    no number).  ``keep`` names columns of ``raw`` to carry along."""
+    parsed = raw.select(*keep, F.col("value").cast("string").alias("_raw")).select(
+        "*", F.inline(F.array(F.struct(F.from_json("_raw", value_schema).alias("_v"),
+                                       F.json_object_keys("_raw").isNotNull().alias("_json")))))
+    reason = (F.when(~F.col("_json"), "not_json")
+              .when(F.col("_v").getField(ts_field).isNull(), "no_time"))
+    judged = parsed.withColumn("_reason", reason)
+    good = judged.where(F.col("_reason").isNull()).select(
+        *keep, "_v.*", tf.local_time(F.col("_v").getField(ts_field), zone).alias("ts"))
+    bad = judged.where(F.col("_reason").isNotNull()).select(
+        *keep, F.col("_raw").alias("value"), F.col("_reason").alias("reason"))
+    return good, bad
+
+
+def log_readings(raw: DataFrame, value_schema, ts_field: str, zone: str = L.ZONE,
+                 disorder: str = f"{L.DISORDER_S} seconds") -> DataFrame:
+    """S2 + W2: the good rows of a log with the bounded-disorder watermark."""
+    return with_watermark(decode_log(raw, value_schema, ts_field, zone)[0], disorder)
 
 
 def with_watermark(df: DataFrame, delay: str = "0 seconds") -> DataFrame:
@@ -73,7 +96,7 @@ def with_watermark(df: DataFrame, delay: str = "0 seconds") -> DataFrame:
     (watermarks need TIMESTAMP; readings keep their wall-clock ``ts``).
     With the processor in time mode ``None`` nothing is dropped as late:
     rows apply in arrival order (W4 ``apply``)."""
-    return (df.withColumn("event_time", F.col("ts").cast("timestamp"))
+    return (df.withColumn("event_time", F.timestamp_micros(tf.micros("ts")))
             .withWatermark("event_time", delay))
 
 
@@ -96,7 +119,9 @@ def episode_changes(actuator: DataFrame, presence: DataFrame, rule_keys: DataFra
         require_rocksdb(bound.sparkSession)
         return bound.groupBy("rule_id", "key").transformWithStateInPandas(
             statefulProcessor=EpisodeProcessor(params), outputStructType=OUTPUT,
-            outputMode="Append", timeMode="EventTime")
+            outputMode="Append", timeMode="EventTime",
+            **({"initialState": initial_state.groupBy("rule_id", "key")}
+               if initial_state is not None else {}))
     if late_policy != "apply":
         raise ValueError(f"late_policy must be 'apply' or 'drop', not {late_policy!r}")
     rows = E.readings(actuator, presence)
@@ -134,7 +159,7 @@ def handover_state(actuator: DataFrame, presence: DataFrame, rule_keys: DataFram
     of alerting twice."""
     lab, chunked = E.labeled(actuator, presence, rule_keys, rules, rows_per_chunk)
     opens = E.transitions(lab, chunked).where(F.col("finish_ts").isNull())
-    st, _ = E.state(actuator, presence, rule_keys, rules.select(*E.PARAMS), rows_per_chunk)
+    st = E.bind_rules(E.readings(actuator, presence), rule_keys, rules)  # no scan: plain maxima
     us = tf.micros
     last = st.groupBy("rule_id", "key").agg(
         F.max(F.when(F.col("src") == E.SRC_ACTUATOR,

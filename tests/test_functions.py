@@ -3,6 +3,7 @@ import datetime as dt
 import numpy as np
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from lampwatch.functions import decode as D
 from lampwatch.functions import timefns as tf
@@ -169,7 +170,81 @@ def test_dimension_completeness(spark):
     rk = spark.createDataFrame([("r", "a"), ("r", "c"), ("r", "a"), ("r", "b")],
                                "rule_id string, key string")
     got = {(r.key, r.reason) for r in dim.missing_keys(dim.sensor_power(d), rk).collect()}
-    assert got == {("c", "missing"), ("a", "duplicate in rule"), ("b", "duplicate in dimension")}
+    assert got == {("c", "missing"), ("a", "duplicate in rule")}
     with pytest.raises(ValueError):
         dim.require_complete(dim.sensor_power(d), rk)
-    assert dim.sensor_power(d).where("_key = 'b'").agg({"power": "min"}).first()[0] == 0.0
+    power = {r._key: r.power for r in dim.sensor_power(d).collect()}
+    assert power == {"a": 10.0, "b": 3.0}  # one row per key
+
+
+def test_parse_time_reads_the_whole_text(spark):
+    good = "2024-01-01 08:00:00"
+    cases = {good: True, good + ".5": True, good + "." + "1" * 400: True, good + ".": False,
+             good + ".1JUNK": False, good + "." + "1" * 199 + "JUNK": False, good + "\n": False,
+             "2024-13-40 08:00:00": False, "2024-01-01 08:00": False}
+    df = spark.createDataFrame([(k,) for k in cases], "t string")
+    got = {r.t: r.v for r in df.select("t", tf.parse_time("t").alias("v")).collect()}
+    assert {k: v is not None for k, v in got.items()} == cases
+    assert got[good + ".5"] == dt.datetime(2024, 1, 1, 8)
+
+
+def test_wall_time_in_a_zone_with_daylight_saving(spark):
+    """No zone rule of the session touches wall times."""
+    old = spark.conf.get("spark.sql.session.timeZone")
+    a, b = dt.datetime(2024, 3, 10, 2, 30), dt.datetime(2024, 3, 10, 3, 30)
+    try:
+        for zone in ("America/New_York", "UTC", "Asia/Shanghai"):
+            spark.conf.set("spark.sql.session.timeZone", zone)
+            df = spark.createDataFrame([(a, b)], "a timestamp_ntz, b timestamp_ntz")
+            r = df.select(tf.duration_s("a", "b").alias("s"), tf.format_time("a").alias("t"),
+                          tf.parse_time(tf.format_time("a")).alias("p"),
+                          tf.wall_time(tf.micros("a")).alias("w"),
+                          tf.local_time(F.lit(1704067200123), "Asia/Shanghai").alias("z")).first()
+            assert (r.s, r.t, r.p, r.w) == (3600, "2024-03-10 02:30:00", a, a)
+            assert r.z == dt.datetime(2024, 1, 1, 8, 0, 0, 123000)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def test_dimension_repeats_and_gaps(spark):
+    """Repeated dimension rows are one sensor; a sensor without a row fails."""
+    import pytest
+
+    from lampwatch.plans import catalog
+    from lampwatch.plans import fixture as fx
+    from lampwatch.operators import episodes as E
+    from tests.conftest import SF_SMALL as sf
+
+    d = fx.dimension(spark, sf)
+    args = (fx.actuator(spark, sf), fx.presence(spark, sf), fx.rule_keys(spark, sf, ["time_only"]),
+            fx.rules(spark, ["time_only"]))
+    once = E.episodes(*args, d).agg(F.count("*"), F.round(F.sum("carbon_emissions"), 6)).first()
+    twice = E.episodes(*args, d.unionByName(d)).agg(F.count("*"), F.round(F.sum("carbon_emissions"), 6)).first()
+    assert once == twice
+    with pytest.raises(Exception, match="missing in the dimension"):
+        E.episodes(*args, d.where("false")).select("carbon_emissions").collect()
+
+
+def test_checkpoint_root_fails_on_a_cluster():
+    import pytest
+
+    from lampwatch.session import checkpoint_root
+
+    class Conf:
+        def get(self, *a):
+            return None
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+        def getConf(self):
+            return Conf()
+
+    class Session:
+        sparkContext, conf = Context(), Conf()
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        checkpoint_root(Session())

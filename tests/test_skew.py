@@ -2,9 +2,12 @@
 chunk threshold forced down to a few rows every sensor is cut into time
 chunks and every running scan goes through the carry rows."""
 
+import datetime as dt
+from collections import Counter
+
 import pytest
 
-from lampwatch.operators import scan
+from lampwatch.operators import joins, scan
 from lampwatch.plans.verify import compare, duck
 from tests.conftest import SF_SMALL
 
@@ -29,16 +32,75 @@ def test_chunked_matches_oracle(results, name):
     assert r["rows"] == r["oracle_rows"] and r["values_match"], r
 
 
-def test_split_fold_equals_exact_fold(spark):
+def test_fold_is_exact_at_any_depth(spark):
+    """The weighted sum equals the sequential fold, also for groups longer
+    than the ranking depth and for depths that tasks can cut at."""
+    import random
+
     from lampwatch.operators import presence as A
-    from lampwatch.plans import fixture as fx
-
-    p = fx.presence(spark, SF_SMALL)
-    exact = {(r.key, r.window_start): r for r in A.tumbling(p, "1 day").collect()}
-    split = {(r.key, r.window_start): r for r in A.tumbling(p, "1 day", 2).collect()}
-    assert exact.keys() == split.keys()
-    assert any(r.n > 2 for r in exact.values())
-    for k, x in exact.items():
-        y = split[k]
-        assert (x.ts, x.occupied, x.n) == (y.ts, y.occupied, y.n)
-        assert y.lux == pytest.approx(x.lux, rel=1e-12)
+
+    pick = random.Random(4)
+    t0 = dt.datetime(2024, 1, 1)
+    rows, want = [], {}
+    for key, n in (("a", 1), ("b", 2), ("c", 50), ("d", 5000)):
+        lux = [round(pick.uniform(0, 500), 2) for _ in range(n)]
+        acc = lux[0]
+        for x in lux[1:]:
+            acc = (x + acc) / 2
+        want[key] = (round(acc, 6), n)
+        rows += [(key, t0 + dt.timedelta(milliseconds=100 * i), i, False, x) for i, x in enumerate(lux)]
+    pick.shuffle(rows)
+    df = spark.createDataFrame(rows, "key string, ts timestamp_ntz, id long, occupied boolean, lux double")
+    got = {r.key: (r.lux, r.n) for r in A.tumbling(df, "1 day").collect()}
+    assert got == want
+
+
+def _burst(spark):
+    """10,000 rows of one key, all but two within ten seconds; a cold key."""
+    t0 = dt.datetime(2024, 1, 1)
+    rows = [("hot", t0, 0), ("hot", t0 + dt.timedelta(days=30), 1)]
+    rows += [("hot", t0 + dt.timedelta(days=3, milliseconds=i), 2 + i) for i in range(9998)]
+    rows += [("cold", t0, -1)]
+    return spark.createDataFrame(rows, "key string, ts timestamp_ntz, id long")
+
+
+def test_burst_is_cut(spark):
+    out, cut = scan.assign_chunks(_burst(spark), "key", "ts", 100)
+    assert cut
+    rows = sorted((r.key, r.ts, r.chunk) for r in out.collect())
+    assert [c for k, _, c in rows if k == "cold"] == [0]
+    hot = [c for k, _, c in rows if k == "hot"]
+    assert hot == sorted(hot)                       # numbers rise in time
+    assert max(Counter(hot).values()) <= 200
+
+
+def test_one_timestamp_stays_whole(spark):
+    t0 = dt.datetime(2024, 1, 1)
+    rows = [("k", t0, i) for i in range(500)] + [("k", t0 + dt.timedelta(seconds=1), 900)]
+    df = spark.createDataFrame(rows, "key string, ts timestamp_ntz, id long")
+    out, _ = scan.assign_chunks(df, "key", "ts", 10)
+    assert sorted(Counter(r.chunk for r in out.collect()).values()) == [1, 500]
+
+
+def test_hot_question_is_asked_anew(spark, tmp_path):
+    """A table that grows under the same path is seen by the next call."""
+    t0 = dt.datetime(2024, 1, 1)
+    path = str(tmp_path / "t")
+    for n, hot in ((5, False), (500, True)):
+        spark.createDataFrame([("k", t0 + dt.timedelta(seconds=i), i) for i in range(n)],
+                              "key string, ts timestamp_ntz, id long").write.mode("append").parquet(path)
+        df = spark.read.parquet(path)
+        assert scan.assign_chunks(df, "key", "ts", 10)[1] == hot
+        assert joins.fits_broadcast(df, 100) != hot
+
+
+def test_hot_sensor_behind_a_large_key_list(spark, monkeypatch):
+    """Beyond the broadcast bound the key list is joined before the rows are
+    dealt by (sensor, chunk); answers stay the same."""
+    from lampwatch.plans import catalog
+
+    want = sorted(map(str, catalog.episodes_by_rule(spark, SF_SMALL).collect()))
+    monkeypatch.setattr(scan, "ROWS_PER_CHUNK", 5)
+    monkeypatch.setattr("lampwatch.operators.episodes.fits_broadcast", lambda *a: False)
+    df = catalog.episodes_by_rule(spark, SF_SMALL)
+    assert sorted(map(str, df.collect())) == want

@@ -27,12 +27,12 @@ def test_stream_restart_equals_batch(spark):
     act, pre = fx.actuator(spark, sf), fx.presence(spark, sf)
     edges = ST._edges(act.select("ts").unionByName(pre.select("ts")), 6)
     rules = fx.rules(spark)
-    rk = fx.rule_keys(spark, sf, rules)
+    rk = fx.rule_keys(spark, sf)
     d = dim.sensor_power(fx.dimension(spark, sf))
 
     def run():
-        a = J.with_watermark(J.file_source(spark, f"{root}/in/a", schemas.ACTUATOR))
-        p = J.with_watermark(J.file_source(spark, f"{root}/in/p", schemas.PRESENCE))
+        a = J.with_watermark(J.file_source(spark, f"{root}/in/a", schemas.ACTUATOR, files_per_trigger=ST.FILES))
+        p = J.with_watermark(J.file_source(spark, f"{root}/in/p", schemas.PRESENCE, files_per_trigger=ST.FILES))
         recs = J.episode_records(J.episode_changes(a, p, rk, rules), rules, d)
         q = J.start(recs, f"{root}/out", f"{root}/ckpt", rules)
         q.awaitTermination()
@@ -61,7 +61,7 @@ def test_sink_replay_is_idempotent(spark):
     root = scratch_path(spark, "test-sink")
     rules = fx.rules(spark, ["time_only"])
     eps = E.episodes(fx.actuator(spark, sf), fx.presence(spark, sf),
-                     fx.rule_keys(spark, sf, rules), rules,
+                     fx.rule_keys(spark, sf, ["time_only"]), rules,
                      dim.sensor_power(fx.dimension(spark, sf)))
     batch = E.changelog(eps).withColumn("row_ts", F.coalesce("finish_ts", "open_ts"))
     sink = J.batch_sink(f"{root}/out", rules)
@@ -81,10 +81,10 @@ def test_drop_late_policy_on_ordered_input(spark):
     ST.write_slices(act, f"{root}/in/a", edges)
     ST.write_slices(pre, f"{root}/in/p", edges)
     rules = fx.rules(spark)
-    rk = fx.rule_keys(spark, sf, rules)
+    rk = fx.rule_keys(spark, sf)
     d = dim.sensor_power(fx.dimension(spark, sf))
-    a = J.with_watermark(J.file_source(spark, f"{root}/in/a", schemas.ACTUATOR))
-    p = J.with_watermark(J.file_source(spark, f"{root}/in/p", schemas.PRESENCE))
+    a = J.with_watermark(J.file_source(spark, f"{root}/in/a", schemas.ACTUATOR, files_per_trigger=ST.FILES))
+    p = J.with_watermark(J.file_source(spark, f"{root}/in/p", schemas.PRESENCE, files_per_trigger=ST.FILES))
     recs = J.episode_records(J.episode_changes(a, p, rk, rules, late_policy="drop"), rules, d)
     q = J.start(recs, f"{root}/out", f"{root}/ckpt", rules)
     q.awaitTermination()
