@@ -39,16 +39,18 @@ def channel(db: int | str, cube_id: Column | str, project_id: Column | str) -> C
                     tf.col(project_id).cast("string"), F.lit(L.CHANNEL_SUFFIX))
 
 
-def publish_envelope(records: DataFrame, source_id: Column | str) -> DataFrame:
+def publish_envelope(records: DataFrame, source_id: Column | str,
+                     keep: tuple[str, ...] = ()) -> DataFrame:
     """K4: every record (open and finished) as
     ``{item:{key,sourceId,value,timestamp},key,time}``; ``timestamp`` is the
-    episode start in epoch milliseconds."""
+    episode start in epoch milliseconds.  ``keep`` names columns of the
+    records to carry along."""
     src = F.col(source_id) if isinstance(source_id, str) else source_id
     item = F.struct(F.col("sensor_key").alias("key"), src.alias("sourceId"),
                     cube_struct(records).alias("value"),
                     tf.wall_ms("start_ts").alias("timestamp"))
     env = F.struct(item.alias("item"), F.col("sensor_key").alias("key"), F.col("time"))
-    return records.select("rule_id", "sensor_key", "open_ts", "is_finish",
+    return records.select("rule_id", "sensor_key", "open_ts", "is_finish", *keep,
                           F.to_json(env).alias("value"))
 
 

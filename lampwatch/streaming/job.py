@@ -2,10 +2,11 @@
 T1-T3, T6), sinks (K1-K4 via ``foreachBatch``) and the checkpoint and
 trigger settings (W3).
 
-Plan: two reading streams -> tag + union (J1) -> static rule keys and
-rule parameters (broadcast) -> ``groupBy(rule_id, key)`` stateful
-processor -> static power dimension -> episode columns -> ``foreachBatch``.
-One shuffle by ``(rule_id, key)``; state is one small row per sensor.
+Plan: two reading streams -> tag + union (J1) -> the sensor's list of rules
+(static) -> ``groupBy(key)`` stateful function -> static power dimension ->
+episode columns -> ``foreachBatch``.  One shuffle of each reading, by sensor;
+state is one small row per sensor.  Runs that take an initial state or drop
+late rows use the processor per ``(rule_id, key)``.
 """
 
 from __future__ import annotations
@@ -19,8 +20,10 @@ from lampwatch import schemas
 from lampwatch.functions import shapes as S
 from lampwatch.functions import timefns as tf
 from lampwatch.operators import episodes as E
-from lampwatch.streaming.processor import (INITIAL, INPUT_COLUMNS, OUTPUT, SENSOR_STATE,
-                                           EpisodeProcessor, rule_params, sensor_group_fn)
+from lampwatch.operators.joins import small_join
+from lampwatch.streaming.processor import (INITIAL, INPUT_COLUMNS, OUTPUT, RULE_SEP,
+                                           SENSOR_COLUMNS, SENSOR_STATE, EpisodeProcessor,
+                                           rule_params, sensor_group_fn)
 
 # Trigger and checkpoint cadence of a live run
 LIVE_TRIGGER = "10 seconds"
@@ -125,13 +128,19 @@ def episode_changes(actuator: DataFrame, presence: DataFrame, rule_keys: DataFra
     if late_policy != "apply":
         raise ValueError(f"late_policy must be 'apply' or 'drop', not {late_policy!r}")
     rows = E.readings(actuator, presence)
-    bound = E.bind_rules(rows, rule_keys, rules).select(*INPUT_COLUMNS)
     if initial_state is None:
-        # grouped by sensor: one call serves every rule of the sensor, and
-        # the group state travels with the rows (no per-key round trip)
-        return bound.groupBy("key").applyInPandasWithState(
-            sensor_group_fn(params), outputStructType=OUTPUT,
-            stateStructType=SENSOR_STATE, outputMode="append", timeoutConf="NoTimeout")
+        # grouped by sensor: a reading is shuffled once, with the list of the
+        # rules that read its sensor (as many as there are rules at most);
+        # one call serves them all, and the group state travels with the rows
+        listed = (rule_keys.select(F.col("key").cast("string").alias("key"), "rule_id")
+                  .join(F.broadcast(rules.select("rule_id")), "rule_id").distinct()
+                  .groupBy("key").agg(F.array_join(F.array_sort(F.collect_list("rule_id")), RULE_SEP)
+                                      .alias("rules")))
+        return (small_join(rows, listed, "key").select(*SENSOR_COLUMNS)
+                .groupBy("key").applyInPandasWithState(
+                    sensor_group_fn(params), outputStructType=OUTPUT,
+                    stateStructType=SENSOR_STATE, outputMode="append", timeoutConf="NoTimeout"))
+    bound = E.bind_rules(rows, rule_keys, rules).select(*INPUT_COLUMNS)
     require_rocksdb(bound.sparkSession)
     return bound.groupBy("rule_id", "key").transformWithStateInPandas(
         statefulProcessor=EpisodeProcessor(params), outputStructType=OUTPUT,
@@ -189,7 +198,7 @@ def batch_sink(out_dir: str, rules: DataFrame, db: int = 0):
     (restart after a failure) rewrites the same files: idempotent.
 
     * ``changelog``: every record;
-    * ``table`` (K2): finished episodes as table rows;
+    * ``table`` (K2): finished episodes as table rows, by project and date;
     * ``alerts`` (K3): one alert per opened episode;
     * ``publish`` (K4): every record as a publish envelope with its
       channel (a Kafka sink takes ``channel`` as topic, ``key``, ``value``)."""
@@ -199,14 +208,15 @@ def batch_sink(out_dir: str, rules: DataFrame, db: int = 0):
             part = f"batch_id={batch_id}"
             batch.write.mode("overwrite").parquet(f"{out_dir}/changelog/{part}")
             done = batch.where(F.col("is_finish"))
-            S.cube_rows(done).write.mode("overwrite").parquet(f"{out_dir}/table/{part}")
+            (S.cube_rows(done).withColumn("date", F.substring("time", 1, 10))
+             .write.mode("overwrite").partitionBy("project_id", "date")
+             .parquet(f"{out_dir}/table/{part}"))
             S.alert_outbox(batch.where(~F.col("is_finish")), rules).write.mode(
                 "overwrite").parquet(f"{out_dir}/alerts/{part}")
             r = rules.select("rule_id", "table_id",
                              S.channel(db, "table_id", "project_id").alias("channel"))
-            env = S.publish_envelope(batch.join(F.broadcast(r), "rule_id"), "table_id")
-            env.join(F.broadcast(r.select("rule_id", "channel")), "rule_id").select(
-                "channel", F.col("sensor_key").alias("key"), "value").write.mode(
+            env = S.publish_envelope(batch.join(F.broadcast(r), "rule_id"), "table_id", ("channel",))
+            env.select("channel", F.col("sensor_key").alias("key"), "value").write.mode(
                 "overwrite").json(f"{out_dir}/publish/{part}")
         finally:
             batch.unpersist()

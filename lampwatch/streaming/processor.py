@@ -76,9 +76,15 @@ def _none(v):
 
 PARAMS = ["strategy", "on_level", "hour_start", "minute_start", "hour_end", "minute_end",
           "quiet_s", "settle_s", "warmup_s", "program_start"]
+SRC_ACTUATOR = 0
 INPUT_COLUMNS = ["rule_id", "key", "ts", "src", "id", "level", "occupied", "lux"]
 
 
+# per sensor: one row per reading, with the sorted ids of the rules that list the sensor
+SENSOR_COLUMNS = ["rules", *INPUT_COLUMNS[1:]]
+RULE_SEP = "\x1f"
+
+
 def rule_params(rules) -> dict:
     """``rule_id -> parameters`` of a (configuration-sized) rules table,
     held by the driver and shipped with the processor."""
@@ -216,13 +222,18 @@ def _dump(states: dict) -> tuple:
 
 
 def step_rules(batch: pd.DataFrame, states: dict, sensor: str, params: dict) -> list:
-    """Every rule's step for one sensor's micro-batch (rows carry
-    ``rule_id``); updates ``states`` in place, returns the output rows."""
+    """Every rule's step for one sensor's micro-batch (rows carry the list of
+    the sensor's rules); updates ``states`` in place, returns the output
+    rows."""
     out = []
-    rule_ids = batch["rule_id"].to_numpy(dtype=object)
-    present = pd.unique(rule_ids)
-    for rule_id in present:
-        rows = batch if len(present) == 1 else batch[rule_ids == rule_id]
+    act = batch["src"].to_numpy() == SRC_ACTUATOR
+    for rule_id in batch["rules"].iloc[0].split(RULE_SEP):
+        if params[rule_id]["strategy"] != L.TIME_ONLY:
+            rows = batch
+        elif act.any():  # this strategy reads no presence
+            rows = batch if act.all() else batch[act]
+        else:
+            continue
         o, states[rule_id] = step(rows, states.get(rule_id), rule_id, sensor, params[rule_id])
         out.extend(o)
     return out
