@@ -10,6 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lampwatch import labels as L
 from lampwatch.functions import decode as D
@@ -36,7 +37,7 @@ ALERT_START_S = 1704240000  # 2024-01-03 00:00:00 UTC, epoch seconds (F9 scales
 
 EPISODE_COLUMNS = ["rule_id", "sensor_key", "strategy", "open_ts", "start_ts", "finish_ts",
                    "is_finish", "duration", "carbon_emissions", "carbon_unit", "type",
-                   "system", "message", "measure", "time"]
+                   "system", "message", "measure", "time", "origin_data"]
 
 
 # --- S1 S3 S4 S5 --------------------------------------------------------------
@@ -217,9 +218,20 @@ CALENDAR = ["time_year", "time_month", "time_day", "time_hour", "time_minute", "
 
 
 def cube_rows(spark, sf):
-    return S.cube_rows(episodes_for(spark, sf)).select(
+    rows = S.cube_rows(episodes_for(spark, sf))
+    fields = [f for f in rows.schema.fields if f.name in S.CUBE_FIELDS]
+    again = F.from_json("cube_json", T.StructType(fields))  # the JSON holds every field of the row
+    return rows.select(
         "rule_id", "open_ts", "_key", "time", *CALENDAR, "type", "system", "sensor_key",
-        "strategy", "carbon_emissions", "message", "duration", "measure")
+        "strategy", "carbon_emissions", "origin_data", "message", "duration", "measure",
+        (F.struct(*[F.col(f.name) for f in fields]) == again).alias("json_equal"))
+
+
+_VALUE = ", ".join(
+    f"{f}: " + ("int" if f in CALENDAR else "bigint" if f == "duration"
+                else "double" if f == "carbon_emissions" else "string") for f in S.CUBE_FIELDS)
+ENVELOPE = (f"item struct<key: string, sourceId: string, value: struct<{_VALUE}>, timestamp: bigint>, "
+            "key string, time string")
 
 
 def publish_envelope(spark, sf):
@@ -227,16 +239,15 @@ def publish_envelope(spark, sf):
     records = E.changelog(episodes_for(spark, sf)).join(
         F.broadcast(rules.select("rule_id", "table_id")), "rule_id")
     env = S.publish_envelope(records, "table_id")
-    j = F.col("value")
-    return env.select(
+    # parsed once, behind a generator (see functions/decode.py), every field read back
+    e = env.select("rule_id", "sensor_key", "open_ts", "is_finish",
+                   F.inline(F.array(F.struct(F.from_json("value", ENVELOPE).alias("e")))))
+    return e.select(
         "rule_id", "sensor_key", "open_ts", "is_finish",
-        F.get_json_object(j, "$.key").alias("env_key"),
-        F.get_json_object(j, "$.time").alias("env_time"),
-        F.get_json_object(j, "$.item.key").alias("item_key"),
-        F.get_json_object(j, "$.item.sourceId").alias("source_id"),
-        F.get_json_object(j, "$.item.timestamp").cast("bigint").alias("ts_ms"),
-        F.get_json_object(j, "$.item.value.duration").cast("bigint").alias("value_duration"),
-        F.get_json_object(j, "$.item.value.time_week").cast("int").alias("value_week"))
+        F.col("e.key").alias("env_key"), F.col("e.time").alias("env_time"),
+        F.col("e.item.key").alias("item_key"), F.col("e.item.sourceId").alias("source_id"),
+        F.col("e.item.timestamp").alias("ts_ms"),
+        *[F.col(f"e.item.value.{f}").alias(f"value_{f.lstrip('_')}") for f in S.CUBE_FIELDS])
 
 
 def alert_outbox(spark, sf):
@@ -249,7 +260,10 @@ def alert_outbox(spark, sf):
         F.get_json_object(b, "$.sender.name").alias("sender_name"),
         F.get_json_object(b, "$.parameters.message").alias("message"),
         F.get_json_object(b, "$.parameters.datetime").alias("datetime"),
-        F.json_array_length(F.get_json_object(b, "$.receivers")).alias("n_receivers"))
+        F.get_json_object(b, "$.receivers").alias("receivers"),
+        F.get_json_object(b, "$.sender.type").alias("sender_type"),
+        F.get_json_object(b, "$.sender.id").alias("sender_id"),
+        F.get_json_object(b, "$.parameters.name").alias("alert_name"))
 
 
 # --- A1-A4 F12 T7 T8 P12 K5 --------------------------------------------------------

@@ -7,6 +7,8 @@ same semantics.  Column names equal the Spark queries'.
 
 from __future__ import annotations
 
+import json
+
 from lampwatch import labels as L
 from lampwatch.plans import fixture as fx
 
@@ -233,6 +235,20 @@ FROM st WHERE src = 1
 # --- T1-T5 ----------------------------------------------------------------------
 
 
+def _evidence(strategy: str) -> str:
+    """The evidence JSON as text, field by field."""
+    stamp = "'%Y-%m-%d %H:%M:%S'"
+    act = ("'{\"OpeningAperture\":{\"Key\":\"' || e.key || '\",\"Time\":\"' || "
+           f"strftime(e.a_ts, {stamp}) || '\",\"OpeningAperture\":' || CAST(e.a_level AS VARCHAR) || '}}'")
+    if strategy == L.TIME_ONLY:
+        return f"{act} || '}}'"
+    if strategy == L.SENSOR_ONLY:
+        return f"{act} || ',\"Occupancy\":\"[]\"}}'"
+    return (f"{act} || ',\"Occupancy\":{{\"Key\":\"' || e.key || '\",\"Time\":\"' || "
+            f"strftime(e.ts, {stamp}) || '\",\"Occupancy\":' || CAST(e.occupied AS VARCHAR) || "
+            f"',\"Lux\":' || CAST(e.lux AS VARCHAR) || '}}}}'")
+
+
 def _episodes_cte(name: str) -> str:
     """CTE body (no WITH) producing the episode rows of one fixture rule."""
     r = _rule(name)
@@ -280,7 +296,8 @@ def _episodes_cte(name: str) -> str:
               ELSE CAST(0 AS DOUBLE) END AS carbon_emissions,
          CASE WHEN e.finish_ts IS NOT NULL THEN '{L.CARBON_UNIT}' END AS carbon_unit,
          '{typ}' AS type, '{L.SYSTEM}' AS system, {msg} AS message,
-         '{L.MEASURE}' AS measure, strftime(e.start_ts, '%Y-%m-%d %H:%M:%S') AS time
+         '{L.MEASURE}' AS measure, strftime(e.start_ts, '%Y-%m-%d %H:%M:%S') AS time,
+         {_evidence(s)} AS origin_data
   FROM {name}_ep e LEFT JOIN dim d ON d._key = e.key
   WHERE e.lab = 'O')"""
 
@@ -325,31 +342,37 @@ _SAT = "(CAST(start_ts AS DATE) + CAST(6 - dayofweek(start_ts) AS INTEGER))"
 CUBE_ROWS = f"""
 WITH eps AS ({EPISODES_ALL})
 SELECT rule_id, open_ts, sensor_key AS _key, time, {_calendar('start_ts')}, type, system,
-       sensor_key, strategy, carbon_emissions, message, duration, measure
+       sensor_key, strategy, carbon_emissions, origin_data, message, duration, measure,
+       true AS json_equal
 FROM eps WHERE is_finish
 """
 
 PUBLISH_ENVELOPE = f"""
 WITH eps AS ({EPISODES_ALL}),
 cl AS (
-  SELECT rule_id, sensor_key, open_ts, false AS is_finish, start_ts, time,
-         CAST(NULL AS BIGINT) AS duration FROM eps
+  SELECT * REPLACE (false AS is_finish, CAST(NULL AS BIGINT) AS duration,
+                    CAST(0 AS DOUBLE) AS carbon_emissions) FROM eps
   UNION ALL
-  SELECT rule_id, sensor_key, open_ts, true AS is_finish, start_ts, time, duration
-  FROM eps WHERE is_finish)
+  SELECT * FROM eps WHERE is_finish)
 SELECT rule_id, sensor_key, open_ts, is_finish, sensor_key AS env_key, time AS env_time,
        sensor_key AS item_key, '{fx.RULES['time_only']['table_id']}' AS source_id,
-       (epoch_us(start_ts) // 1000) AS ts_ms, coalesce(duration, 0) AS value_duration,
-       CAST((dayofyear({_SAT}) + 6) // 7 AS INTEGER) AS value_week
+       (epoch_us(start_ts) // 1000) AS ts_ms, sensor_key AS value_key, time AS value_time,
+       {_calendar('start_ts', 'value_time_')}, type AS value_type, system AS value_system,
+       sensor_key AS value_sensor_key, strategy AS value_strategy,
+       carbon_emissions AS value_carbon_emissions, origin_data AS value_origin_data,
+       message AS value_message, coalesce(duration, 0) AS value_duration, measure AS value_measure
 FROM cl
 """
 
+_RECEIVERS = json.dumps(fx.RECEIVERS, ensure_ascii=False, separators=(",", ":"))
+
 ALERT_OUTBOX = f"""
 WITH eps AS ({EPISODES_ALL})
 SELECT rule_id, sensor_key, open_ts, '{fx.RULES['time_only']['template_id']}' AS template_id,
        '{L.PRIORITY}' AS priority, '{L.SENDER_NAME}' AS sender_name,
        '{L.ALERT_TEXT_PREFIX}' || sensor_key || '{L.ALERT_TEXT_SUFFIX}' AS message,
-       time AS datetime, {len(fx.RECEIVERS)} AS n_receivers
+       time AS datetime, '{_RECEIVERS}' AS receivers, '{L.SENDER_TYPE}' AS sender_type,
+       '{L.SENDER_ID}' AS sender_id, '{L.ALERT_NAME}' AS alert_name
 FROM eps
 """
 
