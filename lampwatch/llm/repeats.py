@@ -14,7 +14,7 @@ is removed.  Windows are judged on the input.
    row, 128 MB for both rows, whatever the input's size.  A window whose two
    cells are not both set occurs once and is dropped where it is read; the
    sketch only overestimates, so no repeated window is lost.  The others get
-   a 128-bit digest of their words and are grouped exactly.  Each task first
+   a 96-bit digest of their words and are grouped exactly.  Each task first
    combines: of the documents it holds with a window, only the smallest goes
    on, the others are already decided.  A passage in a third of all
    documents so reaches its group once per task.
@@ -53,6 +53,9 @@ STRIPE_CELLS = 1 << 22
 PARTIAL_WINDOWS = 1 << 22
 COMBINED_WINDOWS = 1 << 20
 RUN_CHARS = 1_500_000
+#: bits kept of a digest's second half: 96 in all, at which 10^13 different
+#: windows are expected to hold 0.001 pairs that share one
+DIGEST_LOW = (1 << 32) - 1
 #: stands for a null id
 LAST_ID = (1 << 63) - 1
 
@@ -219,14 +222,15 @@ def candidates(docs: DataFrame, bits: np.ndarray, cells: int) -> DataFrame:
         import pyarrow as pa
         from xxhash import xxh3_128_digest
 
-        from lampwatch.llm.repeats import COMBINED_WINDOWS, LAST_ID, WINDOW, cells_of, combined, window_hashes
+        from lampwatch.llm.repeats import (COMBINED_WINDOWS, DIGEST_LOW, LAST_ID, WINDOW, cells_of,
+                                           combined, window_hashes)
         table = np.frombuffer(shared.value, np.uint8).reshape(2, -1)
         digests, docs_, places = [], [], []
         held = 0
 
         def rows():
             raw = np.frombuffer(b"".join(digests), "<i8").reshape(-1, 2)
-            cols = combined(raw[:, 0], raw[:, 1], np.concatenate(docs_), np.concatenate(places))
+            cols = combined(raw[:, 0], raw[:, 1] & DIGEST_LOW, np.concatenate(docs_), np.concatenate(places))
             return pa.RecordBatch.from_arrays([pa.array(c) for c in cols],
                                               names=["h1", "h2", "doc_id", "place"])
 
