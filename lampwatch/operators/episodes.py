@@ -186,7 +186,7 @@ def labeled(actuator: DataFrame, presence: DataFrame, rule_keys: DataFrame,
 def episodes(actuator: DataFrame, presence: DataFrame, rule_keys: DataFrame,
              rules: DataFrame, dim: DataFrame,
              rows_per_chunk: int | None = None) -> DataFrame:
-    """One row per episode of every rule (see ``schemas.EPISODE``), plus
+    """One row per episode of every rule (the columns that ``finish`` builds), plus
     ``open_id`` (id of the triggering reading), ``project_id`` and the
     JSON evidence ``origin_data``."""
     lab, chunked = labeled(actuator, presence, rule_keys, rules, rows_per_chunk)

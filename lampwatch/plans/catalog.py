@@ -360,6 +360,7 @@ QUERIES: dict[str, Query] = {
     "stream_episodes_by_rule": ST.stream_episodes_by_rule,
     "stream_handover": ST.stream_handover,
     "stream_handover_drop": ST.stream_handover_drop,
+    "stream_snapshot_seeded": ST.stream_snapshot_seeded,
     "stream_log": ST.stream_log,
     "stream_alert_suppressed": ST.stream_alert_suppressed,
 }

@@ -302,17 +302,29 @@ def _episodes_cte(name: str) -> str:
   WHERE e.lab = 'O')"""
 
 
-def episodes_sql(names) -> str:
+def episodes_sql(names, act: str = ACT, pre: str = PRE) -> str:
     names = list(names)
     body = ",".join(_episodes_cte(n) for n in names)
     union = "\nUNION ALL\n".join(f"SELECT * FROM {n}_out" for n in names)
-    return f"WITH {ACT}, {PRE}, {DIM}, {WL},{body}\n{union}\n"
+    return f"WITH {act}, {pre}, {DIM}, {WL},{body}\n{union}\n"
 
 
 EPISODES_ALL = episodes_sql(fx.RULES)
 
-EPISODE_CHANGELOG = f"""
-WITH eps AS ({EPISODES_ALL})
+
+
+def _seeded(cte: str) -> str:
+    """The input as known from a snapshot at the cut: the latest row per
+    sensor before it, all rows from it on."""
+    name = cte[:3]
+    return (f"{name}_all{cte[3:]}, {name} AS (SELECT * EXCLUDE (rn) FROM (SELECT *, row_number() OVER "
+            f"(PARTITION BY key ORDER BY ts DESC, id DESC) AS rn FROM {name}_all WHERE ts < {CUT}) "
+            f"WHERE rn = 1 UNION ALL SELECT * FROM {name}_all WHERE ts >= {CUT})")
+
+
+def changelog_sql(episodes: str) -> str:
+    return f"""
+WITH eps AS ({episodes})
 SELECT rule_id, sensor_key, open_ts, false AS is_finish, open_ts AS row_ts, 'alert' AS route,
        CAST(NULL AS BIGINT) AS duration, CAST(0 AS DOUBLE) AS carbon_emissions FROM eps
 UNION ALL
@@ -321,6 +333,10 @@ SELECT rule_id, sensor_key, open_ts, true AS is_finish, finish_ts AS row_ts, 'ta
 """
 
 
+EPISODE_CHANGELOG = changelog_sql(EPISODES_ALL)
+STREAM_SNAPSHOT_SEEDED = changelog_sql(episodes_sql(fx.RULES, _seeded(ACT), _seeded(PRE)))
+
+
 def _calendar(ts: str, prefix: str = "time_") -> str:
     sat = f"(CAST({ts} AS DATE) + CAST(6 - dayofweek({ts}) AS INTEGER))"
     return (f"year({ts}) AS {prefix}year, month({ts}) AS {prefix}month, "
@@ -565,6 +581,7 @@ SQL: dict[str, str] = {
     "stream_episodes_by_rule": EPISODE_CHANGELOG,
     "stream_handover": EPISODE_CHANGELOG,
     "stream_handover_drop": EPISODE_CHANGELOG,
+    "stream_snapshot_seeded": STREAM_SNAPSHOT_SEEDED,
     "stream_log": STREAM_LOG,
     "stream_alert_suppressed": ALERT_SUPPRESSED,
 }

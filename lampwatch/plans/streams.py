@@ -79,9 +79,12 @@ def stream_episodes_by_rule(spark: SparkSession, sf: str) -> DataFrame:
     return _with_route(out).select(*CHANGELOG_COLUMNS)
 
 
-def stream_handover(spark: SparkSession, sf: str, late_policy: str = "apply") -> DataFrame:
+def stream_handover(spark: SparkSession, sf: str, late_policy: str = "apply",
+                    snapshot: bool = False) -> DataFrame:
     """Batch backfill up to the cut, its final state handed to a live
-    stream over the rest; backfill changelog + stream output."""
+    stream over the rest; backfill changelog + stream output.  With
+    ``snapshot`` only the latest row per sensor and input is known of the
+    time before the cut (S1)."""
     root = scratch_path(spark, "stream-handover")
     act, pre = fx.actuator(spark, sf), fx.presence(spark, sf)
     cut = F.lit(HANDOVER_CUT).cast("timestamp_ntz")
@@ -91,8 +94,11 @@ def stream_handover(spark: SparkSession, sf: str, late_policy: str = "apply") ->
     rk = fx.rule_keys(spark, sf)
     dim_df = dim.sensor_power(fx.dimension(spark, sf))
 
+    if snapshot:
+        a0, p0, state = J.seed_from_snapshot(a0, p0, rk, rules)
+    else:
+        state = J.handover_state(a0, p0, rk, rules)
     backfill = E.changelog(E.episodes(a0, p0, rk, rules, dim_df))
-    state = J.handover_state(a0, p0, rk, rules)
     state_path = f"{root}/state"
     state.write.parquet(state_path)   # cut lineage: the live run reads a table
     edges = _edges(a1.select("ts").unionByName(p1.select("ts")), N_SLICES)
@@ -110,6 +116,11 @@ def stream_handover_drop(spark: SparkSession, sf: str) -> DataFrame:
     return stream_handover(spark, sf, "drop")
 
 
+def stream_snapshot_seeded(spark: SparkSession, sf: str) -> DataFrame:
+    """S1, streaming form: a live run seeded by the snapshot at the cut."""
+    return stream_handover(spark, sf, snapshot=True)
+
+
 def stream_log(spark: SparkSession, sf: str) -> DataFrame:
     """S2 + W2: log messages as files, out of order within the allowed
     disorder, decoded and watermarked on the fly; the rows that come out."""

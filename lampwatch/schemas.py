@@ -45,12 +45,6 @@ RULES = T.StructType([
     T.StructField("warmup_s", T.IntegerType()),
 ])
 
-# raw message as it arrives from a log / pub-sub transport
-RAW_MESSAGE = T.StructType([
-    T.StructField("msg_id", T.LongType()),
-    T.StructField("value", T.StringType()),
-])
-
 # decoded JSON payloads; numbers are read as DOUBLE so that a non-number
 # decodes to NULL for that field only
 PRESENCE_JSON = T.StructType([
@@ -75,22 +69,3 @@ ACTUATOR_JSON = T.StructType([
         ])),
     ])),
 ])
-
-# one episode row (open or finished); see README for the field meaning
-EPISODE = T.StructType([
-    T.StructField("rule_id", T.StringType()),
-    T.StructField("sensor_key", T.StringType()),
-    T.StructField("strategy", T.StringType()),
-    T.StructField("open_ts", T.TimestampNTZType()),
-    T.StructField("start_ts", T.TimestampNTZType()),
-    T.StructField("finish_ts", T.TimestampNTZType()),
-    T.StructField("is_finish", T.BooleanType()),
-    T.StructField("duration", T.LongType()),
-    T.StructField("carbon_emissions", T.DoubleType()),
-    T.StructField("carbon_unit", T.StringType()),
-    T.StructField("type", T.StringType()),
-    T.StructField("system", T.StringType()),
-    T.StructField("message", T.StringType()),
-    T.StructField("measure", T.StringType()),
-    T.StructField("time", T.StringType()),
-])

@@ -8,18 +8,14 @@ table instead.
 
 from __future__ import annotations
 
+import warnings
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lampwatch import labels as L
 from lampwatch import schemas
 
-PARAM_COLUMNS = [
-    "rule_id", "project_id", "strategy", "hour_start", "minute_start",
-    "hour_end", "minute_end", "factor", "template_id", "receivers", "table_id",
-    "program_start", "on_level", "quiet_s", "settle_s", "warmup_s",
-]
-
 
 class RuleError(ValueError):
     """A rule or its sensor list is inconsistent; raised before any job."""
@@ -80,12 +76,17 @@ def overnight(rules: DataFrame) -> DataFrame:
 
 
 def validated(rules: DataFrame) -> DataFrame:
-    """Normalized rules; raises :class:`RuleError` on the first problem.
-    Rules are configuration-sized, so the check reads at most one row."""
+    """Normalized rules; raises :class:`RuleError` on the first problem and
+    warns of overnight schedules.  Rules are configuration-sized, so the
+    checks read a row each."""
     r = normalize(rules)
     bad = problems(r).limit(1).collect()
     if bad:
         raise RuleError(f"rule {bad[0]['rule_id']!r}: {bad[0]['problem']}")
+    night = overnight(r).limit(1).collect()
+    if night:
+        warnings.warn(f"rule {night[0]['rule_id']!r}: a schedule that starts after it ends is "
+                      "never in schedule", stacklevel=2)
     return r
 
 
@@ -122,7 +123,3 @@ def from_config(spark: SparkSession, rows: list[dict]) -> DataFrame:
 def explode_keys(rules: DataFrame) -> DataFrame:
     """``rule_keys(rule_id, key)`` from the ``keys`` array of each rule."""
     return rules.select("rule_id", F.explode("keys").alias("key"))
-
-
-def params(rules: DataFrame) -> DataFrame:
-    return normalize(rules).select(*PARAM_COLUMNS)

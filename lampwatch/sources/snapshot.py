@@ -2,10 +2,10 @@
 
 A keyed store holds the current value of every sensor; a log carries the
 changes after it.  Batch form: latest row per key (the snapshot), then every
-change at or after the cut.  Streaming form: the snapshot seeds the state of
-the stateful operator (``initialState``) and the log is read with
-``readStream`` -- file or Kafka offsets close the gap the original
-subscribe-after-read left open.
+change at or after the cut.  Streaming form (``streaming/job.py:
+seed_from_snapshot``): the snapshot seeds the state of the stateful operator
+(``initialState``) and the log is read with ``readStream`` -- file or Kafka
+offsets close the gap the original subscribe-after-read left open.
 """
 
 from __future__ import annotations

@@ -21,6 +21,7 @@ from lampwatch.functions import shapes as S
 from lampwatch.functions import timefns as tf
 from lampwatch.operators import episodes as E
 from lampwatch.operators.joins import small_join
+from lampwatch.sources import snapshot as snap
 from lampwatch.streaming.processor import (INITIAL, INPUT_COLUMNS, OUTPUT, RULE_SEP,
                                            SENSOR_COLUMNS, SENSOR_STATE, EpisodeProcessor,
                                            rule_params, sensor_group_fn)
@@ -190,6 +191,14 @@ def handover_state(actuator: DataFrame, presence: DataFrame, rule_keys: DataFram
     return out.select([F.col(f.name).cast(f.dataType) for f in INITIAL.fields])
 
 
+def seed_from_snapshot(actuator: DataFrame, presence: DataFrame, rule_keys: DataFrame,
+                       rules: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """S1, streaming form: the snapshot (the latest row per sensor) of each
+    input, and the state that they leave, for a live run to start from."""
+    a, p = snap.latest_per_key(actuator), snap.latest_per_key(presence)
+    return a, p, handover_state(a, p, rule_keys, rules)
+
+
 # --- sinks ---------------------------------------------------------------------
 
 def batch_sink(out_dir: str, rules: DataFrame, db: int = 0):

@@ -248,3 +248,19 @@ def test_checkpoint_root_fails_on_a_cluster():
 
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         checkpoint_root(Session())
+
+
+def test_overnight_rule_is_warned_about(spark):
+    import warnings
+
+    import pytest
+
+    from lampwatch.plans import fixture as fx
+    from lampwatch.sources import rules as R
+
+    day, night = fx.RULES["time_only"], dict(fx.RULES["time_only"], hour_start=22, hour_end=6)
+    with pytest.warns(UserWarning, match="never in schedule"):
+        R.validated(R.rules_from_rows(spark, [night]))
+    with warnings.catch_warnings():
+        warnings.simplefilter("error")
+        R.validated(R.rules_from_rows(spark, [day]))

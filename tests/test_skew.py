@@ -8,7 +8,7 @@ from collections import Counter
 import pytest
 
 from lampwatch.operators import joins, scan
-from lampwatch.plans.verify import compare, duck
+from tests.verify import compare, duck
 from tests.conftest import SF_SMALL
 
 CHUNKED = ["asof_actuator", "quiet_lookback", "episodes_by_rule", "episode_changelog",

@@ -1,6 +1,6 @@
 """Local oracle check: each catalog query against its DuckDB SQL.
 
-    python -m lampwatch.plans.verify [sf_dir] [name ...]
+    python -m tests.verify [sf_dir] [name ...]
 
 Compares row count, column names and an order-insensitive multiset of
 rows (floats to 12 significant digits).  Test helper; not used by the
