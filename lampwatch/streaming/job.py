@@ -5,8 +5,8 @@ trigger settings (W3).
 Plan: two reading streams -> tag + union (J1) -> the sensor's list of rules
 (static) -> ``groupBy(key)`` stateful function -> static power dimension ->
 episode columns -> ``foreachBatch``.  One shuffle of each reading, by sensor;
-state is one small row per sensor.  Runs that take an initial state or drop
-late rows use the processor per ``(rule_id, key)``.
+state is one small row per sensor, whether a run starts empty, from a
+hand-over or drops late rows.
 """
 
 from __future__ import annotations
@@ -22,23 +22,11 @@ from lampwatch.functions import timefns as tf
 from lampwatch.operators import episodes as E
 from lampwatch.operators.joins import small_join
 from lampwatch.sources import snapshot as snap
-from lampwatch.streaming.processor import (INITIAL, INPUT_COLUMNS, OUTPUT, RULE_SEP,
-                                           SENSOR_COLUMNS, SENSOR_STATE, EpisodeProcessor,
-                                           rule_params, sensor_group_fn)
+from lampwatch.streaming.processor import (INITIAL, OUTPUT, RULE_SEP, SENSOR_COLUMNS, SENSOR_STATE,
+                                           STATE, rule_params, sensor_group_fn)
 
 # Trigger and checkpoint cadence of a live run
 LIVE_TRIGGER = "10 seconds"
-ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-
-
-def require_rocksdb(spark: SparkSession) -> None:
-    """``transformWithState`` keeps several state variables (column
-    families), which only the RocksDB state store supports; select it when
-    the session names no provider (or the default one)."""
-    key = "spark.sql.streaming.stateStore.providerClass"
-    cur = spark.conf.get(key, None)
-    if not cur or cur.endswith("HDFSBackedStateStoreProvider"):
-        spark.conf.set(key, ROCKSDB)
 
 
 # --- sources -------------------------------------------------------------------
@@ -109,44 +97,39 @@ def with_watermark(df: DataFrame, delay: str = "0 seconds") -> DataFrame:
 def episode_changes(actuator: DataFrame, presence: DataFrame, rule_keys: DataFrame,
                     rules: DataFrame, initial_state: DataFrame | None = None,
                     late_policy: str = "apply") -> DataFrame:
-    """Processor output rows (one per open, one per finish).
+    """Output rows of the stateful function (one per open, one per finish).
+
+    Grouped by sensor: a reading is shuffled once, with the list of the rules
+    that read its sensor (as many as there are rules at most); one call
+    serves them all, and the state travels with the rows.
+
+    T6 ``initial_state`` (see :func:`handover_state`): a sensor that has no
+    state yet starts from it.  The state itself is the same either way, so a
+    restart from the checkpoint may leave it out.
 
     W4 ``late_policy``: ``apply`` (default) applies every row in arrival
-    order, as the original operator did; ``drop`` runs the processor in
-    event-time mode, where rows older than the previous micro-batch's
-    watermark (``with_watermark`` on the inputs) are dropped before they
-    reach the state."""
-    params = rule_params(rules)   # rules are configuration: shipped as a dict
-    if late_policy == "drop":
-        rows = E.readings(actuator, presence, keep=("event_time",))
-        bound = E.bind_rules(rows, rule_keys, rules).select(*INPUT_COLUMNS, "event_time")
-        require_rocksdb(bound.sparkSession)
-        return bound.groupBy("rule_id", "key").transformWithStateInPandas(
-            statefulProcessor=EpisodeProcessor(params), outputStructType=OUTPUT,
-            outputMode="Append", timeMode="EventTime",
-            **({"initialState": initial_state.groupBy("rule_id", "key")}
-               if initial_state is not None else {}))
-    if late_policy != "apply":
+    order, as the original operator did; ``drop`` sets an event-time timeout,
+    under which rows older than the previous micro-batch's watermark
+    (``with_watermark`` on the inputs) are dropped before they reach the
+    state."""
+    if late_policy not in ("apply", "drop"):
         raise ValueError(f"late_policy must be 'apply' or 'drop', not {late_policy!r}")
-    rows = E.readings(actuator, presence)
+    params = rule_params(rules)   # rules are configuration: shipped as a dict
+    keep = ("event_time",) if late_policy == "drop" else ()
+    listed = (rule_keys.select(F.col("key").cast("string").alias("key"), "rule_id")
+              .join(F.broadcast(rules.select("rule_id")), "rule_id").distinct()
+              .groupBy("key").agg(F.array_join(F.array_sort(F.collect_list("rule_id")), RULE_SEP)
+                                  .alias("rules")))
     if initial_state is None:
-        # grouped by sensor: a reading is shuffled once, with the list of the
-        # rules that read its sensor (as many as there are rules at most);
-        # one call serves them all, and the group state travels with the rows
-        listed = (rule_keys.select(F.col("key").cast("string").alias("key"), "rule_id")
-                  .join(F.broadcast(rules.select("rule_id")), "rule_id").distinct()
-                  .groupBy("key").agg(F.array_join(F.array_sort(F.collect_list("rule_id")), RULE_SEP)
-                                      .alias("rules")))
-        return (small_join(rows, listed, "key").select(*SENSOR_COLUMNS)
-                .groupBy("key").applyInPandasWithState(
-                    sensor_group_fn(params), outputStructType=OUTPUT,
-                    stateStructType=SENSOR_STATE, outputMode="append", timeoutConf="NoTimeout"))
-    bound = E.bind_rules(rows, rule_keys, rules).select(*INPUT_COLUMNS)
-    require_rocksdb(bound.sparkSession)
-    return bound.groupBy("rule_id", "key").transformWithStateInPandas(
-        statefulProcessor=EpisodeProcessor(params), outputStructType=OUTPUT,
-        outputMode="Append", timeMode="None",
-        initialState=initial_state.groupBy("rule_id", "key"))
+        listed = listed.withColumn("seed", F.lit(None).cast("string"))
+    else:
+        state = F.struct("rule_id", *STATE.fieldNames())
+        seeds = initial_state.groupBy("key").agg(F.to_json(F.collect_list(state)).alias("seed"))
+        listed = listed.join(seeds, "key", "left")
+    rows = small_join(E.readings(actuator, presence, keep), listed, "key")
+    return rows.select(*SENSOR_COLUMNS, *keep).groupBy("key").applyInPandasWithState(
+        sensor_group_fn(params), outputStructType=OUTPUT, stateStructType=SENSOR_STATE,
+        outputMode="append", timeoutConf="EventTimeTimeout" if keep else "NoTimeout")
 
 
 def episode_records(changes: DataFrame, rules: DataFrame, dim: DataFrame) -> DataFrame:

@@ -1,10 +1,8 @@
 """T1-T3 (and T6) as Structured Streaming stateful operators.
 
-Live runs: ``groupBy(key).applyInPandasWithState(sensor_group_fn(params))``
--- one state row per sensor holds the state of every rule listing it.
-Hand-over from a batch backfill: ``groupBy(rule_id, key)
-.transformWithStateInPandas(EpisodeProcessor(params), initialState=...)``
-with one ``ValueState`` per sensor and rule.  Per rule and micro-batch
+``groupBy(key).applyInPandasWithState(sensor_group_fn(params))``: one state
+row per sensor holds the state of every rule listing it; a hand-over from a
+batch backfill (T6) seeds sensors that have none.  Per rule and micro-batch
 the rows are sorted by ``(ts, src, id)`` and run through the same steps as
 the batch plan, vectorised with numpy over the batch:
 
@@ -15,19 +13,18 @@ the batch plan, vectorised with numpy over the batch:
 * one output row per open and per finish; the state keeps the open
   episode, if any.
 
-Rows are applied in arrival order across micro-batches (time mode
-``None``), as the original per-record operator did.
+Rows are applied in arrival order across micro-batches, as the original
+per-record operator did, unless late rows are dropped (W4).
 """
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import types as T
-from pyspark.sql.streaming.stateful_processor import (StatefulProcessor,
-                                                      StatefulProcessorHandle)
 
 from lampwatch import labels as L
 
@@ -61,7 +58,7 @@ OUTPUT = T.StructType([
     T.StructField("occupied", T.BooleanType()),
 ])
 
-# the state as rows of a batch DataFrame: initialState of a live run
+# the state as rows of a batch DataFrame: what a hand-over passes on
 INITIAL = T.StructType([T.StructField("rule_id", T.StringType()),
                         T.StructField("key", T.StringType()), *STATE.fields])
 
@@ -77,11 +74,10 @@ def _none(v):
 PARAMS = ["strategy", "on_level", "hour_start", "minute_start", "hour_end", "minute_end",
           "quiet_s", "settle_s", "warmup_s", "program_start"]
 SRC_ACTUATOR = 0
-INPUT_COLUMNS = ["rule_id", "key", "ts", "src", "id", "level", "occupied", "lux"]
 
 
 # per sensor: one row per reading, with the sorted ids of the rules that list the sensor
-SENSOR_COLUMNS = ["rules", *INPUT_COLUMNS[1:]]
+SENSOR_COLUMNS = ["rules", "seed", "key", "ts", "src", "id", "level", "occupied", "lux"]
 RULE_SEP = "\x1f"
 
 
@@ -216,6 +212,12 @@ def _load(rules_state) -> dict:
     return out
 
 
+def _seeded(seed: str | None) -> dict:
+    """The states of a hand-over, as the sensor's rows carry them."""
+    names = STATE.fieldNames()
+    return {r["rule_id"]: {f: r.get(f) for f in names} for r in json.loads(seed)} if seed else {}
+
+
 def _dump(states: dict) -> tuple:
     names = STATE.fieldNames()
     return ([tuple([rid] + [st[f] for f in names]) for rid, st in states.items()],)
@@ -246,41 +248,9 @@ def sensor_group_fn(params: dict):
     def fn(key, frames: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
         frames = list(frames)
         batch = frames[0] if len(frames) == 1 else pd.concat(frames, ignore_index=True)
-        states = _load(state.get[0]) if state.exists else {}
+        states = _load(state.get[0]) if state.exists else _seeded(batch["seed"].iloc[0])
         out = step_rules(batch, states, key[0], params)
         state.update(_dump(states))
         if out:
             yield _frame(out)
     return fn
-
-
-class EpisodeProcessor(StatefulProcessor):
-    """Per ``(rule_id, key)``: one ``ValueState`` holding the last actuator
-    reading, the last occupied time and the open episode -- the operator
-    that accepts an ``initialState`` (T6 hand-over)."""
-
-    def __init__(self, params: dict):
-        self.params = params
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.state = handle.getValueState("sensor", STATE)
-
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues
-                        ) -> Iterator[pd.DataFrame]:
-        rule_id, sensor = key
-        batch = pd.concat(list(rows), ignore_index=True)
-        prev = self.state.get() if self.state.exists() else None
-        prev = None if prev is None else dict(zip(STATE.fieldNames(), prev))
-        out, new = step(batch, prev, rule_id, sensor, self.params[rule_id])
-        self.state.update(tuple(new[f] for f in STATE.fieldNames()))
-        if out:
-            yield _frame(out)
-
-    def handleInitialState(self, key, initialState: pd.DataFrame, timerValues) -> None:
-        """Seed the state from a batch backfill (see ``handover_state``)."""
-        r = initialState.iloc[-1]
-        self.state.update(tuple(_none(r[f]) if not pd.isna(r[f]) else None
-                                for f in STATE.fieldNames()))
-
-    def close(self) -> None:
-        pass
