@@ -277,20 +277,34 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                       (F.shiftleft(place.bitwiseAND(F.lit(0x7FFFFFFF)), 31)
                        + F.when(run, F.col("h2")).otherwise(F.lit(1))).alias("place"))
               .groupBy("key", "tag").agg(F.collect_list("place").alias("places")))
-    text = F.encode(F.coalesce("text", F.lit("")), "utf-8")
-    whole = slim.select(F.coalesce("doc_id", F.lit(LAST_ID)).alias("key"),
-                        (F.crc32(text) % (1 << 31)).alias("tag"), "doc_id", "text")
+
+    def pack(batches):
+        import pyarrow as pa
+        import pyarrow.compute as pc
+        import zstandard
+        squeeze = zstandard.ZstdCompressor(level=3).compress
+        for b in batches:
+            raw = [(t.as_py() or "").encode("utf-8", "surrogatepass") for t in b.column(1)]
+            yield pa.RecordBatch.from_arrays(
+                [pc.fill_null(b.column(0), LAST_ID), pa.array([zlib.crc32(r) & 0x7FFFFFFF for r in raw], pa.int64()),
+                 b.column(0), pa.array([squeeze(r) for r in raw], pa.binary())],
+                names=["key", "tag", "doc_id", "text"])
+
+    # texts travel compressed: they are the largest part of what the join shuffles
+    whole = slim.mapInArrow(pack, "key long, tag long, doc_id long, text binary")
     joined = whole.join(struck, ["key", "tag"], "left")
 
     def strike(batches):
         import numpy as np
         import pyarrow as pa
+        import zstandard
 
         from lampwatch.llm.repeats import WINDOW
+        unpack = zstandard.ZstdDecompressor().decompress
         for b in batches:
             out = []
             for text, places in zip(b.column(1), b.column(2)):
-                words = (text.as_py() or "").encode("utf-8", "surrogatepass").split()
+                words = unpack(text.as_py()).split()
                 kept = words
                 if places.is_valid:
                     at = places.values.to_numpy(zero_copy_only=False)
