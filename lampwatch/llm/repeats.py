@@ -215,16 +215,22 @@ def combined(h1: np.ndarray, h2: np.ndarray, doc: np.ndarray, place: np.ndarray)
 def candidates(docs: DataFrame, bits: np.ndarray, cells: int) -> DataFrame:
     """Windows estimated repeated, as ``combined`` leaves them.  A place is the
     text's CRC-32 but its top bit (upper half) and the window's first word."""
-    shared = docs.sparkSession.sparkContext.broadcast(bits.tobytes())
+    import zstandard
+
+    # few bits are set: the broadcast is a fraction of the sketch
+    shared = docs.sparkSession.sparkContext.broadcast(
+        zstandard.ZstdCompressor(level=1).compress(bits.reshape(-1).data))
 
     def run(batches):
         import numpy as np
         import pyarrow as pa
+        import zstandard
         from xxhash import xxh3_128_digest
 
         from lampwatch.llm.repeats import (COMBINED_WINDOWS, DIGEST_LOW, LAST_ID, WINDOW, cells_of,
                                            combined, window_hashes)
-        table = np.frombuffer(shared.value, np.uint8).reshape(2, -1)
+        table = np.frombuffer(zstandard.ZstdDecompressor().decompress(shared.value),
+                              np.uint8).reshape(2, -1)
         digests, docs_, places = [], [], []
         held = 0
 
