@@ -1,10 +1,12 @@
 """Soft-membership mixing to target weights (operator 9).
 
 1. *Classifier.*  A labelled table ``doc_id, domain`` gives a tempered naive
-   Bayes over hashed byte pairs.  It is fitted on at most ``FIT_ROWS``
-   labelled rows, the smallest by hash of their id; that bound is also what
-   makes broadcasting the picked ids safe.  Class counts are summed per task
-   and then grouped; the driver gets one number per domain and bin.
+   Bayes over hashed byte pairs.  Its priors count every labelled row; its
+   pairs come from at most ``FIT_ROWS`` labelled rows, shared out evenly over
+   the domains (what a rare one leaves goes to the others) and the smallest
+   by hash of their id in each; that bound is also what makes broadcasting
+   the picked ids safe.  Class counts are summed per task and then grouped;
+   the driver gets one number per domain and bin.
 2. *Posteriors.*  Every document gets its words (tokens) and its domain
    posteriors, ``p(d)``, staged as slim rows.  The log-likelihood is taken
    per byte pair and weighed as ``EVIDENCE`` pairs, so that long documents
@@ -20,18 +22,21 @@
 
 ``budget`` is the total the targets share out: a number of tokens, "all" (the
 input's total) or "once" (the largest total that asks no domain for more
-than it has).
+than it has; a domain without labelled rows is not asked, and the others'
+targets share out the whole).
 
 Null texts count as empty: no tokens, and the labelled table's shares as
 posteriors.  Labels of unknown ids, null labels and domains without a target
 are ignored; an id labelled twice takes the smallest domain; a target whose
-domain has no labelled row stays unmet.  Without any labelled row all
-domains are equally likely.  Rows that repeat are documents each; other
-columns are ignored; an empty table gives no rows.
+domain has no labelled row stays unmet, with a warning.  Without any labelled
+row all domains are equally likely and "once" takes every row.  Rows that
+repeat are documents each; other columns are ignored; an empty table gives no
+rows.
 """
 
 from __future__ import annotations
 
+import warnings
 from dataclasses import dataclass
 
 import numpy as np
@@ -59,9 +64,10 @@ def pair_counts(text: str | None) -> np.ndarray:
 
 @dataclass
 class Domains:
-    """Domain names, log priors (d) and log-likelihoods (bins x d)."""
+    """Domain names, labelled rows (d), log priors (d) and log-likelihoods (bins x d)."""
 
     names: list[str]
+    seen: np.ndarray
     prior: np.ndarray
     likely: np.ndarray
 
@@ -80,39 +86,61 @@ def _slim(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                        F.col(text_col).cast("string").alias("text"))
 
 
+def quotas(have: dict[str, int], rows: int) -> dict[str, int]:
+    """``rows`` shared out evenly over domains that ``have`` so many each; what
+    one cannot fill goes to the others, and each gets one at least."""
+    out = {}
+    for i, (d, n) in enumerate(sorted(have.items(), key=lambda x: (x[1], x[0]))):
+        out[d] = min(n, max(1, (rows - sum(out.values())) // (len(have) - i)))
+    return out
+
+
 def fitted(docs: DataFrame, labelled: DataFrame, domains: list[str], id_col: str = "doc_id",
            text_col: str = "text") -> Domains:
     """Fit on ``labelled(doc_id, domain)``."""
     where = {d: i for i, d in enumerate(domains)}
-    picked = (labelled.select(F.col("doc_id").cast("long"), F.col("domain").cast("string"))
-              .where(F.col("doc_id").isNotNull() & F.col("domain").isin(domains))
-              .groupBy("doc_id").agg(F.min("domain").alias("domain"))
-              .orderBy(F.xxhash64("doc_id"), "doc_id").limit(FIT_ROWS))
+    ids = (_slim(docs, id_col, text_col).where("doc_id is not null")
+           .groupBy("doc_id").agg(F.count("*").alias("n")))
+    known = stage(labelled.select(F.col("doc_id").cast("long"), F.col("domain").cast("string"))
+                  .where(F.col("doc_id").isNotNull() & F.col("domain").isin(domains))
+                  .groupBy("doc_id").agg(F.min("domain").alias("domain")).join(ids, "doc_id"), "labelled")
+    have, seen = {}, np.zeros(len(domains))
+    for r in known.groupBy("domain").agg(F.count("*").alias("ids"), F.sum("n").alias("n")).collect():
+        have[r["domain"]], seen[where[r["domain"]]] = r["ids"], r["n"]
+    if not seen.all():
+        warnings.warn(f"no labelled document in {[d for d, n in zip(domains, seen) if not n]}: "
+                      "these targets stay unmet", stacklevel=3)
+    picked = known.select("doc_id", "domain")
+    if sum(have.values()) > FIT_ROWS:
+        parts = [picked.where(F.col("domain") == d).orderBy(F.xxhash64("doc_id"), "doc_id").limit(n)
+                 for d, n in quotas(have, FIT_ROWS).items()]
+        picked = parts[0]
+        for p in parts[1:]:
+            picked = picked.unionByName(p)
 
     def counts(batches):
         import pyarrow as pa
 
         from lampwatch.llm.mixing import BINS, pair_counts
-        total = np.zeros((len(where), BINS + 1), np.int64)
+        total = np.zeros((len(where), BINS), np.int64)
         for b in batches:
             for d, t in zip(b.column(0).to_pylist(), b.column(1)):
-                total[where[d], :BINS] += pair_counts(t.as_py())
-                total[where[d], BINS] += 1
+                total[where[d]] += pair_counts(t.as_py())
         d, i = np.nonzero(total)
         yield pa.RecordBatch.from_arrays(
             [pa.array(d.astype(np.int32)), pa.array(i.astype(np.int32)), pa.array(total[d, i])],
             names=["d", "bin", "n"])
 
     rows = _slim(docs, id_col, text_col).join(F.broadcast(picked), "doc_id").select("domain", "text")
-    sums = np.zeros((len(domains), BINS + 1))
+    pairs = np.full((len(domains), BINS), 0.5)
     for r in (rows.mapInArrow(counts, "d int, bin int, n long").groupBy("d", "bin")
               .agg(F.sum("n").alias("n")).collect()):
-        sums[r["d"], r["bin"]] = r["n"]
-    seen = sums[:, BINS]
-    pairs = sums[:, :BINS] + 0.5
-    prior = np.log(np.maximum(seen, 1e-300) / max(seen.sum(), 1)) if seen.sum() \
-        else np.zeros(len(domains))
-    return Domains(list(domains), prior, np.log(pairs / pairs.sum(1, keepdims=True)).T)
+        pairs[r["d"], r["bin"]] += r["n"]
+    prior = np.zeros(len(domains))
+    if seen.any():
+        with np.errstate(divide="ignore"):  # a domain without labelled rows has no members
+            prior = np.log(seen / seen.sum())
+    return Domains(list(domains), seen, prior, np.log(pairs / pairs.sum(1, keepdims=True)).T)
 
 
 def memberships(docs: DataFrame, model: Domains, id_col: str = "doc_id",
@@ -168,10 +196,17 @@ def _summed(members: DataFrame, of, width: int) -> np.ndarray:
     return out
 
 
-def solved(members: DataFrame, weights: list[float], budget: float | str = "all") -> Rates:
-    """Rates whose expected domain totals match ``weights`` of the budget."""
+def solved(members: DataFrame, weights: list[float], budget: float | str = "all",
+           seen: np.ndarray | None = None) -> Rates:
+    """Rates whose expected domain totals match ``weights`` of the budget.
+    ``seen``: the labelled rows of each domain, by default some."""
     d = len(weights)
     share = np.array(weights, dtype=float) / sum(weights)
+    met = np.ones(d, bool) if seen is None else seen > 0
+    if budget == "once":
+        if not share[met].any():
+            return Rates(1.0, 0.0, [])
+        share = np.where(met, share, 0) / share[met].sum()
     first = _summed(members, lambda p: np.concatenate(
         [p, (p[:, :, None] * p[:, None, :]).reshape(len(p), -1)], axis=1), d + d * d)
     total = first[:d].sum()
@@ -193,7 +228,7 @@ def solved(members: DataFrame, weights: list[float], budget: float | str = "all"
         both = _summed(members, lambda p: np.concatenate(
             [p * x[:, None] for x in rates.of(p)], axis=1), 2 * d) / total
         now = both[d:]
-        if np.abs(both[:d] - target).max() <= CLOSE:
+        if np.abs(both[:d] - target)[met].max(initial=0) <= CLOSE:
             break
     return rates
 
@@ -206,7 +241,7 @@ def mixed_rates(docs: DataFrame, labelled: DataFrame, targets: dict[str, float],
     domains = sorted(targets)
     model = fitted(docs, labelled, domains, id_col, text_col)
     members = stage(memberships(docs, model, id_col, text_col), "mixing")
-    rates = solved(members, [targets[d] for d in domains], budget)
+    rates = solved(members, [targets[d] for d in domains], budget, model.seen)
 
     def run(batches):
         import pyarrow as pa
@@ -237,7 +272,7 @@ def mixed_once(docs: DataFrame, labelled: DataFrame, targets: dict[str, float],
     domains = sorted(targets)
     model = fitted(docs, labelled, domains, id_col, text_col)
     members = stage(memberships(docs, model, id_col, text_col), "mixing")
-    rates = solved(members, [targets[d] for d in domains], "once")
+    rates = solved(members, [targets[d] for d in domains], "once", model.seen)
 
     @F.pandas_udf("double")
     def rate(texts):

@@ -11,6 +11,7 @@ import numpy as np
 import pyarrow.parquet as pq
 import pytest
 import public_tokenizers
+from pyspark.sql import functions as F
 
 from lampwatch.llm import copies, mixing, pieces, quality, repeats, simhash, wavelet
 from lampwatch.llm.common import connected
@@ -358,6 +359,28 @@ def test_mixing_once(mid):
     assert got.count() == got.select("doc_id").distinct().count() > 0.6 * mid[0].count()
 
 
+def test_mixing_once_unlabelled(mid):
+    targets, n = {"en": 0.58, "de": 0.16, "fr": 0.16, "es": 0.10}, mid[0].count()
+    with pytest.warns(UserWarning, match="'es'"):
+        got = mixing.mixed_once(mid[0], labelled(mid).where("domain <> 'es'"), targets)
+    assert got.count() > 0.7 * n
+    with pytest.warns(UserWarning, match="'en'"):
+        got = mixing.mixed_once(mid[0], labelled(mid).where("false"), targets)
+    assert got.count() == n
+
+
+def test_mixing_fits_rare(mid, monkeypatch):
+    monkeypatch.setattr(mixing, "FIT_ROWS", 60)
+    es = labelled(mid).where("domain = 'es'").orderBy(F.xxhash64("doc_id").desc()).limit(2)
+    model = mixing.fitted(mid[0], labelled(mid).where("domain <> 'es'").unionByName(es), ["de", "en", "es", "fr"])
+    assert model.seen.tolist() == [labelled(mid).where(F.col("domain") == d).count() if d != "es" else 2
+                                   for d in model.names]
+    docs = mid[0].select("lang", "text").toPandas()
+    best = np.array(model.names)[model.posteriors(list(docs.text)).argmax(1)]
+    assert (best == docs.lang)[docs.lang == "es"].mean() > 0.8
+    assert mixing.quotas({"a": 5, "b": 100, "c": 100}, 60) == {"a": 5, "b": 27, "c": 28}
+
+
 def test_mixing_odd(odd_docs, no_docs, llm):
     none = llm.createDataFrame([(1, None), (None, "en"), (99, "en"), (6, "xx")], "doc_id long, domain string")
     out = rows(mixing.mixed_rates(odd_docs, none, {"en": 1.0, "de": 1.0}))
