@@ -11,19 +11,26 @@
    posteriors, ``p(d)``, staged as slim rows.  The log-likelihood is taken
    per byte pair and weighed as ``EVIDENCE`` pairs, so that long documents
    keep soft memberships too.
-3. *Rates.*  Projected gradient descent with momentum finds rates ``w >= 0``
-   that minimise ``|A w - t|² + RIDGE Σ tokens (w - 1)²`` in shares of all
-   tokens, where ``A w`` are the expected domain totals ``Σ tokens p(d) w``
-   and ``t`` the targets.  Each step is one pass over the slim rows that sums
-   the expected totals; the driver keeps the short list of residuals, and a
-   task replays a document's rate from them, so no step writes a table or
-   lengthens a lineage.  It stops when every domain is within ``CLOSE`` of
-   its target (in shares of the total) or after ``STEPS``.
+3. *Rates.*  Projected gradient descent finds rates ``w >= 0`` that minimise
+   ``|A w - t|² + RIDGE Σ tokens (w - 1)²`` in shares of all tokens, where
+   ``A w`` are the expected domain totals ``Σ tokens p(d) w`` and ``t`` the
+   targets.  A step is taken in the norm of the inverse of ``Σ tokens p pᵀ``
+   over the rows that it can move: a rare domain weighs as much as a common
+   one, and a step that meets no bound meets the targets.  Each step is one
+   pass over the slim rows that sums the expected totals, and one before it
+   that sums that matrix; the driver keeps the short list of steps, and a task
+   replays a document's rate from them, so no step writes a table or lengthens
+   a lineage.  It stops when every domain is within ``CLOSE`` of its target,
+   as a share of that target, or after ``STEPS``; targets then missed are
+   warned of, with the totals reached.
 
 ``budget`` is the total the targets share out: a number of tokens, "all" (the
-input's total) or "once" (the largest total that asks no domain for more
-than it has; a domain without labelled rows is not asked, and the others'
-targets share out the whole).
+input's total) or "once" (the largest total that asks no domain for more than
+it has and that rates of at most 1 meet; a domain without labelled rows is not
+asked, and the others' targets share out the whole).  Rates of at most 1 reach
+no more than ``Σ tokens max(0, p x)`` along any ``x``; along the step of a
+pass that missed, this bounds the total, which is then lowered to ``BELOW``
+the bound.  A total of under half the input is warned of.
 
 Null texts count as empty: no tokens, and the labelled table's shares as
 posteriors.  Labels of unknown ids, null labels and domains without a target
@@ -51,6 +58,7 @@ EVIDENCE = 50.0
 RIDGE = 1e-6
 STEPS = 80
 CLOSE = 1e-4
+BELOW = 1e-3
 
 
 def pair_counts(text: str | None) -> np.ndarray:
@@ -162,19 +170,20 @@ def memberships(docs: DataFrame, model: Domains, id_col: str = "doc_id",
 class Rates:
     """What a document's rate is replayed from."""
 
-    step: float
-    momentum: float
-    residuals: list[np.ndarray]
+    most: float
+    steps: list[np.ndarray]
 
-    def of(self, p: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Rates after all steps, and the point of the next gradient."""
+    def of(self, p: np.ndarray) -> np.ndarray:
         w = np.ones(len(p))
-        ahead = w
-        for r in self.residuals:
-            new = np.maximum(0, ahead - self.step * (p @ r + RIDGE * (ahead - 1)))
-            ahead = np.maximum(0, new + self.momentum * (new - w))
-            w = new
-        return w, ahead
+        for step in self.steps:
+            w = np.clip(w - p @ step - RIDGE * (w - 1), 0, self.most)
+        return w
+
+
+def _inverse(gram: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """Pseudo-inverse after domains are scaled alike, so that no rare one is ignored."""
+    scale = 1 / np.sqrt(np.where(first > 0, first, np.inf))
+    return np.linalg.pinv(gram * scale * scale[:, None], rcond=1e-10, hermitian=True) * scale * scale[:, None]
 
 
 def _summed(members: DataFrame, of, width: int) -> np.ndarray:
@@ -203,33 +212,52 @@ def solved(members: DataFrame, weights: list[float], budget: float | str = "all"
     d = len(weights)
     share = np.array(weights, dtype=float) / sum(weights)
     met = np.ones(d, bool) if seen is None else seen > 0
+    rates = Rates(1.0 if budget == "once" else np.inf, [])
     if budget == "once":
         if not share[met].any():
-            return Rates(1.0, 0.0, [])
+            return rates
         share = np.where(met, share, 0) / share[met].sum()
-    first = _summed(members, lambda p: np.concatenate(
-        [p, (p[:, :, None] * p[:, None, :]).reshape(len(p), -1)], axis=1), d + d * d)
-    total = first[:d].sum()
+
+    def pairs(p, n=1.0):
+        return (n * p[:, :, None] * p[:, None, :]).reshape(len(p), -1)
+
+    sums = _summed(members, lambda p: np.concatenate([p, pairs(p)], axis=1), d + d * d)
+    total = sums[:d].sum()
     if not total:
-        return Rates(1.0, 0.0, [])
-    asked = total if budget == "all" else (
-        min((first[i] / share[i] for i in range(d) if share[i]), default=total)
-        if budget == "once" else float(budget))
-    target = share * min(asked, total) / total if budget == "once" else share * asked / total
-    curve = np.linalg.eigvalsh(first[d:].reshape(d, d) / total)
-    top = curve[-1] + RIDGE
-    low = max(min((c for c in curve if c > 1e-3 * top), default=top), 1e-3 * top)
-    momentum = (np.sqrt(top / low) - 1) / (np.sqrt(top / low) + 1)
-    rates = Rates(1 / top, float(momentum), [])
-    now = first[:d] / total  # expected shares at the rates that the next gradient is taken at
-    for _ in range(STEPS):
-        residual = now - target
-        rates.residuals.append(residual)
-        both = _summed(members, lambda p: np.concatenate(
-            [p * x[:, None] for x in rates.of(p)], axis=1), 2 * d) / total
-        now = both[d:]
-        if np.abs(both[:d] - target)[met].max(initial=0) <= CLOSE:
+        return rates
+    first, whole = sums[:d] / total, sums[d:].reshape(d, d) / total
+    if budget == "all":
+        asked = 1.0
+    elif budget == "once":
+        asked = min([1.0, *(first[share > 0] / share[share > 0])])
+    else:
+        asked = float(budget) / total
+    now, best, plain = first, np.inf, False
+    for k in range(STEPS):
+        step = _inverse(whole, first) @ (now - share * asked)
+        if not plain and (k or budget == "once"):
+            def movable(p):
+                w, way = rates.of(p), p @ step
+                held = ((w >= rates.most) & (way < 0)) | ((w <= 0) & (way > 0))
+                return pairs(p, (~held)[:, None, None])
+
+            free = _summed(members, movable, d * d).reshape(d, d) / total
+            step = _inverse(free + 1e-9 * whole, first) @ (now - share * asked)
+        rates.steps.append(step)
+        sums = _summed(members, lambda p: np.concatenate(
+            [p * rates.of(p)[:, None], np.maximum(0, -(p @ step))[:, None]], axis=1), d + 1) / total
+        now, goal, reach = sums[:d], share * asked, -(step @ share)
+        off = (np.abs(now - goal) / np.where(goal > 0, goal, asked or 1.0))[met].max(initial=0)
+        if off <= CLOSE:
             break
+        plain, best = off > best / 2 and not plain, min(off, best)
+        if budget == "once" and reach * asked > sums[d]:
+            asked = sums[d] / reach * (1 - BELOW)
+    else:
+        warnings.warn(f"after {STEPS} steps the expected shares of all tokens are {now.tolist()}, "
+                      f"the targets {goal.tolist()}", stacklevel=3)
+    if budget == "once" and asked < 0.5:
+        warnings.warn(f"a mix without repeats takes {asked:.2%} of all tokens", stacklevel=3)
     return rates
 
 
@@ -249,7 +277,7 @@ def mixed_rates(docs: DataFrame, labelled: DataFrame, targets: dict[str, float],
             n = len(b)
             p = b.column(2).flatten().to_numpy().reshape(n, -1) if n else np.zeros((0, len(domains)))
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), b.column(1), pa.array(rates.of(p)[0]), *(pa.array(c) for c in p.T)],
+                [b.column(0), b.column(1), pa.array(rates.of(p)), *(pa.array(c) for c in p.T)],
                 names=["doc_id", "n_tokens", "rate", *(f"p{i}" for i in range(len(domains)))])
 
     schema = "doc_id long, n_tokens long, rate double, " + ", ".join(
@@ -277,6 +305,6 @@ def mixed_once(docs: DataFrame, labelled: DataFrame, targets: dict[str, float],
     @F.pandas_udf("double")
     def rate(texts):
         import pandas as pd
-        return pd.Series(rates.of(model.posteriors(list(texts)))[0])
+        return pd.Series(rates.of(model.posteriors(list(texts))))
 
     return docs.where(dice(id_col) < rate(F.col(text_col).cast("string")))

@@ -381,6 +381,28 @@ def test_mixing_fits_rare(mid, monkeypatch):
     assert mixing.quotas({"a": 5, "b": 100, "c": 100}, 60) == {"a": 5, "b": 27, "c": 28}
 
 
+@pytest.mark.parametrize("budget", ["all", "once"])
+def test_mixing_rare_targets(llm, budget):
+    pick = np.random.default_rng(0)
+    own = pick.choice(4, 40_000, p=[0.2, 0.599, 0.001, 0.2])
+    p = np.full((len(own), 4), 1e-4)
+    p[np.arange(len(own)), own] = 1
+    soft = pick.random(len(own)) < 0.02
+    p[soft] = pick.dirichlet(np.ones(3), soft.sum()) @ np.eye(4)[[0, 1, 3]]
+    p /= p.sum(1, keepdims=True)
+    n = pick.integers(20, 400, len(own))
+    members = llm.createDataFrame(list(zip(n.tolist(), p.tolist())), "n_tokens long, p array<double>").cache()
+    share = np.array([0.16, 0.58, 0.10, 0.16])
+    rate = mixing.solved(members, share.tolist(), budget).of(p)
+    got = (n * rate) @ p
+    if budget == "all":
+        assert abs(got / n.sum() / share - 1).max() < 1e-3
+    else:
+        assert abs(got / got.sum() / share - 1).max() < 1e-3 and rate.max() <= 1
+        assert got.sum() > 0.8 * (n @ p / share).min()
+    assert rate.min() >= 0
+
+
 def test_mixing_odd(odd_docs, no_docs, llm):
     none = llm.createDataFrame([(1, None), (None, "en"), (99, "en"), (6, "xx")], "doc_id long, domain string")
     out = rows(mixing.mixed_rates(odd_docs, none, {"en": 1.0, "de": 1.0}))
