@@ -14,7 +14,7 @@
   original vectors, in double precision.  A query that retrieves fewer than
   ``LEAST_FOUND`` (or ``k``) of a shard widens its radius two bits at a time,
   at last to all bits: in a small shard the nearest vectors are further off.
-* The index is sharded: vectors are dealt by hash of their id to shards of
+* The index is sharded: vectors are dealt by hash of id and vector to shards of
   about ``SHARD_ROWS``, queries to blocks of about ``QUERY_ROWS``, and each
   pair of a shard and a block is one bounded task group that returns its best
   ``k``; a window keeps the best of all shards.  A vector that a third of the
@@ -27,7 +27,8 @@ about a fifth of the vectors and 0.95 or more of the true neighbours.
 Vectors that are null, zero, of another length than most, or that hold null
 or non-finite components take no part; nor do null ids.  Rows that share a
 query's id are its own and no candidates; other repeated ids are candidates
-each.  Ties go to the smaller id.  Other columns are ignored; an empty table
+each.  A query id that repeats is searched by its smallest vector, compared
+component by component.  Ties go to the smaller id.  Other columns are ignored; an empty table
 gives no rows.
 """
 
@@ -147,7 +148,7 @@ def neighbours(vectors: DataFrame, is_query: Column, k: int = 10, id_col: str =
         return spark.createDataFrame([], schema)
     d, n, q = lengths["d"], lengths["n"], lengths["q"]
     rows = rows.where(F.size("embedding") == d)
-    sample = (rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(SAMPLE_ROWS)
+    sample = (rows.orderBy(F.xxhash64("vec_id"), "vec_id", "embedding").limit(SAMPLE_ROWS)
               .select("embedding").toArrow())
     mean, projection = learned(_matrix(sample.column(0), d))
     shards, blocks = -(-n // SHARD_ROWS), -(-q // QUERY_ROWS)
@@ -170,10 +171,10 @@ def neighbours(vectors: DataFrame, is_query: Column, k: int = 10, id_col: str =
             "score": pa.array(np.concatenate([o[2] for o in out]) if out else [], pa.float64())})
 
     keys = ["shard", "block"]
-    index = rows.select(F.pmod(F.xxhash64("vec_id"), F.lit(shards)).cast("int").alias("shard"),
+    index = rows.select(F.pmod(F.xxhash64("vec_id", "embedding"), F.lit(shards)).cast("int").alias("shard"),
                         F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"),
                         "vec_id", "embedding")
-    queries = rows.where(is_query).dropDuplicates(["vec_id"]).select(
+    queries = rows.where(is_query).groupBy("vec_id").agg(F.min("embedding").alias("embedding")).select(
         F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"),
         F.pmod(F.xxhash64("vec_id", F.lit(1)), F.lit(blocks)).cast("int").alias("block"),
         "vec_id", "embedding")

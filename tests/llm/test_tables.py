@@ -50,6 +50,14 @@ def test_neighbours_recall(llm):
             assert abs(s - np.sqrt(((x[q] - x[i]) ** 2).sum())) < 1e-12
 
 
+def test_neighbours_repeated_query(llm):
+    data = [(0, [0.0, 1.0]), (0, [1.0, 0.0]), (0, [0.5, 0.5]), (1, [0.9, 0.1]), (2, [0.1, 0.9])]
+    for rows_ in (data, data[::-1], [data[1], data[0], *data[2:]], [data[2], *data[:2], *data[3:]]):
+        df = llm.createDataFrame(rows_, "vec_id long, embedding array<double>").coalesce(1)
+        got = rows(hamming_index.neighbours(df, F.col("vec_id") == 0, k=1))
+        assert [r[:3] for r in got] == [(0, 1, 2)]  # of [0, 1], the smallest
+
+
 def test_retrieves_every_code_in_radius():
     pick = np.random.default_rng(1)
     x = pick.normal(size=(2000, 64))
