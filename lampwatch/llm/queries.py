@@ -7,7 +7,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lampwatch.llm import chatlog, copies, hamming_index, mixing, pieces, quality, repeats, simhash, warc, wavelet
+from lampwatch.llm import (chatlog, copies, hamming_index, mixing, packing, pieces, quality, repeats, simhash,
+                           warc, wavelet)
 from lampwatch.llm.common import table, vocabulary
 
 
@@ -66,6 +67,10 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.read_back(warc.written(table(spark, sf_dir, "pages")))
 
 
+def op11_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.packed(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"), end_id=1)
+
+
 QUERIES = {
     "op1_sentencepiece": op1_sentencepiece,
     "op2_hamming": op2_hamming,
@@ -77,4 +82,5 @@ QUERIES = {
     "op8_quality": op8_quality,
     "op9_mixing": op9_mixing,
     "op10_warc": op10_warc,
+    "op11_packing": op11_packing,
 }
