@@ -28,4 +28,36 @@ w AS (
   FROM d)
 SELECT doc_id, keep_id, CAST(group_size AS BIGINT) AS group_size, doc_id = keep_id AS kept, text_sha256
 FROM w""",
+    "op12_divergence": r"""
+WITH d AS (
+  SELECT coalesce(lang, '') AS lang, coalesce(source, '') AS source, coalesce(text, '') AS text FROM documents),
+t AS (
+  SELECT lang, source, id, translate(term, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS term
+  FROM (SELECT lang, source, row_number() OVER () AS id,
+               unnest(regexp_extract_all(text, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM d)),
+k AS (
+  SELECT lang, term, count(*)::HUGEINT AS total FROM t GROUP BY ALL HAVING count(DISTINCT id) >= 3),
+v AS (SELECT lang, count(*)::HUGEINT AS v, sum(total)::HUGEINT AS whole FROM k GROUP BY lang),
+g AS (SELECT DISTINCT lang, source FROM d),
+c AS (SELECT lang, source, term, count(*)::HUGEINT AS n FROM t GROUP BY ALL),
+dense AS (
+  SELECT g.lang, g.source, k.term, coalesce(c.n, 0)::HUGEINT AS n, k.total
+  FROM g JOIN k USING (lang) LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term),
+p AS (
+  SELECT dense.*, 1 + (1000000000 * (n + 1)) // (sum(n) OVER (PARTITION BY dense.lang, source) + v.v) AS p,
+         1 + (1000000000 * (total + 1)) // (v.whole + v.v) AS q
+  FROM dense JOIN v ON v.lang = dense.lang),
+f AS (
+  SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // b.p) AS value
+  FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+r AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(f.value, 0) AS value
+  FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN f ON f.lang = a.lang AND f.source = a.source AND f.item = b.source
+  UNION ALL
+  SELECT lang, source, 'term', term, (p - q) * (p - q) // q FROM p WHERE n > 0 AND p > q),
+o AS (
+  SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM r)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INTEGER) AS rank
+FROM o WHERE part = 'pair' OR rank <= 200""",
 }

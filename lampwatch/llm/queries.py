@@ -7,7 +7,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lampwatch.llm import (chatlog, copies, hamming_index, merkle, mixing, packing, pieces, quality, repeats, simhash,
+from lampwatch.llm import (chatlog, copies, divergence, hamming_index, merkle, mixing, packing, pieces, quality, repeats, simhash,
                            warc, wavelet)
 from lampwatch.llm.common import table, vocabulary
 
@@ -71,6 +71,10 @@ def op11_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"), end_id=1)
 
 
+def op12_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audited(table(spark, sf_dir, "documents"))
+
+
 def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = merkle.audited(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "leaf", "subroot", "root", merkle.proof_digest(F.col("proof")).alias("proof_sha256"),
@@ -89,5 +93,6 @@ QUERIES = {
     "op9_mixing": op9_mixing,
     "op10_warc": op10_warc,
     "op11_packing": op11_packing,
+    "op12_divergence": op12_divergence,
     "op13_merkle": op13_merkle,
 }
