@@ -32,7 +32,7 @@ def _reason(top: Column, parsed: Column, key_field: str, ts: Column) -> Column:
             .when(ts.isNull(), "bad_time"))
 
 
-def _split(raw: DataFrame, schema, key_field: str, typed) -> tuple[DataFrame, DataFrame]:
+def _judged(raw: DataFrame, schema, key_field: str, typed) -> DataFrame:
     # Parse once per message.  Filters on the reason would otherwise be
     # pushed below the projection with the parse inlined into them (pushdown
     # has no cost check); a generator is a boundary filters do not cross.
@@ -41,11 +41,14 @@ def _split(raw: DataFrame, schema, key_field: str, typed) -> tuple[DataFrame, Da
         F.from_json(F.col("value"), schema).alias("_p")))))
     timed = parsed.select("*", F.inline(F.array(F.struct(
         tf.parse_time(F.col("_p.item.value.time")).alias("_ts")))))
-    staged = timed.withColumn(
-        "reason", _reason(F.col("_top"), F.col("_p"), key_field, F.col("_ts")))
-    good = staged.where(F.col("reason").isNull()).select(
-        "msg_id", *typed(F.col("_p.item.value"), F.col("_ts")))
-    bad = staged.where(F.col("reason").isNotNull()).select("msg_id", "reason", "value")
+    return timed.select(
+        "msg_id", *typed(F.col("_p.item.value"), F.col("_ts")),
+        _reason(F.col("_top"), F.col("_p"), key_field, F.col("_ts")).alias("reason"), "value")
+
+
+def _split(judged: DataFrame) -> tuple[DataFrame, DataFrame]:
+    good = judged.where(F.col("reason").isNull()).drop("reason", "value")
+    bad = judged.where(F.col("reason").isNotNull()).select("msg_id", "reason", "value")
     return good, bad
 
 
@@ -71,16 +74,29 @@ def _actuator_fields(v: Column, ts: Column) -> list[Column]:
     ]
 
 
+def judged_presence(raw: DataFrame) -> DataFrame:
+    """P1 + P3 in one pass: ``(msg_id, key, project_id, ts, lux, occupied,
+    reason, value)``; ``reason`` is null for a good message, and the typed
+    columns count only then.  What a stream needs to send both ways at once."""
+    return _judged(raw, schemas.PRESENCE_JSON, L.PRESENCE_KEY_FIELD, _presence_fields)
+
+
+def judged_actuator(raw: DataFrame) -> DataFrame:
+    """P2 + P3 in one pass: ``(msg_id, key, project_id, ts, level, reason,
+    value)``."""
+    return _judged(raw, schemas.ACTUATOR_JSON, L.ACTUATOR_KEY_FIELD, _actuator_fields)
+
+
 def decode_presence(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
     """P1 + P3: ``raw(msg_id, value)`` to ``(msg_id, key, project_id, ts,
     lux, occupied)`` and rejects ``(msg_id, reason, value)``."""
-    return _split(raw, schemas.PRESENCE_JSON, L.PRESENCE_KEY_FIELD, _presence_fields)
+    return _split(judged_presence(raw))
 
 
 def decode_actuator(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
     """P2 + P3: ``raw(msg_id, value)`` to ``(msg_id, key, project_id, ts,
     level)`` and rejects."""
-    return _split(raw, schemas.ACTUATOR_JSON, L.ACTUATOR_KEY_FIELD, _actuator_fields)
+    return _split(judged_actuator(raw))
 
 
 def valid_flat(raw: DataFrame, key_field: str) -> DataFrame:

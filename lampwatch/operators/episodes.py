@@ -17,6 +17,10 @@ the order ``(ts, src, id)`` (actuator before presence at equal time):
 
 Steps 1 and 3 are running scans done by :func:`carry_scan`, chunked so
 that a hot sensor is spread over many tasks.  No UDF, no collect.
+
+A run may go on from the state that an earlier one left (``initial_state``,
+T6): the state is one more row per sensor, before all readings, which gives
+the scans their first values and stands for the open episode.
 """
 
 from __future__ import annotations
@@ -28,11 +32,13 @@ from lampwatch import labels as L
 from lampwatch.functions import predicates as P
 from lampwatch.functions import timefns as tf
 from lampwatch.functions.emission import emission_kg
-from lampwatch.operators.joins import fits_broadcast, small_join
+from lampwatch.operators.joins import fits_broadcast
+from lampwatch.sources.dimension import require_known, sensor_power
 from lampwatch.operators.scan import Scan, assign_chunks, carry_scan
 
 SRC_ACTUATOR = 0
 SRC_PRESENCE = 1
+SRC_STATE = -1
 KEYS = ["rule_id", "key"]
 ORDER = ["ts", "src", "id"]
 
@@ -70,27 +76,52 @@ def bind_rules(rows: DataFrame, rule_keys: DataFrame, rules: DataFrame,
     if broadcast is None:
         broadcast = fits_broadcast(rule_keys)
     bound = rows.join(F.broadcast(rk) if broadcast else rk, on="key", how="inner")
-    return (bound.where((F.col("src") == SRC_ACTUATOR) | F.col("_reads_presence"))
+    return (bound.where((F.col("src") != SRC_PRESENCE) | F.col("_reads_presence"))
             .drop("_reads_presence"))
 
 
+def with_state(rows: DataFrame, initial_state: DataFrame) -> DataFrame:
+    """``rows`` and, before each sensor's first, a row with the states that an
+    earlier run left for it (``states``, one per rule)."""
+    names = [c for c in initial_state.columns if c != "key"]
+    kept = initial_state.groupBy("key").agg(F.collect_list(F.struct(*names)).alias("states"))
+    none = {f.name: F.lit(None).cast(f.dataType).alias(f.name) for f in rows.schema.fields}
+    first = kept.select(
+        *[{"key": F.col("key"), "src": F.lit(SRC_STATE).alias("src"),
+           "chunk": F.lit(0).cast("bigint").alias("chunk")}.get(c, none[c]) for c in rows.columns], "states")
+    return rows.withColumn("states", F.lit(None).cast(first.schema["states"].dataType)).unionByName(first)
+
+
+def own_state(bound: DataFrame) -> DataFrame:
+    """The state of a row's rule, if it is a state row; sensors whose earlier
+    run did not know the rule start from nothing."""
+    own = F.element_at(F.filter("states", lambda s: s["rule_id"] == F.col("rule_id")), 1)
+    return (bound.withColumn("s", F.when(F.col("src") == SRC_STATE, own)).drop("states")
+            .where((F.col("src") != SRC_STATE) | F.col("s").isNotNull()))
+
+
 def scan_state(bound: DataFrame, chunked: bool = True) -> DataFrame:
     """Step 1: ``a`` = latest actuator ``struct(ts, id, level)`` and ``o`` =
     latest occupied presence time, both at or before the row."""
-    return carry_scan(bound, KEYS, "chunk", ORDER, [
-        Scan("a", "last", F.when(F.col("src") == SRC_ACTUATOR,
-                                 F.struct(F.col("ts").alias("ts"), F.col("id").alias("id"),
-                                          F.col("level").alias("level")))),
-        Scan("o", "max", F.when((F.col("src") == SRC_PRESENCE) & F.col("occupied"),
-                                F.col("ts"))),
-    ], chunked)
+    a = F.when(F.col("src") == SRC_ACTUATOR,
+               F.struct(F.col("ts").alias("ts"), F.col("id").alias("id"), F.col("level").alias("level")))
+    o = F.when((F.col("src") == SRC_PRESENCE) & F.col("occupied"), F.col("ts"))
+    if "s" in bound.columns:
+        s = F.col("s")
+        a = a.when(s["a_ts"].isNotNull(), F.struct(tf.wall_time(s["a_ts"]).alias("ts"), s["a_id"].alias("id"),
+                                                   s["a_level"].alias("level")))
+        o = o.when(s["o_ts"].isNotNull(), tf.wall_time(s["o_ts"]))
+    return carry_scan(bound, KEYS, "chunk", ORDER, [Scan("a", "last", a), Scan("o", "max", o)], chunked)
 
 
 def state(actuator: DataFrame, presence: DataFrame, rule_keys: DataFrame,
-          rules: DataFrame, rows_per_chunk: int | None = None) -> tuple[DataFrame, bool]:
+          rules: DataFrame, rows_per_chunk: int | None = None,
+          initial_state: DataFrame | None = None) -> tuple[DataFrame, bool]:
     """Readings of every rule with their scan state (J2, P9 inputs), and
     whether hot sensors were cut into chunks."""
     rows, chunked = assign_chunks(readings(actuator, presence), "key", "ts", rows_per_chunk)
+    if initial_state is not None:
+        rows = with_state(rows, initial_state)
     # Shuffle the readings once, by sensor (and chunk), before the per-rule
     # copies are made: hash(key, chunk) already clusters every
     # (rule_id, key, chunk) window partition, and the broadcast rule join
@@ -108,7 +139,7 @@ def state(actuator: DataFrame, presence: DataFrame, rule_keys: DataFrame,
         # rows are split there by AQE), so it comes before the rows are dealt
         # by (sensor, chunk): after it a hot sensor would be whole again
         rows = bind_rules(rows, rule_keys, rules, broadcast=False).repartition(n, "key", "chunk")
-    return scan_state(rows, chunked), chunked
+    return scan_state(rows if initial_state is None else own_state(rows), chunked), chunked
 
 
 def gates(st: DataFrame) -> DataFrame:
@@ -142,9 +173,26 @@ def label(g: DataFrame) -> DataFrame:
            .when(s == L.SENSOR_ONLY, F.when(close, "C").when(open2, "O"))
            .when(s == L.SENSOR_AND_TIME, F.when(close, "C").when(open3, "O")))
     start = F.when(s == L.SENSOR_ONLY, F.col("a").getField("ts")).otherwise(F.col("ts"))
+    if "s" in g.columns:  # an open episode of the state is an open row that was emitted before
+        lab = F.when(F.col("src") == SRC_STATE,
+                     F.when(F.col("s.open_ts").isNotNull(), F.lit("O"))).otherwise(lab)
     return g.select("*", lab.alias("lab"), start.alias("start_ts"))
 
 
+def opened(opens: DataFrame) -> DataFrame:
+    """Kept opens with what the state knows of those that it opened;
+    ``seeded`` marks them."""
+    if "s" not in opens.columns:
+        return opens
+    s, old = F.col("s"), F.col("src") == SRC_STATE
+    evidence = F.struct(tf.wall_time(s["ev_a_ts"]).alias("ts"), F.lit(None).cast("bigint").alias("id"),
+                        s["ev_a_level"].alias("level"))
+    given = {"ts": tf.wall_time(s["open_ts"]), "id": s["open_id"], "start_ts": tf.wall_time(s["start_ts"]),
+             "a": evidence, "occupied": s["ev_occupied"], "lux": s["ev_lux"]}
+    return opens.select(*[F.when(old, given[c]).otherwise(F.col(c)).alias(c) if c in given else c
+                          for c in opens.columns if c != "s"], old.alias("seeded"))
+
+
 def transitions(labeled: DataFrame, chunked: bool = True) -> DataFrame:
     """Steps 3-4: kept ``O`` rows with ``finish_ts`` (NULL: still open)."""
     lab = labeled.where(F.col("lab").isNotNull())
@@ -174,28 +222,38 @@ LABELED = [*KEYS, "chunk", *ORDER, "lab", "start_ts", "a", "occupied", "lux"]
 
 
 def labeled(actuator: DataFrame, presence: DataFrame, rule_keys: DataFrame,
-            rules: DataFrame, rows_per_chunk: int | None = None) -> tuple[DataFrame, bool]:
+            rules: DataFrame, rows_per_chunk: int | None = None,
+            initial_state: DataFrame | None = None) -> tuple[DataFrame, bool]:
     """Steps 1-2 for every rule: rows with their label, narrowed to the
     columns the later steps read; and whether sensors were chunked."""
     params = rules.select(*PARAMS)
-    st, chunked = state(actuator, presence, rule_keys, params, rows_per_chunk)
+    st, chunked = state(actuator, presence, rule_keys, params, rows_per_chunk, initial_state)
     g = gates(st.join(F.broadcast(params), on="rule_id"))
-    return label(g).select(*LABELED), chunked
+    return label(g).select(*LABELED, *(["s"] if initial_state is not None else [])), chunked
 
 
 def episodes(actuator: DataFrame, presence: DataFrame, rule_keys: DataFrame,
              rules: DataFrame, dim: DataFrame,
-             rows_per_chunk: int | None = None) -> DataFrame:
+             rows_per_chunk: int | None = None, initial_state: DataFrame | None = None) -> DataFrame:
     """One row per episode of every rule (the columns that ``finish`` builds), plus
     ``open_id`` (id of the triggering reading), ``project_id`` and the
-    JSON evidence ``origin_data``."""
-    lab, chunked = labeled(actuator, presence, rule_keys, rules, rows_per_chunk)
-    opens = transitions(lab, chunked)
+    JSON evidence ``origin_data``.
+
+    S4: a listed sensor that the dimension does not hold stops the job here,
+    before any reading is read and whichever columns are asked for.
+
+    T6: with ``initial_state`` (``INITIAL`` rows, the states that an earlier
+    run left) open episodes go on; ``seeded`` marks the episodes that the
+    earlier run has opened, and so emitted, already."""
+    require_known(dim, rule_keys)
+    lab, chunked = labeled(actuator, presence, rule_keys, rules, rows_per_chunk, initial_state)
+    opens = opened(transitions(lab, chunked))
     return finish(opens.join(F.broadcast(rules.select(*PARAMS)), on="rule_id"), dim)
 
 
 def finish(opens: DataFrame, dim: DataFrame) -> DataFrame:
-    """The episode row from a kept open."""
+    """The episode row from a kept open.  Repeated rows of the
+    dimension are one sensor (``sensor_power``, the only grouping of it)."""
     s = F.col("strategy")
     done = F.col("finish_ts").isNotNull()
     seconds = (F.when(s == L.SENSOR_ONLY, F.lit(L.SENSOR_ONLY_EMISSION_S).cast("bigint"))
@@ -219,13 +277,9 @@ def finish(opens: DataFrame, dim: DataFrame) -> DataFrame:
                                          F.lit("[]").alias("Occupancy"))))
                 .otherwise(F.to_json(F.struct(actuator_evidence.alias("OpeningAperture"),
                                               presence_evidence.alias("Occupancy")))))
-    # S4 in the pipeline: an episode of a sensor that the dimension does not
-    # hold stops the job, where the episode is built and without a pass before
-    power = (dim.groupBy(F.col("_key").alias("key"))
-             .agg(F.coalesce(F.max("power"), F.lit(0.0)).alias("power"), F.lit(True).alias("_known")))
-    withp = small_join(opens, power, on="key", how="left").withColumn(
-        "power", F.when(F.col("_known"), F.col("power")).otherwise(
-            F.raise_error(F.concat(F.lit("sensor missing in the dimension: "), F.col("key"))).cast("double")))
+    power = sensor_power(dim).withColumnRenamed("_key", "key")
+    # the rows counted are the dimension's own, which are no fewer
+    withp = opens.join(F.broadcast(power) if fits_broadcast(dim) else power, on="key", how="left")
     return withp.select(
         "rule_id",
         F.col("key").alias("sensor_key"),
@@ -245,7 +299,7 @@ def finish(opens: DataFrame, dim: DataFrame) -> DataFrame:
         F.lit(L.MEASURE).alias("measure"),
         tf.format_time("start_ts").alias("time"),
         "project_id",
-        evidence.alias("origin_data"),
+        evidence.alias("origin_data"), *(["seeded"] if "seeded" in opens.columns else []),
     )
 
 
@@ -256,12 +310,14 @@ def changelog(eps: DataFrame) -> DataFrame:
     fin_row = F.struct(F.lit(True).alias("is_finish"), F.col("finish_ts").alias("row_ts"))
     rows = F.when(F.col("finish_ts").isNull(), F.array(open_row)).otherwise(
         F.array(open_row, fin_row))
+    if "seeded" in eps.columns:  # the run before has emitted the opening row
+        rows = F.when(F.col("seeded"), F.filter(rows, lambda r: r["is_finish"])).otherwise(rows)
     base = eps.drop("is_finish")
     out = base.select("*", F.explode(rows).alias("_r"))
     fin = F.col("_r.is_finish")
     return out.select(
         *[c for c in base.columns if c not in ("duration", "carbon_emissions", "carbon_unit",
-                                                 "finish_ts")],
+                                                 "finish_ts", "seeded")],
         fin.alias("is_finish"),
         F.col("_r.row_ts").alias("row_ts"),
         F.when(fin, F.col("finish_ts")).alias("finish_ts"),

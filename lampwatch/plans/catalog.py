@@ -176,7 +176,7 @@ def episodes_for(spark, sf, names: list[str] | None = None) -> DataFrame:
     rules = fx.rules(spark, names)
     return E.episodes(fx.actuator(spark, sf), fx.presence(spark, sf),
                       fx.rule_keys(spark, sf, names), rules,
-                      dim.sensor_power(fx.dimension(spark, sf)))
+                      fx.dimension(spark, sf))
 
 
 def _episodes_query(name: str) -> Query:
@@ -197,7 +197,7 @@ def episodes_from_rule_file(spark, sf):
     fx.rules_with_keys(spark, sf).write.json(path)
     rules = R.validated(R.read_rules(spark, path))
     return E.episodes(fx.actuator(spark, sf), fx.presence(spark, sf), R.explode_keys(rules), rules,
-                      dim.sensor_power(fx.dimension(spark, sf))).select(*EPISODE_COLUMNS)
+                      fx.dimension(spark, sf)).select(*EPISODE_COLUMNS)
 
 
 def episode_changelog(spark, sf):
@@ -360,6 +360,9 @@ QUERIES: dict[str, Query] = {
     "stream_episodes_by_rule": ST.stream_episodes_by_rule,
     "stream_handover": ST.stream_handover,
     "stream_handover_drop": ST.stream_handover_drop,
+    "stream_handover_restart": ST.stream_handover_restart,
+    "stream_round_trip": ST.stream_round_trip,
+    "stream_messages": ST.stream_messages,
     "stream_snapshot_seeded": ST.stream_snapshot_seeded,
     "stream_log": ST.stream_log,
     "stream_alert_suppressed": ST.stream_alert_suppressed,

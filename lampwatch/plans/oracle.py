@@ -334,6 +334,15 @@ SELECT rule_id, sensor_key, open_ts, true AS is_finish, finish_ts AS row_ts, 'ta
 
 
 EPISODE_CHANGELOG = changelog_sql(EPISODES_ALL)
+_MESSAGE_ACT = f"act AS (SELECT key, project_id, ts, msg_id AS id, level FROM ({DECODE_ACTUATOR}))"
+_MESSAGE_PRE = f"pre AS (SELECT key, project_id, ts, msg_id AS id, occupied, lux FROM ({DECODE_PRESENCE}))"
+STREAM_MESSAGES = f"""
+SELECT *, CAST(NULL AS VARCHAR) AS source, CAST(NULL AS BIGINT) AS msg_id, CAST(NULL AS VARCHAR) AS reason
+FROM ({changelog_sql(episodes_sql(fx.RULES, _MESSAGE_ACT, _MESSAGE_PRE))})
+UNION ALL BY NAME
+SELECT * FROM ({DECODE_REJECTS})
+"""
+
 STREAM_SNAPSHOT_SEEDED = changelog_sql(episodes_sql(fx.RULES, _seeded(ACT), _seeded(PRE)))
 
 
@@ -581,6 +590,9 @@ SQL: dict[str, str] = {
     "stream_episodes_by_rule": EPISODE_CHANGELOG,
     "stream_handover": EPISODE_CHANGELOG,
     "stream_handover_drop": EPISODE_CHANGELOG,
+    "stream_handover_restart": EPISODE_CHANGELOG,
+    "stream_round_trip": EPISODE_CHANGELOG,
+    "stream_messages": STREAM_MESSAGES,
     "stream_snapshot_seeded": STREAM_SNAPSHOT_SEEDED,
     "stream_log": STREAM_LOG,
     "stream_alert_suppressed": ALERT_SUPPRESSED,

@@ -18,7 +18,6 @@ from lampwatch import schemas
 from lampwatch.operators import episodes as E
 from lampwatch.plans import fixture as fx
 from lampwatch.session import scratch_path
-from lampwatch.sources import dimension as dim
 from lampwatch.streaming import job as J
 
 N_SLICES = 6
@@ -32,14 +31,16 @@ def _ntz(v: dt.datetime):
     return F.lit(v.isoformat(sep=" ")).cast("timestamp_ntz")
 
 
-def write_slices(df: DataFrame, path: str, edges: list, deal: str = "id") -> None:
+def write_slices(df: DataFrame, path: str, edges: list, deal: str = "id", fmt: str = "parquet",
+                 drop: tuple[str, ...] = ()) -> None:
     """``FILES`` files per time slice ``[edges[i], edges[i+1])``, written in
     time order (rising modification times), rows dealt by hash of ``deal``;
-    a micro-batch takes ``FILES`` files, so one slice."""
+    a micro-batch takes ``FILES`` files, so one slice.  ``drop`` names columns
+    that only the slicing reads."""
     for lo, hi in zip(edges[:-1], edges[1:]):
         part = df.where((F.col("ts") >= _ntz(lo)) & (F.col("ts") < _ntz(hi)))
         file = F.pmod(F.xxhash64(deal), F.lit(FILES)).cast("int")
-        part.repartitionById(FILES, file).write.mode("append").parquet(path)
+        part.repartitionById(FILES, file).drop(*drop).write.mode("append").format(fmt).save(path)
 
 
 def _edges(df: DataFrame, n: int) -> list:
@@ -55,36 +56,49 @@ def _with_route(records: DataFrame) -> DataFrame:
         "route", F.when(F.col("is_finish"), F.lit("table")).otherwise(F.lit("alert")))
 
 
-def _run_stream(spark, root: str, act_path: str, pre_path: str, rules, rk, dim_df,
-                initial=None, late_policy: str = "apply") -> DataFrame:
-    a = J.with_watermark(J.file_source(spark, act_path, schemas.ACTUATOR, files_per_trigger=FILES))
-    p = J.with_watermark(J.file_source(spark, pre_path, schemas.PRESENCE, files_per_trigger=FILES))
-    changes = J.episode_changes(a, p, rk, rules, initial, late_policy)
-    q = J.start(J.episode_records(changes, rules, dim_df), f"{root}/out", f"{root}/ckpt", rules)
-    q.awaitTermination()
-    if q.exception():
-        raise q.exception()
-    return spark.read.parquet(f"{root}/out/changelog")
+def _await(query) -> None:
+    query.awaitTermination()
+    if query.exception():
+        raise query.exception()
+
+
+def _run_stream(spark, root: str, rules, rk, dim_df, seeds: str | None = None,
+                late_policy: str = "apply") -> DataFrame:
+    """Drain the readings below ``root/in``; the changelog of all runs on
+    this root so far (a second call restarts from the checkpoint)."""
+    a = J.with_watermark(J.file_source(spark, f"{root}/in/actuator", schemas.ACTUATOR, files_per_trigger=FILES))
+    p = J.with_watermark(J.file_source(spark, f"{root}/in/presence", schemas.PRESENCE, files_per_trigger=FILES))
+    given = J.seed_source(spark, seeds) if seeds else None
+    changes = J.episode_changes(a, p, rk, rules, given, late_policy)
+    _await(J.start(J.episode_records(changes, rules, dim_df, rk), f"{root}/out", f"{root}/ckpt", rules))
+    return J.committed(spark, f"{root}/out")
+
+
+def _write_inputs(act: DataFrame, pre: DataFrame, root: str, edges: list) -> None:
+    write_slices(act, f"{root}/in/actuator", edges)
+    write_slices(pre, f"{root}/in/presence", edges)
+
+
+def _all_edges(act: DataFrame, pre: DataFrame, n: int = N_SLICES) -> list:
+    return _edges(act.select("ts").unionByName(pre.select("ts")), n)
 
 
 def stream_episodes_by_rule(spark: SparkSession, sf: str) -> DataFrame:
     root = scratch_path(spark, "stream-by-rule")
     act, pre = fx.actuator(spark, sf), fx.presence(spark, sf)
-    edges = _edges(act.select("ts").unionByName(pre.select("ts")), N_SLICES)
-    write_slices(act, f"{root}/in/actuator", edges)
-    write_slices(pre, f"{root}/in/presence", edges)
-    rules = fx.rules(spark)
-    out = _run_stream(spark, root, f"{root}/in/actuator", f"{root}/in/presence", rules,
-                      fx.rule_keys(spark, sf), dim.sensor_power(fx.dimension(spark, sf)))
+    _write_inputs(act, pre, root, _all_edges(act, pre))
+    out = _run_stream(spark, root, fx.rules(spark), fx.rule_keys(spark, sf), fx.dimension(spark, sf))
     return _with_route(out).select(*CHANGELOG_COLUMNS)
 
 
 def stream_handover(spark: SparkSession, sf: str, late_policy: str = "apply",
-                    snapshot: bool = False) -> DataFrame:
+                    snapshot: bool = False, restart: bool = False) -> DataFrame:
     """Batch backfill up to the cut, its final state handed to a live
     stream over the rest; backfill changelog + stream output.  With
     ``snapshot`` only the latest row per sensor and input is known of the
-    time before the cut (S1)."""
+    time before the cut (S1).  With ``restart`` the live run ends after a
+    sixth of the rest and is started again from its checkpoint: most sensors
+    with an open episode have not reported by then."""
     root = scratch_path(spark, "stream-handover")
     act, pre = fx.actuator(spark, sf), fx.presence(spark, sf)
     cut = F.lit(HANDOVER_CUT).cast("timestamp_ntz")
@@ -92,20 +106,21 @@ def stream_handover(spark: SparkSession, sf: str, late_policy: str = "apply",
     a1, p1 = act.where(F.col("ts") >= cut), pre.where(F.col("ts") >= cut)
     rules = fx.rules(spark)
     rk = fx.rule_keys(spark, sf)
-    dim_df = dim.sensor_power(fx.dimension(spark, sf))
+    dim_df = fx.dimension(spark, sf)
 
     if snapshot:
         a0, p0, state = J.seed_from_snapshot(a0, p0, rk, rules)
     else:
         state = J.handover_state(a0, p0, rk, rules)
     backfill = E.changelog(E.episodes(a0, p0, rk, rules, dim_df))
-    state_path = f"{root}/state"
-    state.write.parquet(state_path)   # cut lineage: the live run reads a table
-    edges = _edges(a1.select("ts").unionByName(p1.select("ts")), N_SLICES)
-    write_slices(a1, f"{root}/in/actuator", edges)
-    write_slices(p1, f"{root}/in/presence", edges)
-    live = _run_stream(spark, root, f"{root}/in/actuator", f"{root}/in/presence", rules, rk,
-                       dim_df, initial=spark.read.parquet(state_path), late_policy=late_policy)
+    J.write_seeds(state, f"{root}/seeds")   # cut lineage: the live run reads a table
+    edges = _all_edges(a1, p1)
+    if restart:
+        _write_inputs(a1, p1, root, edges[:2])
+        _run_stream(spark, root, rules, rk, dim_df, f"{root}/seeds", late_policy)
+        edges = edges[1:]
+    _write_inputs(a1, p1, root, edges)
+    live = _run_stream(spark, root, rules, rk, dim_df, f"{root}/seeds", late_policy)
     return (_with_route(backfill).select(*CHANGELOG_COLUMNS)
             .unionByName(_with_route(live).select(*CHANGELOG_COLUMNS)))
 
@@ -116,11 +131,71 @@ def stream_handover_drop(spark: SparkSession, sf: str) -> DataFrame:
     return stream_handover(spark, sf, "drop")
 
 
+def stream_handover_restart(spark: SparkSession, sf: str) -> DataFrame:
+    """The hand-over survives a restart, also for silent sensors."""
+    return stream_handover(spark, sf, restart=True)
+
+
 def stream_snapshot_seeded(spark: SparkSession, sf: str) -> DataFrame:
     """S1, streaming form: a live run seeded by the snapshot at the cut."""
     return stream_handover(spark, sf, snapshot=True)
 
 
+def stream_round_trip(spark: SparkSession, sf: str) -> DataFrame:
+    """T6 both ways: a live run over the first third of the time, its states
+    taken out of the checkpoint, a batch run over the second third that goes
+    on from them, and a live run over the rest that goes on from the batch."""
+    root = scratch_path(spark, "stream-round-trip")
+    act, pre = fx.actuator(spark, sf), fx.presence(spark, sf)
+    rules, rk, dim_df = fx.rules(spark), fx.rule_keys(spark, sf), fx.dimension(spark, sf)
+    edges = _all_edges(act, pre)
+    two = len(edges) // 3
+
+    _write_inputs(act, pre, f"{root}/first", edges[:two + 1])
+    first = _run_stream(spark, f"{root}/first", rules, rk, dim_df)
+
+    def between(df: DataFrame) -> DataFrame:
+        return df.where((F.col("ts") >= _ntz(edges[two])) & (F.col("ts") < _ntz(edges[2 * two])))
+
+    J.live_state(spark, f"{root}/first/ckpt").write.parquet(f"{root}/state")
+    state = spark.read.parquet(f"{root}/state")
+    second = E.changelog(E.episodes(between(act), between(pre), rk, rules, dim_df, initial_state=state))
+    J.write_seeds(J.handover_state(between(act), between(pre), rk, rules, initial_state=state), f"{root}/seeds")
+
+    _write_inputs(act, pre, f"{root}/last", edges[2 * two:])
+    last = _run_stream(spark, f"{root}/last", rules, rk, dim_df, f"{root}/seeds")
+    return (_with_route(first).select(*CHANGELOG_COLUMNS)
+            .unionByName(_with_route(second).select(*CHANGELOG_COLUMNS))
+            .unionByName(_with_route(last).select(*CHANGELOG_COLUMNS)))
+
+
+MESSAGE_COLUMNS = [*CHANGELOG_COLUMNS, "source", "msg_id", "reason"]
+
+
+def stream_messages(spark: SparkSession, sf: str) -> DataFrame:
+    """S2, P1-P3, J1, T1-T3 live from raw messages: JSON files of both inputs,
+    decoded, split and evaluated in one pass; the changelog, and the dead
+    letters (``msg_id`` set) that were committed with it."""
+    root = scratch_path(spark, "stream-messages")
+    act, pre = fx.actuator(spark, sf), fx.presence(spark, sf)
+    # texts hold whole seconds: cut there, so that a second is in one slice
+    edges = [e.replace(microsecond=0) for e in _all_edges(act, pre)]
+    edges[-1] += dt.timedelta(seconds=1)
+    for name, rows, messages in (("actuator", act, fx.actuator_messages), ("presence", pre, fx.presence_messages)):
+        timed = messages(spark, sf).join(rows.select(F.col("id").alias("msg_id"), "ts"), "msg_id")
+        write_slices(timed, f"{root}/in/{name}", edges, "msg_id", "json", ("ts",))
+    raw = [J.file_source(spark, f"{root}/in/{name}", "msg_id bigint, value string", "json", FILES)
+           for name in ("actuator", "presence")]
+    rules, rk, dim_df = fx.rules(spark), fx.rule_keys(spark, sf), fx.dimension(spark, sf)
+    _await(J.start_messages(J.message_changes(*raw, rk, rules), f"{root}/out", f"{root}/ckpt", rules, dim_df, rk))
+    changes = _with_route(J.committed(spark, f"{root}/out"))
+    letters = J.committed(spark, f"{root}/out", "rejects")
+    none = {f.name: f.dataType for f in [*changes.schema.fields, *letters.schema.fields]}
+    return changes.select(*CHANGELOG_COLUMNS, *[F.lit(None).cast(none[c]).alias(c) for c in MESSAGE_COLUMNS[-3:]]) \
+        .unionByName(letters.select(*[F.lit(None).cast(none.get(c, "string")).alias(c) for c in CHANGELOG_COLUMNS],
+                                    *MESSAGE_COLUMNS[-3:]))
+
+
 def stream_log(spark: SparkSession, sf: str) -> DataFrame:
     """S2 + W2: log messages as files, out of order within the allowed
     disorder, decoded and watermarked on the fly; the rows that come out."""

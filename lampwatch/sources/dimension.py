@@ -41,3 +41,13 @@ def require_complete(dim: DataFrame, rule_keys: DataFrame) -> None:
     if bad:
         b = bad[0]
         raise ValueError(f"rule {b['rule_id']!r}: sensor {b['key']!r} {b['reason']}")
+
+
+def require_known(dim: DataFrame, rule_keys: DataFrame) -> None:
+    """S4 as a barrier: fail unless the dimension holds every listed sensor.
+    An action of its own, so no pruning can take it away; one anti join of
+    the key lists, which ends at the first row."""
+    listed = rule_keys.select(F.col("key").cast("string").alias("_key"))
+    bad = small_join(listed, dim.select("_key"), on="_key", how="left_anti").limit(1).collect()
+    if bad:
+        raise ValueError(f"sensor missing in the dimension: {bad[0]['_key']!r}")

@@ -2,7 +2,10 @@
 
 ``groupBy(key).applyInPandasWithState(sensor_group_fn(params))``: one state
 row per sensor holds the state of every rule listing it; a hand-over from a
-batch backfill (T6) seeds sensors that have none.  Per rule and micro-batch
+batch backfill (T6) comes as seed rows, which fill the store before a
+sensor's first reading is applied.  Raw messages that could not be decoded
+come as *dead* groups and pass through without state, so that one pass and
+one commit serve both outputs.  Per rule and micro-batch
 the rows are sorted by ``(ts, src, id)`` and run through the same steps as
 the batch plan, vectorised with numpy over the batch:
 
@@ -77,7 +80,11 @@ SRC_ACTUATOR = 0
 
 
 # per sensor: one row per reading, with the sorted ids of the rules that list the sensor
-SENSOR_COLUMNS = ["rules", "seed", "key", "ts", "src", "id", "level", "occupied", "lux"]
+SENSOR_COLUMNS = ["rules", "seed", "key", "dead", "ts", "src", "id", "level", "occupied", "lux"]
+# of raw messages besides: what a dead row passes on (its ``id`` is the message's)
+REJECT_COLUMNS = ["source", "reason", "value"]
+REJECTS = T.StructType([T.StructField("msg_id", T.LongType()),
+                        *[T.StructField(c, T.StringType()) for c in REJECT_COLUMNS]])
 RULE_SEP = "\x1f"
 
 
@@ -212,10 +219,10 @@ def _load(rules_state) -> dict:
     return out
 
 
-def _seeded(seed: str | None) -> dict:
-    """The states of a hand-over, as the sensor's rows carry them."""
+def _seeded(seed: str) -> dict:
+    """The states of a hand-over, as the sensor's seed row holds them."""
     names = STATE.fieldNames()
-    return {r["rule_id"]: {f: r.get(f) for f in names} for r in json.loads(seed)} if seed else {}
+    return {r["rule_id"]: {f: r.get(f) for f in names} for r in json.loads(seed)}
 
 
 def _dump(states: dict) -> tuple:
@@ -241,16 +248,39 @@ def step_rules(batch: pd.DataFrame, states: dict, sensor: str, params: dict) ->
     return out
 
 
-def sensor_group_fn(params: dict):
-    """``applyInPandasWithState`` grouped by sensor only: one call runs the
-    step of every rule listing the sensor, so the per-group overhead is paid
-    once per sensor, not once per rule."""
+def sensor_group_fn(params: dict, rejects: bool = False):
+    """``applyInPandasWithState`` grouped by sensor (and ``dead``): one call
+    runs the step of every rule listing the sensor, so the per-group overhead
+    is paid once per sensor, not once per rule.  A seed row counts only while
+    the sensor has no state, so a replayed one changes nothing."""
     def fn(key, frames: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
+        if key[1]:
+            for f in frames:
+                yield _rejected(f)
+            return
         frames = list(frames)
         batch = frames[0] if len(frames) == 1 else pd.concat(frames, ignore_index=True)
-        states = _load(state.get[0]) if state.exists else _seeded(batch["seed"].iloc[0])
-        out = step_rules(batch, states, key[0], params)
+        states = _load(state.get[0]) if state.exists else {}
+        seeds = batch["seed"].notna()
+        if seeds.any():
+            if not state.exists:
+                states = _seeded(batch["seed"][seeds].iloc[0])
+            batch = batch[~seeds]
+        out = step_rules(batch, states, key[0], params) if len(batch) else []
         state.update(_dump(states))
         if out:
-            yield _frame(out)
+            found = _frame(out)
+            yield _with_rejects(found, None) if rejects else found
     return fn
+
+
+def _with_rejects(changes: pd.DataFrame, rows: pd.DataFrame | None) -> pd.DataFrame:
+    for c in REJECTS.fieldNames():
+        changes[c] = None if rows is None else rows["id" if c == "msg_id" else c].to_numpy()
+    return changes
+
+
+def _rejected(rows: pd.DataFrame) -> pd.DataFrame:
+    """Dead rows as output rows without a change."""
+    none = pd.DataFrame({c: np.full(len(rows), None, dtype=object) for c in OUTPUT.fieldNames()})
+    return _with_rejects(none, rows)
