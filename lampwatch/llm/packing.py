@@ -25,9 +25,10 @@ repeated attempt gives the same sequences.  ``sequence_id`` is the task's
 number times 2^40 plus a running number.
 
 The vocabulary's pre-tokenizer drops white space, so a text's ids are those of
-its words, and splits letters from the signs after them.  A worker keeps the
-ids of words, and of their lower-cased letters, in bounded two-generation
-caches.  Texts with white space other than blank, tab and line ends, or
+its words, and splits letters from the signs after them.  A text of usual
+letters is lower-cased, and its full stops and commas split off, as a whole.
+A worker keeps the ids of words, and of their lower-cased pre-tokens, in
+bounded two-generation caches.  Texts with white space other than blank, tab and line ends, or
 with the text of an added token, are given to the library whole.
 
 Null texts count as empty and hold the end id alone; ids may repeat or be
@@ -37,14 +38,13 @@ null; other columns are ignored; an empty table gives no rows.
 from __future__ import annotations
 
 import re
-import struct
 import zlib
 
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lampwatch.llm.wavelet import BYTE_SIGNS, LETTERS, ODD_SPACE
+from lampwatch.llm.wavelet import LETTERS, ODD_SPACE, SIGNS
 
 WINDOW = 2048
 GROUP_TOKENS = 1 << 22
@@ -90,14 +90,21 @@ class WordEncoder:
         if hasattr(model, "_resize_cache"):
             model._resize_cache(0)  # the words are cached here
         self.model = model.tokenize
-        small = self.whole.get_vocab_size() <= 1 << 16
-        self.kind, self.code = ("<u2", "H") if small else ("<u4", "I")
+        size = self.whole.get_vocab_size()
+        self.kind, width = ("<u2", 2) if size <= 1 << 16 else ("<u4", 4)
+        self.packed = [i.to_bytes(width, "little") for i in range(size)]  # the bytes of each id
         self.added = [t.content for t in self.whole.get_added_tokens_decoder().values()]
         self.odd_space = re.compile(ODD_SPACE).search
         signs = r"!-&(-/:-@\[-`{-~"  # ASCII signs but the apostrophe, which binds letters
         self.parts = re.compile(f"([{LETTERS}]+)([{signs}]*)").fullmatch
         if self._library("Aé b\n c") != self._ids("aé") + self._ids("b") + self._ids("c"):
             raise ValueError("the vocabulary does not encode word by word")
+        # pre-tokens of lower-cased ASCII words
+        self.pieces = re.compile(r"'(?:[stmd]|re|ve|ll)|[a-z]+|[0-9]|[!-/:-@\[-`{-~]+").findall
+        # what keeps a text from being lower-cased and split as a whole: odd white space and
+        # letters beyond the usual, or a full stop or comma that is not the first sign after a word
+        self.unusual = re.compile(f"[{ODD_SPACE[1:-1]}\u0130\u0250-\U0010ffff]").search
+        self.unclear = re.compile(rf"[.,](?<![{LETTERS}0-9][.,])").search
         self.words = _Words(self._packed, {})
         self.stems = _Words(self._stem, {})
         self.signs = _Words(lambda w: self._pack(self._library(w)), {})
@@ -106,18 +113,26 @@ class WordEncoder:
         return self.whole.encode(text, add_special_tokens=False).ids
 
     def _pack(self, ids: list[int]) -> bytes:
-        return struct.pack(f"<{len(ids)}{self.code}", *ids)
+        one = self.packed
+        return b"".join([one[i] for i in ids])
 
     def _ids(self, stem: str) -> list[int]:
         """Ids of lower-cased letters, which are one pre-token."""
         if not stem.isascii():
-            stem = stem.encode("utf-8").decode("latin-1").translate(BYTE_SIGNS)
+            stem = "".join([SIGNS[b] for b in stem.encode("utf-8")])
         return [t.id for t in self.model(stem)]
 
     def _stem(self, stem: str) -> bytes:
         return self._pack(self._ids(stem))
 
     def _packed(self, word: str) -> bytes:
+        if word.isascii():
+            small = word.lower()
+            if small.isalpha():
+                return self.stems[small]
+            pieces = self.pieces(small)
+            if sum(map(len, pieces)) == len(small):  # printable throughout
+                return b"".join([self.stems[p] for p in pieces])
         parts = self.parts(word)
         if not parts:
             return self._pack(self._library(word))
@@ -130,9 +145,12 @@ class WordEncoder:
 
     def encode(self, text: str) -> bytes:
         """The ids of a text, packed as ``kind``."""
-        if self.odd_space(text) or any(a in text for a in self.added):
+        unusual = self.unusual(text)
+        if unusual and self.odd_space(text) or any(a in text for a in self.added):
             return np.array(self._library(text), dtype=self.kind).tobytes()
         known = self.words.__getitem__
+        if not unusual and not self.unclear(text):
+            text = text.lower().replace(".", " .").replace(",", " ,")
         if len(text) <= RUN_CHARS:
             out = b"".join(map(known, text.split()))
         else:
@@ -185,7 +203,7 @@ def repeat_counts(parts: np.ndarray, hist: np.ndarray, steps: int = STEPS) -> np
     v = np.ones(len(parts))
     for _ in range(12):  # the largest eigenvalue of A'A bounds the step
         v = used(v)[parts].sum(1)
-        size = np.linalg.norm(v)
+        size = (v * v).sum() ** 0.5
         v /= size
     step = 1 / (1.1 * size)
     y, momentum = x, 1.0
@@ -194,7 +212,7 @@ def repeat_counts(parts: np.ndarray, hist: np.ndarray, steps: int = STEPS) -> np
         new = np.maximum(0.0, y - step * (used(y) - goal)[parts].sum(1))
         grown = (1 + (1 + 4 * momentum * momentum) ** 0.5) / 2
         y = new + (momentum - 1) / grown * (new - x)
-        if (new - x) @ (y - new) < 0:  # overshot: restart the momentum
+        if ((new - x) * (y - new)).sum() < 0:  # overshot: restart the momentum
             y, grown = new, 1.0
         x, momentum = new, grown
     return x

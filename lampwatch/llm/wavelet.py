@@ -16,11 +16,14 @@ above have stably partitioned, zeros first.  From one file
 :class:`WaveletMatrix` answers ``access``, ``rank``, ``count``, ``select``
 and ``positions`` with one rank or select per plane; ``tokens`` restores all.
 
-Encoding works on chunks that the vocabulary's pre-tokenizer never joins
-(white space and the letters after it when a sign or white space follows
-these, else all up to the next white space); chunks repeat, so a bounded
-two-generation cache per worker holds their ids.  The ids come
-from the library's pre-tokenizer and model.  Texts with white space other
+Encoding works on chunks that the vocabulary's pre-tokenizer never joins.  In
+a text without two blanks in a row these are its words, split at blanks, each
+with the blank before it, and the full stops and commas after words with what
+follows them; in other texts, white space and the letters after it
+when a sign or white space follows these, else all up to the next white space.
+Chunks repeat, so a bounded two-generation cache per worker holds their ids;
+a new word of several pre-tokens is put together from theirs.  The ids come
+from the library's model.  Texts with white space other
 than blank, tab and line ends, or with the text of an added token, are given
 to the library whole.
 
@@ -68,6 +71,8 @@ def _byte_signs() -> dict[int, str]:
 
 
 BYTE_SIGNS = _byte_signs()
+#: the sign of each byte
+SIGNS = [BYTE_SIGNS.get(b, chr(b)) for b in range(256)]
 
 
 class _Chunks(dict):
@@ -85,6 +90,11 @@ class _Chunks(dict):
         self[chunk] = ids
         return ids
 
+    def next(self) -> "_Chunks":
+        """An empty generation that falls back on this one."""
+        self.old = {}
+        return _Chunks(self.encode, self)
+
 
 class ByteEncoder:
     """Ids of texts under a tokenizers file, through a cache of chunks."""
@@ -95,41 +105,97 @@ class ByteEncoder:
         self.whole = Tokenizer.from_file(tokenizer_file)
         if self.whole.normalizer is not None:
             raise ValueError("the tokenizer's normaliser may change texts")
-        self.cut = self.whole.pre_tokenizer.pre_tokenize_str
         model = self.whole.model
         if hasattr(model, "_resize_cache"):
             model._resize_cache(0)  # the chunks are cached here
         self.model = model.tokenize
         self.bits = max(1, (self.whole.get_vocab_size() - 1).bit_length())
-        self.kind, self.code = ("<u2", "H") if self.bits <= 16 else ("<u4", "I")
+        self.kind = "<u2" if self.bits <= 16 else "<u4"
+        # the bytes of each id
+        self.packed = [i.to_bytes(int(self.kind[2]), "little") for i in range(1 << self.bits)]
         self.added = [t.content for t in self.whole.get_added_tokens_decoder().values()]
         self.odd_space = re.compile(ODD_SPACE).search
         sign = r"!-@\[-`{-~"  # ASCII characters that are neither letters nor white space
         self.chunks = re.compile(
             rf"[ \n\t\r]*[{LETTERS}]++(?=[{sign} \n\t\r]|\Z)|[ \n\t\r]*[^ \n\t\r]+|[ \n\t\r]+").findall
         self.one_word = re.compile(f" ?[{LETTERS}]+").fullmatch
+        # letters and then signs; the apostrophe binds the letters after it
+        self.signed = re.compile(rf"([{LETTERS}]+)([!-&(-/:-@\[-`{{-~]+)").fullmatch
         self.young = _Chunks(self._chunk, {})
+        self.words = _Chunks(self._word, {})
+        # pre-tokens of ASCII words: the first takes the blank, later ones may be contractions
+        runs = r"[A-Za-z]+|[0-9]+|[!-/:-@\[-`{-~]+"
+        self.first = re.compile(runs).match
+        self.rest = re.compile(f"'(?:[stmd]|re|ve|ll)|{runs}").findall
+        self.bare = _Chunks(self._bare, {})
+        # a full stop or comma that is not the first sign after a word
+        self.unclear = re.compile(rf"[.,](?<![{LETTERS}0-9][.,])").search
+
+    def _pack(self, ids: list[int]) -> bytes:
+        one = self.packed
+        return b"".join([one[i] for i in ids])
+
+    def _letters(self, word: str, blank: str) -> bytes:
+        """Letters alone are one pre-token, with the blank before them."""
+        if not word.isascii():
+            word = "".join([SIGNS[b] for b in word.encode("utf-8")])
+        return self._pack([t.id for t in self.model(blank + word)])
 
     def _chunk(self, chunk: str) -> bytes:
-        if self.one_word(chunk):  # letters alone are one pre-token
-            word = (chunk.replace(" ", BYTE_SIGNS[32]) if chunk.isascii() else
-                    chunk.encode("utf-8").decode("latin-1").translate(BYTE_SIGNS))
-            ids = [t.id for t in self.model(word)]
+        if self.one_word(chunk):
+            blank = BYTE_SIGNS[32] if chunk[0] == " " else ""
+            return self._letters(chunk.lstrip(" "), blank)
+        return self._pack(self.whole.encode(chunk, add_special_tokens=False).ids)
+
+    def _bare(self, piece: str) -> bytes:
+        """One pre-token of printable ASCII characters."""
+        return self._pack([t.id for t in self.model(piece)])
+
+    def _word(self, word: str) -> bytes:
+        """A word and the blank before it."""
+        if word[:1] == "\x00":  # split off a word: no blank before it
+            return self._chunk(word[1:])
+        if word.isascii():
+            if word.isalpha():
+                return self._letters(word, BYTE_SIGNS[32])
+            first = self.first(word)
+            if first:
+                if first.end() == len(word):
+                    return self._bare(BYTE_SIGNS[32] + word)
+                rest = self.rest(word, first.end())
+                if sum(map(len, rest)) == len(word) - first.end():  # printable throughout
+                    return self.words[first[0]] + b"".join([self.bare[p] for p in rest])
         else:
-            ids = [t.id for word, _ in self.cut(chunk) for t in self.model(word)]
-        return struct.pack(f"<{len(ids)}{self.code}", *ids)
+            parts = self.signed(word)
+            if parts:
+                return self.words[parts[1]] + self.bare[parts[2]]
+        return self._chunk(" " + word)
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text, packed as ``kind``."""
-        known, out = self.young, []
+        known, spaced, out = self.young, self.words.__getitem__, []
         for t in texts:
             if self.odd_space(t) or any(a in t for a in self.added):
                 ids = self.whole.encode(t, add_special_tokens=False).ids
                 out.append(np.array(ids, dtype=self.kind).tobytes())
-            else:
+            elif "  " in t or len(t) > RUN_CHARS:
                 out.append(b"".join([known[c] for c in self.chunks(t)]))
-        if len(known) > CACHE_CHUNKS:
-            self.young = _Chunks(self._chunk, dict(known))
+            elif t:
+                if not self.unclear(t) and "\x00" not in t:
+                    t = t.replace(".", " \x00.").replace(",", " \x00,")
+                words = t.split(" ")
+                first = words.pop(0)
+                tail = " " if words and not words[-1] else ""  # a blank at the end stands alone
+                if tail:
+                    words.pop()
+                out.append(b"".join([known[first] if first else b"", *map(spaced, words),
+                                     known[tail] if tail else b""]))
+            else:
+                out.append(b"")
+        for name in ("young", "words", "bare"):
+            cache = getattr(self, name)
+            if len(cache) > CACHE_CHUNKS:
+                setattr(self, name, cache.next())
         return out
 
 

@@ -410,3 +410,23 @@ def test_mixing_odd(odd_docs, no_docs, llm):
     some = llm.createDataFrame([(1, "en"), (1, "de"), (8, "en")], "doc_id long, domain string")
     assert len(rows(mixing.mixed_rates(odd_docs, some, {"en": 1.0, "de": 1.0}))) == len(ODD_TEXTS)
     assert rows(mixing.mixed_rates(no_docs, some, {"en": 1.0, "de": 1.0})) == []
+
+
+def test_byte_words_encode_as_the_library(byte_library):
+    """Words, blanks, signs and contractions in any order, through small caches."""
+    import random
+
+    import numpy as np
+
+    from lampwatch.llm import wavelet as W
+    from lampwatch.llm.common import vocabulary
+
+    rnd = random.Random(9)
+    signs = ["a", "É", "È. ", "Éa", "è. ", "è.\nÉ", "a,É", "ß", " ", "  ", " \n", "\n", "\t", "'s", "'", "n't", ".",
+             ",", "…", "1", "12", "中", " .", "(", "don't", "x@y.z", "'ll", "'S", "\x01", "\x00", "\x0b", " ",
+             "<|endoftext|>", "\U0001f600", "é", "İ", "\r\n"]
+    encoder = W.ByteEncoder(vocabulary("byte_bpe_50k.json"))
+    for _ in range(4000):
+        text = "".join(rnd.choice(signs) for _ in range(rnd.randint(0, 9)))
+        want = encoder.whole.encode(text, add_special_tokens=False).ids
+        assert np.frombuffer(encoder.encode([text])[0], encoder.kind).tolist() == want, repr(text)
