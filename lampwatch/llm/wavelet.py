@@ -178,10 +178,10 @@ class ByteEncoder:
             if self.odd_space(t) or any(a in t for a in self.added):
                 ids = self.whole.encode(t, add_special_tokens=False).ids
                 out.append(np.array(ids, dtype=self.kind).tobytes())
-            elif "  " in t or len(t) > RUN_CHARS:
+            elif "  " in t or "\x00" in t or len(t) > RUN_CHARS:
                 out.append(b"".join([known[c] for c in self.chunks(t)]))
             elif t:
-                if not self.unclear(t) and "\x00" not in t:
+                if not self.unclear(t):
                     t = t.replace(".", " \x00.").replace(",", " \x00,")
                 words = t.split(" ")
                 first = words.pop(0)
