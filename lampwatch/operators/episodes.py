@@ -34,7 +34,7 @@ from lampwatch.functions import timefns as tf
 from lampwatch.functions.emission import emission_kg
 from lampwatch.operators.joins import fits_broadcast
 from lampwatch.sources.dimension import require_known, sensor_power
-from lampwatch.operators.scan import Scan, assign_chunks, carry_scan
+from lampwatch.operators.scan import Scan, cut_chunks, carry_scan, join_chunks
 
 SRC_ACTUATOR = 0
 SRC_PRESENCE = 1
@@ -95,12 +95,12 @@ def with_state(rows: DataFrame, initial_state: DataFrame) -> DataFrame:
 def own_state(bound: DataFrame) -> DataFrame:
     """The state of a row's rule, if it is a state row; sensors whose earlier
     run did not know the rule start from nothing."""
-    own = F.element_at(F.filter("states", lambda s: s["rule_id"] == F.col("rule_id")), 1)
+    own = F.try_element_at(F.filter("states", lambda s: s["rule_id"] == F.col("rule_id")), F.lit(1))
     return (bound.withColumn("s", F.when(F.col("src") == SRC_STATE, own)).drop("states")
             .where((F.col("src") != SRC_STATE) | F.col("s").isNotNull()))
 
 
-def scan_state(bound: DataFrame, chunked: bool = True) -> DataFrame:
+def scan_state(bound: DataFrame, chunked: int, copies: int = 1) -> DataFrame:
     """Step 1: ``a`` = latest actuator ``struct(ts, id, level)`` and ``o`` =
     latest occupied presence time, both at or before the row."""
     a = F.when(F.col("src") == SRC_ACTUATOR,
@@ -111,15 +111,16 @@ def scan_state(bound: DataFrame, chunked: bool = True) -> DataFrame:
         a = a.when(s["a_ts"].isNotNull(), F.struct(tf.wall_time(s["a_ts"]).alias("ts"), s["a_id"].alias("id"),
                                                    s["a_level"].alias("level")))
         o = o.when(s["o_ts"].isNotNull(), tf.wall_time(s["o_ts"]))
-    return carry_scan(bound, KEYS, "chunk", ORDER, [Scan("a", "last", a), Scan("o", "max", o)], chunked)
+    return carry_scan(bound, KEYS, "chunk", ORDER, [Scan("a", "last", a), Scan("o", "max", o)],
+                      chunked, copies)
 
 
 def state(actuator: DataFrame, presence: DataFrame, rule_keys: DataFrame,
           rules: DataFrame, rows_per_chunk: int | None = None,
-          initial_state: DataFrame | None = None) -> tuple[DataFrame, bool]:
-    """Readings of every rule with their scan state (J2, P9 inputs), and
-    whether hot sensors were cut into chunks."""
-    rows, chunked = assign_chunks(readings(actuator, presence), "key", "ts", rows_per_chunk)
+          initial_state: DataFrame | None = None) -> tuple[DataFrame, int]:
+    """Readings of every rule with their scan state (J2, P9 inputs), and the
+    pieces that hot sensors were cut into, over all rules (0: none is hot)."""
+    rows, chunked = cut_chunks(readings(actuator, presence), "key", "ts", rows_per_chunk)
     if initial_state is not None:
         rows = with_state(rows, initial_state)
     # Shuffle the readings once, by sensor (and chunk), before the per-rule
@@ -139,7 +140,8 @@ def state(actuator: DataFrame, presence: DataFrame, rule_keys: DataFrame,
         # rows are split there by AQE), so it comes before the rows are dealt
         # by (sensor, chunk): after it a hot sensor would be whole again
         rows = bind_rules(rows, rule_keys, rules, broadcast=False).repartition(n, "key", "chunk")
-    return scan_state(rows if initial_state is None else own_state(rows), chunked), chunked
+    copies = rules.count() if chunked else 1  # configuration
+    return scan_state(rows if initial_state is None else own_state(rows), chunked, copies), chunked * copies
 
 
 def gates(st: DataFrame) -> DataFrame:
@@ -193,7 +195,7 @@ def opened(opens: DataFrame) -> DataFrame:
                           for c in opens.columns if c != "s"], old.alias("seeded"))
 
 
-def transitions(labeled: DataFrame, chunked: bool = True) -> DataFrame:
+def transitions(labeled: DataFrame, chunked: int) -> DataFrame:
     """Steps 3-4: kept ``O`` rows with ``finish_ts`` (NULL: still open)."""
     lab = labeled.where(F.col("lab").isNotNull())
     prev = carry_scan(lab, KEYS, "chunk", ORDER,
@@ -210,7 +212,8 @@ def transitions(labeled: DataFrame, chunked: bool = True) -> DataFrame:
     later = (Window.partitionBy(*KEYS).orderBy(F.col("chunk").desc())
              .rowsBetween(Window.unboundedPreceding, -1))
     later_c = first_c.select(*KEYS, "chunk", F.min("_fc").over(later).alias("_later"))
-    return (opens.join(later_c, on=[*KEYS, "chunk"], how="left")
+    later_c = later_c.where(F.col("_later").isNotNull())
+    return (join_chunks(opens, later_c, [*KEYS, "chunk"], chunked)
             .withColumn("finish_ts", F.coalesce("_next", "_later"))
             .drop("_next", "_later", "prev"))
 
@@ -223,9 +226,9 @@ LABELED = [*KEYS, "chunk", *ORDER, "lab", "start_ts", "a", "occupied", "lux"]
 
 def labeled(actuator: DataFrame, presence: DataFrame, rule_keys: DataFrame,
             rules: DataFrame, rows_per_chunk: int | None = None,
-            initial_state: DataFrame | None = None) -> tuple[DataFrame, bool]:
+            initial_state: DataFrame | None = None) -> tuple[DataFrame, int]:
     """Steps 1-2 for every rule: rows with their label, narrowed to the
-    columns the later steps read; and whether sensors were chunked."""
+    columns the later steps read; and the pieces of hot sensors (0: none)."""
     params = rules.select(*PARAMS)
     st, chunked = state(actuator, presence, rule_keys, params, rows_per_chunk, initial_state)
     g = gates(st.join(F.broadcast(params), on="rule_id"))

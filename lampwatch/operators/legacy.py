@@ -25,7 +25,7 @@ from lampwatch import labels as L
 from lampwatch.functions import predicates as P
 from lampwatch.functions import timefns as tf
 from lampwatch.operators.presence import rolling, tumbling
-from lampwatch.operators.scan import Scan, assign_chunks, carry_scan
+from lampwatch.operators.scan import Scan, cut_chunks, carry_scan
 
 KEYS = ["key"]
 ORDER = ["t", "kind", "id"]
@@ -45,7 +45,7 @@ def legacy_episodes(actuator: DataFrame, presence: DataFrame, width: str,
         F.lit(READING).alias("kind"), F.col("id").cast("bigint").alias("id"),
         F.coalesce(F.col("level").cast("double"), F.lit(0.0)).alias("level"),
         F.lit(None).cast("boolean").alias("occupied_roll"))
-    rows, chunked = assign_chunks(fires.unionByName(reads), "key", "t", rows_per_chunk)
+    rows, chunked = cut_chunks(fires.unionByName(reads), "key", "t", rows_per_chunk)
 
     st = carry_scan(rows, KEYS, "chunk", ORDER, [
         Scan("a", "last", F.when(F.col("kind") == READING,

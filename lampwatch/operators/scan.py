@@ -3,14 +3,17 @@
 A plain ``Window.partitionBy(key).orderBy(ts)`` sends every row of a key to
 one task; a key holding a third of the data would then run alone.  Here
 each key's timeline is cut into chunks (``chunk`` column, see
-:func:`assign_chunks`): the window runs per ``(key, chunk)``, and each chunk
-starts from a *carry* -- the scan state at the end of all earlier chunks --
-computed from one small summary row per chunk.  Results equal the
-single-partition scan exactly; only the parallelism differs.
-
-Cost: one partial aggregate (map-side combined) for the summary, one small
-window over summaries, and one exchange + sort of the data by
-``(key, chunk)``.
+:func:`cut_chunks`).  A chunk's effect on a scan is summed up in one value
+(the last value, or the maximum, that it holds), and these compose: what a
+chunk starts from is the composition of all chunks before it, its *carry*.
+The window runs per ``(key, chunk)`` and the carry is filled in beside it, so
+the rows themselves are dealt and sorted once, whatever the number of scans.
+Results equal the single-partition scan exactly; only the parallelism differs.
+
+Cost: one exchange and sort of the rows by ``(key, chunk)``, which all scans
+over them share; per scan one partial aggregate over the dealt rows, one small
+window over a row per chunk, and a join of the carries, which are as many as
+the cut keys have pieces and broadcast only while that number is in bounds.
 """
 
 from __future__ import annotations
@@ -21,11 +24,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lampwatch.functions.timefns import micros
-from lampwatch.operators.joins import small_join
+from lampwatch.operators.joins import MAX_BROADCAST_ROWS, small_join
 from lampwatch.session import scratch_path
 
-CARRY_FLAG = "_carry"
-
 
 @dataclass(frozen=True)
 class Scan:
@@ -55,17 +56,26 @@ def _result(scan: Scan, acc: Column) -> Column:
     return acc.getField("v") if scan.kind == "last" else acc
 
 
+def join_chunks(df: DataFrame, small: DataFrame, on: list[str], chunked: int, copies: int = 1) -> DataFrame:
+    """``df`` left-joined with a table of at most one row per piece of a cut
+    key (``chunked`` pieces, ``copies`` of each): broadcast while that bound
+    allows it, which leaves ``df`` where it is."""
+    side = F.broadcast(small) if chunked * copies <= MAX_BROADCAST_ROWS else small
+    return df.join(side, on=on, how="left")
+
+
 def carry_scan(df: DataFrame, keys: list[str], chunk: str, order: list[str],
-               scans: list[Scan], chunked: bool = True) -> DataFrame:
+               scans: list[Scan], chunked: int = 1, copies: int = 1) -> DataFrame:
     """Adds one column per scan.  ``order`` must start with the column the
     chunks were cut on, so that chunk order agrees with scan order, and the
     order columns of data rows must be non-null.
 
-    ``chunked=False`` (no key was cut, every ``chunk`` is 0) skips the
-    carry: plain running windows over ``(keys, chunk)``.  Either way the
-    window spec is ``partitionBy(keys, chunk).orderBy(order)``, so later
-    windows with that spec reuse the exchange and the sort."""
-    tmp = {s.name: f"_s_{s.name}" for s in scans}
+    ``chunked`` is the number of pieces of all cut keys; 0 (no key was cut,
+    every ``chunk`` is 0) skips the carry: plain running windows over
+    ``(keys, chunk)``.  ``copies`` bounds the copies of a key's rows under
+    different ``keys``.  Either way the window spec is ``partitionBy(keys,
+    chunk).orderBy(order)``, so later windows with that spec reuse the
+    exchange and the sort."""
     base = Window.partitionBy(*keys, chunk).orderBy(*order)
     incl = base.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     excl = base.rowsBetween(Window.unboundedPreceding, -1)
@@ -73,39 +83,32 @@ def carry_scan(df: DataFrame, keys: list[str], chunk: str, order: list[str],
         return df.select(
             "*", *[_result(s, F.max(_contribution(s, order)).over(incl if s.inclusive else excl))
                    .alias(s.name) for s in scans])
-    rows = df.select("*", *[_contribution(s, order).alias(tmp[s.name]) for s in scans])
 
     # one summary row per chunk: the state the chunk leaves behind
-    summary = rows.groupBy(*keys, chunk).agg(
-        *[F.max(tmp[s.name]).alias(tmp[s.name]) for s in scans])
+    tmp = {s.name: f"_s_{s.name}" for s in scans}
+    summary = df.groupBy(*keys, chunk).agg(*[F.max(_contribution(s, order)).alias(tmp[s.name]) for s in scans])
     before = (Window.partitionBy(*keys).orderBy(chunk)
               .rowsBetween(Window.unboundedPreceding, -1))
-    carry = summary.select(*keys, chunk,
-                           *[F.max(tmp[s.name]).over(before).alias(tmp[s.name])
-                             for s in scans],
-                           F.lit(True).alias(CARRY_FLAG))
-
-    # The carry row has NULL order columns, so it sorts first in its chunk
-    # (ascending is NULLS FIRST) and seeds every running frame; the window
-    # keeps the plain scan order, so later windows over the same
-    # partitioning and order reuse the sort.
-    data = rows.withColumn(CARRY_FLAG, F.lit(False))
-    both = data.unionByName(carry, allowMissingColumns=True)
-    out = both.select(
-        *[c for c in df.columns],
-        *[_result(s, F.max(tmp[s.name]).over(incl if s.inclusive else excl)).alias(s.name)
-          for s in scans],
-        CARRY_FLAG,
-    )
-    return out.where(~F.col(CARRY_FLAG)).drop(CARRY_FLAG)
+    carry = summary.select(*keys, chunk, *[F.max(tmp[s.name]).over(before).alias(tmp[s.name]) for s in scans])
+    # a key that was not cut has no earlier chunk, and no row here
+    carry = carry.where(" OR ".join(f"`{c}` IS NOT NULL" for c in tmp.values()))
+
+    local = df.select("*", *[F.max(_contribution(s, order)).over(incl if s.inclusive else excl).alias(s.name)
+                             for s in scans])
+    out = join_chunks(local, carry, [*keys, chunk], chunked, copies)
+
+    def met(s: Scan) -> Column:
+        # what a chunk itself has is later than what it started from
+        pick = F.coalesce if s.kind == "last" else F.greatest
+        return _result(s, pick(F.col(s.name), F.col(tmp[s.name]))).alias(s.name)
+    return out.select(*df.columns, *[met(s) for s in scans])
 
 
 # rows of one key a window partition holds before the key is cut into time
 # chunks (read at call time, so a test can force the chunked path)
 ROWS_PER_CHUNK = 1_000_000
-# pieces a chunk is cut into at a time, and rounds of cutting at most
+# pieces a chunk is cut into at a time
 PIECES = 64
-ROUNDS = 8
 
 
 def hot_keys(df: DataFrame, key: str, rows_per_chunk: int) -> DataFrame:
@@ -117,9 +120,16 @@ def hot_keys(df: DataFrame, key: str, rows_per_chunk: int) -> DataFrame:
 
 def assign_chunks(df: DataFrame, key: str, ts: str, rows_per_chunk: int | None = None,
                   out: str = "chunk") -> tuple[DataFrame, bool]:
+    """:func:`cut_chunks`, and whether any key was cut."""
+    rows, pieces = cut_chunks(df, key, ts, rows_per_chunk, out)
+    return rows, pieces > 0
+
+
+def cut_chunks(df: DataFrame, key: str, ts: str, rows_per_chunk: int | None = None,
+               out: str = "chunk") -> tuple[DataFrame, int]:
     """Adds ``out``: 0 for ordinary keys; for hot keys (see :func:`hot_keys`)
     the number of the row's piece of the key's timeline, rising in time.
-    Returns the frame and whether any key was cut.
+    Returns the frame and the number of pieces of all hot keys (0: none is hot).
 
     Pieces are cut at quantiles of the rows, not at equal widths, so a burst
     is cut as finely as its rows need.  Pieces with over twice the target are
@@ -135,14 +145,15 @@ def assign_chunks(df: DataFrame, key: str, ts: str, rows_per_chunk: int | None =
     target = rows_per_chunk or ROWS_PER_CHUNK
     plain = df.withColumn(out, F.lit(0).cast("bigint"))
     if df.limit(target + 1).count() <= target:
-        return plain, False
+        return plain, 0
     hot = _staged(hot_keys(df, key, target).withColumn("_hot", F.lit(True)))
-    if not hot.limit(1).count():
-        return plain, False
+    pieces = hot.count()
+    if not pieces:
+        return plain, 0
     rows = small_join(plain, hot, key, "left")
     us = micros(ts)
     steps = [i / PIECES for i in range(1, PIECES)]
-    for _ in range(ROUNDS):
+    while True:
         cuts = (rows.where(F.col("_hot")).groupBy(key, out)
                 .agg(F.count(F.lit(1)).alias("_n"), F.min(us).alias("_a"), F.max(us).alias("_b"),
                      F.percentile_approx(us, steps, 10 * PIECES).alias("_q"))
@@ -153,13 +164,14 @@ def assign_chunks(df: DataFrame, key: str, ts: str, rows_per_chunk: int | None =
         cuts = cuts.select(key, out, F.when(F.size("_q") > 0, F.col("_q"))
                            .otherwise(F.array("_b")).alias("_q"))
         cuts = _staged(cuts)
-        if not cuts.limit(1).count():
-            break
+        more = cuts.agg(F.sum(F.size("_q"))).first()[0]
+        if not more:
+            return rows.drop("_hot"), pieces
+        pieces += more
         piece = F.coalesce(F.size(F.filter("_q", lambda q: q <= us)), F.lit(0))
         rows = (small_join(rows, cuts, [key, out], "left")
                 .withColumn(out, F.col(out) * (PIECES + 1)
                             + F.when(F.col("_q").isNull(), 0).otherwise(piece)).drop("_q"))
-    return rows.drop("_hot"), True
 
 
 def _staged(df: DataFrame) -> DataFrame:

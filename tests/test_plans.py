@@ -30,3 +30,24 @@ def test_episode_plan_has_one_shuffle_and_pushdown(spark):
 def test_decode_parses_once(spark):
     plan = _plan(entry.queries()["decode_presence"](spark, SF_SMALL))
     assert plan.count("from_json(") == 1, plan
+
+
+def test_hot_sensors_are_dealt_once(spark):
+    """Cut into pieces, the readings are sorted once on the main path and
+    exchanged at most three times in all (carries read fewer columns; equal
+    exchanges are reused): carries are joined to the rows where they lie."""
+    from lampwatch.operators import episodes as E
+    from lampwatch.plans import fixture as fx
+
+    eps = E.episodes(fx.actuator(spark, SF_SMALL), fx.presence(spark, SF_SMALL), fx.rule_keys(spark, SF_SMALL),
+                     fx.rules(spark), fx.dimension(spark, SF_SMALL), rows_per_chunk=20)
+    assert eps.collect()
+    plan = _plan(eps)
+    final = plan[plan.index("Final Plan"):plan.index("Initial Plan")]
+    nodes = set(re.findall(r"\((\d+)\)", final))
+    dealt = [n for n, by in re.findall(r"\((\d+)\) Exchange\n(?:.+\n)*?Arguments: (.+)", plan)
+             if n in nodes and "REPARTITION_BY_NUM" in by]
+    assert 1 <= len(dealt) <= 3, dealt
+    main = final[:final.index("BroadcastQueryStage")]
+    assert main.count("Sort") <= 1
+    assert "NestedLoop" not in final and "Cartesian" not in final
