@@ -226,10 +226,8 @@ def as_log(rows: DataFrame, delta_chars: int = 512) -> DataFrame:
 
     opened = F.array(F.struct(F.lit("message").alias("kind"), seq(F.lit(0)).alias("seq"),
                               F.coalesce("role", F.lit("")).alias("role"), F.lit("").alias("text")))
-    steps = F.sequence(F.lit(1), F.ceil(F.length("text") / delta_chars).cast("int"))
-    deltas = F.transform(F.when(F.length("text") > 0, steps).otherwise(F.array().cast("array<int>")),
-                         lambda i: F.struct(F.lit("delta").alias("kind"), seq(i).alias("seq"),
-                                            F.lit(None).cast("string").alias("role"),
-                                            F.substring(F.col("text"), (i - 1) * delta_chars + 1,
-                                                        F.lit(delta_chars)).alias("text")))
+    # one pass over the text, whatever its length
+    cut = F.regexp_extract_all(F.col("text"), F.lit(f"(?s).{{1,{delta_chars}}}"), F.lit(0))
+    deltas = F.transform(cut, lambda t, i: F.struct(F.lit("delta").alias("kind"), seq(i + 1).alias("seq"),
+                                                    F.lit(None).cast("string").alias("role"), t.alias("text")))
     return turns.select("conv_id", "message", F.inline(F.concat(opened, deltas)))

@@ -50,8 +50,8 @@ CELLS_PER_WINDOW = 4
 MAX_CELLS = 1 << 29
 STRIPE_CELLS = 1 << 22
 #: windows per partial sketch, and candidate windows combined at a time
-PARTIAL_WINDOWS = 1 << 22
-COMBINED_WINDOWS = 1 << 20
+PARTIAL_WINDOWS = 1 << 21
+COMBINED_WINDOWS = 1 << 19
 RUN_CHARS = 1_500_000
 #: bits kept of a digest's second half: 96 in all, at which 10^13 different
 #: windows are expected to hold 0.001 pairs that share one
@@ -187,7 +187,7 @@ def repeated_bits(docs: DataFrame, cells: int) -> np.ndarray:
     return bits
 
 
-def combined(h1: np.ndarray, h2: np.ndarray, doc: np.ndarray, place: np.ndarray):
+def combined(h1: np.ndarray, h2: np.ndarray, doc: np.ndarray, tag: np.ndarray, place: np.ndarray):
     """Rows to group: one per window of the smallest document that this task
     holds with it, and one per run of consecutive windows that are already
     decided, because a smaller document here holds them.  A run has its
@@ -199,22 +199,25 @@ def combined(h1: np.ndarray, h2: np.ndarray, doc: np.ndarray, place: np.ndarray)
     least = doc[order][np.maximum.accumulate(np.where(new, np.arange(len(doc)), 0))]
     decided = np.empty(len(doc), bool)
     decided[order] = doc[order] > least
-    d, at = doc[decided], place[decided]
-    order = np.lexsort((at, d))
-    d, at = d[order], at[order]
+    d, t, at = doc[decided], tag[decided], place[decided]
+    order = np.lexsort((at, t, d))
+    d, t, at = d[order], t[order], at[order]
     first = np.flatnonzero(np.concatenate(
-        [np.ones(min(1, len(d)), bool), (d[1:] != d[:-1]) | (at[1:] != at[:-1] + 1)]))
+        [np.ones(min(1, len(d)), bool),
+         (d[1:] != d[:-1]) | (t[1:] != t[:-1]) | (at[1:] != at[:-1] + 1)]))
     length = np.diff(np.append(first, len(d)))
-    d, at = d[first], at[first]
+    d, t, at = d[first], t[first], at[first]
     scatter = (d * np.int64(-7046029254386353131)) ^ (at * np.int64(0x2545F4914F6CDD1D))
     rest = ~decided
     return (np.concatenate([h1[rest], scatter]), np.concatenate([h2[rest], length]),
-            np.concatenate([doc[rest], d]), np.concatenate([place[rest], ~at]))
+            np.concatenate([doc[rest], d]), np.concatenate([tag[rest], t]),
+            np.concatenate([place[rest], ~at]))
 
 
 def candidates(docs: DataFrame, bits: np.ndarray, cells: int) -> DataFrame:
     """Windows estimated repeated, as ``combined`` leaves them.  A place is the
-    text's CRC-32 but its top bit (upper half) and the window's first word."""
+    text's CRC-32 but its top bit (upper half) and the window's first word;
+    with the 64-bit ``tag`` it tells texts of one id apart by 95 bits."""
     import zstandard
 
     # few bits are set: the broadcast is a fraction of the sketch
@@ -225,20 +228,21 @@ def candidates(docs: DataFrame, bits: np.ndarray, cells: int) -> DataFrame:
         import numpy as np
         import pyarrow as pa
         import zstandard
-        from xxhash import xxh3_128_digest
+        from xxhash import xxh3_64_intdigest, xxh3_128_digest
 
         from lampwatch.llm.repeats import (COMBINED_WINDOWS, DIGEST_LOW, LAST_ID, WINDOW, cells_of,
                                            combined, window_hashes)
         table = np.frombuffer(zstandard.ZstdDecompressor().decompress(shared.value),
                               np.uint8).reshape(2, -1)
-        digests, docs_, places = [], [], []
+        digests, docs_, tags, places = [], [], [], []
         held = 0
 
         def rows():
             raw = np.frombuffer(b"".join(digests), "<i8").reshape(-1, 2)
-            cols = combined(raw[:, 0], raw[:, 1] & DIGEST_LOW, np.concatenate(docs_), np.concatenate(places))
+            cols = combined(raw[:, 0], raw[:, 1] & DIGEST_LOW, np.concatenate(docs_), np.concatenate(tags),
+                            np.concatenate(places))
             return pa.RecordBatch.from_arrays([pa.array(c) for c in cols],
-                                              names=["h1", "h2", "doc_id", "place"])
+                                              names=["h1", "h2", "doc_id", "tag", "place"])
 
         for b in batches:
             for key, text in zip(b.column(0).to_pylist(), b.column(1)):
@@ -255,15 +259,16 @@ def candidates(docs: DataFrame, bits: np.ndarray, cells: int) -> DataFrame:
                 digests.append(b"".join([xxh3_128_digest(b" ".join(words[i:i + WINDOW]))
                                          for i in at.tolist()]))
                 docs_.append(np.full(len(at), LAST_ID if key is None else key, np.int64))
+                tags.append(np.full(len(at), xxh3_64_intdigest(raw), np.uint64).view(np.int64))
                 places.append(at + ((zlib.crc32(raw) & 0x7FFFFFFF) << 32))
                 held += len(at)
                 if held >= COMBINED_WINDOWS:
                     yield rows()
-                    digests, docs_, places, held = [], [], [], 0
+                    digests, docs_, tags, places, held = [], [], [], [], 0
         if held:
             yield rows()
 
-    return docs.mapInArrow(run, "h1 long, h2 long, doc_id long, place long")
+    return docs.mapInArrow(run, "h1 long, h2 long, doc_id long, tag long, place long")
 
 
 def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -279,26 +284,30 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     run = F.col("place") < 0
     place = F.when(run, F.bitwise_not("place")).otherwise(F.col("place"))
     struck = (found.withColumn("least", least).where(run | (F.col("doc_id") > F.col("least")))
-              .select(F.col("doc_id").alias("key"), F.shiftright(place, 32).alias("tag"),
+              .select(F.col("doc_id").alias("key"), "tag", F.shiftright(place, 32).alias("crc"),
                       (F.shiftleft(place.bitwiseAND(F.lit(0x7FFFFFFF)), 31)
                        + F.when(run, F.col("h2")).otherwise(F.lit(1))).alias("place"))
-              .groupBy("key", "tag").agg(F.collect_list("place").alias("places")))
+              .groupBy("key", "tag", "crc").agg(F.collect_list("place").alias("places")))
 
     def pack(batches):
+        import numpy as np
         import pyarrow as pa
         import pyarrow.compute as pc
         import zstandard
+        from xxhash import xxh3_64_intdigest
         squeeze = zstandard.ZstdCompressor(level=3).compress
         for b in batches:
             raw = [(t.as_py() or "").encode("utf-8", "surrogatepass") for t in b.column(1)]
+            tags = np.array([xxh3_64_intdigest(r) for r in raw], np.uint64).view(np.int64)
             yield pa.RecordBatch.from_arrays(
-                [pc.fill_null(b.column(0), LAST_ID), pa.array([zlib.crc32(r) & 0x7FFFFFFF for r in raw], pa.int64()),
+                [pc.fill_null(b.column(0), LAST_ID), pa.array(tags),
+                 pa.array([zlib.crc32(r) & 0x7FFFFFFF for r in raw], pa.int64()),
                  b.column(0), pa.array([squeeze(r) for r in raw], pa.binary())],
-                names=["key", "tag", "doc_id", "text"])
+                names=["key", "tag", "crc", "doc_id", "text"])
 
     # texts travel compressed: they are the largest part of what the join shuffles
-    whole = slim.mapInArrow(pack, "key long, tag long, doc_id long, text binary")
-    joined = whole.join(struck, ["key", "tag"], "left")
+    whole = slim.mapInArrow(pack, "key long, tag long, crc long, doc_id long, text binary")
+    joined = whole.join(struck, ["key", "tag", "crc"], "left")
 
     def strike(batches):
         import numpy as np
