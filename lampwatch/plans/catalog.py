@@ -295,8 +295,22 @@ def _summaries(spark, sf) -> DataFrame:
     return A.window_summary(_readings_with_message(spark, sf), WINDOW_WIDTH)
 
 
+def _original(json: str) -> list:
+    """The fields of an evidence JSON, read back."""
+    kinds = {"OpeningAperture": ("opening", "double"), "SensorOCC": ("occ", "boolean"),
+             "SensorLUX": ("lux", "double")}
+    return [F.get_json_object(json, f"$.{f}").cast(kind).alias(f"original_{name}")
+            for f, (name, kind) in kinds.items()]
+
+
 def window_summary(spark, sf):
-    return _summaries(spark, sf).select(*SUMMARY_COLUMNS)
+    return _summaries(spark, sf).select(*SUMMARY_COLUMNS, *_original("original_data"))
+
+
+def window_setters(spark, sf):
+    """A4 as setters: rows set the flag, the first-open time and the strategy."""
+    return A.window_summary(fx.readings_with_setters(spark, sf), WINDOW_WIDTH).select(
+        "key", "window_start", "name", "is_warning", "first_open_time", "strategy", *_original("original_data"))
 
 
 LEGACY_COLUMNS = ["sensor_key", "start_ts", "finish_ts", "is_finish", "duration",
@@ -312,7 +326,7 @@ def legacy_episodes(spark, sf):
 def legacy_warnings(spark, sf):
     return LG.legacy_warnings(_summaries(spark, sf)).select(
         "sensor_key", "start_ts", "is_finish", "type", "system", "strategy", "message",
-        "measure", "time")
+        "measure", "time", *_original("origin_data"))
 
 
 def alert_suppressed(spark, sf):
@@ -354,6 +368,7 @@ QUERIES: dict[str, Query] = {
     "presence_tumbling": presence_tumbling,
     "presence_rolling": presence_rolling,
     "window_summary": window_summary,
+    "window_setters": window_setters,
     "legacy_episodes": legacy_episodes,
     "legacy_warnings": legacy_warnings,
     "alert_suppressed": alert_suppressed,

@@ -82,6 +82,20 @@ def readings_with_type(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("event_type").alias("message"))
 
 
+# rows that set fields of a window summary, by event id: every SET_WARNING[0]-th the flag (to
+# whether SET_WARNING[1] divides the id), every SET_FIRST_OPEN-th the first-open time, every
+# SET_STRATEGY-th the strategy
+SET_WARNING, SET_FIRST_OPEN, SET_STRATEGY = (3, 2), 7, 5
+
+
+def readings_with_setters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``readings_with_type`` with rows that set fields of their window's summary."""
+    return readings_with_type(spark, sf_dir).select(
+        "*", F.when(_m(SET_WARNING[0]), _m(SET_WARNING[1])).alias("set_warning"),
+        F.when(_m(SET_FIRST_OPEN), wall_ms("ts")).alias("set_first_open"),
+        F.when(_m(SET_STRATEGY), F.concat(F.lit("rule "), F.col("message"))).alias("set_strategy"))
+
+
 def actuator(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = table(spark, sf_dir, "events")
     return ev.where(F.col("event_type").isin(*ACTUATOR_TYPES)).select(

@@ -403,7 +403,7 @@ FROM eps
 
 # --- A1-A4 F12 T7 T8 P12 K5 --------------------------------------------------------
 
-_FOLD = "round(list_reduce(list(lux ORDER BY ts, id), lambda acc, x: (x + acc) / 2), 6)"
+_FOLD = "list_reduce(list(lux ORDER BY ts, id), lambda acc, x: (x + acc) / 2)"
 
 
 def _tumbling(width: str) -> str:
@@ -447,11 +447,17 @@ g AS (
   SELECT key, time_bucket(INTERVAL '1 hour', ts) AS window_start, max(ts) AS mts,
          (list(level ORDER BY ts DESC, id DESC) FILTER (WHERE src = 0))[1] AS opening_aperture,
          bool_or(occupied) FILTER (WHERE src = 1) AS sensor_occ,
-         round(list_reduce(list(lux ORDER BY ts, id) FILTER (WHERE src = 1),
-                           lambda acc, x: (x + acc) / 2), 6) AS sensor_lux,
+         list_reduce(list(lux ORDER BY ts, id) FILTER (WHERE src = 1),
+                     lambda acc, x: (x + acc) / 2) AS sensor_lux,
          string_agg(message, '|' ORDER BY ts, id) FILTER (WHERE message <> '') AS message,
          min(ts) FILTER (WHERE src = 0 AND level > {L.LEGACY_ON_LEVEL}) AS first_open,
-         (list(key ORDER BY ts, id) FILTER (WHERE key <> ''))[1] AS name
+         (list(key ORDER BY ts, id) FILTER (WHERE key <> ''))[1] AS name,
+         (list(id % {fx.SET_WARNING[1]} = 0 ORDER BY ts DESC, id DESC)
+            FILTER (WHERE id % {fx.SET_WARNING[0]} = 0))[1] AS set_warning,
+         (list(epoch_us(ts) // 1000 ORDER BY ts DESC, id DESC)
+            FILTER (WHERE id % {fx.SET_FIRST_OPEN} = 0))[1] AS set_first_open,
+         (list('rule ' || message ORDER BY ts DESC, id DESC)
+            FILTER (WHERE id % {fx.SET_STRATEGY} = 0))[1] AS set_strategy
   FROM rd GROUP BY key, time_bucket(INTERVAL '1 hour', ts)),
 summary AS (
   SELECT key, window_start, name, (epoch_us(mts) // 1000) AS time_stamp,
@@ -459,12 +465,22 @@ summary AS (
          coalesce(opening_aperture > {L.LEGACY_ON_LEVEL}, false)
            AND NOT coalesce(sensor_occ, false) AS is_warning,
          opening_aperture, sensor_occ, sensor_lux, message,
-         coalesce((epoch_us(first_open) // 1000), 0) AS first_open_time, '{L.LEGACY_STRATEGY}' AS strategy
+         coalesce((epoch_us(first_open) // 1000), 0) AS first_open_time, '{L.LEGACY_STRATEGY}' AS strategy,
+         set_warning, set_first_open, set_strategy
   FROM g)"""
 
+_ORIGINAL = "opening_aperture AS original_opening, sensor_occ AS original_occ, sensor_lux AS original_lux"
 WINDOW_SUMMARY = f"""
 WITH {_SUMMARY}
-SELECT * FROM summary
+SELECT * EXCLUDE (set_warning, set_first_open, set_strategy), {_ORIGINAL} FROM summary
+"""
+
+WINDOW_SETTERS = f"""
+WITH {_SUMMARY}
+SELECT key, window_start, name, coalesce(set_warning, is_warning) AS is_warning,
+       coalesce(set_first_open, first_open_time) AS first_open_time,
+       coalesce(set_strategy, strategy) AS strategy, {_ORIGINAL}
+FROM summary
 """
 
 LEGACY_EPISODES = f"""
@@ -510,7 +526,7 @@ WITH {_SUMMARY}
 SELECT name AS sensor_key, make_timestamp(time_stamp * 1000) AS start_ts, false AS is_finish,
        '{L.TYPE_LEGACY_WARNING}' AS type, '{L.SYSTEM}' AS system,
        '{L.LEGACY_STRATEGY}' AS strategy, message, '{L.MEASURE}' AS measure,
-       strftime(make_timestamp(time_stamp * 1000), '%Y-%m-%d %H:%M:%S') AS time
+       strftime(make_timestamp(time_stamp * 1000), '%Y-%m-%d %H:%M:%S') AS time, {_ORIGINAL}
 FROM summary WHERE is_warning
 """
 
@@ -583,6 +599,7 @@ SQL: dict[str, str] = {
     "presence_tumbling": PRESENCE_TUMBLING,
     "presence_rolling": PRESENCE_ROLLING,
     "window_summary": WINDOW_SUMMARY,
+    "window_setters": WINDOW_SETTERS,
     "legacy_episodes": LEGACY_EPISODES,
     "legacy_warnings": LEGACY_WARNINGS,
     "alert_suppressed": ALERT_SUPPRESSED,

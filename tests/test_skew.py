@@ -32,29 +32,53 @@ def test_chunked_matches_oracle(results, name):
     assert r["rows"] == r["oracle_rows"] and r["values_match"], r
 
 
-def test_fold_is_exact_at_any_depth(spark):
-    """The weighted sum equals the sequential fold, also for groups longer
-    than the ranking depth and for depths that tasks can cut at."""
+@pytest.mark.parametrize("depth", [2200, 120])
+def test_fold_is_exact_at_any_depth(spark, monkeypatch, depth):
+    """To the last bit that of the sequential fold, also for groups longer
+    than the depth that is folded; nulls and non-finite readings at any depth."""
+    import math
     import random
 
     from lampwatch.operators import presence as A
 
+    monkeypatch.setattr(A, "DEPTH", depth)
     pick = random.Random(4)
     t0 = dt.datetime(2024, 1, 1)
     rows, want = [], {}
-    for key, n in (("a", 1), ("b", 2), ("c", 50), ("d", 5000)):
-        lux = [round(pick.uniform(0, 500), 2) for _ in range(n)]
+    inf, nan = float("inf"), float("nan")
+    for key, n, odd in (("a", 1, {}), ("b", 2, {}), ("c", 50, {}), ("d", 5000, {}), ("e", 5000, {3: 1e300 if depth > 1100 else 1e10}),
+                        ("f", 5000, {0: inf}), ("g", 5000, {0: nan}), ("h", 5000, {7: None}), ("i", 3, {2: None}),
+                        ("j", 300, {1: inf, 2: -inf}), ("k", 9, {8: -inf})):
+        lux = [pick.uniform(0, 500) for _ in range(n)]
+        for i, x in odd.items():
+            lux[i] = x
         acc = lux[0]
         for x in lux[1:]:
-            acc = (x + acc) / 2
-        want[key] = (round(acc, 6), n)
+            acc = None if x is None or acc is None else (x + acc) / 2
+        want[key] = ("nan" if acc is not None and math.isnan(acc) else acc, n)
         rows += [(key, t0 + dt.timedelta(milliseconds=100 * i), i, False, x) for i, x in enumerate(lux)]
     pick.shuffle(rows)
     df = spark.createDataFrame(rows, "key string, ts timestamp_ntz, id long, occupied boolean, lux double")
-    got = {r.key: (r.lux, r.n) for r in A.tumbling(df, "1 day").collect()}
+    got = {r.key: ("nan" if r.lux is not None and math.isnan(r.lux) else r.lux, r.n)
+           for r in A.tumbling(df, "1 day").collect()}
     assert got == want
 
 
+def test_fold_that_may_overflow_is_not_guessed(spark):
+    """Two early readings whose sum overflows: exact in a short group, refused in a long one."""
+    from lampwatch.operators import presence as A
+
+    t0 = dt.datetime(2024, 1, 1)
+
+    def fold(n):
+        rows = [("k", t0 + dt.timedelta(milliseconds=i), i, False, -1.5e308 if i < 2 else 1.0) for i in range(n)]
+        df = spark.createDataFrame(rows, "key string, ts timestamp_ntz, id long, occupied boolean, lux double")
+        return A.tumbling(df, "1 day").first()["lux"]
+    assert fold(2000) == float("-inf")
+    with pytest.raises(Exception, match="beyond its depth"):
+        fold(2300)
+
+
 def _burst(spark):
     """10,000 rows of one key, all but two within ten seconds; a cold key."""
     t0 = dt.datetime(2024, 1, 1)
