@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from lampwatch.functions.timefns import micros
 from lampwatch.operators.joins import MAX_BROADCAST_ROWS, small_join
-from lampwatch.session import scratch_path
+from lampwatch.session import staged
 
 
 @dataclass(frozen=True)
@@ -146,7 +146,7 @@ def cut_chunks(df: DataFrame, key: str, ts: str, rows_per_chunk: int | None = No
     plain = df.withColumn(out, F.lit(0).cast("bigint"))
     if df.limit(target + 1).count() <= target:
         return plain, 0
-    hot = _staged(hot_keys(df, key, target).withColumn("_hot", F.lit(True)))
+    hot = staged(hot_keys(df, key, target).withColumn("_hot", F.lit(True)), "hot-keys")
     pieces = hot.count()
     if not pieces:
         return plain, 0
@@ -163,7 +163,7 @@ def cut_chunks(df: DataFrame, key: str, ts: str, rows_per_chunk: int | None = No
         # where one timestamp holds most rows all quantiles may fall on the first: cut off the last
         cuts = cuts.select(key, out, F.when(F.size("_q") > 0, F.col("_q"))
                            .otherwise(F.array("_b")).alias("_q"))
-        cuts = _staged(cuts)
+        cuts = staged(cuts, "cuts")
         more = cuts.agg(F.sum(F.size("_q"))).first()[0]
         if not more:
             return rows.drop("_hot"), pieces
@@ -173,8 +173,3 @@ def cut_chunks(df: DataFrame, key: str, ts: str, rows_per_chunk: int | None = No
                 .withColumn(out, F.col(out) * (PIECES + 1)
                             + F.when(F.col("_q").isNull(), 0).otherwise(piece)).drop("_q"))
 
-
-def _staged(df: DataFrame) -> DataFrame:
-    path = scratch_path(df.sparkSession, "cuts")
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -3,22 +3,25 @@ last *sent* one (strictly later than sent + 24 h), nothing before the
 start time; the output is the sent alerts ``(key, time_stamp)``.
 
 The sent set is a greedy chain (each sent alert decides the next), not a
-fixed window.  Batch: per sensor, a JVM-side fold (``F.aggregate``) walks
-the sensor's sorted alert times carrying the last sent time and the sent
-list.  The input is window warnings (A4 rows), so a sensor's array holds at
-most ``span / window`` times however many readings it sent, and the sent
-list at most ``span / 24 h``.  ``greedy_keep`` is the same chain in numpy
-for the streaming operator (``streaming/suppress.py``).
+fixed window, and a sensor's history may be long.  Batch: every alert points
+to the one that would follow if it were sent -- the first more than the gap
+later -- and the chain from a sensor's first alert is found by pointer
+doubling: a round doubles the pointers' reach and the part of the chain known
+so far, so there are as many rounds as the longest chain has binary digits.
+All joins are on (sensor, time), so a sensor with most of the alerts is spread
+like any other rows; no history is held in an array.  ``greedy_keep`` is the
+same chain in numpy for the streaming operator (``streaming/suppress.py``).
 """
 
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lampwatch import labels as L
 from lampwatch.functions import timefns as tf
+from lampwatch.session import staged
 
 
 def greedy_keep(times_ms: np.ndarray, gap_ms: int, last_sent: int | None = None) -> np.ndarray:
@@ -33,23 +36,52 @@ def greedy_keep(times_ms: np.ndarray, gap_ms: int, last_sent: int | None = None)
     return keep
 
 
+#: buckets of a gap in which an alert's follower is looked for
+BUCKETS = 64
+
+
+def followers(alerts: DataFrame, gap_ms: int) -> DataFrame:
+    """``key, t, next``: for each alert the first one of its sensor that is more
+    than the gap later, where there is one.  Looked for in the bucket of time
+    that the gap ends in, else it is the first alert of the next bucket that
+    has any: a task sorts one bucket of a sensor, or one row per bucket."""
+    width = gap_ms // BUCKETS + 1
+    ends = F.col("t") + gap_ms
+
+    def bucket(t):
+        return F.floor(t / width).cast("bigint").alias("b")
+
+    rows = (alerts.select("key", bucket(F.col("t")), F.col("t").alias("at"), F.lit(None).cast("bigint").alias("t"))
+            .unionByName(alerts.select("key", bucket(ends), ends.alias("at"), "t")))
+    alert = F.when(F.col("t").isNull(), F.col("at"))
+    # later rows first, and of equal times the ends: an alert at the very end of a gap is not later
+    later = (Window.partitionBy("key", "b").orderBy(F.desc("at"), F.col("t").isNull())
+             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    own = rows.select("key", "b", "t", F.min(alert).over(later).alias("own")).where("t IS NOT NULL")
+    beyond = Window.partitionBy("key").orderBy(F.desc("b")).rowsBetween(Window.unboundedPreceding, -1)
+    first = (rows.groupBy("key", "b").agg(F.min(alert).alias("m"))
+             .select(F.col("key").alias("_k"), F.col("b").alias("_b"), F.min("m").over(beyond).alias("beyond")))
+    both = own.join(first, F.col("key").eqNullSafe(F.col("_k")) & (F.col("b") == F.col("_b")))
+    return both.select("key", "t", F.coalesce("own", "beyond").alias("next")).where("next IS NOT NULL")
+
+
 def suppress(alerts: DataFrame, start, key: str = "key", ts_ms: str = "time_stamp",
              gap_s: int = L.ALERT_GAP_S) -> DataFrame:
     """``(key, time_stamp)`` of the sent alerts.  ``start`` and ``ts_ms``
-    are epoch numbers, seconds or milliseconds (F9 normalises both)."""
+    are epoch numbers, seconds or milliseconds (F9 normalises both).  Alerts
+    of a sensor at the same time are one; null sensors are one sensor."""
     start_ms = start * 1000 if start < L.EPOCH_SECONDS_LIMIT else start
-    gap_ms = gap_s * 1000
-    norm = (alerts.select(F.col(key).alias("key"), tf.epoch_ms(ts_ms).alias("t"))
-            .where(F.col("t") >= F.lit(start_ms)))
-    times = norm.groupBy("key").agg(F.array_sort(F.collect_list("t")).alias("ts"))
-    zero = F.struct(F.lit(None).cast("bigint").alias("last"),
-                    F.array().cast("array<bigint>").alias("sent"))
-
-    def visit(acc, t):
-        send = acc.getField("last").isNull() | (acc.getField("last") + gap_ms < t)
-        return F.when(send, F.struct(t.alias("last"),
-                                     F.concat(acc.getField("sent"), F.array(t)).alias("sent"))
-                      ).otherwise(acc)
-
-    chain = F.aggregate("ts", zero, visit).getField("sent")
-    return times.select("key", F.explode(chain).alias(ts_ms))
+    norm = staged(alerts.select(F.col(key).alias("key"), tf.epoch_ms(ts_ms).alias("t"))
+                  .where(F.col("t") >= F.lit(start_ms)).distinct(), "alerts")
+    links = staged(followers(norm, gap_s * 1000), "alert-links")
+    sent = norm.groupBy("key").agg(F.min("t").alias("t"))
+    while True:
+        step = links.select(F.col("key").alias("_k"), F.col("t").alias("_t"), "next")
+        on = F.col("key").eqNullSafe(F.col("_k")) & (F.col("t") == F.col("_t"))
+        more = staged(sent.join(step, on).select("key", F.col("next").alias("t")), "alerts-sent")
+        if more.isEmpty():
+            return sent.select("key", F.col("t").alias(ts_ms))
+        sent = sent.unionByName(more)
+        reached = F.col("key").eqNullSafe(F.col("_k")) & (F.col("mid") == F.col("_t"))
+        links = staged(links.withColumnRenamed("next", "mid").join(step, reached)
+                       .select("key", "t", "next"), "alert-links")

@@ -333,9 +333,21 @@ def alert_suppressed(spark, sf):
     warn = _summaries(spark, sf).where(F.col("is_warning")).select(
         F.col("name").alias("key"), "time_stamp")
     sent = SUP.suppress(warn, ALERT_START_S)
+    return suppressed_alerts(spark, sent)
+
+
+def suppressed_alerts(spark, sent: DataFrame) -> DataFrame:
+    """Sent alerts with the notification body that each posts (K3), read back."""
     dt_text = tf.format_time(tf.wall_time(F.col("time_stamp") * 1000))
-    return sent.select("key", "time_stamp", dt_text.alias("datetime"),
-                       S.alert_text("key").alias("message"))
+    receivers = fx.rules(spark, ["time_only"]).select("receivers")  # one row of configuration
+    out = sent.join(F.broadcast(receivers)).select(
+        "key", "time_stamp", dt_text.alias("datetime"), S.alert_text("key").alias("message"),
+        S.alert_body("key", dt_text, "receivers").alias("b"))
+    fields = {"priority": "priority", "sender_name": "sender.name", "sender_type": "sender.type",
+              "sender_id": "sender.id", "alert_name": "parameters.name", "body_message": "parameters.message",
+              "body_datetime": "parameters.datetime", "receivers": "receivers"}
+    return out.select("key", "time_stamp", "datetime", "message",
+                      *[F.get_json_object("b", f"$.{path}").alias(name) for name, path in fields.items()])
 
 
 QUERIES: dict[str, Query] = {

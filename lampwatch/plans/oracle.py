@@ -544,7 +544,12 @@ chain(key, sent) AS (
   FROM chain c WHERE c.sent IS NOT NULL)
 SELECT key, sent AS time_stamp,
        strftime(make_timestamp(sent * 1000), '%Y-%m-%d %H:%M:%S') AS datetime,
-       '{L.ALERT_TEXT_PREFIX}' || key || '{L.ALERT_TEXT_SUFFIX}' AS message
+       '{L.ALERT_TEXT_PREFIX}' || key || '{L.ALERT_TEXT_SUFFIX}' AS message,
+       '{L.PRIORITY}' AS priority, '{L.SENDER_NAME}' AS sender_name, '{L.SENDER_TYPE}' AS sender_type,
+       '{L.SENDER_ID}' AS sender_id, '{L.ALERT_NAME}' AS alert_name,
+       '{L.ALERT_TEXT_PREFIX}' || key || '{L.ALERT_TEXT_SUFFIX}' AS body_message,
+       strftime(make_timestamp(sent * 1000), '%Y-%m-%d %H:%M:%S') AS body_datetime,
+       '{_RECEIVERS}' AS receivers
 FROM chain WHERE sent IS NOT NULL
 """
 

@@ -215,7 +215,6 @@ def stream_log(spark: SparkSession, sf: str) -> DataFrame:
 def stream_alert_suppressed(spark: SparkSession, sf: str) -> DataFrame:
     """K5 live: window warnings (derived from the readings) arrive as files
     in time order; the suppression state carries across micro-batches."""
-    from lampwatch.functions import shapes as S
     from lampwatch.functions import timefns as tf
     from lampwatch.plans import catalog as C
     from lampwatch.streaming.suppress import suppress_stream
@@ -233,7 +232,4 @@ def stream_alert_suppressed(spark: SparkSession, sf: str) -> DataFrame:
     q.awaitTermination()
     if q.exception():
         raise q.exception()
-    out = spark.read.parquet(f"{root}/out")
-    dt_text = tf.format_time(tf.wall_time(F.col("time_stamp") * 1000))
-    return out.select("key", "time_stamp", dt_text.alias("datetime"),
-                      S.alert_text("key").alias("message"))
+    return C.suppressed_alerts(spark, spark.read.parquet(f"{root}/out"))

@@ -8,7 +8,7 @@ import tempfile
 import uuid
 import zipfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
@@ -93,3 +93,11 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder below the shared checkpoint folder."""
     root = checkpoint_root(spark).rstrip("/")
     return f"{root}/lampwatch/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def staged(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written as Parquet below the shared folder and read back:
+    lineage is cut, and a lost executor costs only its own tasks."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
