@@ -3,6 +3,7 @@
 import random
 
 import numpy as np
+import pytest
 
 from lampwatch.operators import suppress as SUP
 
@@ -17,7 +18,10 @@ def chain(rows, start):
     return sorted(out, key=str)
 
 
-def test_equals_the_sequential_chain(spark):
+@pytest.mark.parametrize("most", [0, 100, 10_000])
+def test_equals_the_sequential_chain(spark, monkeypatch, most):
+    """Folded, jumped, and some of each."""
+    monkeypatch.setattr(SUP, "FOLDED", most)
     rnd = random.Random(3)
     start = 1_704_240_000_000
     rows = []
@@ -39,6 +43,7 @@ def test_one_sensor_with_most_alerts(spark):
     from pyspark.sql import functions as F
 
     start = 1_704_240_000_000
+    assert 300_000 > SUP.FOLDED
     t = F.lit(start) + (F.col("id") * 25_919).cast("long")
     df = spark.range(300_000).select(F.lit("hot").alias("key"), t.alias("time_stamp"))
     got = sorted(r.time_stamp for r in SUP.suppress(df, start).collect())
