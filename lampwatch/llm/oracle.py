@@ -60,4 +60,37 @@ o AS (
   SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM r)
 SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INTEGER) AS rank
 FROM o WHERE part = 'pair' OR rank <= 200""",
+    "op3_repeats": r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+win AS (
+  SELECT r, doc_id, i, array_to_string(w[i:i + 12], ' ') AS k
+  FROM (SELECT *, unnest(range(1, len(w) - 11)) AS i FROM d WHERE len(w) >= 13)),
+least AS (SELECT k, min(doc_id) AS least FROM win GROUP BY k),
+gone AS (
+  SELECT DISTINCT r, p
+  FROM (SELECT r, unnest(range(i, i + 13)) AS p FROM win JOIN least USING (k) WHERE least < doc_id)),
+word AS (SELECT r, unnest(w) AS word, generate_subscripts(w, 1) AS p FROM d),
+kept AS (
+  SELECT word.r, count(gone.p) AS n_removed,
+         string_agg(word, ' ' ORDER BY word.p) FILTER (WHERE gone.p IS NULL) AS kept
+  FROM word LEFT JOIN gone ON gone.r = word.r AND gone.p = word.p GROUP BY word.r)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
+       sha256(coalesce(kept, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (r)""",
+    "op10_warc": r"""
+WITH p AS (SELECT page_id, coalesce(html, '') AS body, sha1(coalesce(html, '')) AS h FROM pages),
+q AS (
+  SELECT page_id, CAST(strlen(body) AS BIGINT) AS payload_bytes,
+         array_to_string([substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+                                 1 + CAST(((CAST('0x' || substr(h, CAST(1 + 5 * (i // 4) AS BIGINT), 5) AS BIGINT)
+                                            >> CAST(15 - 5 * (i % 4) AS BIGINT)) & 31) AS BIGINT), 1)
+                          for i in range(32)], '') AS payload_digest,
+         min(page_id) OVER (PARTITION BY h) AS first
+  FROM p)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> first THEN first END AS refers_to
+FROM q""",
 }
