@@ -1,6 +1,6 @@
 """Operations of a training-data pipeline over text tables.
 
-Ten operators, one module each, plus ``queries`` (the thin registered
+Thirteen operators, one module each, plus ``queries`` (the thin registered
 queries) and ``common`` (staging, file output).  Nothing else in the
 library imports this subpackage.
 
@@ -16,4 +16,7 @@ library imports this subpackage.
 | 8 | ``quality`` | regularised quadratic discriminant |
 | 9 | ``mixing`` | soft-membership mixing to target weights |
 | 10 | ``warc`` | dictionary-compressed WARC archives |
+| 11 | ``packing`` | least-squares packing into token windows |
+| 12 | ``divergence`` | audit of how sources differ in their words |
+| 13 | ``merkle`` | content-addressed Merkle manifest |
 """
