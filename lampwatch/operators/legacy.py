@@ -18,7 +18,7 @@ chunked running scans.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lampwatch import labels as L
@@ -69,13 +69,17 @@ def legacy_episodes(actuator: DataFrame, presence: DataFrame, width: str,
     closes = pairs.where(
         (F.col("lab") == "C") & F.col("last_o").isNotNull()
         & (F.col("last_c").isNull() | (F.col("last_o.t") > F.col("last_c"))))
-    start = F.col("last_o.start_ts")
-    return closes.select(
-        F.col("key").alias("sensor_key"),
+    return closes.select(*closed_columns(F.col("key"), F.col("last_o.start_ts"), F.col("t"), strategy))
+
+
+def closed_columns(key: Column, start: Column, finish: Column, strategy: str) -> list[Column]:
+    """The row of a finished episode."""
+    return [
+        key.alias("sensor_key"),
         start.alias("start_ts"),
-        F.col("t").alias("finish_ts"),
+        finish.alias("finish_ts"),
         F.lit(True).alias("is_finish"),
-        tf.duration_s(start, "t").alias("duration"),
+        tf.duration_s(start, finish).alias("duration"),
         F.lit(L.LEGACY_EMISSION_KG).alias("carbon_emissions"),
         F.lit(L.CARBON_UNIT).alias("carbon_unit"),
         F.lit(L.TYPE_LEGACY_WINDOW).alias("type"),
@@ -84,7 +88,7 @@ def legacy_episodes(actuator: DataFrame, presence: DataFrame, width: str,
         F.lit("").alias("message"),
         F.lit(L.MEASURE).alias("measure"),
         tf.format_time(start).alias("time"),
-    )
+    ]
 
 
 def legacy_warnings(summaries: DataFrame) -> DataFrame:

@@ -392,5 +392,7 @@ QUERIES: dict[str, Query] = {
     "stream_messages": ST.stream_messages,
     "stream_snapshot_seeded": ST.stream_snapshot_seeded,
     "stream_log": ST.stream_log,
+    "stream_legacy_episodes": ST.stream_legacy_episodes,
+    "stream_late": ST.stream_late,
     "stream_alert_suppressed": ST.stream_alert_suppressed,
 }

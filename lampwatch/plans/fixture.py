@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lampwatch import labels as L
-from lampwatch.functions.timefns import format_time, wall_ms
+from lampwatch.functions.timefns import format_time, micros, wall_ms, wall_time
 from lampwatch.sources import rules as R
 
 PROJECT_ID = 1
@@ -245,6 +245,23 @@ def log_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
                     .otherwise(msg).alias("value"))
 
 
+# readings of a fast clock: a second of theirs is FAST seconds of the fixture's
+FAST = 1000
+SHORT_LAG_S, LONG_LAG_S = 3, 20
+SHORT_LAG_EVERY, LONG_LAG_EVERY = 2, 5
+LAG_SLICES = 12
+
+
+def lagged_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``(key, src, id, ts, arrival)``: presence readings of a fast clock;
+    % 5 arrive 20 s behind their time, of the others % 2 arrive 3 s behind."""
+    at = F.floor(micros("ts") / FAST).cast("bigint")
+    lag = (F.when(_m(LONG_LAG_EVERY), LONG_LAG_S).when(_m(SHORT_LAG_EVERY), SHORT_LAG_S).otherwise(0)
+           .cast("bigint") * 1_000_000)
+    return presence(spark, sf_dir).select(
+        "key", F.lit(1).alias("src"), "id", wall_time(at).alias("ts"), wall_time(at + lag).alias("arrival"))
+
+
 def flat_presence_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Flat log messages ``{"value": {...}}`` (the log-source shape): % 17
     has no ``value``, % 23 no key field, % 19 a NULL key (still present)."""

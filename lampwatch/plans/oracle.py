@@ -574,6 +574,22 @@ WITH {_LOG}
 SELECT key, lux, ts FROM log WHERE reason IS NULL
 """
 
+# late: more than the bound before the latest time of the slices before
+STREAM_LATE = f"""
+WITH {PRE},
+fast AS (SELECT key, id, epoch_us(ts) // {fx.FAST} AS us,
+                CASE WHEN id % {fx.LONG_LAG_EVERY} = 0 THEN {fx.LONG_LAG_S}
+                     WHEN id % {fx.SHORT_LAG_EVERY} = 0 THEN {fx.SHORT_LAG_S} ELSE 0 END * {US} AS behind FROM pre),
+span AS (SELECT min(us + behind) AS lo, CAST(round_even(
+           (max(us + behind) + 1 - min(us + behind)) / {fx.LAG_SLICES}, 0) AS BIGINT) AS step FROM fast),
+cut AS (SELECT fast.*, least((us + behind - lo) // step, {fx.LAG_SLICES} - 1) AS slice FROM fast, span),
+marks AS (SELECT slice, max(max(us)) OVER (ORDER BY slice ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS top
+          FROM cut GROUP BY slice)
+SELECT key, id, make_timestamp(us) AS ts,
+       coalesce(us < top // 1000 * 1000 - {L.DISORDER_S} * {US}, false) AS late
+FROM cut JOIN marks USING (slice)
+"""
+
 SQL: dict[str, str] = {
     "snapshot_latest": SNAPSHOT_LATEST,
     "snapshot_then_changes": SNAPSHOT_THEN_CHANGES,
@@ -617,5 +633,7 @@ SQL: dict[str, str] = {
     "stream_messages": STREAM_MESSAGES,
     "stream_snapshot_seeded": STREAM_SNAPSHOT_SEEDED,
     "stream_log": STREAM_LOG,
+    "stream_legacy_episodes": LEGACY_EPISODES,
+    "stream_late": STREAM_LATE,
     "stream_alert_suppressed": ALERT_SUPPRESSED,
 }

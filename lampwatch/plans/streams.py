@@ -14,6 +14,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lampwatch import labels as L
 from lampwatch import schemas
 from lampwatch.operators import episodes as E
 from lampwatch.plans import fixture as fx
@@ -22,6 +23,7 @@ from lampwatch.streaming import job as J
 
 N_SLICES = 6
 FILES = 4                   # files of a slice
+WINDOW_S = 3600             # the legacy rule's window, C.WINDOW_WIDTH in seconds
 HANDOVER_CUT = "2024-01-15 00:00:00"
 CHANGELOG_COLUMNS = ["rule_id", "sensor_key", "open_ts", "is_finish", "row_ts", "route",
                      "duration", "carbon_emissions"]
@@ -212,6 +214,56 @@ def stream_log(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.parquet(f"{root}/out").select(F.col("sensor_4").alias("key"), "lux", "ts")
 
 
+def _drained(rows: DataFrame, root: str) -> DataFrame:
+    """The rows of a stream, drained into a folder below ``root``."""
+    _await(rows.writeStream.format("parquet").option("path", f"{root}/out")
+           .option("checkpointLocation", f"{root}/ckpt").trigger(availableNow=True).start())
+    return rows.sparkSession.read.parquet(f"{root}/out")
+
+
+def _heartbeats(df: DataFrame, path: str, at: dt.datetime) -> None:
+    """Two micro-batches of readings of a sensor of their own, long after the
+    last one: the first moves the watermark over all readings, in the second
+    the operators act on it."""
+    given = {"key": F.lit("heartbeat"), "ts": _ntz(at), "id": F.col("n"), "level": F.lit(0.0)}
+    beat = df.sparkSession.range(FILES).withColumnRenamed("id", "n").select(
+        "n", *[given.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in df.schema.fields])
+    for _ in range(2):
+        beat.repartitionById(FILES, F.col("n").cast("int")).drop("n").write.mode("append").parquet(path)
+
+
+def stream_legacy_episodes(spark: SparkSession, sf: str) -> DataFrame:
+    """A2, A3, T7, T8 live: the windowed rule as one event-time
+    operator; the finished episodes equal the batch form's."""
+    from lampwatch.plans import catalog as C
+    from lampwatch.streaming.legacy import legacy_stream
+
+    root = scratch_path(spark, "stream-legacy")
+    act, pre = fx.actuator(spark, sf), fx.presence(spark, sf)
+    edges = _all_edges(act, pre)
+    _write_inputs(act, pre, root, edges)
+    _heartbeats(act, f"{root}/in/actuator", edges[-1] + dt.timedelta(days=2))
+    _heartbeats(pre, f"{root}/in/presence", edges[-1] + dt.timedelta(days=2))
+    a = J.with_watermark(J.file_source(spark, f"{root}/in/actuator", schemas.ACTUATOR, files_per_trigger=FILES))
+    p = J.with_watermark(J.file_source(spark, f"{root}/in/presence", schemas.PRESENCE, files_per_trigger=FILES))
+    return _drained(legacy_stream(a, p, WINDOW_S), root).select(*C.LEGACY_COLUMNS)
+
+
+def stream_late(spark: SparkSession, sf: str) -> DataFrame:
+    """Presence readings of a fast clock that arrive up to
+    ``fx.LONG_LAG_S`` behind their event time, under the 5 s disorder bound;
+    which of them came too late."""
+    root = scratch_path(spark, "stream-late")
+    rows = fx.lagged_readings(spark, sf)
+    # ``ts`` is what the slices are cut by: the arrival
+    arriving = rows.withColumnRenamed("ts", "reading_ts").withColumnRenamed("arrival", "ts")
+    write_slices(arriving, f"{root}/in", _edges(arriving, fx.LAG_SLICES), drop=("ts",))
+    src = J.file_source(spark, f"{root}/in", "key string, src int, id bigint, reading_ts timestamp_ntz",
+                        files_per_trigger=FILES)
+    judged = J.split_late(J.with_watermark(src.withColumnRenamed("reading_ts", "ts"), f"{L.DISORDER_S} seconds"))
+    return _drained(judged, root).select("key", "id", "ts", "late")
+
+
 def stream_alert_suppressed(spark: SparkSession, sf: str) -> DataFrame:
     """K5 live: window warnings (derived from the readings) arrive as files
     in time order; the suppression state carries across micro-batches."""
