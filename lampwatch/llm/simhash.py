@@ -35,6 +35,7 @@ from itertools import combinations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lampwatch.llm.common import connected, stage
 
@@ -54,33 +55,33 @@ def fingerprint(text: str | None, shingle: int = 3) -> int:
     words = (text or "").encode("utf-8", "surrogatepass").lower().split()
     if not words:
         return 0
-    if len(words) < shingle:
-        grams = [b" ".join(words)]
-    else:
-        grams = list(map(b" ".join, zip(*(words[i:] for i in range(shingle)))))
+    n = max(len(words) - shingle + 1, 1)
     votes = np.zeros(64, dtype=np.int64)
-    for a in range(0, len(grams), CHUNK):
-        h = np.array([xxh64_intdigest(g, 42) for g in grams[a:a + CHUNK]], dtype=">u8")
+    for a in range(0, n, CHUNK):
+        grams = (b" ".join(words[i:i + shingle]) for i in range(a, min(a + CHUNK, n)))
+        h = np.array([xxh64_intdigest(g, 42) for g in grams], dtype=">u8")
         votes += np.unpackbits(h.view(np.uint8).reshape(-1, 8), axis=1).sum(0, dtype=np.int64)
-    bits = np.packbits(votes * 2 > len(grams))
+    bits = np.packbits(votes * 2 > n)
     return int.from_bytes(bits.tobytes(), "big", signed=True)
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                 shingle: int = 3) -> DataFrame:
-    """``doc_id, fp`` (signed 64-bit) per row, Arrow batches in and out."""
+                 shingle: int = 3, row: Column | None = None) -> DataFrame:
+    """``doc_id, fp`` (signed 64-bit) per row, and ``row`` if one is given;
+    Arrow batches in and out."""
     def run(batches):
         import pyarrow as pa
 
         from lampwatch.llm.simhash import fingerprint
         for b in batches:
             fp = [fingerprint(t.as_py(), shingle) for t in b.column(1)]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fp, pa.int64())],
-                                             names=["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fp, pa.int64()), *b.columns[2:]],
+                                             names=["doc_id", "fp", *b.schema.names[2:]])
 
     slim = docs.select(F.col(id_col).cast("long").alias("doc_id"),
-                       F.col(text_col).cast("string").alias("text"))
-    return slim.mapInArrow(run, "doc_id long, fp long")
+                       F.col(text_col).cast("string").alias("text"), *([] if row is None else [row.alias("row")]))
+    out = T.StructType([slim.schema["doc_id"], T.StructField("fp", T.LongType()), *slim.schema.fields[2:]])
+    return slim.mapInArrow(run, out)
 
 
 def postings(fp: str = "fp") -> Column:
@@ -125,19 +126,30 @@ def links(distinct: DataFrame) -> DataFrame:
 
 
 def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                shingle: int = 3) -> DataFrame:
+                shingle: int = 3, row: Column | None = None) -> DataFrame:
     """One row per input row: ``doc_id, fingerprint`` (16 hex digits),
-    ``component_id`` (smallest id reachable)."""
-    fps = stage(fingerprints(docs, id_col, text_col, shingle), "simhash")
-    distinct = stage(fps.groupBy("fp").agg(F.min("doc_id").alias("rep")), "simhash-distinct")
+    ``component_id`` (smallest id reachable).  Given ``row``, an expression
+    that tells apart all rows, also those that share or lack an id: ``row``
+    and ``kept`` too, which holds for one row of each component (that with
+    the smallest id, nulls last, then with the smallest ``row``)."""
+    fps = stage(fingerprints(docs, id_col, text_col, shingle, row), "simhash")
+    if row is None:
+        first = F.min("doc_id")
+    else:
+        first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row"))
+    distinct = stage(fps.groupBy("fp").agg(first.alias("rep")), "simhash-distinct")
     edges = links(distinct).select(F.col("a").alias("u"), F.col("b").alias("v"))
     comp = connected(edges, "simhash-components")
     lowest = (comp.join(distinct, comp["node"] == distinct["fp"])
-              .groupBy("root").agg(F.min("rep").alias("component_id")))
-    linked = stage(comp.join(lowest, "root").select(F.col("node").alias("fp"), "component_id"),
+              .groupBy("root").agg(F.min("rep").alias("least")))
+    linked = stage(comp.join(lowest, "root").select(F.col("node").alias("fp"), "least"),
                    "simhash-linked")
     label = (distinct.join(linked, "fp", "left")
-             .select("fp", F.coalesce("component_id", "rep").alias("component_id")))
-    return (fps.join(label, "fp")
-            .select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"),
-                    "component_id"))
+             .select("fp", F.coalesce("least", "rep").alias("least")))
+    cols = ["doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint")]
+    if row is None:
+        cols += [F.col("least").alias("component_id")]
+    else:
+        cols += [F.col("least.doc_id").alias("component_id"), "row",
+                 (F.col("least.row") == F.col("row")).alias("kept")]
+    return fps.join(label, "fp").select(*cols)
