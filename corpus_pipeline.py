@@ -6,28 +6,50 @@ returns the documents that stay, with the columns they came with; the last
 returns the encoded documents.  ``run`` writes each stage's result to the
 shared folder and rereads it as the next one's documents.
 
-``doc_id`` names a document: rows that share it are kept or dropped together,
-but for exact dedup, which leaves one of rows that repeat id and text.  Null
-ids are matched as a value.  Empty tables pass through.
+A dedup stage decides about rows, named by their place in the Parquet files
+that it reads (file and row number, the same in every pass and retry), so
+rows that share or lack a ``doc_id`` are kept or dropped one by one; it takes
+out the rows that the operator drops.  The mix draws by ``doc_id``: rows that
+share it share the draw.  Empty tables pass through.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lampwatch.llm import copies, mixing, pieces, quality, simhash
 from lampwatch.llm.common import stage, table, vocabulary
+from lampwatch.operators.joins import fits_broadcast
 from lampwatch.session import ship_package
 
 #: the mix by language that the corpus is to have, in shares of its words
 TARGETS = {"en": 0.58, "de": 0.16, "fr": 0.16, "es": 0.10}
 
 
-def _kept(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """The rows whose ``doc_id`` is in ``ids(doc_id)``."""
-    ids = ids.select(F.col("doc_id").alias("__keep"))
-    return docs.join(ids, docs["doc_id"].eqNullSafe(ids["__keep"]), "left_semi")
+#: dropped rows that are broadcast; a place is a path and a number
+FEW = 50_000
+
+
+def _placed(docs: DataFrame) -> tuple[DataFrame, Column]:
+    """``docs`` as read from Parquet, and the place of each of its rows there."""
+    try:
+        place = docs.metadataColumn("_metadata")
+        docs.select(place)
+    except AnalysisException:  # not read from files as it is
+        docs = stage(docs, "pipeline-placed")
+        place = docs.metadataColumn("_metadata")
+    return docs, F.struct(place["file_path"].alias("file"), place["row_index"].alias("at"))
+
+
+def _without(docs: DataFrame, place: Column, dropped: DataFrame) -> DataFrame:
+    """``docs`` without the rows at the places ``dropped(place)``, which are
+    broadcast if they are few by count, else shuffled with the texts."""
+    dropped = stage(dropped, "pipeline-dropped")
+    if fits_broadcast(dropped, FEW):
+        dropped = F.broadcast(dropped)
+    return docs.join(dropped, place == dropped["place"], "left_anti")
 
 
 def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -35,15 +57,16 @@ def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    found = copies.exact_copies(docs)
-    left = _kept(docs, found.where("kept").select("doc_id"))
-    same = Window.partitionBy("doc_id", F.xxhash64("text")).orderBy(F.lit(1))
-    return left.withColumn("__row", F.row_number().over(same)).where("__row = 1").drop("__row")
+    docs, place = _placed(docs)
+    rows = docs.select(F.struct("doc_id", place.alias("place")).alias("row"), "text")
+    found = copies.exact_copies(rows, id_col="row")
+    return _without(docs, place, found.where("not kept").select("doc_id.place"))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    found = simhash.near_copies(docs)
-    return _kept(docs, found.where("doc_id <=> component_id").select("doc_id"))
+    docs, place = _placed(docs)
+    found = simhash.near_copies(docs, row=place)
+    return _without(docs, place, found.where("not kept").select(F.col("row").alias("place")))
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
