@@ -39,8 +39,8 @@ from lampwatch.streaming.processor import (INITIAL, OUTPUT, REJECT_COLUMNS, REJE
 LIVE_TRIGGER = "10 seconds"
 # groups that undecodable messages are dealt to
 DEAD_GROUPS = 64
-# event time of seed rows: theirs must not hold back the watermark of the inputs
-SEED_TIME = "9999-12-01 00:00:00"
+# event time of seed rows: theirs must not hold back the watermark of the inputs; within pandas' years (to 2262)
+SEED_TIME = "2262-01-01 00:00:00"
 
 
 # --- sources -------------------------------------------------------------------
