@@ -9,10 +9,10 @@ fill the state store in the first micro-batch, whether their sensors report
 or not, and :func:`live_state` takes the states out of a checkpoint again.
 
 Plan: two reading streams -> tag + union (J1) -> the sensor's list of rules
-(static) -> ``groupBy(key)`` stateful function -> static power dimension ->
-episode columns -> ``foreachBatch``.  One shuffle of each reading, by sensor;
-state is one small row per sensor, whether a run starts empty, from a
-hand-over or drops late rows.
+(static) -> ``groupBy(shard)`` stateful function -> static power dimension ->
+episode columns -> ``foreachBatch``.  One shuffle of each reading, by a hash
+of its sensor; state is one row per shard of sensors, whether a run starts
+empty, from a hand-over or drops late rows.
 """
 
 from __future__ import annotations
@@ -31,9 +31,10 @@ from lampwatch.operators import episodes as E
 from lampwatch.operators.joins import fits_broadcast, small_join
 from lampwatch.sources import snapshot as snap
 from lampwatch.sources.dimension import require_known
+from lampwatch.session import staged
 from lampwatch.streaming.processor import (INITIAL, OUTPUT, REJECT_COLUMNS, REJECTS, RULE_SEP,
-                                           SENSOR_COLUMNS, SENSOR_STATE, STATE, rule_params,
-                                           sensor_group_fn)
+                                           SENSOR_COLUMNS, SHARD_STATE, SHARDS, STATE, rule_params,
+                                           shard_fn)
 
 # Trigger and checkpoint cadence of a live run
 LIVE_TRIGGER = "10 seconds"
@@ -142,12 +143,13 @@ def split_late(rows: DataFrame, groups: int = DEAD_GROUPS) -> DataFrame:
 
 def episode_changes(actuator: DataFrame, presence: DataFrame, rule_keys: DataFrame,
                     rules: DataFrame, seeds: DataFrame | None = None,
-                    late_policy: str = "apply") -> DataFrame:
+                    late_policy: str = "apply", shards: int = SHARDS) -> DataFrame:
     """Output rows of the stateful function (one per open, one per finish).
 
-    Grouped by sensor: a reading is shuffled once, with the list of the rules
-    that read its sensor (as many as there are rules at most); one call
-    serves them all, and the state travels with the rows.
+    Grouped by shard, a hash of the sensor: a reading is shuffled once, with
+    the list of the rules that read its sensor (as many as there are rules at
+    most); one call serves all rules and sensors of a shard.  A restart names
+    the same number of ``shards``.
 
     T6 ``seeds`` (:func:`seed_source`): the hand-over's states, one row per
     sensor, read once and kept in the state store from then on.  A restart
@@ -164,11 +166,11 @@ def episode_changes(actuator: DataFrame, presence: DataFrame, rule_keys: DataFra
         raise ValueError(f"late_policy must be 'apply' or 'drop', not {late_policy!r}")
     keep = ("event_time",) if late_policy == "drop" else ()
     rows = E.readings(actuator, presence, keep).withColumn("dead", F.lit(False))
-    return _changes(rows, rule_keys, rules, seeds, keep)
+    return _changes(rows, rule_keys, rules, seeds, keep, shards=shards)
 
 
 def message_changes(actuator: DataFrame, presence: DataFrame, rule_keys: DataFrame,
-                    rules: DataFrame, seeds: DataFrame | None = None) -> DataFrame:
+                    rules: DataFrame, seeds: DataFrame | None = None, shards: int = SHARDS) -> DataFrame:
     """S2, P1-P3, J1 and T1-T3 in one pass over raw messages ``(msg_id,
     value)`` of both inputs: the rows of :func:`episode_changes` and, with
     ``msg_id, source, reason, value`` set, the messages that could not be
@@ -188,30 +190,33 @@ def message_changes(actuator: DataFrame, presence: DataFrame, rule_keys: DataFra
 
     rows = tagged(D.judged_actuator(actuator), "actuator", E.SRC_ACTUATOR, F.col("level"), none, none).unionByName(
         tagged(D.judged_presence(presence), "presence", E.SRC_PRESENCE, none, F.col("occupied"), F.col("lux")))
-    return _changes(rows, rule_keys, rules, seeds, (), rejects=True)
+    return _changes(rows, rule_keys, rules, seeds, (), rejects=True, shards=shards)
 
 
 def _changes(rows: DataFrame, rule_keys: DataFrame, rules: DataFrame, seeds: DataFrame | None,
-             keep: tuple[str, ...], rejects: bool = False) -> DataFrame:
+             keep: tuple[str, ...], rejects: bool = False, shards: int = SHARDS) -> DataFrame:
     params = rule_params(rules)   # rules are configuration: shipped as a dict
-    listed = (rule_keys.select(F.col("key").cast("string").alias("key"), "rule_id")
+    # grouped once for all micro-batches
+    listed = staged(rule_keys.select(F.col("key").cast("string").alias("key"), "rule_id")
               .join(F.broadcast(rules.select("rule_id")), "rule_id").distinct()
               .groupBy("key").agg(F.array_join(F.array_sort(F.collect_list("rule_id")), RULE_SEP)
                                   .alias("rules"))
-              .withColumn("dead", F.lit(False)))
+              .withColumn("dead", F.lit(False)), "rule-lists")
     out = T.StructType([*OUTPUT.fields, *(REJECTS.fields if rejects else [])])
     cols = [*SENSOR_COLUMNS, *(REJECT_COLUMNS if rejects else []), *keep]
     bound = (small_join(rows, listed, ["key", "dead"], "left")
              .where(F.col("rules").isNotNull() | F.col("dead"))
              .withColumn("seed", F.lit(None).cast("string")).select(cols))
     if seeds is not None:
-        given = {"key": F.col("key"), "seed": F.col("seed"), "dead": F.lit(False),
-                 "event_time": F.col("event_time")}
+        # (a number: a missing one would make the column of all rows a column of doubles)
+        given = {"key": F.col("key"), "seed": F.col("seed"), "dead": F.lit(False), "id": F.lit(0).cast("bigint"),
+                 "src": F.lit(E.SRC_STATE), "event_time": F.col("event_time")}
         bound = bound.unionByName(seeds.select(
             [given[c].alias(c) if c in given else F.lit(None).cast(bound.schema[c].dataType).alias(c)
              for c in cols]))
-    return bound.groupBy("key", "dead").applyInPandasWithState(
-        sensor_group_fn(params, rejects), outputStructType=out, stateStructType=SENSOR_STATE,
+    dealt = bound.withColumn("shard", F.pmod(F.xxhash64("key"), F.lit(shards)).cast("int"))
+    return dealt.groupBy("shard", "dead").applyInPandasWithState(
+        shard_fn(params, rejects), outputStructType=out, stateStructType=SHARD_STATE,
         outputMode="append", timeoutConf="EventTimeTimeout" if keep else "NoTimeout")
 
 
@@ -257,8 +262,9 @@ def live_state(spark: SparkSession, checkpoint: str) -> DataFrame:
     """The states that a live run left in its checkpoint (after its last
     committed micro-batch), as ``INITIAL`` rows: what a batch run
     (``episodes(initial_state=...)``) or another live run goes on from."""
-    held = spark.read.format("statestore").load(checkpoint)
-    rows = held.select(F.col("key.key").alias("key"), F.inline("value.groupState.rules"))
+    held = spark.read.format("statestore").load(checkpoint).select("value.groupState.*")
+    rows = held.select("keys", F.inline(F.arrays_zip("at", "rule_id", *STATE.fieldNames())))
+    rows = rows.withColumn("key", F.element_at("keys", F.col("at") + 1))
     return rows.select([F.col(f.name).cast(f.dataType) for f in INITIAL.fields])
 
 

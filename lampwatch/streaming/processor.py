@@ -1,16 +1,19 @@
 """T1-T3 (and T6) as Structured Streaming stateful operators.
 
-``groupBy(key).applyInPandasWithState(sensor_group_fn(params))``: one state
-row per sensor holds the state of every rule listing it; a hand-over from a
-batch backfill (T6) comes as seed rows, which fill the store before a
-sensor's first reading is applied.  Raw messages that could not be decoded
-come as *dead* groups and pass through without state, so that one pass and
-one commit serve both outputs.  Per rule and micro-batch
-the rows are sorted by ``(ts, src, id)`` and run through the same steps as
-the batch plan, vectorised with numpy over the batch:
-
-* latest actuator reading and latest occupied time (forward fill /
-  running max starting from the state);
+``groupBy(shard, dead).applyInPandasWithState(shard_fn(params))``: sensors are
+dealt to ``SHARDS`` shards by a hash of their key.  One state row per shard
+holds, column by column, the state of every rule for every sensor of the
+shard, so a micro-batch costs one call per shard and numpy over its rows, and
+no call per sensor.  A hand-over from a batch backfill (T6) comes as seed
+rows, which fill the store before a sensor's first reading is applied.  Raw
+messages that could not be decoded come as *dead* groups and pass through
+without state, so that one pass and one commit serve both outputs.  Per rule
+and micro-batch the rows are sorted by ``(sensor, ts, src, id)`` and run
+through the same steps as the batch plan, for all sensors of the shard at
+once:
+
+* latest actuator reading and latest occupied time (forward fill within a
+  sensor, starting from its state);
 * row labels O / C from the rule's gates;
 * transitions against the previous label (start: the state's open flag);
 * one output row per open and per finish; the state keeps the open
@@ -70,16 +73,12 @@ def _wall_us(s: pd.Series) -> np.ndarray:
     return s.to_numpy(dtype="datetime64[us]").astype(np.int64)
 
 
-def _none(v):
-    return None if v is None or (isinstance(v, float) and np.isnan(v)) else v
-
-
 PARAMS = ["strategy", "on_level", "hour_start", "minute_start", "hour_end", "minute_end",
           "quiet_s", "settle_s", "warmup_s", "program_start"]
-SRC_ACTUATOR = 0
+SRC_ACTUATOR, SRC_PRESENCE = 0, 1
 
 
-# per sensor: one row per reading, with the sorted ids of the rules that list the sensor
+# one row per reading, with the sorted ids of the rules that list the sensor
 SENSOR_COLUMNS = ["rules", "seed", "key", "dead", "ts", "src", "id", "level", "occupied", "lux"]
 # of raw messages besides: what a dead row passes on (its ``id`` is the message's)
 REJECT_COLUMNS = ["source", "reason", "value"]
@@ -99,38 +98,66 @@ def rule_params(rules) -> dict:
     return out
 
 
-def step(rows: pd.DataFrame, state: dict | None, rule_id: str, key: str,
-         prm: dict) -> tuple[list, dict]:
-    """One key, one micro-batch: output rows and the new state.  numpy over
-    the batch's rows; Python only per transition."""
-    st = dict.fromkeys(STATE.fieldNames()) if state is None else dict(state)
+# a missing value in a numpy column of longs, of booleans (as int8); of doubles it is NaN
+NONE = np.iinfo(np.int64).min
+_MISSING = {T.LongType(): (NONE, np.int64), T.DoubleType(): (np.nan, np.float64), T.BooleanType(): (-1, np.int8)}
+OPEN_FIELDS = ["open_ts", "open_id", "start_ts", "ev_a_ts", "ev_a_level", "ev_lux", "ev_occupied"]
+
+
+def _missing(field: str) -> tuple:
+    return _MISSING[STATE[field].dataType]
+
+
+def _column(field: str, values: list) -> np.ndarray:
+    none, dtype = _missing(field)
+    return np.array([none if v is None else v for v in values], dtype=dtype)
+
+
+def _known(column: np.ndarray) -> np.ndarray:
+    return ~np.isnan(column) if column.dtype == np.float64 else column != (-1 if column.dtype == np.int8 else NONE)
+
+
+def _plain(column: np.ndarray) -> list:
+    """A numpy column as Python values, None where missing."""
+    values = column.astype(bool).tolist() if column.dtype == np.int8 else column.tolist()
+    known = _known(column)
+    return values if known.all() else [v if k else None for v, k in zip(values, known.tolist())]
+
+
+def sorted_rows(batch: pd.DataFrame, at: np.ndarray) -> dict:
+    """The readings as numpy columns, by sensor (its number ``at``), then in
+    the order of the batch plan."""
+    cols = {"at": at, "ts": _wall_us(batch["ts"]), "src": batch["src"].to_numpy(dtype=np.int64),
+            "id": batch["id"].to_numpy(dtype=np.int64),
+            "level": batch["level"].to_numpy(dtype=float, na_value=np.nan),
+            "occupied": batch["occupied"].eq(True).to_numpy(dtype=bool),
+            "lux": batch["lux"].to_numpy(dtype=float, na_value=np.nan)}
+    order = np.lexsort((cols["id"], cols["src"], cols["ts"], at))
+    return {c: v[order] for c, v in cols.items()}
+
+
+def step(rows: dict, st: dict, prm: dict) -> dict:
+    """One rule, one micro-batch, all sensors of a shard: the output columns.
+    ``st`` holds a column per state field, indexed by the sensor's number, and
+    is brought up to date in place."""
     strategy = prm["strategy"]
     on = float(prm["on_level"])
-    ts0 = _wall_us(rows["ts"])
-    src0 = rows["src"].to_numpy()
-    ids0 = rows["id"].to_numpy(dtype=np.int64)
-    order = np.lexsort((ids0, src0, ts0))
-    ts, src, ids = ts0[order], src0[order], ids0[order]
-    level = rows["level"].to_numpy(dtype=float, na_value=np.nan)[order]
-    occ = rows["occupied"].to_numpy(dtype=object)[order]
-    occ = np.array([bool(v) if v is not None and v == v else False for v in occ], dtype=bool) \
-        if occ.dtype == object else occ.astype(bool)
-    lux = rows["lux"].to_numpy(dtype=float, na_value=np.nan)[order]
-    is_act = src == 0
-    is_pre = src == 1
+    at, ts, level, occ = rows["at"], rows["ts"], rows["level"], rows["occupied"]
+    is_act, is_pre = rows["src"] == SRC_ACTUATOR, rows["src"] == SRC_PRESENCE
+    n = np.arange(len(ts))
+    begins = np.append(True, at[1:] != at[:-1])
+    begin = np.maximum.accumulate(np.where(begins, n, 0))
+
+    def latest(which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        i = np.maximum.accumulate(np.where(which, n, -1))
+        return np.maximum(i, 0), i >= begin
 
     # step 1: as-of actuator reading and latest occupied time
-    idx = np.where(is_act, np.arange(len(ts)), -1)
-    last = np.maximum.accumulate(idx)
-    have = last >= 0
-    pick = np.maximum(last, 0)
-    a_ts = np.where(have, ts[pick], np.nan if st["a_ts"] is None else st["a_ts"]).astype(float)
-    a_level = np.where(have, level[pick], np.nan if st["a_level"] is None else st["a_level"])
-    none = np.iinfo(np.int64).min
-    o_ts = np.maximum.accumulate(np.where(is_pre & occ, ts, none))
-    if st["o_ts"] is not None:
-        o_ts = np.maximum(o_ts, st["o_ts"])
-    o_known = o_ts != none
+    pick, have = latest(is_act)
+    a_ts = np.where(have, ts[pick], st["a_ts"][at])
+    a_level = np.where(have, level[pick], st["a_level"][at])
+    o_pick, o_have = latest(is_pre & occ)
+    o_ts = np.maximum(np.where(o_have, ts[o_pick], NONE), st["o_ts"][at])
 
     # step 2: gates and labels (calendar from wall-clock microseconds;
     # 1970-01-01 was a Thursday)
@@ -141,9 +168,9 @@ def step(rows: pd.DataFrame, state: dict | None, rule_id: str, key: str,
     end_s = (int(prm["hour_end"]) * 3600 + int(prm["minute_end"]) * 60) * US
     in_sched = weekday & (sod >= start_s) & (sod <= end_s)
     is_on = level >= on
-    last_on = np.nan_to_num(a_level, nan=-np.inf) >= on
-    quiet = ~o_known | (o_ts + int(prm["quiet_s"]) * US < ts)
-    settled = ~np.isnan(a_ts) & (np.nan_to_num(a_ts) + int(prm["settle_s"]) * US < ts)
+    last_on = a_level >= on
+    quiet = ~_known(o_ts) | (o_ts + int(prm["quiet_s"]) * US < ts)
+    settled = _known(a_ts) & (a_ts + int(prm["settle_s"]) * US < ts)
     warm = prm["program_start"] + int(prm["warmup_s"]) * US < ts
     if strategy == L.TIME_ONLY:
         opens = is_act & is_on & ~in_sched
@@ -155,104 +182,153 @@ def step(rows: pd.DataFrame, state: dict | None, rule_id: str, key: str,
         closes = (is_act & ~is_on) | (is_pre & occ)
         opens &= ~closes
 
-    # steps 3-4: transitions from the state's open flag
-    out = []
-    open_now = st["open_ts"] is not None
-    for i in np.flatnonzero(opens | closes):
-        if opens[i] and not open_now:
-            start = a_ts[i] if strategy == L.SENSOR_ONLY else ts[i]
-            st.update(open_ts=int(ts[i]), open_id=int(ids[i]), start_ts=int(start),
-                      ev_a_ts=None if np.isnan(a_ts[i]) else int(a_ts[i]),
-                      ev_a_level=_none(float(a_level[i])),
-                      ev_lux=_none(float(lux[i])) if is_pre[i] else None,
-                      ev_occupied=bool(occ[i]) if is_pre[i] else None)
-            out.append(_row(rule_id, key, st, None))
-            open_now = True
-        elif closes[i] and open_now:
-            out.append(_row(rule_id, key, st, int(ts[i])))
-            for f in ("open_ts", "open_id", "start_ts", "ev_a_ts", "ev_a_level", "ev_lux",
-                      "ev_occupied"):
-                st[f] = None
-            open_now = False
-
-    if have[-1]:
-        j = last[-1]
-        st.update(a_ts=int(ts[j]), a_id=int(ids[j]), a_level=float(level[j]))
-    if o_known[-1]:
-        st["o_ts"] = int(o_ts[-1])
-    return out, st
-
-
-def _row(rule_id, key, st, finish_us):
-    return (rule_id, key, st["open_ts"], st["open_id"], st["start_ts"], finish_us,
-            st["ev_a_ts"], st["ev_a_level"], st["ev_lux"], st["ev_occupied"])
-
-
-def _times(v) -> np.ndarray:
-    return np.array([np.datetime64("NaT") if x is None else x for x in v],
-                    dtype="datetime64[us]") if any(x is None for x in v) else \
-        np.array(v, dtype=np.int64).astype("datetime64[us]")
-
-
-def _frame(rows: list) -> pd.DataFrame:
-    c = list(zip(*rows))
-    return pd.DataFrame({
-        "rule_id": np.array(c[0], dtype=object), "key": np.array(c[1], dtype=object),
-        "open_ts": _times(c[2]), "open_id": np.array(c[3], dtype=np.int64),
-        "start_ts": _times(c[4]), "finish_ts": _times(c[5]), "a_ts": _times(c[6]),
-        "a_level": np.array([np.nan if x is None else x for x in c[7]], dtype=float),
-        "lux": np.array([np.nan if x is None else x for x in c[8]], dtype=float),
-        "occupied": pd.array(list(c[9]), dtype="boolean"),
-    })
-
-
-# one state row per sensor holding the state of every rule that lists it
-RULE_STATE = T.StructType([T.StructField("rule_id", T.StringType()), *STATE.fields])
-SENSOR_STATE = T.StructType([T.StructField("rules", T.ArrayType(RULE_STATE))])
-
-
-def _load(rules_state) -> dict:
-    out = {}
-    for r in rules_state or []:
-        r = r.asDict() if hasattr(r, "asDict") else dict(zip(RULE_STATE.fieldNames(), r))
-        out[r.pop("rule_id")] = r
+    # steps 3-4: a labelled row counts if its label differs from the one before
+    # (a sensor's first: from the state's open flag)
+    labelled = np.flatnonzero(opens | closes)
+    label, where = opens[labelled], at[labelled]
+    first = np.append(True, where[1:] != where[:-1])[:len(where)]
+    before = np.where(first, _known(st["open_ts"])[where], np.append(False, label[:-1])[:len(label)])
+    kept = labelled[label != before]
+    opening, where = opens[kept], at[kept]
+    first = np.append(True, where[1:] != where[:-1])[:len(where)]
+    presence = is_pre[kept]
+    opened = {"open_ts": ts[kept], "open_id": rows["id"][kept],
+              "start_ts": (a_ts if strategy == L.SENSOR_ONLY else ts)[kept], "ev_a_ts": a_ts[kept],
+              "ev_a_level": a_level[kept], "ev_lux": np.where(presence, rows["lux"][kept], np.nan),
+              "ev_occupied": np.where(presence, occ[kept], -1).astype(np.int8)}
+    # a closing row ends the episode of the kept row before it, or the state's
+    opener = np.maximum(np.arange(len(kept)) - ~opening, 0)
+    held = ~opening & first
+    out = {"at": where, "finish_ts": np.where(opening, NONE, ts[kept])}
+    for f, values in opened.items():
+        out[f] = np.where(held, st[f][where], values[opener])
+
+    last = np.append(where[1:] != where[:-1], True)[:len(where)]
+    for f, values in opened.items():
+        st[f][where[last]] = np.where(opening[last], values[last], _missing(f)[0])
+    ends = np.flatnonzero(np.append(at[1:] != at[:-1], True))
+    st["o_ts"][at[ends]] = o_ts[ends]
+    ends = ends[have[ends]]
+    for f, c in (("a_ts", "ts"), ("a_id", "id"), ("a_level", "level")):
+        st[f][at[ends]] = rows[c][pick[ends]]
     return out
 
 
-def _seeded(seed: str) -> dict:
-    """The states of a hand-over, as the sensor's seed row holds them."""
-    names = STATE.fieldNames()
-    return {r["rule_id"]: {f: r.get(f) for f in names} for r in json.loads(seed)}
+def _times(v: np.ndarray) -> np.ndarray:
+    return v.astype("datetime64[us]")  # NONE is NaT
 
 
-def _dump(states: dict) -> tuple:
-    names = STATE.fieldNames()
-    return ([tuple([rid] + [st[f] for f in names]) for rid, st in states.items()],)
+def _frame(found: list, keys: list) -> pd.DataFrame:
+    """Output rows of ``(rule_id, columns)``."""
+    c = {f: np.concatenate([out[f] for _, out in found]) for f in found[0][1]}
+    return pd.DataFrame({
+        "rule_id": np.repeat(np.array([r for r, _ in found], dtype=object), [len(out["at"]) for _, out in found]),
+        "key": np.array(keys, dtype=object)[c["at"]],
+        "open_ts": _times(c["open_ts"]), "open_id": c["open_id"],
+        "start_ts": _times(c["start_ts"]), "finish_ts": _times(c["finish_ts"]), "a_ts": _times(c["ev_a_ts"]),
+        "a_level": c["ev_a_level"], "lux": c["ev_lux"],
+        "occupied": pd.arrays.BooleanArray(c["ev_occupied"] == 1, c["ev_occupied"] == -1),
+    })
 
 
-def step_rules(batch: pd.DataFrame, states: dict, sensor: str, params: dict) -> list:
-    """Every rule's step for one sensor's micro-batch (rows carry the list of
-    the sensor's rules); updates ``states`` in place, returns the output
-    rows."""
-    out = []
-    act = batch["src"].to_numpy() == SRC_ACTUATOR
-    for rule_id in batch["rules"].iloc[0].split(RULE_SEP):
-        if params[rule_id]["strategy"] != L.TIME_ONLY:
-            rows = batch
-        elif act.any():  # this strategy reads no presence
-            rows = batch if act.all() else batch[act]
-        else:
+#: the states of a shard: its sensors, and per (sensor, rule) the sensor's number, the rule and its state
+SHARD_STATE = T.StructType([
+    T.StructField("keys", T.ArrayType(T.StringType())), T.StructField("at", T.ArrayType(T.IntegerType())),
+    T.StructField("rule_id", T.ArrayType(T.StringType())),
+    *[T.StructField(f.name, T.ArrayType(f.dataType)) for f in STATE.fields]])
+#: groups that sensors are dealt to; a checkpoint is bound to its number of shards, as it is to its number of
+#: partitions.  A shard's state row is about 100 bytes per sensor and rule
+SHARDS = 2048
+
+
+class Shard:
+    """The states of a shard's sensors: per rule a column for each field,
+    indexed by the sensor's number, and which sensors have a state."""
+
+    def __init__(self, state: tuple | None):
+        keys, at, rule, *columns = state or ([] for _ in SHARD_STATE.fields)
+        self.keys = list(keys)
+        self.number = {k: i for i, k in enumerate(self.keys)}
+        self.rules = {}
+        at, rule = np.array(at, dtype=np.int64), np.array(rule, dtype=object)
+        columns = {f: _column(f, c) for f, c in zip(STATE.fieldNames(), columns)}
+        for r in dict.fromkeys(rule.tolist()):
+            these = rule == r
+            self._set(r, at[these], {f: c[these] for f, c in columns.items()})
+
+    def numbers(self, keys) -> np.ndarray:
+        """The sensors' numbers, new ones for new sensors."""
+        for k in keys:
+            if k not in self.number:
+                self.number[k] = len(self.keys)
+                self.keys.append(k)
+        return np.array([self.number[k] for k in keys], dtype=np.int64)
+
+    def rule(self, rule_id: str) -> tuple[np.ndarray, dict]:
+        """Which sensors have a state of the rule, and the state's columns."""
+        has, st = self.rules.get(rule_id, (np.zeros(0, dtype=bool), None))
+        more = len(self.keys) - len(has)
+        if more:
+            st = {f: np.concatenate([st[f] if st else np.zeros(0, dtype=_missing(f)[1]),
+                                     np.full(more, *_missing(f))]) for f in STATE.fieldNames()}
+            has = np.concatenate([has, np.zeros(more, dtype=bool)])
+            self.rules[rule_id] = has, st
+        return self.rules[rule_id]
+
+    def _set(self, rule_id: str, at: np.ndarray, columns: dict) -> None:
+        has, st = self.rule(rule_id)
+        has[at] = True
+        for f, c in columns.items():
+            st[f][at] = c
+
+    def seed(self, key: str, seed: str) -> None:
+        """The states of a hand-over, as the sensor's seed row holds them;
+        it counts only while the sensor has no state."""
+        if key in self.number:
+            return
+        at = self.numbers([key])
+        for r in json.loads(seed):
+            self._set(r["rule_id"], at, {f: _column(f, [r.get(f)]) for f in STATE.fieldNames()})
+
+    def dump(self) -> tuple:
+        at = {r: np.flatnonzero(has) for r, (has, _) in self.rules.items()}
+        columns = [sum((_plain(self.rules[r][1][f][i]) for r, i in at.items()), []) for f in STATE.fieldNames()]
+        return (self.keys, sum((i.tolist() for i in at.values()), []),
+                [r for r, i in at.items() for _ in range(len(i))], *columns)
+
+
+def step_rules(batch: pd.DataFrame, shard: Shard, params: dict) -> pd.DataFrame | None:
+    """Every rule's step for a shard's micro-batch (rows carry the list of
+    their sensor's rules); brings the states up to date, returns the output
+    rows, if any."""
+    code, keys = pd.factorize(batch["key"])
+    code_of_rules, lists = pd.factorize(batch["rules"])
+    lists = [set(x.split(RULE_SEP)) for x in lists]
+    number = shard.numbers(keys)
+    rows = sorted_rows(batch, number[code])
+    listed = np.zeros(len(shard.keys), dtype=np.int64)
+    listed[number[code]] = code_of_rules  # a sensor has one list
+    found = []
+    for rule_id in sorted(set().union(*lists)):
+        use = np.array([rule_id in x for x in lists])[listed[rows["at"]]]
+        if params[rule_id]["strategy"] == L.TIME_ONLY:  # this strategy reads no presence
+            use &= rows["src"] == SRC_ACTUATOR
+        if not use.any():
             continue
-        o, states[rule_id] = step(rows, states.get(rule_id), rule_id, sensor, params[rule_id])
-        out.extend(o)
-    return out
-
-
-def sensor_group_fn(params: dict, rejects: bool = False):
-    """``applyInPandasWithState`` grouped by sensor (and ``dead``): one call
-    runs the step of every rule listing the sensor, so the per-group overhead
-    is paid once per sensor, not once per rule.  A seed row counts only while
-    the sensor has no state, so a replayed one changes nothing."""
+        has, st = shard.rule(rule_id)
+        mine = rows if use.all() else {c: v[use] for c, v in rows.items()}
+        has[mine["at"]] = True
+        out = step(mine, st, params[rule_id])
+        if len(out["at"]):
+            found.append((rule_id, out))
+    return _frame(found, shard.keys) if found else None
+
+
+def shard_fn(params: dict, rejects: bool = False):
+    """``applyInPandasWithState`` grouped by shard (and ``dead``): one call
+    runs the step of every rule for every sensor of the shard that reports, so
+    the per-group overhead is paid once per shard.  A seed row counts only
+    while its sensor has no state, so a replayed one changes nothing."""
     def fn(key, frames: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
         if key[1]:
             for f in frames:
@@ -260,17 +336,16 @@ def sensor_group_fn(params: dict, rejects: bool = False):
             return
         frames = list(frames)
         batch = frames[0] if len(frames) == 1 else pd.concat(frames, ignore_index=True)
-        states = _load(state.get[0]) if state.exists else {}
+        shard = Shard(state.get if state.exists else None)
         seeds = batch["seed"].notna()
         if seeds.any():
-            if not state.exists:
-                states = _seeded(batch["seed"][seeds].iloc[0])
+            for sensor, seed in zip(batch["key"][seeds], batch["seed"][seeds]):
+                shard.seed(sensor, seed)
             batch = batch[~seeds]
-        out = step_rules(batch, states, key[0], params) if len(batch) else []
-        state.update(_dump(states))
-        if out:
-            found = _frame(out)
-            yield _with_rejects(found, None) if rejects else found
+        out = step_rules(batch, shard, params) if len(batch) else None
+        state.update(shard.dump())
+        if out is not None:
+            yield _with_rejects(out, None) if rejects else out
     return fn
 
 
