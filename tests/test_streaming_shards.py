@@ -5,10 +5,12 @@ import random
 
 from lampwatch import schemas
 from lampwatch.operators import episodes as E
+from lampwatch.operators import legacy as LG
 from lampwatch.plans import fixture as fx
 from lampwatch.plans import streams as ST
 from lampwatch.session import scratch_path, ship_package
 from lampwatch.streaming import job as J
+from lampwatch.streaming.legacy import legacy_stream
 from tests.test_streaming_state import add, readings, seen
 
 SAT = dt.datetime(2024, 1, 6)
@@ -75,3 +77,26 @@ def test_sensors_share_groups_and_states(spark):
     end = J.handover_state(*frames[3], rk, rules)
     assert sorted(map(tuple, J.live_state(spark, f"{root}/ckpt").collect()), key=str) == \
         sorted(map(tuple, end.collect()), key=str)
+
+
+def test_legacy_sensors_share_groups(spark):
+    ship_package(spark)
+    root, rnd = scratch_path(spark, "test-legacy-shards"), random.Random(5)
+    keys = [f"k{i}" for i in range(30)]
+    at = lambda i: SAT + dt.timedelta(seconds=100 * i)
+    act = [(rnd.choice(keys), 1, at(i), i, rnd.choice([0.0, 0.5, 90.0, None])) for i in range(1500)]
+    pre = [(rnd.choice(keys), 1, at(i), i, rnd.choice([True, False, False, None]), 1.0) for i in range(1500)]
+    beat = SAT + dt.timedelta(days=4)
+    for lo, hi in ((0, 700), (700, 1500), (1500, 1500), (1500, 1500)):
+        end = hi == lo
+        many(spark, root, act[lo:hi] + [("beat", 1, beat, -1, 0.0)] * end,
+             pre[lo:hi] + [("beat", 1, beat, -1, None, None)] * end)
+    a, p = (J.with_watermark(J.file_source(spark, f"{root}/in/{n}", s))
+            for n, s in (("actuator", schemas.ACTUATOR), ("presence", schemas.PRESENCE)))
+    got = ST._drained(legacy_stream(a, p, 600, 1200, shards=2), root)
+    want = LG.legacy_episodes(spark.createDataFrame(act, schemas.ACTUATOR), spark.createDataFrame(pre, schemas.PRESENCE),
+                              "600 seconds", 1200)
+    cols = ["sensor_key", "start_ts", "finish_ts"]
+    assert want.count() > 10
+    assert sorted(map(tuple, got.select(*cols).collect())) == sorted(map(tuple, want.select(*cols).collect()))
+    assert groups(spark, f"{root}/ckpt") == 2
